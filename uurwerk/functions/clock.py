@@ -24,6 +24,12 @@ def hours(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' HOUR")
 
 
+def trunc_hour(ts: Column) -> Column:
+    """Start of the hour. Unlike ``date_trunc`` this never passes through the
+    session zone, whose clock changes would move some hours."""
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+
+
 def day_at(day: Column, hour: int, tz: str) -> Column:
     """The instant (UTC) at which the local clock shows ``hour`` on ``day``."""
     return to_utc(day.cast("timestamp_ntz") + hours(hour), tz)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uurwerk.functions.clock import day_at, hours, to_local
+from uurwerk.session import spread
 
 
 def with_local_time(df: DataFrame, tz: str, ts: str = "hour_utc") -> DataFrame:
@@ -33,12 +34,13 @@ def hour_spine(
     """One row per UTC hour, from local midnight of ``start`` through the last
     hour of ``run_date + ahead_days``, for every row of ``ranges``.
 
-    The days are generated first and each day then yields its own 23, 24 or 25
-    hours, so a table of many sites expands in parallel and no row ever holds a
-    long array.
+    The days are generated first and spread by site and day; each day then
+    yields its own 23, 24 or 25 hours. Windows over a site's day need no further
+    shuffle.
     """
     last = F.date_add(F.col(run_date), ahead_days)
     days = ranges.where(F.col(start) <= last).select(*by, F.explode(F.sequence(F.col(start), last)).alias("date_local"))
+    days = spread(days, *by, "date_local")
     first_hour = day_at(F.col("date_local"), 0, tz)
     last_hour = day_at(F.date_add("date_local", 1), 0, tz) - hours(1)
     spine = days.select(*by, "date_local", F.explode(F.sequence(first_hour, last_hour, hours(1))).alias("hour_utc"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uurwerk.functions.clock import day_at
 
@@ -26,19 +28,50 @@ def _bucket(ts: Column, bucket_hours: int) -> Column:
     return F.floor(epoch_hours / F.lit(bucket_hours)).cast("bigint")
 
 
-def _crowded(points: DataFrame, keys: list[str], max_crowded: int, min_rows: int) -> DataFrame:
+def _crowded(points: DataFrame, keys: list[str], max_crowded: int, min_rows: int) -> DataFrame | None:
     """Buckets that deserve splitting, with the number of pieces each needs.
 
-    A bucket qualifies when it holds more than ``1 / max_crowded`` of all rows,
-    so at most ``max_crowded`` rows come back whatever the input size; that
-    bound is what allows the broadcasts below.
+    A bucket qualifies when it holds more than ``1 / max_crowded`` of all rows, so
+    no more than ``max_crowded`` can qualify, whatever the input size, and all of
+    them are among the ``max_crowded`` largest. One pass over the key columns
+    brings those counts and the total; that bound is what allows the broadcasts
+    below. Usually nothing qualifies.
     """
+    total = Observation()
     counts = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    piece_rows = counts.agg(F.greatest(F.sum("_n") / max_crowded, F.lit(float(min_rows)))).scalar()
+    largest = counts.observe(total, F.sum("_n").alias("rows")).orderBy(F.desc("_n")).limit(max_crowded).collect()
+    if not largest:
+        return None
+    piece_rows = max(total.get["rows"] / max_crowded, min_rows)
+    split = [(*row[:-1], math.ceil(row["_n"] / piece_rows)) for row in largest if row["_n"] > piece_rows]
+    if not split:
+        return None
+    schema = T.StructType([*[counts.schema[k] for k in keys], T.StructField("_pieces", T.LongType())])
+    return F.broadcast(points.sparkSession.createDataFrame(split, schema))
+
+
+def _split_points(points: DataFrame, crowded: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Give each point of a crowded bucket one piece, by a hash of the point."""
+    if crowded is None:
+        return points
+    columns = [c for c in points.columns if c != "_bucket"]
+    piece = F.pmod(F.xxhash64(*columns), F.col("_pieces"))
     return (
-        counts.withColumn("_limit", piece_rows)
-        .where(F.col("_n") > F.col("_limit"))
-        .select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("bigint").alias("_pieces"))
+        points.join(crowded, keys, "left")
+        .withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint")))
+        .drop("_pieces")
+    )
+
+
+def _repeat_intervals(intervals: DataFrame, crowded: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Repeat the intervals of a crowded bucket once per piece."""
+    if crowded is None:
+        return intervals
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
+    return (
+        intervals.join(crowded, keys, "left")
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
+        .drop("_pieces")
     )
 
 
@@ -61,36 +94,18 @@ def interval_attach(
     points are cut into pieces by a hash of the point; the intervals of those
     buckets, and only those, are repeated per piece.
     """
-    by = list(by)
     keys = [*by, "_bucket"]
     left = points.withColumn("_bucket", _bucket(F.col(ts), bucket_hours))
     crowded = _crowded(left, keys, max_crowded, min_rows)
 
-    left = left.join(F.broadcast(crowded), keys, "left").withColumn(
-        "_piece",
-        F.when(F.col("_pieces").isNull(), F.lit(0).cast("bigint")).otherwise(
-            F.pmod(F.xxhash64(*points.columns), F.col("_pieces"))
-        ),
-    )
-
     last_moment = F.col(valid_to) - F.expr("INTERVAL '0.000001' SECOND")
-    right = (
-        intervals.where(F.col(valid_from) < F.col(valid_to))
-        .withColumn(
-            "_bucket",
-            F.explode(F.sequence(_bucket(F.col(valid_from), bucket_hours), _bucket(last_moment, bucket_hours))),
-        )
-        .join(F.broadcast(crowded), keys, "left")
-        .withColumn(
-            "_piece",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint")) - 1)),
-        )
-        .drop("_pieces")
-    )
+    touched = F.sequence(_bucket(F.col(valid_from), bucket_hours), _bucket(last_moment, bucket_hours))
+    right = intervals.where(F.col(valid_from) < F.col(valid_to)).withColumn("_bucket", F.explode(touched))
 
-    p, i = left.drop("_pieces").alias("p"), right.alias("i")
+    p = _split_points(left, crowded, keys).alias("p")
+    i = _repeat_intervals(right, crowded, keys).alias("i")
     on = (F.col(f"p.{ts}") >= F.col(f"i.{valid_from}")) & (F.col(f"p.{ts}") < F.col(f"i.{valid_to}"))
-    for key in [*keys, "_piece"]:
+    for key in keys if crowded is None else [*keys, "_piece"]:
         on = on & (F.col(f"p.{key}") == F.col(f"i.{key}"))
     return p.join(i, on, "left").select(
         *[F.col(f"p.{c}") for c in points.columns],

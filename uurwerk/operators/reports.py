@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from uurwerk.functions.clock import hours
 from uurwerk.functions.nulls import safe_divide
+from uurwerk.session import spread
 
 
 def summary_by_period(daily: DataFrame, period: Column, area_m2: float, by: Sequence[str] = ()) -> DataFrame:
@@ -81,7 +82,7 @@ def expected_hours(chunks: DataFrame, by: Sequence[str], start: str = "chunk_sta
     """Every UTC hour of every chunk (dates, both ends inclusive)."""
     first = F.col(start).cast("timestamp_ntz")
     last = F.date_add(F.col(end), 1).cast("timestamp_ntz") - hours(1)
-    return chunks.where(F.col(start) <= F.col(end)).select(
+    return spread(chunks.where(F.col(start) <= F.col(end)), *by, start).select(
         *by, start, end, F.explode(F.sequence(first, last, hours(1))).alias("hour_utc")
     )
 

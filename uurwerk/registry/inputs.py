@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uurwerk.functions.clock import local_date
+from uurwerk.functions.clock import local_date, trunc_hour
 from uurwerk.params import SiteParams
 from uurwerk.session import materialize
 
@@ -39,7 +39,7 @@ def wide_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     def largest(*types: str):
         return F.max(F.when(F.col("event_type").isin(*types), F.col("value")))
 
-    return events.groupBy(F.date_trunc("hour", shifted()).cast("timestamp_ntz").alias("hour_utc")).agg(
+    return events.groupBy(trunc_hour(shifted()).alias("hour_utc")).agg(
         *[largest(t).alias(t) for t in EVENT_TYPES],
         largest("click", "view").alias("price"),
         F.max("value").alias("any_value"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uurwerk.functions.clock import hours, local_date, to_local
+from uurwerk.functions.clock import hours, local_date, to_local, trunc_hour
 from uurwerk.functions.nulls import floor_at_zero, reconcile
 from uurwerk.operators import quality, reports
 from uurwerk.operators.balance import hourly_demand, lighting_inputs
@@ -31,7 +31,7 @@ from uurwerk.registry.inputs import PARAMS, ZONE, shifted, table
 from uurwerk.session import materialize, scratch_path
 from uurwerk.sources import ranges, records
 from uurwerk.sources.landing import chunked_read, landing_fetch
-from uurwerk.sources.tables import backfill_by_year, replace_partitions, upsert, with_load_id
+from uurwerk.sources.tables import backfill_by_year, gathered, replace_partitions, upsert, with_load_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -127,7 +127,7 @@ def interval_join_generic(spark, sf_dir):
     """Events against overlapping intervals of their user. Each hour with a signup
     opens one interval of 1 to 12 hours, so a point meets at most 12 of them."""
     events = table(spark, sf_dir, "events")
-    opened = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    opened = trunc_hour(F.col("ts"))
     intervals = (
         events.where(F.col("event_type") == "signup")
         .groupBy("user_id", opened.alias("valid_from"))
@@ -163,7 +163,7 @@ def stage_signal_tables(spark, sf_dir):
     """The flat signals scanned as raw tables, each renamed and cast, side by side."""
     raw = materialize(
         table(spark, sf_dir, "events")
-        .groupBy("event_type", F.date_trunc("hour", shifted()).cast("timestamp_ntz").alias("datetime"))
+        .groupBy("event_type", trunc_hour(shifted()).alias("datetime"))
         .agg(F.max("value").alias("value"))
         .withColumn("is_estimated", F.col("value") < 20)
         .withColumn("_load_id", F.lit("load-1")),
@@ -230,7 +230,7 @@ def user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     sun = F.get_json_object("props", "$.k").cast("int")
     hourly = (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias("site"), F.date_trunc("hour", shifted()).cast("timestamp_ntz").alias("hour_utc"))
+        .groupBy(F.col("user_id").alias("site"), trunc_hour(shifted()).alias("hour_utc"))
         .agg(F.max("value").alias("electricity_price_eur_per_kwh"), F.max(sun).alias("sun"))
     )
     return lamp_hours(hourly, "sun", ["site"])
@@ -481,7 +481,7 @@ def day_outcomes(spark, sf_dir):
 @query
 def coverage_gaps(spark, sf_dir):
     """Hours found and missing per event type, in 10-day chunks."""
-    hour = F.date_trunc("hour", shifted()).cast("timestamp_ntz")
+    hour = trunc_hour(shifted())
     found = materialize(
         table(spark, sf_dir, "events").select("event_type", hour.alias("hour_utc")).distinct(), "found_hours"
     )
@@ -618,7 +618,7 @@ def variant_reconcile(spark, sf_dir):
 def merge_upsert(spark, sf_dir):
     """The hourly signals are stored by day; a later load brings the trailing week
     again with new values, twice, and the hours of one more day."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = trunc_hour(F.col("ts"))
     first = (
         table(spark, sf_dir, "events")
         .groupBy("event_type", hour.alias("datetime"))
@@ -629,7 +629,7 @@ def merge_upsert(spark, sf_dir):
         return with_load_id(df, load_id).withColumn("day", F.to_date("datetime").cast("string"))
 
     path = scratch_path(spark, "signals")
-    replace_partitions(dated(first, "load-1"), path, "day")
+    replace_partitions(gathered(dated(first, "load-1"), "day"), path, "day")
     stored = spark.read.parquet(path).select("event_type", "datetime", "value")
     run_date = dt.date(2024, 1, 30)
     again = ranges.trailing_window(stored, "datetime", run_date, 7)
@@ -681,7 +681,7 @@ def backfill_years(spark, sf_dir):
 def chunked_read_fallback(spark, sf_dir):
     """Hourly signals land as one file per series and day; a range is answered only
     when each of its days has all 24 hours, so incomplete days end up skipped."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = trunc_hour(F.col("ts"))
     hourly = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("series"), hour.alias("hour_utc"))

@@ -48,6 +48,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/uurwerk/{uuid.uuid4().hex}/{name}"
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Distribute the rows by ``columns`` over all shuffle partitions.
+
+    For small tables that are about to expand: by their size alone they would be
+    coalesced into one task, which would then generate every row. The number is
+    explicit, so adaptive execution keeps it; later steps keyed by the same
+    columns reuse the distribution.
+    """
+    spark = df.sparkSession
+    try:
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:
+        width = spark.sparkContext.defaultParallelism
+    return df.repartition(width, *columns)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

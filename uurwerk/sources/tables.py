@@ -111,15 +111,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Overwrite exactly the partitions that ``df`` holds.
+def gathered(df: DataFrame, partition: str) -> DataFrame:
+    """Few files per partition, without forcing a large partition into one task."""
+    return df.hint("rebalance", F.col(partition))
 
-    The rebalance hint gathers each partition into few files, and splits one
-    that is too large for a task.
-    """
+
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Overwrite exactly the partitions that ``df`` holds."""
     (
-        df.hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -137,7 +137,7 @@ def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) ->
     spark = batch.sparkSession
     fresh = materialize(dedup_latest(batch, keys, load_order(batch)), "batch")
     if not path_exists(spark, path):
-        replace_partitions(fresh, path, partition)
+        replace_partitions(gathered(fresh, partition), path, partition)
         return
     low, high = fresh.agg(F.min(partition), F.max(partition)).first()
     if low is None:
@@ -147,7 +147,8 @@ def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) ->
         fresh.select(partition).distinct(), partition, "left_semi"
     )
     merged = merge_rows(touched.select(*fresh.columns), fresh, keys)
-    replace_partitions(materialize(merged, "merged"), path, partition)
+    staged = materialize(gathered(merged, partition), "merged", [partition])
+    replace_partitions(staged, path, partition)
 
 
 def backfill_by_year(
@@ -162,7 +163,8 @@ def backfill_by_year(
 
     Each year is committed before the next one starts, so an interruption loses
     at most the year in progress, and running a year again replaces it. The loop
-    is over years only; within a year Spark does the work.
+    is over years only; within a year every task writes what it read, without a
+    shuffle, as all rows go to the same partition.
     """
     request = spark.sql(f"SELECT DATE'{start}' AS s, DATE'{end}' AS e")
     done = []
