@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,11 +38,17 @@ def day_at(day: Column, hour: int, tz: str) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """ISO text → UTC. Text with an offset is converted; text without one is UTC."""
-    offset = F.regexp_extract(text, r"([+-]\d{2}:?\d{2})$", 1)
-    wall = F.to_timestamp_ntz(F.regexp_replace(F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", ""), " ", "T"))
-    sign = F.when(F.substring(offset, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    digits = F.regexp_replace(offset, r"\D", "")
-    minutes = sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int"))
-    shifted = wall - F.make_dt_interval(mins=minutes)
-    return F.when(offset == "", wall).otherwise(shifted)
+    """ISO text → UTC. Text with an offset is converted; text without one is UTC.
+
+    The text is read as an instant and counted from the epoch, so the session
+    zone plays no part. Text that is not a time stops the job.
+    """
+    full = (
+        F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00")))
+        .when(F.substring(text, 17, 1) == ":", text)
+        .otherwise(F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6)))
+    )
+    zoned = F.when(full.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), full).otherwise(F.concat(full, F.lit("Z")))
+    seconds = F.unix_micros(F.to_timestamp(zoned)).cast("decimal(18,0)") * F.lit(Decimal("0.000001"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
