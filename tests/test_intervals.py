@@ -1,0 +1,139 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import day, frame, in_order, plan, rows, ts
+from uurwerk.operators.calendar import hour_spine
+from uurwerk.operators.intervals import day_intervals, interval_attach
+from uurwerk.operators.prices import attach_prices
+
+ZONE = "Europe/Amsterdam"
+
+
+def test_gas_days_follow_the_clock(spark):
+    df = frame(spark, "gas_day date", [(day("2025-03-29"),), (day("2025-03-30"),), (day("2025-10-25"),)])
+    got = {r[0]: (r[1], r[2]) for r in day_intervals(df, "gas_day", ZONE).collect()}
+    assert got[day("2025-03-29")] == (ts("2025-03-29 05:00"), ts("2025-03-30 04:00"))
+    assert got[day("2025-03-30")] == (ts("2025-03-30 04:00"), ts("2025-03-31 04:00"))
+    assert got[day("2025-10-25")] == (ts("2025-10-25 04:00"), ts("2025-10-26 05:00"))
+
+
+def brute_force(points, intervals):
+    out = []
+    for pid, site, t in points:
+        hits = [
+            (pid, site, t, a, b, v) for s, a, b, v in intervals if s == site and a and b and t and a <= t < b
+        ]
+        out += hits or [(pid, site, t, None, None, None)]
+    return sorted(out, key=in_order)
+
+
+def case(seed, n_points=300, n_intervals=60, hot_share=0.0):
+    rng = random.Random(seed)
+    base = ts("2024-01-01")
+    points = []
+    for i in range(n_points):
+        hot = rng.random() < hot_share
+        minute = rng.randrange(60) if hot else rng.randrange(20 * 1440)
+        points.append((i, "a" if hot else rng.choice("abc"), base + dt.timedelta(minutes=minute)))
+    points.append((n_points, "a", None))
+    intervals = []
+    for v in range(n_intervals):
+        start = base + dt.timedelta(minutes=rng.randrange(20 * 1440))
+        length = rng.choice([0, 1, 90, 1440, 7200])
+        intervals.append((rng.choice("abc"), start, start + dt.timedelta(minutes=length), v))
+    intervals += [("a", None, base, 997), ("a", base, None, 998), ("b", base + dt.timedelta(1), base, 999)]
+    intervals.append(("a", base, base + dt.timedelta(hours=1), 1000))
+    return points, intervals
+
+
+POINTS = "id bigint, site string, t timestamp_ntz"
+INTERVALS = "site string, a timestamp_ntz, b timestamp_ntz, v int"
+
+
+@pytest.mark.parametrize("bucket_hours", [1, 24, 100])
+def test_overlapping_intervals_match_brute_force(spark, bucket_hours):
+    points, intervals = case(1)
+    result = interval_attach(
+        frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"], bucket_hours
+    )
+    assert rows(result) == brute_force(points, intervals)
+
+
+def test_crowded_buckets_are_split_without_changing_the_result(spark):
+    points, intervals = case(2, hot_share=0.4)
+    result = interval_attach(
+        frame(spark, POINTS, points),
+        frame(spark, INTERVALS, intervals),
+        "t",
+        "a",
+        "b",
+        ["site"],
+        max_crowded=20,
+        min_rows=5,
+    )
+    assert "_piece" in plan(result)
+    assert rows(result) == brute_force(points, intervals)
+
+
+def test_without_crowded_buckets_nothing_is_split(spark):
+    points, intervals = case(3)
+    result = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
+    assert "_piece" not in plan(result)
+
+
+def test_empty_inputs(spark):
+    empty = interval_attach(frame(spark, POINTS, []), frame(spark, INTERVALS, []), "t", "a", "b", ["site"])
+    assert rows(empty) == []
+    points = [(1, "a", ts("2024-01-01"))]
+    alone = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, []), "t", "a", "b", ["site"])
+    assert rows(alone) == [(1, "a", ts("2024-01-01"), None, None, None)]
+
+
+def test_the_join_is_an_equi_join_with_and_without_broadcast(spark):
+    points, intervals = case(4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = interval_attach(
+            frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"]
+        )
+        text = plan(result)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert "SortMergeJoin" in text
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+def test_daily_prices_equal_the_interval_join(spark, zone, session_zone):
+    """Over both clock changes, with missing days and the first hours of the spine."""
+    zone(session_zone)
+    request = frame(spark, "start_date date, run_date date", [(day("2024-03-25"), day("2024-11-02"))])
+    spine = hour_spine(request, ZONE)
+    every = [day("2024-03-25") + dt.timedelta(days=i) for i in range(224)]
+    daily = frame(
+        spark,
+        "gas_day date, gas_price_eur_per_m3 double",
+        [(d, float(d.toordinal() % 17)) for d in every if d.day not in (9, 30)],
+    )
+    hourly = frame(
+        spark,
+        "hour_utc timestamp_ntz, electricity_price_eur_per_kwh double",
+        [(ts("2024-03-25 12:00"), 0.25)],
+    )
+    got = attach_prices(spine, hourly, daily)
+    want = interval_attach(spine, day_intervals(daily, "gas_day", ZONE), "hour_utc", "valid_from_utc", "valid_to_utc")
+    columns = ["hour_utc", "gas_day", "gas_price_eur_per_m3"]
+    assert rows(got, *columns) == rows(want, *columns)
+    assert got.count() == spine.count()
+    assert got.where(F.col("electricity_price_eur_per_kwh").isNotNull()).count() == 1
+    first_day = got.where((F.col("date_local") == "2024-03-25") & F.col("gas_day").isNull())
+    assert first_day.count() == 6
+
+
+def test_a_boundary_inside_the_clock_change_is_refused(spark):
+    with pytest.raises(ValueError):
+        attach_prices(None, None, None, boundary_hour=2)

@@ -51,8 +51,8 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Computed doubles to a fixed number of places, for comparison across engines."""
     return df.select(
         *[
-            F.round(c, places).alias(c) if isinstance(df.schema[c].dataType, T.DoubleType) else F.col(c)
-            for c in df.columns
+            F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            for f in df.schema.fields
         ]
     )
 
@@ -630,7 +630,8 @@ def merge_upsert(spark, sf_dir):
 
     path = scratch_path(spark, "signals")
     replace_partitions(gathered(dated(first, "load-1"), "day"), path, "day")
-    stored = spark.read.parquet(path).select("event_type", "datetime", "value")
+    scan = spark.read.schema(dated(first, "").schema)
+    stored = scan.parquet(path).select("event_type", "datetime", "value")
     run_date = dt.date(2024, 1, 30)
     again = ranges.trailing_window(stored, "datetime", run_date, 7)
     ahead = again.where(F.col("datetime") >= F.lit(str(run_date)).cast("timestamp_ntz")).withColumn(
@@ -640,7 +641,7 @@ def merge_upsert(spark, sf_dir):
         dated(again.withColumn("value", F.col("value") + 2), "load-3")
     )
     upsert(path, batch, ["event_type", "datetime"], "day")
-    return rounded(spark.read.parquet(path).select("event_type", "datetime", "value", "_load_id"))
+    return rounded(scan.parquet(path).select("event_type", "datetime", "value", "_load_id"))
 
 
 @query
@@ -690,7 +691,7 @@ def chunked_read_fallback(spark, sf_dir):
     )
     root = scratch_path(spark, "landing")
     hourly.repartition("series", "day").write.partitionBy("series", "day").parquet(root)
-    landed = spark.read.parquet(root)
+    landed = spark.read.schema(hourly.schema).parquet(root)
     wanted = landed.groupBy("series").agg(
         F.to_date(F.min("hour_utc")).alias("start_date"), F.to_date(F.max("hour_utc")).alias("end_date")
     )
