@@ -11,21 +11,20 @@ from uurwerk.params import SiteParams
 
 
 def lighting_inputs(
-    schedule: DataFrame, weather: DataFrame, prices: DataFrame, params: SiteParams, on=("hour_utc",), price_on=("hour_utc",)
+    schedule: DataFrame, weather: DataFrame, prices: DataFrame | None, params: SiteParams, on=("hour_utc",), price_on=("hour_utc",)
 ) -> DataFrame:
     """Scheduled hours that have weather, with their price and lighting flags.
 
     The inner join sets the coverage. A missing radiation value leaves the flags
-    NULL, a missing price stays NULL.
+    NULL, a missing price stays NULL. Without ``prices`` the schedule must carry
+    the price already.
     """
     dark = F.col("shortwave_radiation_w_per_m2") < F.lit(float(params.lighting_radiation_cutoff_w_per_m2))
-    return (
-        schedule.join(
-            weather.select(*on, "temperature_c", "shortwave_radiation_w_per_m2"), list(on), "inner"
-        )
-        .join(prices.select(*price_on, "electricity_price_eur_per_kwh"), list(price_on), "left")
-        .withColumn("is_dark_enough_for_lighting", dark)
-        .withColumn("is_lighting_on_baseline", F.col("is_lighting_scheduled") & dark)
+    hourly = schedule.join(weather.select(*on, "temperature_c", "shortwave_radiation_w_per_m2"), list(on), "inner")
+    if prices is not None:
+        hourly = hourly.join(prices.select(*price_on, "electricity_price_eur_per_kwh"), list(price_on), "left")
+    return hourly.withColumn("is_dark_enough_for_lighting", dark).withColumn(
+        "is_lighting_on_baseline", F.col("is_lighting_scheduled") & dark
     )
 
 
@@ -72,15 +71,21 @@ DEMAND_COLUMNS = [
 ]
 
 
+def scenario_demand(hourly: DataFrame, params: SiteParams, by=(), carry=()) -> DataFrame:
+    """Demand per hour for the fixed schedule and for the price-shifted one.
+    ``carry`` names further columns to keep, such as prices for the cost."""
+    shifted = shift_to_cheapest(hourly, by=by)
+    scenarios = scenario_expand(
+        shifted, {"baseline": "is_lighting_on_baseline", "optimized": "is_lighting_on_optimized"}
+    )
+    return energy_balance(scenarios.select(*by, *DEMAND_COLUMNS, *carry), params)
+
+
 def hourly_demand(
     schedule: DataFrame, weather: DataFrame, prices: DataFrame, params: SiteParams, by=(), weather_by=(), price_by=()
 ) -> DataFrame:
-    """Demand per hour for the fixed schedule and for the price-shifted one."""
+    """Demand of both scenarios from the schedule, the weather and the prices."""
     hourly = lighting_inputs(
         schedule, weather, prices, params, on=[*weather_by, "hour_utc"], price_on=[*price_by, "hour_utc"]
     )
-    shifted = shift_to_cheapest(hourly, by=by)
-    scenarios = scenario_expand(
-        shifted, {"baseline": "is_lighting_on_baseline", "optimized": "is_lighting_on_optimized"}
-    )
-    return energy_balance(scenarios.select(*by, *DEMAND_COLUMNS), params)
+    return scenario_demand(hourly, params, by)

@@ -39,19 +39,25 @@ def hour_spine(
     shuffle.
     """
     last = F.date_add(F.col(run_date), ahead_days)
+    day = F.col("date_local")
     days = ranges.where(F.col(start) <= last).select(*by, F.explode(F.sequence(F.col(start), last)).alias("date_local"))
-    days = spread(days, *by, "date_local")
-    first_hour = day_at(F.col("date_local"), 0, tz)
-    last_hour = day_at(F.date_add("date_local", 1), 0, tz) - hours(1)
-    spine = days.select(*by, "date_local", F.explode(F.sequence(first_hour, last_hour, hours(1))).alias("hour_utc"))
-    wall = to_local(F.col("hour_utc"), tz)
-    return spine.select(
+    bounds = spread(days, *by, "date_local").select(
+        *by, "date_local", day_at(day, 0, tz).alias("_first"), day_at(F.date_add(day, 1), 0, tz).alias("_next")
+    )
+    # On a day of 24 hours the wall clock runs along with UTC, so the zone is
+    # looked up per day; only the days of a clock change look it up per hour.
+    even = F.col("_next") == F.col("_first") + hours(24)
+    spine = bounds.select(
         *by,
-        "hour_utc",
-        wall.alias("hour_local"),
         "date_local",
-        F.hour(wall).alias("hour_of_day_local"),
+        "_first",
+        even.alias("_even"),
+        F.explode(F.sequence(F.col("_first"), F.col("_next") - hours(1), hours(1))).alias("hour_utc"),
+    )
+    wall = F.when(F.col("_even"), day.cast("timestamp_ntz") + (F.col("hour_utc") - F.col("_first"))).otherwise(
+        to_local(F.col("hour_utc"), tz)
     )
+    return spine.select(*by, "hour_utc", wall.alias("hour_local"), "date_local", F.hour(wall).alias("hour_of_day_local"))
 
 
 def date_dimension(days: DataFrame, holidays: DataFrame, day: str = "date_local") -> DataFrame:

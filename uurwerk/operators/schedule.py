@@ -21,7 +21,7 @@ def expand_schedule(hours: DataFrame, profile: DataFrame, params: SiteParams, by
     is_day = (hour >= params.day_start_hour) & (hour < params.day_end_hour)
     scheduled = F.col("lighting_enabled") & (hour >= F.col("lights_on_hour")) & (hour < F.col("lights_off_hour"))
     return (
-        hours.withColumn("month", F.month("hour_local"))
+        hours.withColumn("month", F.month("date_local"))
         .join(profile, [*by, "month"], "inner")
         .select(
             *hours.columns,

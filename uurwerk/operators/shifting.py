@@ -21,18 +21,20 @@ def rank_cheapest(
     eligible hour.
 
     Input is one row per hour and site, so a window never holds more than the
-    25 hours of one day. Both windows are served by the single exchange on
-    ``by`` + ``day``.
+    25 hours of one day. Within a day the eligible hours sort first, so their
+    position is their rank, and the counts can share the same sorted window: one
+    exchange on ``by`` + ``day``, one sort.
     """
-    in_day = Window.partitionBy(*by, day)
-    among_eligible = Window.partitionBy(*by, day, eligible).orderBy(F.col(price).asc_nulls_first(), F.col(tiebreak))
-    return (
-        df.withColumn("lighting_hours_in_day", F.count_if(F.col(baseline_on)).over(in_day))
-        .withColumn("unpriced_hours_in_day", F.count_if(F.col(price).isNull()).over(in_day))
-        .withColumn(
-            "price_rank_among_dark_hours",
-            F.when(F.col(eligible), F.row_number().over(among_eligible)),
-        )
+    cheapest_first = Window.partitionBy(*by, day).orderBy(
+        F.col(eligible).desc_nulls_last(), F.col(price).asc_nulls_first(), F.col(tiebreak)
+    )
+    whole_day = cheapest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    position = F.row_number().over(cheapest_first)
+    return df.select(
+        "*",
+        F.count_if(F.col(baseline_on)).over(whole_day).alias("lighting_hours_in_day"),
+        F.count_if(F.col(price).isNull()).over(whole_day).alias("unpriced_hours_in_day"),
+        F.when(F.col(eligible), position).alias("price_rank_among_dark_hours"),
     )
 
 

@@ -1,8 +1,9 @@
 """The given tables seen as hourly signals.
 
-An event type plays one signal, an hour's value is the largest of that hour. A
-shift of 75 days moves January onto the spring clock change, 285 days onto the
-autumn one.
+An event type plays one signal, an hour's value is the largest of that hour; the
+weather takes the latest event of the hour instead, whose distribution does not
+change with the number of events. A shift of 75 days moves January onto the
+spring clock change, 285 days onto the autumn one.
 """
 
 from __future__ import annotations
@@ -39,10 +40,16 @@ def wide_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     def largest(*types: str):
         return F.max(F.when(F.col("event_type").isin(*types), F.col("value")))
 
+    def latest(event_type: str):
+        mine = F.col("event_type") == event_type
+        return F.max_by(F.when(mine, F.col("value")), F.when(mine, F.col("event_id")))
+
     return events.groupBy(trunc_hour(shifted()).alias("hour_utc")).agg(
         *[largest(t).alias(t) for t in EVENT_TYPES],
         largest("click", "view").alias("price"),
         F.max("value").alias("any_value"),
+        latest("error").alias("radiation"),
+        latest("purchase").alias("warmth"),
     )
 
 
@@ -95,10 +102,10 @@ def gas(signals: DataFrame) -> DataFrame:
 
 def weather(signals: DataFrame) -> DataFrame:
     """Hours with a temperature or a radiation value; either may be NULL."""
-    return signals.where(F.col("purchase").isNotNull() | F.col("error").isNotNull()).select(
+    return signals.where(F.col("warmth").isNotNull() | F.col("radiation").isNotNull()).select(
         "hour_utc",
-        (F.col("purchase") / F.lit(10.0)).alias("temperature_c"),
-        F.col("error").alias("shortwave_radiation_w_per_m2"),
+        (F.col("warmth") / F.lit(10.0)).alias("temperature_c"),
+        F.col("radiation").alias("shortwave_radiation_w_per_m2"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from uurwerk.functions.clock import hours, local_date, to_local, trunc_hour
 from uurwerk.functions.nulls import floor_at_zero, reconcile
 from uurwerk.operators import quality, reports
-from uurwerk.operators.balance import hourly_demand, lighting_inputs
+from uurwerk.operators.balance import hourly_demand, lighting_inputs, scenario_demand
 from uurwerk.operators.calendar import date_dimension, hour_spine, with_local_time
 from uurwerk.operators.compare import daily_compare
 from uurwerk.operators.costs import add_costs, cost_emissions
@@ -36,9 +36,12 @@ from uurwerk.sources.tables import backfill_by_year, gathered, replace_partition
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str):
+    def register(fn):
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def money(column: str | Column) -> Column:
@@ -64,12 +67,12 @@ def site_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_spine(src.user_ranges(spark, sf_dir), ZONE, by=["site"])
 
 
-@query
+@query("hour_spine")
 def hour_spine_by_site(spark, sf_dir):
     return site_spine(spark, sf_dir)
 
 
-@query
+@query("local_time")
 def local_time(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     spring, autumn = to_local(shifted(days=75), ZONE), to_local(shifted(days=285), ZONE)
@@ -84,13 +87,13 @@ def local_time(spark, sf_dir):
     )
 
 
-@query
+@query("gas_day_intervals")
 def gas_day_intervals(spark, sf_dir):
     days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("gas_day")).distinct()
     return day_intervals(days, "gas_day", ZONE)
 
 
-@query
+@query("dim_date")
 def dim_date(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     holidays = (
@@ -108,21 +111,21 @@ def dim_date(spark, sf_dir):
 # --- joins -------------------------------------------------------------------
 
 
-@query
+@query("dedup_latest")
 def dedup_latest_by_user_day(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", local_date(shifted(), ZONE))
     latest = dedup_latest(events, ["user_id", "day"], [F.col("ts").desc(), F.col("event_id").desc()])
     return latest.select("user_id", "day", "event_id", "ts", "value")
 
 
-@query
+@query("interval_price_attach")
 def interval_price_attach(spark, sf_dir):
-    hourly = src.electricity(src.wide_signals(spark, sf_dir))
+    hourly = src.electricity(src.stored_signals(spark, sf_dir))
     daily = src.user_day_prices(spark, sf_dir)
     return attach_prices(site_spine(spark, sf_dir), hourly, daily, daily_by=["site"])
 
 
-@query
+@query("interval_join_generic")
 def interval_join_generic(spark, sf_dir):
     """Events against overlapping intervals of their user. Each hour with a signup
     opens one interval of 1 to 12 hours, so a point meets at most 12 of them."""
@@ -139,7 +142,7 @@ def interval_join_generic(spark, sf_dir):
     return interval_attach(points, intervals, "ts", "valid_from", "valid_to", by=["user_id"])
 
 
-@query
+@query("signal_consolidate")
 def signal_consolidate(spark, sf_dir):
     signals = src.stored_signals(spark, sf_dir)
 
@@ -158,7 +161,7 @@ STAGED_FROM = {
 }
 
 
-@query
+@query("stage_signal")
 def stage_signal_tables(spark, sf_dir):
     """The flat signals scanned as raw tables, each renamed and cast, side by side."""
     raw = materialize(
@@ -183,7 +186,7 @@ def stage_signal_tables(spark, sf_dir):
 # --- schedule, shifting, demand ----------------------------------------------
 
 
-@query
+@query("hourly_schedule")
 def hourly_schedule(spark, sf_dir):
     return expand_schedule(site_spine(spark, sf_dir), default_profile(spark), PARAMS)
 
@@ -236,7 +239,7 @@ def user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lamp_hours(hourly, "sun", ["site"])
 
 
-@query
+@query("rank_cheapest")
 def rank_cheapest_hours(spark, sf_dir):
     return rank_cheapest(weather_hours(spark, sf_dir), by=["variant"])
 
@@ -255,17 +258,17 @@ def day_totals(df: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-@query
+@query("shift_to_cheapest")
 def shift_to_cheapest_days(spark, sf_dir):
     return day_totals(shift_to_cheapest(weather_hours(spark, sf_dir), by=["variant"]), ["variant"])
 
 
-@query
+@query("shift_to_cheapest_by_site")
 def shift_to_cheapest_by_site(spark, sf_dir):
     return day_totals(shift_to_cheapest(user_hours(spark, sf_dir), by=["site"]), ["site"])
 
 
-@query
+@query("scenario_expand")
 def scenario_expand_hours(spark, sf_dir):
     shifted_hours = shift_to_cheapest(user_hours(spark, sf_dir), by=["site"])
     long = scenario_expand(
@@ -279,7 +282,7 @@ def spine_with_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_spine(src.date_range(signals), ZONE).join(signals, "hour_utc", "left")
 
 
-@query
+@query("null_logic")
 def null_logic(spark, sf_dir):
     """Radiation is missing in some hours: flags stay NULL where nothing says false."""
     hours_ = spine_with_signals(spark, sf_dir).select("hour_utc", "error", F.col("any_value").alias("electricity_price_eur_per_kwh"))
@@ -292,7 +295,7 @@ def null_logic(spark, sf_dir):
     )
 
 
-@query
+@query("floor_at_zero")
 def floor_at_zero_heat(spark, sf_dir):
     heat = F.lit(6.0) * (F.lit(20.0) - F.col("purchase") / F.lit(10.0)) - F.lit(0.5) * F.col("error")
     return rounded(
@@ -322,7 +325,7 @@ class Chain:
         return daily_compare(self.energy())
 
 
-@query
+@query("lighting_inputs_joined")
 def lighting_inputs_joined(spark, sf_dir):
     chain = Chain(spark, sf_dir)
     return rounded(
@@ -341,41 +344,41 @@ def lighting_inputs_joined(spark, sf_dir):
     )
 
 
-@query
+@query("hourly_demand")
 def hourly_demand_scenarios(spark, sf_dir):
     return rounded(Chain(spark, sf_dir).demand())
 
 
-@query
+@query("cost_emissions")
 def cost_emissions_hourly(spark, sf_dir):
     return rounded(Chain(spark, sf_dir).energy())
 
 
-@query
+@query("daily_scenario_compare")
 def daily_scenario_compare(spark, sf_dir):
     return rounded(Chain(spark, sf_dir).daily(), 4)
 
 
-@query
+@query("site_daily_compare")
 def site_daily_compare(spark, sf_dir):
     """The whole chain for every user as a site of its own, on shared weather,
     electricity price and grid, and with the user's own daily gas price."""
     signals = src.stored_signals(spark, sf_dir)
     spine = site_spine(spark, sf_dir)
     schedule = expand_schedule(spine, default_profile(spark), PARAMS)
-    electricity = src.electricity(signals)
-    demand = hourly_demand(schedule, src.weather(signals), electricity, PARAMS, by=["site"])
-    # Every price is looked up from the demand itself, so its windows run once.
-    priced = attach_prices(demand, electricity, src.user_day_prices(spark, sf_dir), daily_by=["site"])
+    # Prices and carbon join the hours before these double into scenarios.
+    prices = attach_prices(schedule, src.electricity(signals), src.user_day_prices(spark, sf_dir), daily_by=["site"])
     carbon = src.grid(signals).select("hour_utc", "carbon_intensity_gco2eq_per_kwh")
-    energy = add_costs(priced.join(carbon, "hour_utc", "left"), PARAMS)
+    hourly = lighting_inputs(prices.join(carbon, "hour_utc", "left"), src.weather(signals), None, PARAMS)
+    carry = ["electricity_price_eur_per_kwh", "gas_price_eur_per_m3", "carbon_intensity_gco2eq_per_kwh"]
+    energy = add_costs(scenario_demand(hourly, PARAMS, by=["site"], carry=carry), PARAMS)
     return rounded(daily_compare(energy, by=["site"]), 4)
 
 
 # --- dimensions, market ------------------------------------------------------
 
 
-@query
+@query("holiday_fold")
 def holiday_fold(spark, sf_dir):
     """Orders play holidays, the return flags of their lines the types."""
     orders = table(spark, sf_dir, "orders").select(
@@ -393,7 +396,7 @@ def holiday_fold(spark, sf_dir):
     return fold_holidays(orders, flags, public="R")
 
 
-@query
+@query("hourly_market")
 def hourly_market(spark, sf_dir):
     signals = src.stored_signals(spark, sf_dir)
     prices = attach_prices(
@@ -405,39 +408,39 @@ def hourly_market(spark, sf_dir):
 # --- data tests --------------------------------------------------------------
 
 
-@query
+@query("dq_unique")
 def dq_unique(spark, sf_dir):
     return quality.unique(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
-@query
+@query("dq_not_null")
 def dq_not_null(spark, sf_dir):
     return quality.not_null(signal_consolidate(spark, sf_dir), "click_value")
 
 
-@query
+@query("dq_accepted_range")
 def dq_accepted_range(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "value")
     return quality.accepted_range(events, "value", 0.0, 100.0)
 
 
-@query
+@query("dq_accepted_values")
 def dq_accepted_values(spark, sf_dir):
     return quality.accepted_values(table(spark, sf_dir, "events"), "event_type", ["click", "view"])
 
 
-@query
+@query("dq_relationships")
 def dq_relationships(spark, sf_dir):
     parents = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
     return quality.relationships(table(spark, sf_dir, "lineitem"), "l_orderkey", parents, "o_orderkey")
 
 
-@query
+@query("dq_unique_combination")
 def dq_unique_combination(spark, sf_dir):
     return quality.unique_combination(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("dq_expression")
 def dq_expression(spark, sf_dir):
     """Events of 300 and more; and the days of all sites whose on-hours differ
     between the scenarios (there are none)."""
@@ -450,7 +453,7 @@ def dq_expression(spark, sf_dir):
     )
 
 
-@query
+@query("dq_freshness")
 def dq_freshness(spark, sf_dir):
     return quality.freshness(
         table(spark, sf_dir, "orders"), "o_orderdate", dt.datetime(2001, 8, 2), 2, 7, by=["o_custkey"]
@@ -460,25 +463,25 @@ def dq_freshness(spark, sf_dir):
 # --- reports -----------------------------------------------------------------
 
 
-@query
+@query("yearly_summary")
 def yearly_summary(spark, sf_dir):
     daily = Chain(spark, sf_dir).daily()
     period = F.date_format("date_day", "yyyy-MM").alias("period")
     return rounded(reports.summary_by_period(daily, period, PARAMS.area_m2), 4)
 
 
-@query
+@query("price_per_on_hour")
 def price_per_on_hour(spark, sf_dir):
     energy = materialize(Chain(spark, sf_dir).energy(), "energy")
     return rounded(reports.price_per_on_hour(reports.on_complete_days(energy, daily_compare(energy))))
 
 
-@query
+@query("day_outcomes")
 def day_outcomes(spark, sf_dir):
     return reports.day_outcomes(Chain(spark, sf_dir).daily(), places=4)
 
 
-@query
+@query("coverage_gaps")
 def coverage_gaps(spark, sf_dir):
     """Hours found and missing per event type, in 10-day chunks."""
     hour = trunc_hour(shifted())
@@ -492,13 +495,13 @@ def coverage_gaps(spark, sf_dir):
     return reports.coverage(found, chunks, ["event_type"])
 
 
-@query
+@query("duplicate_days")
 def duplicate_days(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", local_date(shifted(), ZONE))
     return reports.duplicate_days(events, ["user_id", "day"], "value")
 
 
-@query
+@query("lag_offset")
 def lag_offset(spark, sf_dir):
     """A series that was stored two hours late is compared with the original."""
     signals = src.stored_signals(spark, sf_dir).where(F.col("click").isNotNull()).select("hour_utc", "click")
@@ -517,22 +520,22 @@ def customer_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("chunk_plan_fixed")
 def chunk_plan_fixed(spark, sf_dir):
     return ranges.chunk_ranges(customer_ranges(spark, sf_dir), "first_day", "last_day", 30)
 
 
-@query
+@query("chunk_plan_year")
 def chunk_plan_year(spark, sf_dir):
     return ranges.year_chunks(customer_ranges(spark, sf_dir), "first_day", "last_day")
 
 
-@query
+@query("day_expand")
 def day_expand(spark, sf_dir):
     return ranges.expand_days(src.user_ranges(spark, sf_dir), "start_date", "run_date")
 
 
-@query
+@query("clip_to_availability")
 def clip_to_availability(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     requests = customer_ranges(spark, sf_dir).join(customers, "o_custkey")
@@ -543,7 +546,7 @@ def clip_to_availability(spark, sf_dir):
     return ranges.clip_ranges(requests, availability, "c_nationkey", "first_day", "last_day")
 
 
-@query
+@query("json_flat_rows")
 def json_flat_rows(spark, sf_dir):
     """Events packed as API payloads; a signup has no value, a view no flag."""
     events = table(spark, sf_dir, "events")
@@ -557,7 +560,7 @@ def json_flat_rows(spark, sf_dir):
     return records.flat_records(payloads, "carbonIntensity", keep=["event_id"])
 
 
-@query
+@query("json_struct_flatten")
 def json_struct_flatten(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     mix = F.struct(
@@ -574,7 +577,7 @@ def json_struct_flatten(spark, sf_dir):
     return records.flatten_struct(parsed, "mix")
 
 
-@query
+@query("arrays_to_rows")
 def arrays_to_rows(spark, sf_dir):
     """Each day's signals as parallel arrays (24 entries at most); values under 150
     are not published."""
@@ -588,7 +591,7 @@ def arrays_to_rows(spark, sf_dir):
     return records.arrays_to_rows(arrays, "hour_utc", measures, keep=["day"])
 
 
-@query
+@query("list_to_child")
 def list_to_child(spark, sf_dir):
     parents = (
         table(spark, sf_dir, "lineitem")
@@ -599,7 +602,7 @@ def list_to_child(spark, sf_dir):
     return child
 
 
-@query
+@query("variant_reconcile")
 def variant_reconcile(spark, sf_dir):
     value = F.col("l_extendedprice")
     whole = F.when(value == F.floor(value), value.cast("bigint"))
@@ -614,7 +617,7 @@ def variant_reconcile(spark, sf_dir):
     )
 
 
-@query
+@query("merge_upsert")
 def merge_upsert(spark, sf_dir):
     """The hourly signals are stored by day; a later load brings the trailing week
     again with new values, twice, and the hours of one more day."""
@@ -644,7 +647,7 @@ def merge_upsert(spark, sf_dir):
     return rounded(scan.parquet(path).select("event_type", "datetime", "value", "_load_id"))
 
 
-@query
+@query("incremental_window")
 def incremental_window(spark, sf_dir):
     """What a run on 2024-01-20 re-loads: views up to that day, the rest one day more."""
     run_date = dt.date(2024, 1, 20)
@@ -655,7 +658,7 @@ def incremental_window(spark, sf_dir):
     return table(spark, sf_dir, "events").where(wanted).select("event_id", "ts", "event_type")
 
 
-@query
+@query("backfill_by_year")
 def backfill_years(spark, sf_dir):
     """Orders loaded year by year, one year loaded again, then read back."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
@@ -678,7 +681,7 @@ def backfill_years(spark, sf_dir):
     )
 
 
-@query
+@query("chunked_read_fallback")
 def chunked_read_fallback(spark, sf_dir):
     """Hourly signals land as one file per series and day; a range is answered only
     when each of its days has all 24 hours, so incomplete days end up skipped."""
