@@ -40,7 +40,7 @@ def test_flagship_runs(spark):
 @needs_data
 def test_anchor_sums(spark):
     """Sums over the shifted days that two engines agreed on beforehand."""
-    days = driver.queries()["shift_to_cheapest"](spark, MEDIUM)
+    days = driver.queries()["shift_to_cheapest"](spark, MEDIUM).where("variant <> 'latest'")
     got = days.groupBy("variant").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("unpriced_hours") > 0).alias("unpriced"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,12 +95,18 @@ def run_daily(
     run_date: dt.date,
     lookback_days: int = 7,
     params: SiteParams = SiteParams(),
+    loads_at_once: int = 4,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Load every source, then build and test. A failing load stops the run
-    before any table is rebuilt. Staged tables are views, the rest is stored."""
+    """Load every source, then build and test. The loads run side by side; all of
+    them must succeed before any table is rebuilt. Staged tables are views, the
+    rest is stored."""
     load_id = run_date.isoformat()
-    for name, extract in extracts.items():
-        load_raw(lake, name, extract(*load_window(name, run_date, lookback_days)), load_id)
+
+    def load(name: str) -> None:
+        load_raw(lake, name, extracts[name](*load_window(name, run_date, lookback_days)), load_id)
+
+    with ThreadPoolExecutor(loads_at_once) as pool:
+        list(pool.map(load, extracts))
 
     staged = stage_all(read_lake(spark, lake), params)
     for name, df in staged.items():

@@ -211,21 +211,26 @@ def lamp_hours(df: DataFrame, sun: str, by: list[str]) -> DataFrame:
 
 
 def weather_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hours with radiation, in three variants: prices of two signals over the
-    spring change, of one signal only (unpriced hours), and over the autumn change."""
+    """The hours with radiation, in four variants: prices of two signals over the
+    spring change, of one signal only (unpriced hours), over the autumn change, and
+    with the latest instead of the largest radiation of the hour."""
     signals = src.wide_signals(spark, sf_dir).where(F.col("error").isNotNull())
 
-    def variant(name: str, days: int, price: str) -> Column:
+    def variant(name: str, days: int, price: str, sun: str) -> Column:
         return F.struct(
             F.lit(name).alias("variant"),
             (F.col("hour_utc") + F.expr(f"INTERVAL '{days}' DAY")).alias("hour_utc"),
             F.col(price).alias("electricity_price_eur_per_kwh"),
+            F.col(sun).alias("sun"),
         )
 
     variants = F.array(
-        variant("spring", 0, "price"), variant("unpriced", 0, "click"), variant("autumn", 285 - 75, "price")
+        variant("spring", 0, "price", "error"),
+        variant("unpriced", 0, "click", "error"),
+        variant("autumn", 285 - 75, "price", "error"),
+        variant("latest", 0, "price", "radiation"),
     )
-    return lamp_hours(signals.select("error", F.inline(variants)), "error", ["variant"])
+    return lamp_hours(signals.select(F.inline(variants)), "sun", ["variant"])
 
 
 def user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,8 +290,10 @@ def spine_with_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("null_logic")
 def null_logic(spark, sf_dir):
     """Radiation is missing in some hours: flags stay NULL where nothing says false."""
-    hours_ = spine_with_signals(spark, sf_dir).select("hour_utc", "error", F.col("any_value").alias("electricity_price_eur_per_kwh"))
-    return shift_to_cheapest(lamp_hours(hours_, "error", [])).select(
+    padded = spine_with_signals(spark, sf_dir).select(
+        "hour_utc", "radiation", F.col("any_value").alias("electricity_price_eur_per_kwh")
+    )
+    return shift_to_cheapest(lamp_hours(padded, "radiation", [])).select(
         "hour_utc",
         "date_local",
         "is_dark_enough_for_lighting",
@@ -297,7 +304,7 @@ def null_logic(spark, sf_dir):
 
 @query("floor_at_zero")
 def floor_at_zero_heat(spark, sf_dir):
-    heat = F.lit(6.0) * (F.lit(20.0) - F.col("purchase") / F.lit(10.0)) - F.lit(0.5) * F.col("error")
+    heat = F.lit(6.0) * (F.lit(20.0) - F.col("warmth") / F.lit(10.0)) - F.lit(0.5) * F.col("radiation")
     return rounded(
         spine_with_signals(spark, sf_dir).select("hour_utc", floor_at_zero(heat).alias("heat_demand_w_per_m2"))
     )
