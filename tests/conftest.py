@@ -18,6 +18,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Plan as for tables too large to broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.fixture
 def zone(spark):
     """Run a test under another session zone."""

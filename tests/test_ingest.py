@@ -88,6 +88,13 @@ def test_requests_are_clipped_to_availability(spark):
     ]
 
 
+def test_a_short_availability_list_is_broadcast_whatever_the_settings(spark, no_auto_broadcast):
+    requests = frame(spark, "signal string, s date, e date", [("a", day("2017-01-01"), day("2017-12-31"))])
+    starts = frame(spark, "signal string, available_from date", [("a", day("2017-04-30"))])
+    text = ranges.clip_ranges(requests, starts, "signal", "s", "e")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
+
+
 def test_trailing_window_is_whole_days_and_reaches_the_scan(spark, tmp_path):
     data = [(ts(t),) for t in ("2024-01-12 23:59", "2024-01-13 00:00", "2024-01-20 23:59", "2024-01-21 12:00")]
     frame(spark, "t timestamp_ntz", data).write.parquet(f"{tmp_path}/t")

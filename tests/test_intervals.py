@@ -92,17 +92,11 @@ def test_empty_inputs(spark):
     assert rows(alone) == [(1, "a", ts("2024-01-01"), None, None, None)]
 
 
-def test_the_join_is_an_equi_join_with_and_without_broadcast(spark):
+def test_the_join_is_an_equi_join(spark, no_auto_broadcast):
     points, intervals = case(4)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        result = interval_attach(
-            frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"]
-        )
-        text = plan(result)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    text = plan(
+        interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
+    )
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert "SortMergeJoin" in text
 

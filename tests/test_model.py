@@ -45,10 +45,12 @@ def test_profile_csv_is_read_by_type(spark, tmp_path):
 
 
 @pytest.mark.parametrize("source", ["values", "csv"])
-def test_small_profile_is_broadcast_by_its_size(spark, tmp_path, source):
+def test_twelve_rows_are_broadcast_and_more_are_not(spark, tmp_path, source, no_auto_broadcast):
     profile = default_profile(spark) if source == "values" else read_profile(spark, profile_csv(tmp_path))
     request = frame(spark, "start_date date, run_date date", [(day("2024-01-01"), day("2024-01-01"))])
-    assert "BroadcastHashJoin" in plan(expand_schedule(hour_spine(request, P.timezone), profile, P))
+    spine = hour_spine(request, P.timezone)
+    assert "BroadcastHashJoin" in plan(expand_schedule(spine, profile, P))
+    assert "BroadcastHashJoin" not in plan(expand_schedule(spine, profile.unionByName(profile), P))
 
 
 def test_schedule_follows_the_local_clock(spark):
@@ -241,15 +243,10 @@ def test_market_drops_only_hours_without_price_and_grid(spark):
     assert got == [(ts("2024-01-01 00:00"), 0.2, None, 4.0), (ts("2024-01-01 01:00"), None, None, None)]
 
 
-def test_the_driver_signal_sets_the_grain_and_each_table_is_shuffled_once(spark):
+def test_the_driver_signal_sets_the_grain_and_each_table_is_shuffled_once(spark, no_auto_broadcast):
     def signal(name, hours):
         return frame(spark, f"hour_utc timestamp_ntz, {name} double", [(ts(f"2024-01-01 0{h}:00"), float(h)) for h in hours])
 
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = consolidate_signals(signal("a", [0, 1]), signal("b", [1, 2]), signal("c", [0]))
-        assert plan(joined).count("Exchange hashpartitioning") == 3
-        assert rows(joined) == [(ts("2024-01-01 00:00"), 0.0, None, 0.0), (ts("2024-01-01 01:00"), 1.0, 1.0, None)]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joined = consolidate_signals(signal("a", [0, 1]), signal("b", [1, 2]), signal("c", [0]))
+    assert plan(joined).count("Exchange hashpartitioning") == 3
+    assert rows(joined) == [(ts("2024-01-01 00:00"), 0.0, None, 0.0), (ts("2024-01-01 01:00"), 1.0, 1.0, None)]

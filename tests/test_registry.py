@@ -72,11 +72,6 @@ def test_results_do_not_depend_on_the_session_zone(spark, zone, name, session_zo
 
 @needs_data
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_query_plans_a_cross_join(spark, name):
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(driver.queries()[name](spark, SMALL))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+def test_no_query_plans_a_cross_join(spark, name, no_auto_broadcast):
+    text = plan(driver.queries()[name](spark, SMALL))
     assert "NestedLoop" not in text and "Cartesian" not in text

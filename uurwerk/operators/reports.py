@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uurwerk.functions.clock import hours
@@ -146,11 +146,5 @@ def lag_scan(
             F.avg(F.abs(F.col("_value") - F.col("_reference"))).alias("mean_abs_diff"),
         )
     )
-    best = per_lag.groupBy(*by).agg(
-        F.min(F.struct(F.col("mean_abs_diff"), F.col("lag_hours"))).getField("lag_hours").alias("_best")
-    )
-    if by:
-        joined = per_lag.join(best, list(by), "left")
-    else:
-        joined = per_lag.withColumn("_best", best.scalar())
-    return joined.withColumn("is_best", F.col("lag_hours") == F.col("_best")).drop("_best")
+    best = F.min(F.struct("mean_abs_diff", "lag_hours")).over(Window.partitionBy(*(by or [F.lit(0)])))
+    return per_lag.withColumn("is_best", F.col("lag_hours") == best.getField("lag_hours"))

@@ -84,8 +84,7 @@ def profile_values_sql() -> str:
 
 
 def default_profile(spark: SparkSession) -> DataFrame:
-    """The default profile. As a literal relation its exact size is known to the
-    planner, so the join with it is broadcast without a hint."""
+    """The default profile."""
     return spark.sql(f"SELECT * FROM VALUES {profile_values_sql()} AS profile({', '.join(PROFILE_SCHEMA.names)})")
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Timestamps are TIMESTAMP_NTZ holding UTC, so results do not depend on the
 # session zone; the zone is pinned anyway for readers that use TIMESTAMP.
@@ -63,6 +64,16 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(width, *columns)
 
 
+def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
+
+    For lookup tables whose few keys would otherwise pull the other side into as
+    many tasks. Beyond the bound the join is an ordinary one, whose crowded
+    partitions adaptive execution splits.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

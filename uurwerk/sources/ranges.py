@@ -7,6 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from uurwerk.session import broadcast_up_to
+
+MAX_SIGNALS = 100_000
+
 
 def chunk_ranges(ranges: DataFrame, start: str, end: str, days: int) -> DataFrame:
     """Cut each range into chunks of ``days`` days; the last one may be shorter.
@@ -41,9 +45,11 @@ def clip_ranges(
     requests: DataFrame, availability: DataFrame, on: str, start: str, end: str, available_from: str = "available_from"
 ) -> DataFrame:
     """Move each start up to the first available day; drop requests that end
-    before it. A request without an availability row is left as it is."""
+    before it. A request without an availability row is left as it is. One signal
+    may have most of the requests, so a short availability list is broadcast."""
+    starts = broadcast_up_to(availability.select(on, available_from), MAX_SIGNALS)
     return (
-        requests.join(availability.select(on, available_from), on, "left")
+        requests.join(starts, on, "left")
         .where(F.col(available_from).isNull() | (F.col(end) >= F.col(available_from)))
         .withColumn("effective_start", F.greatest(F.col(start), F.col(available_from)))
     )
