@@ -5,11 +5,14 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import day, frame, rows, ts
 from uurwerk.params import SiteParams, default_profile
-from uurwerk.plans.daily import Lake, load_window, run_daily
+from uurwerk.plans.daily import Lake, load_raw, load_window, run_daily
+from uurwerk.plans.loads import load_history, read_source, request_plan
 from uurwerk.plans.staging import stage_electricity_mix, stage_gas_prices
+from uurwerk.sources.landing import RequestFailed
 from uurwerk.sources.tables import raw_schema
 from uurwerk.streaming.upserts import upsert_stream
 
@@ -216,3 +219,64 @@ def test_files_that_arrive_are_merged_once(spark, tmp_path):
     frame(spark, schema, [(2, 20, "b", "2"), (3, 30, "b", "2")]).write.mode("append").parquet(landing)
     assert run() == [(1, 1), (2, 20), (3, 30)]
     assert run() == [(1, 1), (2, 20), (3, 30)]
+
+
+def test_requests_respect_chunk_size_and_availability(spark):
+    def plan(name, first, last):
+        return rows(request_plan(spark, name, day(first), day(last)), "chunk_start", "chunk_end")
+
+    assert plan("day_ahead_price", "2017-04-25", "2017-05-12") == [
+        (day("2017-04-30"), day("2017-05-09")),
+        (day("2017-05-10"), day("2017-05-12")),
+    ]
+    assert plan("day_ahead_price", "2016-01-01", "2016-12-31") == []
+    assert len(plan("electricity_prices", "2023-01-01", "2023-12-31")) == 13
+    assert plan("weather", "2023-12-31", "2024-02-01") == [
+        (day("2023-12-31"), day("2023-12-31")),
+        (day("2024-01-01"), day("2024-02-01")),
+    ]
+
+
+def test_a_source_is_asked_once_and_reports_the_days_without_data(spark, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def fetch(series, first, last):
+        with open(f"{log}/{first}_{last}", "a") as handle:
+            handle.write("x")
+        if first <= dt.date(2019, 10, 27) <= last:
+            raise RequestFailed(500)
+        return [{"timestamp_utc": dt.datetime(first.year, first.month, first.day), "price_eur_per_kwh": 0.2}]
+
+    schema = T.StructType().add("timestamp_utc", T.TimestampNTZType()).add("price_eur_per_kwh", T.DoubleType())
+    found, skipped = read_source(spark, "electricity_prices", fetch, schema, day("2019-10-01"), day("2019-11-15"))
+    assert rows(skipped) == [("electricity_prices", day("2019-10-27"))]
+    assert found.count() == 29 + 1 and found.count() == 30
+    assert len(list(log.iterdir())) == 2 + 30
+    assert {f.read_text() for f in log.iterdir()} == {"x"}
+
+
+def test_history_is_stored_year_by_year(spark, tmp_path):
+    lake, asked = Lake(str(tmp_path)), []
+
+    def extract(first, last):
+        asked.append((first, last))
+        if first.year == 2019 and len(asked) < 4:
+            raise RequestFailed(500)
+        return extracts(spark)["day_ahead_price"](first, first)
+
+    def run(first):
+        return load_history(
+            spark, "day_ahead_price", extract, lambda df: load_raw(lake, "day_ahead_price", df, "1"), first, day("2019-02-01")
+        )
+
+    with pytest.raises(RequestFailed):
+        run(day("2015-01-01"))
+    assert asked == [
+        (day("2017-04-30"), day("2017-12-31")),
+        (day("2018-01-01"), day("2018-12-31")),
+        (day("2019-01-01"), day("2019-02-01")),
+    ]
+    assert spark.read.parquet(lake.raw_path("day_ahead_price")).count() == 48
+    assert run(day("2018-06-01")) == [2018, 2019]
+    assert spark.read.parquet(lake.raw_path("day_ahead_price")).count() == 96

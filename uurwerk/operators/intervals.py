@@ -93,6 +93,8 @@ def interval_attach(
     needs no clean-up afterwards. Buckets that hold an outsized share of the
     points are cut into pieces by a hash of the point; the intervals of those
     buckets, and only those, are repeated per piece.
+
+    The points are read once more to count them, so store an expensive input first.
     """
     keys = [*by, "_bucket"]
     left = points.withColumn("_bucket", _bucket(F.col(ts), bucket_hours))

@@ -66,8 +66,18 @@ SIGNAL_AVAILABLE_FROM = {
     "electricity_mix": "2015-01-01",
 }
 
-# Largest request per source, in days (None = one calendar year).
-CHUNK_DAYS = {"prices": 30, "signals": 10, "weather": None, "holidays": None}
+# Largest request per table, in days. Tables that are not listed
+# are asked for by calendar year.
+CHUNK_DAYS = {
+    "electricity_prices": 30,
+    "gas_prices": 30,
+    "carbon_intensity": 10,
+    "renewable_percentage": 10,
+    "carbon_free_percentage": 10,
+    "total_load": 10,
+    "day_ahead_price": 10,
+    "electricity_mix": 10,
+}
 
 
 def profile_values_sql() -> str:

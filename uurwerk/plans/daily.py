@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from uurwerk.params import SiteParams
 from uurwerk.plans.checks import run_tests
+from uurwerk.plans.loads import Extract
 from uurwerk.plans.models import build_models
 from uurwerk.plans.staging import stage_all
 from uurwerk.sources.ranges import holiday_years
@@ -32,8 +33,6 @@ MONTH = "month_key"
 # Day-ahead prices are published for tomorrow; everything else ends today.
 AHEAD_DAYS = {"electricity_prices": 1, "gas_prices": 1}
 
-Extract = Callable[[dt.date, dt.date], DataFrame]
-
 
 @dataclass(frozen=True)
 class Lake:
