@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uurwerk.functions.clock import hours
-
 
 def attach_prices(
     spine: DataFrame,
@@ -24,18 +22,45 @@ def attach_prices(
     ``daily``: ``gas_day``, ``gas_price_eur_per_m3``, one row per day, valid from
     ``boundary_hour`` local on that day to the same clock time a day later.
 
-    Moving the wall clock back by the boundary turns the interval test into an
-    equality on the date. The two agree as long as the boundary is not inside
-    the clock change (01:00-04:00), which is checked.
+    A local date meets two daily prices: its own from the boundary on, and before
+    it the one of the day before. Both are brought to the date first, on the small
+    table, so the hours are joined by their own date, the key by which the spine is
+    already distributed, and each hour picks one. This equals the interval test as
+    long as the boundary is not inside the clock change, which is checked.
     """
     if not 4 <= boundary_hour <= 23:
         raise ValueError("boundary_hour must lie outside the hours of the clock change; use interval_attach")
-    day = F.to_date(F.col("hour_local") - hours(boundary_hour))
+
+    def applies(date: Column, own: bool) -> Column:
+        return F.struct(date.alias("date_local"), F.lit(own).alias("_own"))
+
+    def only(own: bool, column: str) -> Column:
+        return F.max(F.when(F.col("_own") == own, F.col(column)))
+
+    gas = (
+        daily.select(
+            *daily_by,
+            "gas_day",
+            "gas_price_eur_per_m3",
+            F.inline(F.array(applies(F.col("gas_day"), True), applies(F.date_add("gas_day", 1), False))),
+        )
+        .groupBy(*daily_by, "date_local")
+        .agg(
+            only(True, "gas_day").alias("_own_day"),
+            only(True, "gas_price_eur_per_m3").alias("_own_price"),
+            only(False, "gas_day").alias("_earlier_day"),
+            only(False, "gas_price_eur_per_m3").alias("_earlier_price"),
+        )
+    )
     electricity = hourly.select(*hourly_by, "hour_utc", "electricity_price_eur_per_kwh")
-    gas = daily.select(*daily_by, F.col("gas_day").alias("_gas_day"), "gas_day", "gas_price_eur_per_m3")
+    after = F.hour("hour_local") >= boundary_hour
     return (
-        spine.join(electricity, [*hourly_by, "hour_utc"], "left")
-        .withColumn("_gas_day", day)
-        .join(gas, [*daily_by, "_gas_day"], "left")
-        .select(*spine.columns, "electricity_price_eur_per_kwh", "gas_day", "gas_price_eur_per_m3")
+        spine.join(gas, [*daily_by, "date_local"], "left")
+        .join(electricity, [*hourly_by, "hour_utc"], "left")
+        .select(
+            *spine.columns,
+            "electricity_price_eur_per_kwh",
+            F.when(after, F.col("_own_day")).otherwise(F.col("_earlier_day")).alias("gas_day"),
+            F.when(after, F.col("_own_price")).otherwise(F.col("_earlier_price")).alias("gas_price_eur_per_m3"),
+        )
     )

@@ -24,7 +24,7 @@ from uurwerk.operators.prices import attach_prices
 from uurwerk.operators.schedule import expand_schedule
 from uurwerk.operators.shifting import rank_cheapest, scenario_expand, shift_to_cheapest
 from uurwerk.operators.signals import consolidate_signals
-from uurwerk.params import default_profile
+from uurwerk.params import default_profile, read_profile
 from uurwerk.plans.staging import SIGNAL_MEASURES, stage_signal
 from uurwerk.registry import inputs as src
 from uurwerk.registry.inputs import PARAMS, ZONE, shifted, table
@@ -188,7 +188,10 @@ def stage_signal_tables(spark, sf_dir):
 
 @query("hourly_schedule")
 def hourly_schedule(spark, sf_dir):
-    return expand_schedule(site_spine(spark, sf_dir), default_profile(spark), PARAMS)
+    """The profile comes from a CSV file, as a user's own would."""
+    path = scratch_path(spark, "monthly_profile")
+    default_profile(spark).write.csv(path, header=True)
+    return expand_schedule(site_spine(spark, sf_dir), read_profile(spark, path), PARAMS)
 
 
 def lamp_hours(df: DataFrame, sun: str, by: list[str]) -> DataFrame:
