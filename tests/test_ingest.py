@@ -265,6 +265,15 @@ def test_an_empty_batch_changes_nothing(spark, tmp_path):
     assert stamps(path) == before
 
 
+def test_a_batch_may_add_columns_but_not_lose_them(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    upsert(path, frame(spark, "k int, v int, day string", [(1, 1, "a"), (2, 2, "a")]), ["k"], "day")
+    upsert(path, frame(spark, "k int, v int, w int, day string", [(2, 20, 5, "a")]), ["k"], "day")
+    assert rows(spark.read.parquet(path), "k", "v", "w") == [(1, 1, None), (2, 20, 5)]
+    with pytest.raises(ValueError, match="w"):
+        upsert(path, frame(spark, "k int, v int, day string", [(3, 3, "a")]), ["k"], "day")
+
+
 def test_merge_of_frames(spark):
     target = frame(spark, "k int, v int", [(1, 1), (2, 2)])
     fresh = frame(spark, "k int, v int", [(2, 20), (3, 30)])

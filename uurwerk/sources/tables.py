@@ -133,10 +133,17 @@ def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) ->
     bounds prune the scan, a semi join keeps the exact ones. The merged rows are
     written to the shared folder first, so the table is never read and replaced
     in one step, and a replacement that was cut short can be repeated.
+
+    The batch must have all columns of the table; new ones may be added.
     """
     spark = batch.sparkSession
+    exists = path_exists(spark, path)
+    if exists:
+        absent = set(spark.read.parquet(path).columns) - set(batch.columns)
+        if absent:
+            raise ValueError(f"the batch lacks columns of the table: {sorted(absent)}")
     fresh = materialize(dedup_latest(batch, keys, load_order(batch)), "batch")
-    if not path_exists(spark, path):
+    if not exists:
         replace_partitions(gathered(fresh, partition), path, partition)
         return
     low, high = fresh.agg(F.min(partition), F.max(partition)).first()
