@@ -36,6 +36,8 @@ SHINGLE = 4
 DISTANCE = 4
 # Rows of a tile: two tiles are compared at once, in slices.
 TILE_ROWS = 4096
+# Beyond this many parts buckets get too wide to separate anything.
+MAX_PARTS = 8
 # Moving a probe through a shuffle costs about as much as this many comparisons.
 PROBE_COST = 100.0
 
@@ -147,9 +149,10 @@ def probes(width: int, threshold: int) -> int:
     return sum(comb(width, k) for k in range(threshold + 1))
 
 
-def allocate(costs: list[list[float]], units: int) -> list[int]:
+def allocate(costs: list[list[float]], units: int) -> list[int] | None:
     """Thresholds (-1: the part is not probed) with sum(t + 1) = ``units`` and least
-    total cost. ``costs[i][t]`` is the cost of part ``i`` at threshold ``t``."""
+    total cost, or None if the parts cannot take as much. ``costs[i][t]`` is the cost
+    of part ``i`` at threshold ``t``."""
     best: list[tuple[float, list[int]] | None] = [(0.0, [])] + [None] * units
     for cost in costs:
         after: list[tuple[float, list[int]] | None] = [None] * (units + 1)
@@ -163,7 +166,7 @@ def allocate(costs: list[list[float]], units: int) -> list[int]:
                 if after[used + take] is None or total < after[used + take][0]:
                     after[used + take] = total, state[1] + [take - 1]
         best = after
-    return best[units][1]
+    return best[units][1] if best[units] else None
 
 
 def _part_values(groups: list[list[int]]):
@@ -228,12 +231,12 @@ def plan_parts(classes: DataFrame, distance: int = DISTANCE) -> tuple[list[list[
         ]
 
     choices = []
-    for parts in range(2, min(units, 8) + 1):
+    for parts in range(2, min(units, MAX_PARTS) + 1):
         groups = bit_groups(n, both, parts)
         pairs = [[n * n / 2 * p for p in tail(n, both, g, min(3, units - 1))] for g in groups]
         costs = priced(groups, pairs)
-        thresholds = allocate(costs, units)
-        choices.append((sum(c[t] for c, t in zip(costs, thresholds) if t >= 0), parts, groups, pairs))
+        if thresholds := allocate(costs, units):
+            choices.append((sum(c[t] for c, t in zip(costs, thresholds) if t >= 0), parts, groups, pairs))
     _, _, groups, pairs = min(choices, key=lambda c: c[:2])
     # What independence misses is taken from the data: equal values of each part are
     # counted over all fingerprints, and the estimates scaled by what was found.
@@ -280,7 +283,10 @@ def _verify(distance: int):
 def link_fingerprints(classes: DataFrame, distance: int = DISTANCE, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Links ``(a, b)`` that connect exactly the distinct fingerprints ``fp`` which
     chains of at most ``distance`` bits connect; within a crowded bucket a spanning
-    forest is returned in place of all pairs."""
+    forest is returned in place of all pairs. A distance of 0 links nothing, as equal
+    fingerprints are one; up to ``4 * MAX_PARTS - 1`` bits are possible."""
+    if distance == 0:
+        return classes.sparkSession.createDataFrame([], "a bigint, b bigint")
     groups, thresholds = plan_parts(classes, distance)
     rows = classes.select("fp").mapInArrow(
         _probing(groups, thresholds), "part int, value bigint, fp bigint, home boolean"
