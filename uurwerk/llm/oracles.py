@@ -4,12 +4,12 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["op2_embedding_dedup"] = """
 WITH RECURSIVE given AS (
-    SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
 ), usable AS (
     SELECT vec_id, v FROM given
     WHERE v IS NOT NULL AND len(v) > 0
-      AND len(list_filter(v, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-      AND len(list_filter(v, x -> x <> 0)) > 0
+      AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b
     FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)

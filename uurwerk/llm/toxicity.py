@@ -36,7 +36,9 @@ from uurwerk.session import materialize
 MAX_LABELLED = 20_000
 MAX_FEATURES = 50_000
 MIN_DOCS = 2
-SHRINK = 2.0
+# Pseudo-counts of a feature's log-odds, and the documents at which it counts half.
+PRIOR = 0.5
+HALF = 5.0
 TOP = 3
 CACHE = 150_000
 # Letters of the model besides a-z.
@@ -57,7 +59,7 @@ READINGS = {
     "*": "aeiou", "#": "aeiou", "%": "aeiou",
 }
 JOINERS = set(".-_*~'’ ")
-_KEEP, _STANDS, _DROP, _BREAK, _SINGLE, _DOUBLE = (math.log(p) for p in (0.9, 0.2, 0.3, 0.02, 0.7, 0.3))
+_KEEP, _STANDS, _DROP, _GAP, _BREAK, _SINGLE, _DOUBLE = (math.log(p) for p in (0.9, 0.2, 0.3, 0.1, 0.02, 0.7, 0.3))
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(rf"{_LETTER}+")
 _ODD = re.compile(rf"(?=.*{_LETTER})(?:.*[0-9@$!|+€£¡*#%(.\-_~]|.*({_LETTER})\1\1)", re.DOTALL)
@@ -114,7 +116,7 @@ def _lattice(token: str) -> Iterator[list[tuple[str, float]]]:
         if not c.isalpha():
             if c in JOINERS:
                 options.append(("", _DROP))
-            options.append((" ", _BREAK))
+            options.append((" ", _GAP if c == " " else _BREAK))
         yield options
 
 
@@ -168,7 +170,8 @@ class Reader:
         return got
 
     def tokens(self, text: str | None) -> set[str]:
-        """The tokens of a text; a row of single letters counts as one more."""
+        """The tokens of a text; a row of single letters counts as one more, as do
+        its rows without the first and the last, which may be words of their own."""
         parts = text.split() if text else []
         out = set(parts)
         single = np.fromiter(map(len, parts), np.int64, len(parts)) == 1
@@ -177,6 +180,8 @@ class Reader:
             for start, end in edges.reshape(-1, 2):
                 if end - start >= 3:
                     out.add(" ".join(parts[start:end]))
+                if end - start >= 4:
+                    out |= {" ".join(parts[start + 1 : end]), " ".join(parts[start : end - 1])}
         return out
 
 
@@ -186,11 +191,16 @@ def features_of(word: str) -> list[str]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """Text and label of at most ``limit`` training rows, the first by a hash of the id."""
+    """Text and label of at most ``limit`` training rows, the first by a hash of the id.
+    Of those that share the least hash of their longer lines, which copies do, one
+    stays, so that a copied text's words don't count as many documents."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out())
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).withColumnRenamed("doc_id", "_id")
-    return docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    found = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: F.length(l) >= 40)
+    mark = F.coalesce(F.array_min(F.transform(lines, lambda l: F.xxhash64(l))), F.xxhash64("text"))
+    return found.withColumn("_mark", mark).dropDuplicates(["_mark", "toxic"]).drop("_mark")
 
 
 def _count_features(model):
@@ -227,10 +237,8 @@ class Scorer:
         if own is not None:
             clean, toxic = clean - (own == 0), toxic - (own == 1)
             n_clean, n_toxic = n_clean - (own == 0), n_toxic - (own == 1)
-        share = (clean + toxic + 0.5) / (n_clean + n_toxic + 1)
-        return math.log(
-            (toxic + SHRINK * share) / (n_toxic + SHRINK) * (n_clean + SHRINK) / (clean + SHRINK * share)
-        )
+        odds = math.log((toxic + PRIOR) / (n_toxic + 2 * PRIOR) * (n_clean + 2 * PRIOR) / (clean + PRIOR))
+        return odds * toxic / (toxic + HALF)
 
     def evidence(self, text: str | None, own: int | None = None) -> list[float]:
         best: dict[tuple, float] = {}
@@ -283,9 +291,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
         return spark.sparkContext.broadcast((counts, {}, totals, None))
     parts = sample.mapInArrow(_count_features(held), "feature string, clean bigint, toxic bigint")
     table = parts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    share = (F.col("clean") + F.col("toxic") + 0.5) / (sum(totals) + 1)
     odds = F.log(
-        (F.col("toxic") + SHRINK * share) / (totals[1] + SHRINK) * (totals[0] + SHRINK) / (F.col("clean") + SHRINK * share)
+        (F.col("toxic") + PRIOR) / (totals[1] + 2 * PRIOR) * (totals[0] + 2 * PRIOR) / (F.col("clean") + PRIOR)
     )
     strong = table.where(F.col("toxic") >= MIN_DOCS).withColumn("odds", odds).where("odds > 0.5")
     rows = strong.orderBy(F.desc(F.col("odds") * F.col("toxic")), "feature").limit(MAX_FEATURES).collect()
