@@ -63,6 +63,8 @@ _KEEP, _STANDS, _DROP, _GAP, _BREAK, _SINGLE, _DOUBLE = (math.log(p) for p in (0
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(rf"{_LETTER}+")
 _ODD = re.compile(rf"(?=.*{_LETTER})(?:.*[0-9@$!|+€£¡*#%(.\-_~]|.*({_LETTER})\1\1)", re.DOTALL)
+_TRIPLE = re.compile(r"(.)\1\1")
+_STOPS = ".,;:?\"'()[]{}"
 # Sentence marks and rows of signs around a token are no part of a word.
 _MARKS = re.compile(r"^(?:[\"'(\[{<.,;:!?…]|([$&%#*@!+])\1+)+|(?:[\"')\]}>.,;:!?…]|([$&%#*@!+])\2+)+$")
 
@@ -159,11 +161,15 @@ class Reader:
     def words(self, token: str) -> tuple[str, ...]:
         got = self.cache.get(token)
         if got is None:
-            found = _WORDS.findall(token.lower())
-            bare = _MARKS.sub("", token)
-            if _ODD.match(bare):
-                found += self.model.restore(bare).split()
-            got = tuple(dict.fromkeys(found))
+            plain = token.strip(_STOPS).lower()
+            if plain.isalpha() and not _TRIPLE.search(plain):
+                got = (plain,)
+            else:
+                found = _WORDS.findall(token.lower())
+                bare = _MARKS.sub("", token)
+                if _ODD.match(bare):
+                    found += self.model.restore(bare).split()
+                got = tuple(dict.fromkeys(found))
             if len(self.cache) >= CACHE:
                 self.cache.clear()
             self.cache[token] = got
@@ -223,13 +229,16 @@ def _count_features(model):
     return count
 
 
+_UNKNOWN = object()
+
+
 class Scorer:
     """A document's strongest evidence and the logistic curve over it."""
 
     def __init__(self, counts, features, totals, curve=None):
         self.reader = Reader(CharacterModel(counts))
         self.features, self.totals, self.curve = features, totals, curve
-        self.cache: dict[str, tuple] = {}
+        self.cache: dict = {}
 
     def weight(self, clean: int, toxic: int, own: int | None = None) -> float:
         """Shrunken log-odds; ``own``: a label to take out of the counts first."""
@@ -240,20 +249,22 @@ class Scorer:
         odds = math.log((toxic + PRIOR) / (n_toxic + 2 * PRIOR) * (n_clean + 2 * PRIOR) / (clean + PRIOR))
         return odds * toxic / (toxic + HALF)
 
+    def strongest(self, token: str, own: int | None) -> tuple[float, str] | None:
+        """The token's strongest feature and its weight, if it has any."""
+        found = [f for w in self.reader.words(token) for f in features_of(w) if f in self.features]
+        return max(((self.weight(*self.features[f], own), f) for f in found), default=None)
+
     def evidence(self, text: str | None, own: int | None = None) -> list[float]:
-        best: dict[tuple, float] = {}
+        best: dict[str, float] = {}
         for token in self.reader.tokens(text):
-            got = self.cache.get(token)
-            if got is None:
-                found = [f for w in self.reader.words(token) for f in features_of(w) if f in self.features]
-                got = tuple((f, *self.features[f]) for f in found)
+            got = self.cache.get((token, own) if own is not None else token, _UNKNOWN)
+            if got is _UNKNOWN:
+                got = self.strongest(token, own)
                 if len(self.cache) >= CACHE:
                     self.cache.clear()
-                self.cache[token] = got
+                self.cache[(token, own) if own is not None else token] = got
             if got:
-                weights = [self.weight(c, t, own) for _, c, t in got]
-                top = max(weights)
-                best[got[weights.index(top)][0]] = top
+                best[got[1]] = got[0]
         strongest = sorted(best.values(), reverse=True)[:TOP]
         return [max(w, 0.0) for w in strongest] + [0.0] * (TOP - len(strongest))
 
