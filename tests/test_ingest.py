@@ -1,19 +1,22 @@
 import datetime as dt
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helpers import day, frame, rows, ts
+from helpers import day, frame, plan, rows, ts
 from uurwerk.session import scratch_path, shared_folder
-from uurwerk.sources import ranges, records
-from uurwerk.sources.landing import RequestFailed, chunked_read, landing_fetch
+from uurwerk.sources import ranges, records, tables
+from uurwerk.sources.landing import RequestFailed, chunked_read, landing_read
 from uurwerk.sources.tables import (
     backfill_by_year,
     layer_path,
     merge_rows,
     read_raw,
+    read_table,
+    recover,
     register_view,
     upsert,
     write_table,
@@ -205,15 +208,29 @@ def test_other_errors_are_not_taken_for_missing_data(spark):
 def test_landing_folder_gives_no_partial_answers(spark, tmp_path):
     data = [
         ("a", dt.datetime(2024, 1, d, h), float(h), dt.date(2024, 1, d))
-        for d in (1, 2, 4)
+        for d in (1, 2, 4, 9)
         for h in range(24 if d != 2 else 23)
     ]
     df = frame(spark, "series string, hour_utc timestamp_ntz, value double, day date", data)
     df.write.partitionBy("series", "day").parquet(f"{tmp_path}/landing")
-    fetch = landing_fetch(f"{tmp_path}/landing", 24, HOURS.names)
-    got = read(spark, fetch, "2024-01-01", "2024-01-04")
+    landed = spark.read.schema(df.schema).parquet(f"{tmp_path}/landing")
+    request = frame(spark, "series string, s date, e date", [("a", day("2024-01-01"), day("2024-01-04"))])
+    got = landing_read(ranges.chunk_ranges(request, "s", "e", 3), landed, 24)
     assert rows(got.where("status = 'skipped'"), "day") == [(day("2024-01-02"),), (day("2024-01-03"),)]
-    assert got.where("status = 'loaded'").count() == 48
+    loaded = got.where("status = 'loaded'")
+    assert loaded.count() == 48 and got.columns == ["series", "status", "day", "hour_utc", "value"]
+    assert "Python" not in plan(got) and "Arrow" not in plan(got)
+
+
+@pytest.mark.parametrize(
+    "expand", [lambda df: ranges.expand_days(df, "s", "e"), lambda df: ranges.chunk_ranges(df, "s", "e", 30), lambda df: ranges.year_chunks(df, "s", "e")]
+)
+def test_ranges_are_spread_before_they_expand(spark, expand):
+    request = frame(spark, "site int, s date, e date", [(i, day("2016-01-01"), day("2023-12-31")) for i in range(200)]).coalesce(1)
+    text = plan(expand(request))
+    assert text.index("Generate") < text.rindex("Exchange RoundRobinPartitioning")
+    expanded = expand(request).withColumn("task", F.spark_partition_id())
+    assert expanded.select("task").distinct().count() == 4
 
 
 SIGNAL = "k timestamp_ntz, v double, _load_id string, day string"
@@ -280,6 +297,69 @@ def test_merge_of_frames(spark):
     assert rows(merge_rows(target, fresh, ["k"])) == [(1, 1), (2, 20), (3, 30)]
 
 
+def test_null_keys_and_partitions_are_refused(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    upsert(path, frame(spark, "k int, v int, day string", [(1, 1, "a")]), ["k"], "day")
+    for bad in ((None, 2, "a"), (2, 2, None)):
+        with pytest.raises(Exception, match="is NULL in a batch"):
+            upsert(path, frame(spark, "k int, v int, day string", [bad, (3, 3, "b")]), ["k"], "day")
+    assert rows(read_table(spark, path), "k") == [(1,)]
+
+
+def test_an_empty_first_batch_is_a_normal_case(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k int, v int, day string"
+    upsert(path, frame(spark, schema, []), ["k"], "day")
+    assert rows(read_table(spark, path)) == []
+    upsert(path, frame(spark, schema, [(1, 1, "a")]), ["k"], "day")
+    upsert(path, frame(spark, schema, []), ["k"], "day")
+    assert rows(read_table(spark, path), "k", "v") == [(1, 1)]
+
+
+def test_columns_of_partitions_that_other_batches_wrote_are_known(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    upsert(path, frame(spark, "k int, v int, w int, day string", [(1, 1, 1, "z")]), ["k"], "day")
+    upsert(path, frame(spark, "k int, v int, w int, x int, day string", [(2, 2, 2, 2, "a")]), ["k"], "day")
+    with pytest.raises(ValueError, match="x"):
+        upsert(path, frame(spark, "k int, v int, w int, day string", [(3, 3, 3, "a")]), ["k"], "day")
+    assert rows(read_table(spark, path), "k", "x") == [(1, None), (2, 2)]
+
+
+@pytest.mark.parametrize("finish", ["read", "merge"])
+def test_a_merge_cut_off_while_it_replaces_is_finished_later(spark, tmp_path, monkeypatch, finish):
+    path, schema = f"{tmp_path}/t", "k int, v int, day string"
+    upsert(path, frame(spark, schema, [(1, 1, "a"), (2, 2, "b"), (3, 3, "b")]), ["k"], "day")
+
+    def cut_off(df, path, partition):
+        # One of two partitions is replaced, then the driver is gone.
+        df.where("day = 'a'").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        for f in (tmp_path / "t" / "day=b").iterdir():
+            f.unlink()
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "replace_partitions", cut_off)
+        with pytest.raises(KeyboardInterrupt):
+            upsert(path, frame(spark, schema, [(1, 10, "a"), (2, 20, "b")]), ["k"], "day")
+    if finish == "merge":
+        upsert(path, frame(spark, schema, [(4, 4, "b")]), ["k"], "day")
+    want = [(1, 10), (2, 20), (3, 3)] + ([(4, 4)] if finish == "merge" else [])
+    assert rows(read_table(spark, path), "k", "v") == want
+    assert not recover(spark, path)
+
+
+def left_over(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    return {str(p) for p in Path(folder).glob("uurwerk/*")}
+
+
+def test_a_merge_leaves_nothing_behind(spark, tmp_path):
+    before = left_over(spark)
+    for v in range(3):
+        upsert(f"{tmp_path}/t", frame(spark, "k int, v int, day string", [(1, v, "a")]), ["k"], "day")
+    assert left_over(spark) == before
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith((".", "_SUCCESS"))) == ["_schema.json", "day=a"]
+
+
 def test_finished_years_survive_an_interruption(spark, tmp_path):
     path = f"{tmp_path}/years"
     source = frame(spark, "d date, v int", [(day(f"{y}-0{m}-01"), y * 10 + m) for y in (2020, 2021, 2022) for m in (1, 5)])
@@ -289,13 +369,19 @@ def test_finished_years_survive_an_interruption(spark, tmp_path):
             raise RequestFailed(500)
         return source.where((F.col("d") >= F.lit(first)) & (F.col("d") <= F.lit(last)))
 
+    def backfill(first, last):
+        return backfill_by_year(spark, path, day(first), day(last), extract, ["d"], "d")
+
     extract.ready = False
     with pytest.raises(RequestFailed):
-        backfill_by_year(spark, path, day("2020-01-01"), day("2022-03-01"), extract, "d")
-    assert rows(spark.read.parquet(path).select("year").distinct()) == [(2020,), (2021,)]
+        backfill("2020-01-01", "2022-03-01")
+    assert rows(read_table(spark, path).select("year").distinct()) == [(2020,), (2021,)]
     extract.ready = True
-    assert backfill_by_year(spark, path, day("2022-01-01"), day("2022-03-01"), extract, "d") == [2022]
-    assert rows(spark.read.parquet(path), "v") == [(20201 + 0,), (20205,), (20211,), (20215,), (20221,)]
+    assert backfill("2022-01-01", "2022-03-01") == [2022]
+    assert rows(read_table(spark, path), "v") == [(20201 + 0,), (20205,), (20211,), (20215,), (20221,)]
+    # A part of a year, and a year in which the source has nothing, take nothing away.
+    assert backfill("2021-04-01", "2021-12-31") == [2021] and backfill("2030-01-01", "2030-12-31") == [2030]
+    assert read_table(spark, path).count() == 5
 
 
 def test_layers_and_views(spark, tmp_path):

@@ -62,26 +62,29 @@ def test_overlapping_intervals_match_brute_force(spark, bucket_hours):
     assert rows(result) == brute_force(points, intervals)
 
 
-def test_crowded_buckets_are_split_without_changing_the_result(spark):
+@pytest.mark.parametrize("bucket_hours, max_intervals", [(24, 3), (100, 1), (1, 2)])
+def test_buckets_crowded_with_intervals_are_cut_finer_without_changing_the_result(spark, bucket_hours, max_intervals):
+    """Points and intervals crowd into one hour; far fewer than a million points."""
     points, intervals = case(2, hot_share=0.4)
+    base = ts("2024-01-01")
+    for v in range(150):
+        start = base + dt.timedelta(seconds=37 * v % 3600)
+        intervals.append(("a", start, start + dt.timedelta(seconds=(v % 7) * 400 + 1), 2000 + v))
     result = interval_attach(
-        frame(spark, POINTS, points),
-        frame(spark, INTERVALS, intervals),
-        "t",
-        "a",
-        "b",
-        ["site"],
-        max_crowded=20,
-        min_rows=5,
+        frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"], bucket_hours, max_intervals
     )
-    assert "_piece" in plan(result)
     assert rows(result) == brute_force(points, intervals)
 
 
-def test_without_crowded_buckets_nothing_is_split(spark):
+def test_the_join_is_lazy(spark):
+    """Building the plan runs no job."""
     points, intervals = case(3)
-    result = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
-    assert "_piece" not in plan(result)
+    p, i = frame(spark, POINTS, points), frame(spark, INTERVALS, intervals)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "")
+    interval_attach(p, i, "t", "a", "b", ["site"])
+    assert not tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_empty_inputs(spark):

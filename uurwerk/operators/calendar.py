@@ -30,18 +30,22 @@ def hour_spine(
     run_date: str = "run_date",
     ahead_days: int = 1,
     by: Sequence[str] = (),
+    total_days: int | None = None,
 ) -> DataFrame:
     """One row per UTC hour, from local midnight of ``start`` through the last
     hour of ``run_date + ahead_days``, for every row of ``ranges``.
 
-    The days are generated first and spread by site and day; each day then
-    yields its own 23, 24 or 25 hours. Windows over a site's day need no further
-    shuffle.
+    The ranges are spread before they yield their days, the days by site and day
+    before they yield their own 23, 24 or 25 hours. Windows over a site's day need no
+    further shuffle. Give ``total_days`` for many sites, and the days are spread over
+    as many tasks as that takes.
     """
     last = F.date_add(F.col(run_date), ahead_days)
     day = F.col("date_local")
-    days = ranges.where(F.col(start) <= last).select(*by, F.explode(F.sequence(F.col(start), last)).alias("date_local"))
-    bounds = spread(days, *by, "date_local").select(
+    wanted = spread(ranges.where(F.col(start) <= last).select(*by, start, run_date))
+    days = wanted.select(*by, F.explode(F.sequence(F.col(start), last)).alias("date_local"))
+    rows = None if total_days is None else 24 * total_days
+    bounds = spread(days, *by, "date_local", rows=rows).select(
         *by, "date_local", day_at(day, 0, tz).alias("_first"), day_at(F.date_add(day, 1), 0, tz).alias("_next")
     )
     # On a day of 24 hours the wall clock runs along with UTC, so the zone is

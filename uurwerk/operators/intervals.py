@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from uurwerk.functions.clock import day_at
 
@@ -28,51 +26,17 @@ def _bucket(ts: Column, bucket_hours: int) -> Column:
     return F.floor(epoch_hours / F.lit(bucket_hours)).cast("bigint")
 
 
-def _crowded(points: DataFrame, keys: list[str], max_crowded: int, min_rows: int) -> DataFrame | None:
-    """Buckets that deserve splitting, with the number of pieces each needs.
+def _subdivided(df: DataFrame, crowded: DataFrame, keys: list[str]) -> DataFrame:
+    return df.join(crowded, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)).cast("bigint"))
 
-    A bucket qualifies when it holds more than ``1 / max_crowded`` of all rows, so
-    no more than ``max_crowded`` can qualify, whatever the input size, and all of
-    them are among the ``max_crowded`` largest. One pass over the key columns
-    brings those counts and the total; that bound is what allows the broadcasts
-    below. Usually nothing qualifies.
-    """
-    total = Observation()
-    counts = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.observe(total, F.sum("_n").alias("rows")).orderBy(F.desc("_n")).limit(max_crowded).collect()
-    if not largest:
-        return None
-    piece_rows = max(total.get["rows"] / max_crowded, min_rows)
-    split = [(*row[:-1], math.ceil(row["_n"] / piece_rows)) for row in largest if row["_n"] > piece_rows]
-    if not split:
-        return None
-    schema = T.StructType([*[counts.schema[k] for k in keys], T.StructField("_pieces", T.LongType())])
-    return F.broadcast(points.sparkSession.createDataFrame(split, schema))
-
-
-def _split_points(points: DataFrame, crowded: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Give each point of a crowded bucket one piece, by a hash of the point."""
-    if crowded is None:
-        return points
-    columns = [c for c in points.columns if c != "_bucket"]
-    piece = F.pmod(F.xxhash64(*columns), F.col("_pieces"))
-    return (
-        points.join(crowded, keys, "left")
-        .withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint")))
-        .drop("_pieces")
-    )
 
-
-def _repeat_intervals(intervals: DataFrame, crowded: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Repeat the intervals of a crowded bucket once per piece."""
-    if crowded is None:
-        return intervals
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
-    return (
-        intervals.join(crowded, keys, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
-        .drop("_pieces")
-    )
+def _part(ts: Column, bucket_hours: int) -> Column:
+    """Which of its bucket's equal parts a moment lies in; the parts are whole seconds."""
+    start = (F.col("_bucket") * F.lit(bucket_hours * 3600)).cast("bigint")
+    epoch = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+    second = epoch + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts) - start
+    last = F.lit(bucket_hours * 3600 - 1)
+    return F.floor(F.greatest(F.lit(0), F.least(second, last)) * F.col("_parts") / F.lit(bucket_hours * 3600)).cast("bigint")
 
 
 def interval_attach(
@@ -83,31 +47,35 @@ def interval_attach(
     valid_to: str,
     by: Sequence[str] = (),
     bucket_hours: int = 24,
-    max_crowded: int = 1000,
-    min_rows: int = 1_000_000,
+    max_intervals: int = 1000,
 ) -> DataFrame:
     """Left join of points to the intervals that contain them, as an equi join.
 
     Every interval is repeated once per time bucket it touches; a point lies in
     exactly one bucket, so the join on ``by`` + bucket finds each pair once and
-    needs no clean-up afterwards. Buckets that hold an outsized share of the
-    points are cut into pieces by a hash of the point; the intervals of those
-    buckets, and only those, are repeated per piece.
-
-    The points are read once more to count them, so store an expensive input first.
+    needs no clean-up afterwards. A bucket that more than ``max_intervals`` intervals
+    touch is cut into that many times finer parts, so that a point is compared with
+    few of them; which buckets these are is part of the same lazy plan and looks at
+    the intervals alone. Buckets with many points are left to adaptive execution,
+    which may split the left side of a left join.
     """
     keys = [*by, "_bucket"]
-    left = points.withColumn("_bucket", _bucket(F.col(ts), bucket_hours))
-    crowded = _crowded(left, keys, max_crowded, min_rows)
-
     last_moment = F.col(valid_to) - F.expr("INTERVAL '0.000001' SECOND")
     touched = F.sequence(_bucket(F.col(valid_from), bucket_hours), _bucket(last_moment, bucket_hours))
     right = intervals.where(F.col(valid_from) < F.col(valid_to)).withColumn("_bucket", F.explode(touched))
-
-    p = _split_points(left, crowded, keys).alias("p")
-    i = _repeat_intervals(right, crowded, keys).alias("i")
+    crowded = right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_intervals).alias("_parts")).where("_parts > 1")
+
+    p = _subdivided(points.withColumn("_bucket", _bucket(F.col(ts), bucket_hours)), crowded, keys)
+    p = p.withColumn("_part", _part(F.col(ts), bucket_hours)).alias("p")
+    first = F.col("_bucket") == _bucket(F.col(valid_from), bucket_hours)
+    final = F.col("_bucket") == _bucket(last_moment, bucket_hours)
+    spanned = F.sequence(
+        F.when(first, _part(F.col(valid_from), bucket_hours)).otherwise(F.lit(0).cast("bigint")),
+        F.when(final, _part(last_moment, bucket_hours)).otherwise(F.col("_parts") - 1),
+    )
+    i = _subdivided(right, crowded, keys).withColumn("_part", F.explode(spanned)).alias("i")
     on = (F.col(f"p.{ts}") >= F.col(f"i.{valid_from}")) & (F.col(f"p.{ts}") < F.col(f"i.{valid_to}"))
-    for key in keys if crowded is None else [*keys, "_piece"]:
+    for key in [*keys, "_part"]:
         on = on & (F.col(f"p.{key}") == F.col(f"i.{key}"))
     return p.join(i, on, "left").select(
         *[F.col(f"p.{c}") for c in points.columns],

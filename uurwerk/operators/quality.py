@@ -1,6 +1,7 @@
 """Data tests. Each returns the violating rows; an empty result is a pass.
 
-NULL passes every test but ``not_null``. Tests on keys aggregate before the
+NULL passes the tests of one column but ``not_null``; ``unique_combination`` reports
+repeated keys with NULLs like any other. Tests on keys aggregate before the
 shuffle and report each bad key once with its row count, so a key that repeats
 very often costs one row.
 """

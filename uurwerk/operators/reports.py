@@ -116,6 +116,24 @@ def coverage(
     )
 
 
+def coverage_by_year(chunks: DataFrame, by: Sequence[str], start: str = "chunk_start") -> DataFrame:
+    """Per calendar year: hours found and missing against the hours of the whole year,
+    and how many chunks are complete and how many are not. ``chunks`` is the result of
+    :func:`coverage` for chunks that don't cross a year."""
+    year = F.year(start)
+    first = F.make_date(year, F.lit(1), F.lit(1))
+    return (
+        chunks.groupBy(*by, year.alias("year"))
+        .agg(
+            F.sum("hours_found").alias("hours_found"),
+            F.sum("hours_missing").alias("hours_missing"),
+            F.max(F.datediff(F.add_months(first, 12), first) * 24).cast("bigint").alias("hours_in_year"),
+            F.count_if(F.col("hours_missing") == 0).alias("chunks_complete"),
+            F.count_if(F.col("hours_missing") > 0).alias("chunks_with_gaps"),
+        )
+    )
+
+
 def duplicate_days(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Keys with more than one row whose values differ."""
     return (
@@ -132,19 +150,47 @@ def lag_scan(
 
     A lag of ``k`` compares the series' hour ``t`` with the reference's hour
     ``t - k``; ``is_best`` marks the lag with the least difference (the smallest
-    one on a tie).
+    one on a tie). One row per key and hour is expected; missing values are left out.
+
+    Both are packed into one row for each key and day first, so a day is shuffled
+    once, whatever the number of lags.
     """
-    moved = series.select(
-        *by, ts, F.col(value).alias("_value"), F.explode(F.array(*[F.lit(k) for k in lags])).alias("lag_hours")
-    ).withColumn(ts, F.col(ts) - F.make_dt_interval(hours=F.col("lag_hours")))
-    other = reference.select(*by, ts, F.col(value).alias("_reference"))
+    days = 1 + max(abs(k) for k in lags) // 24
+    day, hour = F.to_date(ts).alias("_day"), F.hour(ts)
+
+    def packed(df: DataFrame, column: str, name: str) -> DataFrame:
+        """A map from hour to value for each key and day: at most 24 entries."""
+        entry = F.struct(hour.alias("hour"), F.col(column).alias("value"))
+        return df.groupBy(*by, day).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+    own = packed(series.where(F.col(value).isNotNull()), value, "_own")
+    offsets = F.explode(F.sequence(F.lit(-days), F.lit(days)))
+    # Each packed day meets the days around it that some lag reaches.
+    around = (
+        packed(reference.where(F.col(value).isNotNull()), value, "_other")
+        .withColumn("_offset", offsets)
+        .withColumn("_day", F.date_add("_day", F.col("_offset")))
+    )
+    met = own.join(around, [*by, "_day"], "inner")
+
+    def gaps(lag: int) -> Column:
+        """Differences at one lag between this day and the reference's day at ``_offset``."""
+        there = F.transform(
+            F.map_entries("_own"),
+            lambda e: F.abs(e["value"] - F.try_element_at("_other", e["key"] - lag + 24 * F.col("_offset"))),
+        )
+        known = F.filter(there, lambda g: g.isNotNull())
+        return F.struct(
+            F.lit(lag).alias("lag_hours"),
+            F.size(known).cast("bigint").alias("n"),
+            F.aggregate(known, F.lit(0.0), lambda a, g: a + g).alias("sum"),
+        )
+
     per_lag = (
-        moved.join(other, [*by, ts], "inner")
+        met.select(*by, F.inline(F.array(*[gaps(k) for k in lags])))
+        .where("n > 0")
         .groupBy(*by, "lag_hours")
-        .agg(
-            F.count(F.lit(1)).alias("n_hours"),
-            F.avg(F.abs(F.col("_value") - F.col("_reference"))).alias("mean_abs_diff"),
-        )
+        .agg(F.sum("n").alias("n_hours"), (F.sum("sum") / F.sum("n")).alias("mean_abs_diff"))
     )
     best = F.min(F.struct("mean_abs_diff", "lag_hours")).over(Window.partitionBy(*(by or [F.lit(0)])))
     return per_lag.withColumn("is_best", F.col("lag_hours") == best.getField("lag_hours"))

@@ -1,9 +1,8 @@
-"""Chunked reads with a fallback to single days.
+"""Reading a plan of date chunks, with single days where a chunk has no answer.
 
-The plan is a table with one row per chunk; the chunks are spread over the
-executors, and each task asks an injected ``fetch`` for its chunks. A failing
-chunk is asked for again day by day; days that still fail are reported as
-skipped. A refused request (401/403) or any other error stops the job: "no data"
+For remote sources the chunks are spread over the executors, and each task asks an
+injected ``fetch`` for its own. A chunk without an answer is asked for once more,
+one day at a time; days that stay without one are reported as skipped. A refused request (401/403) or any other error stops the job: "no data"
 and "not allowed to ask" are different failures.
 """
 
@@ -20,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from uurwerk.sources.ranges import expand_days
+
 
 class RequestFailed(Exception):
     """A request that the source answered with an error status."""
@@ -89,32 +90,24 @@ def chunked_read(
     return requests.repartition(width, "series", "chunk_start").mapInArrow(read, out)
 
 
-def landing_fetch(root: str, expected_rows: int, columns: list[str]) -> Fetch:
-    """A ``fetch`` over a landing folder ``<root>/series=<s>/day=<d>/*.parquet``.
+def landing_read(
+    plan: DataFrame, landed: DataFrame, expected_rows: int, series: str = "series", day: str = "day"
+) -> DataFrame:
+    """The same answer for files that Spark can scan: ``landed`` is a scan of a landing
+    folder with the columns ``series`` and ``day``, ``plan`` as in :func:`chunked_read`.
 
-    Like the sources it stands for, it answers a range only when every day of it
-    is there with ``expected_rows`` rows, and gives no partial results.
+    A day of the plan is loaded if it has at least ``expected_rows`` rows and skipped if
+    not, which is what asking for its chunk and then for the day alone comes to. One
+    scan for the counts, one for the rows; everything else is as large as the days.
     """
-
-    def fetch(series: str, first: dt.date, last: dt.date) -> list[dict]:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        uri = root if "://" in root else f"file://{root.removeprefix('file:')}"
-        store, base = fs.FileSystem.from_uri(uri)
-        rows: list[dict] = []
-        for offset in range((last - first).days + 1):
-            day = first + dt.timedelta(days=offset)
-            folder = f"{base}/series={series}/day={day}"
-            listing = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-            files = [f.path for f in listing if f.path.endswith(".parquet")]
-            found: list[dict] = []
-            for path in sorted(files):
-                with store.open_input_file(path) as handle:
-                    found += pq.ParquetFile(handle).read(columns=columns).to_pylist()
-            if len(found) < expected_rows:
-                raise RequestFailed(404, f"no data for {series} on {day}")
-            rows += found
-        return rows
-
-    return fetch
+    wanted = expand_days(plan.select(series, "chunk_start", "chunk_end"), "chunk_start", "chunk_end", day)
+    wanted = wanted.select(series, day).distinct()
+    counts = landed.groupBy(series, day).agg(F.count(F.lit(1)).alias("_rows"))
+    days = wanted.join(counts, [series, day], "left").withColumn("_loaded", F.coalesce(F.col("_rows") >= expected_rows, F.lit(False)))
+    rows = [c for c in landed.columns if c not in (series, day)]
+    loaded = landed.join(days.where("_loaded").select(series, day), [series, day], "left_semi")
+    skipped = days.where("not _loaded")
+    empty = [F.lit(None).cast(landed.schema[c].dataType).alias(c) for c in rows]
+    return loaded.select(
+        F.col(series).alias("series"), F.lit("loaded").alias("status"), F.lit(None).cast("date").alias("day"), *rows
+    ).unionByName(skipped.select(F.col(series).alias("series"), F.lit("skipped").alias("status"), F.col(day).alias("day"), *empty))

@@ -1,4 +1,7 @@
-"""Date-range planning on tables: one row per request in, one per chunk out."""
+"""Date-range planning on tables: one row per request in, one per chunk out.
+
+A table of ranges is small before it expands and would sit in one task, so it is
+spread over all tasks first."""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uurwerk.session import broadcast_up_to
+from uurwerk.session import broadcast_up_to, spread
 
 MAX_SIGNALS = 100_000
 
@@ -17,7 +20,7 @@ def chunk_ranges(ranges: DataFrame, start: str, end: str, days: int) -> DataFram
     A range whose start lies after its end yields nothing."""
     first = F.explode(F.sequence(F.col(start), F.col(end), F.expr(f"INTERVAL '{int(days)}' DAY")))
     return (
-        ranges.where(F.col(start) <= F.col(end))
+        spread(ranges.where(F.col(start) <= F.col(end)))
         .withColumn("chunk_start", first)
         .withColumn("chunk_end", F.least(F.date_add("chunk_start", days - 1), F.col(end)))
     )
@@ -27,7 +30,7 @@ def year_chunks(ranges: DataFrame, start: str, end: str) -> DataFrame:
     """Cut each range at the turn of the year, clipped to both ends."""
     year = F.explode(F.sequence(F.year(start), F.year(end)))
     return (
-        ranges.where(F.col(start) <= F.col(end))
+        spread(ranges.where(F.col(start) <= F.col(end)))
         .withColumn("chunk_year", year)
         .withColumn("chunk_start", F.greatest(F.col(start), F.make_date("chunk_year", F.lit(1), F.lit(1))))
         .withColumn("chunk_end", F.least(F.col(end), F.make_date("chunk_year", F.lit(12), F.lit(31))))
@@ -36,7 +39,7 @@ def year_chunks(ranges: DataFrame, start: str, end: str) -> DataFrame:
 
 def expand_days(ranges: DataFrame, start: str, end: str, day: str = "day") -> DataFrame:
     """One row per date of each range, both ends included."""
-    return ranges.where(F.col(start) <= F.col(end)).withColumn(
+    return spread(ranges.where(F.col(start) <= F.col(end))).withColumn(
         day, F.explode(F.sequence(F.col(start), F.col(end), F.expr("INTERVAL '1' DAY")))
     )
 

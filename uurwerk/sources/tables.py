@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uurwerk.operators.dedup import dedup_latest
-from uurwerk.session import materialize
+from uurwerk.session import file_store, materialize, remove_path, run_folder
 from uurwerk.sources.ranges import year_chunks
 
-_SIGNAL = "datetime timestamp_ntz, value double, is_estimated boolean, created_at timestamp_ntz, updated_at timestamp_ntz, _load_id string"
+_SIGNAL = (
+    "datetime timestamp_ntz, value double, is_estimated boolean, created_at timestamp_ntz, "
+    "updated_at timestamp_ntz, _load_id string"
+)
 _PAIRED = ("wind", "solar", "nuclear", "coal")
 _SINGLE = (
     "hydro",
@@ -26,6 +31,7 @@ _SINGLE = (
     "flows__exports",
 )
 
+# The raw tables' names, columns and keys.
 RAW_SCHEMAS = {
     "electricity_prices": "timestamp_utc timestamp_ntz, price_eur_per_kwh double, _load_id string",
     "gas_prices": "timestamp_utc timestamp_ntz, price_eur_per_m3 double, _load_id string",
@@ -33,7 +39,8 @@ RAW_SCHEMAS = {
     "renewable_percentage": _SIGNAL,
     "carbon_free_percentage": _SIGNAL,
     "total_load": _SIGNAL,
-    "day_ahead_price": _SIGNAL.replace("value double", "value bigint, value__v_double double"),
+    "day_ahead_price": "datetime timestamp_ntz, value bigint, value__v_double double, is_estimated boolean, "
+    "created_at timestamp_ntz, updated_at timestamp_ntz, _load_id string",
     "electricity_mix": "datetime timestamp_ntz, "
     + ", ".join(f"mix__{n} bigint, mix__{n}__v_double double" for n in _PAIRED)
     + ", "
@@ -79,11 +86,13 @@ def layer_path(root: str, env: str, layer: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, root: str, env: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Store a table of a layer and return a scan of it."""
+    """Store a table of a layer and return a scan of it. A partitioned table keeps the
+    partitions that ``df`` has no rows for."""
     path = layer_path(root, env, layer, name)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    mode = "dynamic" if partition_by else "static"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -106,11 +115,6 @@ def merge_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> Data
     return kept.unionByName(fresh)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def gathered(df: DataFrame, partition: str) -> DataFrame:
     """Few files per partition, without forcing a large partition into one task."""
     return df.hint("rebalance", F.col(partition))
@@ -126,36 +130,106 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file, whole or not at all."""
+    store, at = file_store(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = store.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    store.delete(at, False)
+    store.rename(part, at)
+
+
+def _noted(spark: SparkSession, path: str) -> str | None:
+    store, at = file_store(spark, path)
+    if not store.exists(at):
+        return None
+    stream = store.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns that any batch so far has brought, or None for a new table. Files of
+    older partitions may lack the later ones."""
+    noted = _noted(spark, f"{path}/_schema.json")
+    return T.StructType.fromJson(json.loads(noted)) if noted else None
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a merge that was cut off while it replaced partitions.
+
+    The merged rows were complete when the merge was noted, so replacing the same
+    partitions again leaves the table as the merge would have.
+    """
+    noted = _noted(spark, f"{path}/_merge.json")
+    if noted is None:
+        return False
+    merge = json.loads(noted)
+    staged = spark.read.schema(table_schema(spark, path)).parquet(merge["staged"])
+    replace_partitions(staged, path, merge["partition"])
+    remove_path(spark, f"{path}/_merge.json")
+    remove_path(spark, f"{path}/_staged")
+    return True
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Scan of a merged table; empty if all its batches were."""
+    recover(spark, path)
+    return spark.read.schema(table_schema(spark, path)).parquet(path)
+
+
+def _known(column: str, path: str) -> Column:
+    """The column, refusing NULL."""
+    problem = F.raise_error(F.lit(f"{column} is NULL in a batch for {path}"))
+    return F.when(F.col(column).isNull(), problem).otherwise(F.col(column)).alias(column)
+
+
 def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) -> None:
     """Keyed merge into a Parquet table partitioned by a function of the key.
 
     Only the partitions that the batch touches are read and rewritten: their
     bounds prune the scan, a semi join keeps the exact ones. The merged rows are
-    written to the shared folder first, so the table is never read and replaced
-    in one step, and a replacement that was cut short can be repeated.
+    written beside the table and noted there before anything is replaced; a merge
+    that is cut off after that is finished by the next merge or read, one cut off
+    before has changed nothing. Nothing is left behind.
 
-    The batch must have all columns of the table; new ones may be added.
+    NULL keys and partitions are refused. The batch must have all columns of the
+    table; new ones may be added. An empty batch only notes its columns.
     """
     spark = batch.sparkSession
-    exists = path_exists(spark, path)
-    if exists:
-        absent = set(spark.read.parquet(path).columns) - set(batch.columns)
+    recover(spark, path)
+    known = table_schema(spark, path)
+    if known:
+        absent = set(known.names) - set(batch.columns)
         if absent:
             raise ValueError(f"the batch lacks columns of the table: {sorted(absent)}")
-    fresh = materialize(dedup_latest(batch, keys, load_order(batch)), "batch")
-    if not exists:
-        replace_partitions(gathered(fresh, partition), path, partition)
-        return
-    low, high = fresh.agg(F.min(partition), F.max(partition)).first()
-    if low is None:
-        return
-    target = spark.read.schema(fresh.schema).parquet(path)
-    touched = target.where(F.col(partition).between(F.lit(low), F.lit(high))).join(
-        fresh.select(partition).distinct(), partition, "left_semi"
-    )
-    merged = merge_rows(touched.select(*fresh.columns), fresh, keys)
-    staged = materialize(gathered(merged, partition), "merged", [partition])
-    replace_partitions(staged, path, partition)
+    guarded = [_known(c, path) if c in (*keys, partition) else F.col(c) for c in batch.columns]
+    with run_folder(spark) as folder:
+        fresh = materialize(dedup_latest(batch.select(*guarded), keys, load_order(batch)), "batch", folder=folder)
+        # The partition column stands last, as in a scan of the table.
+        fields = [*(f for f in fresh.schema.fields if f.name != partition), fresh.schema[partition]]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+        if known != schema:
+            # Notes go through the file system's own interface, so a classic session is needed.
+            store, at = file_store(spark, path)
+            store.mkdirs(at)
+            _note(spark, f"{path}/_schema.json", schema.json())
+        low, high = fresh.agg(F.min(partition), F.max(partition)).first()
+        if low is None:
+            return
+        target = spark.read.schema(schema).parquet(path)
+        touched = target.where(F.col(partition).between(F.lit(low), F.lit(high))).join(
+            fresh.select(partition).distinct(), partition, "left_semi"
+        )
+        merged = merge_rows(touched.select(*fresh.columns), fresh, keys)
+        staged = f"{path}/_staged/{uuid.uuid4().hex}"
+        gathered(merged.select(*schema.names), partition).write.partitionBy(partition).parquet(staged)
+    _note(spark, f"{path}/_merge.json", json.dumps({"staged": staged, "partition": partition}))
+    recover(spark, path)
 
 
 def backfill_by_year(
@@ -164,19 +238,19 @@ def backfill_by_year(
     start: dt.date,
     end: dt.date,
     extract: Callable[[dt.date, dt.date], DataFrame],
+    keys: Sequence[str],
     day: str,
 ) -> list[int]:
-    """Load a long range one calendar year at a time.
+    """Load a long range one calendar year at a time, each merged by key.
 
     Each year is committed before the next one starts, so an interruption loses
-    at most the year in progress, and running a year again replaces it. The loop
-    is over years only; within a year every task writes what it read, without a
-    shuffle, as all rows go to the same partition.
+    at most the year in progress, and running a year or a part of it again changes
+    only the keys that come again. The loop is over years only.
     """
     request = spark.sql(f"SELECT DATE'{start}' AS s, DATE'{end}' AS e")
     done = []
     for chunk in year_chunks(request, "s", "e").orderBy("chunk_year").collect():
         rows = extract(chunk["chunk_start"], chunk["chunk_end"])
-        replace_partitions(rows.withColumn("year", F.year(day)), path, "year")
+        upsert(path, rows.withColumn("year", F.year(day)), keys, "year")
         done.append(chunk["chunk_year"])
     return done
