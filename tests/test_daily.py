@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,10 @@ from pyspark.sql import types as T
 
 from helpers import day, frame, rows, ts
 from uurwerk.params import SiteParams, default_profile
-from uurwerk.plans.daily import Lake, load_raw, load_window, run_daily
-from uurwerk.plans.loads import load_history, read_source, request_plan
+from uurwerk.plans.daily import Lake, DataTestsFailed, load_raw, load_window, read_lake, run_daily
+from uurwerk.plans.loads import from_source, load_history, request_plan
 from uurwerk.plans.staging import stage_electricity_mix, stage_gas_prices
+from uurwerk.session import shared_folder
 from uurwerk.sources.landing import RequestFailed
 from uurwerk.sources.tables import raw_schema
 from uurwerk.streaming.upserts import upsert_stream
@@ -119,8 +121,8 @@ def test_load_windows():
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     lake = Lake(str(tmp_path_factory.mktemp("lake")), env="dev")
-    models, tests = run_daily(spark, lake, extracts(spark), default_profile(spark), RUN, params=PARAMS)
-    return lake, models, {(r["table_name"], r["test"]): r["failures"] for r in tests.collect()}
+    run = run_daily(spark, lake, extracts(spark), default_profile(spark), RUN, params=PARAMS)
+    return lake, run.models, {(r["table_name"], r["test"]): r["failures"] for r in run.tests.collect()}
 
 
 def test_all_67_data_tests_pass(built):
@@ -164,12 +166,85 @@ def test_market_has_prices_grid_and_weather(built):
 def test_a_second_run_overwrites_revised_values(spark, built):
     lake, models, _ = built
     before = models["hourly_prices"].count()
-    again, tests = run_daily(spark, lake, extracts(spark, bump=1.0), default_profile(spark), RUN, params=PARAMS)
-    assert sum(r["failures"] for r in tests.collect()) == 0
+    run = run_daily(spark, lake, extracts(spark, bump=1.0), default_profile(spark), RUN, params=PARAMS)
+    assert sum(r["failures"] for r in run.tests.collect()) == 0
+    again = run.models
     assert again["hourly_prices"].count() == before
     assert again["hourly_prices"].agg(F.min("electricity_price_eur_per_kwh")).first()[0] > 1.0
 
 
+def close(df):
+    """Rows with sums to 6 places: their order of adding may differ."""
+    return [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows(df)]
+
+
+def test_only_the_touched_months_are_rebuilt(spark, built):
+    """After new prices a rebuild from the last days on leaves March's start as it is."""
+    lake, _, _ = built
+    whole = run_daily(spark, lake, extracts(spark, bump=2.0), default_profile(spark), RUN, params=PARAMS)
+    want = {name: close(df) for name, df in whole.models.items()}
+    stamp = (Path(lake.root) / "dev_marts" / "daily_energy" / "month_key=2024-03").stat().st_mtime_ns
+    later = run_daily(
+        spark, lake, extracts(spark, bump=2.0), default_profile(spark), RUN, params=PARAMS, rebuild_from=day("2024-04-01")
+    )
+    assert {name: close(df) for name, df in later.models.items()} == want
+    assert (Path(lake.root) / "dev_marts" / "daily_energy" / "month_key=2024-03").stat().st_mtime_ns == stamp
+
+
+def test_several_sites_are_built_side_by_side(spark, built, tmp_path):
+    _, models, _ = built
+    sites = frame(spark, "site string", [("north",), ("south",)])
+    run = run_daily(
+        spark, Lake(str(tmp_path)), extracts(spark), default_profile(spark), RUN, params=PARAMS, sites=sites
+    )
+    assert sum(r["failures"] for r in run.tests.collect()) == 0 and run.tests.count() == 67
+    one = run_daily(spark, Lake(str(tmp_path / "one")), extracts(spark), default_profile(spark), RUN, params=PARAMS).models
+    for name in ("hourly_schedule", "hourly_demand", "hourly_energy", "daily_energy"):
+        for site in ("north", "south"):
+            mine = run.models[name].where(F.col("site") == site)
+            assert close(mine.select(*one[name].columns)) == close(one[name])
+    assert rows(run.models["hourly_prices"]) == rows(one["hourly_prices"])
+
+
+def test_a_failing_test_stops_what_depends_on_the_table(spark, tmp_path):
+    broken = {**extracts(spark), "renewable_percentage": lambda first, last: extracts(spark)["total_load"](first, last)}
+    with pytest.raises(DataTestsFailed, match="renewable_percentage accepted_range:renewable_pct"):
+        run_daily(spark, Lake(str(tmp_path)), broken, default_profile(spark), RUN, params=PARAMS)
+    assert not (tmp_path / "intermediate").exists() and not (tmp_path / "marts").exists()
+
+
+def test_days_without_data_and_old_sources_are_reported(spark, tmp_path):
+    found = extracts(spark)["electricity_prices"]
+
+    def prices(first, last):
+        """As :func:`from_source` answers: the rows, and the days without any."""
+        gap = F.to_date("timestamp_utc") == "2024-03-26"
+        return found(first, last).where(~gap), frame(spark, "series string, day date", [("electricity_prices", day("2024-03-26"))])
+
+    given = {**extracts(spark), "electricity_prices": prices}
+    run = run_daily(
+        spark, Lake(str(tmp_path)), given, default_profile(spark), RUN, params=PARAMS, as_of=dt.datetime(2024, 4, 4, 12)
+    )
+    assert rows(run.skipped) == [("electricity_prices", day("2024-03-26"))]
+    status = dict(rows(run.freshness, "table_name", "status"))
+    assert len(status) == 9 and status["weather"] == "warn"
+
+
+def test_a_run_leaves_no_scratch_tables(spark, built, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "uurwerk"
+    before = set(folder.glob("*"))
+    run_daily(spark, Lake(str(tmp_path)), extracts(spark), default_profile(spark), RUN, params=PARAMS)
+    assert set(folder.glob("*")) == before
+
+
+def test_two_loads_of_one_day_are_told_apart(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for bump in (0.0, 1.0):
+        run_daily(spark, lake, extracts(spark, bump), default_profile(spark), RUN, params=PARAMS)
+    ids = [r[0] for r in read_lake(spark, lake)["electricity_prices"].select("_load_id").distinct().collect()]
+    assert len(ids) == 1 and read_lake(spark, lake)["electricity_prices"].agg(F.min("price_eur_per_kwh")).first()[0] > 0.9
+
+
 def test_a_failing_load_stops_the_run_before_any_table_is_built(spark, tmp_path):
     def broken(first, last):
         raise RuntimeError("load failed")
@@ -249,7 +324,8 @@ def test_a_source_is_asked_once_and_reports_the_days_without_data(spark, tmp_pat
         return [{"timestamp_utc": dt.datetime(first.year, first.month, first.day), "price_eur_per_kwh": 0.2}]
 
     schema = T.StructType().add("timestamp_utc", T.TimestampNTZType()).add("price_eur_per_kwh", T.DoubleType())
-    found, skipped = read_source(spark, "electricity_prices", fetch, schema, day("2019-10-01"), day("2019-11-15"))
+    extract = from_source(spark, "electricity_prices", fetch, schema)
+    found, skipped = extract(day("2019-10-01"), day("2019-11-15"))
     assert rows(skipped) == [("electricity_prices", day("2019-10-27"))]
     assert found.count() == 29 + 1 and found.count() == 30
     assert len(list(log.iterdir())) == 2 + 30

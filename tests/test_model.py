@@ -8,7 +8,7 @@ from uurwerk.functions.nulls import floor_at_zero, reconcile, safe_divide
 from uurwerk.operators.balance import energy_balance, lighting_inputs
 from uurwerk.operators.calendar import hour_spine
 from uurwerk.operators.compare import daily_compare
-from uurwerk.operators.costs import cost_emissions
+from uurwerk.operators.costs import add_costs, priced_hours
 from uurwerk.operators.holidays import fold_holidays
 from uurwerk.operators.market import market_hourly
 from uurwerk.operators.schedule import expand_schedule
@@ -198,7 +198,7 @@ def test_costs_stay_null_where_an_input_is_missing(spark):
         spark, "hour_utc timestamp_ntz, carbon_intensity_gco2eq_per_kwh double", [(ts("2024-01-01 00:00"), 300.0)]
     )
     got = rows(
-        cost_emissions(demand, prices, grid, P),
+        add_costs(priced_hours(demand, prices, grid), P),
         "hour_utc",
         "electricity_cost_eur",
         "gas_cost_eur",

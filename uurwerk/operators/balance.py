@@ -29,10 +29,11 @@ def lighting_inputs(
 
 
 def energy_balance(df: DataFrame, params: SiteParams) -> DataFrame:
-    """Steady-state heat balance per m² of floor, scaled to the whole site.
+    """Electricity, heat and gas of every hour, taken as in balance by itself.
 
-    Each hour stands alone. W/m² held for one hour is Wh/m²; times the area over
-    1000 is kWh. A missing temperature or radiation leaves heat and gas NULL.
+    Powers are per floor area; over an hour and the whole area they make
+    ``area / 1000`` kWh for each W/m². Heat and gas are unknown (NULL) wherever the
+    weather is.
     """
 
     def p(value) -> Column:
@@ -71,6 +72,9 @@ DEMAND_COLUMNS = [
 ]
 
 
+DEMAND_OUTPUT = [*DEMAND_COLUMNS, "lighting_kwh", "base_load_kwh", "electricity_kwh", "heat_demand_kwh", "gas_m3"]
+
+
 def scenario_demand(hourly: DataFrame, params: SiteParams, by=(), carry=()) -> DataFrame:
     """Demand per hour for the fixed schedule and for the price-shifted one.
     ``carry`` names further columns to keep, such as prices for the cost."""
@@ -79,13 +83,3 @@ def scenario_demand(hourly: DataFrame, params: SiteParams, by=(), carry=()) -> D
         shifted, {"baseline": "is_lighting_on_baseline", "optimized": "is_lighting_on_optimized"}
     )
     return energy_balance(scenarios.select(*by, *DEMAND_COLUMNS, *carry), params)
-
-
-def hourly_demand(
-    schedule: DataFrame, weather: DataFrame, prices: DataFrame, params: SiteParams, by=(), weather_by=(), price_by=()
-) -> DataFrame:
-    """Demand of both scenarios from the schedule, the weather and the prices."""
-    hourly = lighting_inputs(
-        schedule, weather, prices, params, on=[*weather_by, "hour_utc"], price_on=[*price_by, "hour_utc"]
-    )
-    return scenario_demand(hourly, params, by)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,7 @@ def _hourly(measure: str, percentage: bool = False) -> TableTests:
     )
 
 
+# The tests of each table.
 TESTS = {
     "electricity_prices": _hourly("electricity_price_eur_per_kwh"),
     "gas_prices": TableTests(
@@ -89,7 +91,21 @@ TESTS = {
     ),
 }
 
-# Tables whose newest row has an age limit, with the column that dates a row.
+# Tables that have a row for each site if there are several.
+SITE_TABLES = ("hourly_schedule", "hourly_demand", "hourly_energy", "daily_energy")
+
+
+def tests_for(by: Sequence[str] = ()) -> dict[str, TableTests]:
+    """The tests, with the site's columns in the keys of the tables that have them."""
+    tests = dict(TESTS)
+    for name in SITE_TABLES if by else ():
+        old = tests[name]
+        keys = (*((c,) for c in old.unique), *old.unique_combination)
+        tests[name] = replace(old, unique=(), unique_combination=tuple((*by, *k) for k in keys))
+    return tests
+
+
+# Tables whose newest row has an age limit, with the column that dates a row.
 FRESHNESS = {
     "electricity_prices": "timestamp_utc",
     "gas_prices": "timestamp_utc",

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from uurwerk.functions.clock import local_date
+from uurwerk.operators import quality
 from uurwerk.params import SiteParams
-from uurwerk.plans.checks import run_tests
+from uurwerk.plans.checks import FRESHNESS, run_tests, tests_for
 from uurwerk.plans.loads import Extract
 from uurwerk.plans.models import build_models
 from uurwerk.plans.staging import stage_all
@@ -21,13 +24,14 @@ from uurwerk.sources.records import split_list
 from uurwerk.sources.tables import (
     MERGE_KEYS,
     raw_schema,
+    read_table,
     register_view,
     upsert,
     with_load_id,
     write_table,
 )
 
-# Raw tables are partitioned by the month of their key.
+# Raw tables are partitioned by the month of their key, models by that of their date.
 MONTH = "month_key"
 
 # Day-ahead prices are published for tomorrow; everything else ends today.
@@ -80,12 +84,46 @@ def load_raw(lake: Lake, name: str, batch: DataFrame, load_id: str) -> None:
 def read_lake(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The raw tables, with the list of holiday types as a child table."""
     raw = {
-        name: spark.read.schema(stored_schema(name)).parquet(lake.raw_path(name)).drop(MONTH) for name in MERGE_KEYS
+        name: read_table(spark, lake.raw_path(name)).select(*stored_schema(name).names) for name in MERGE_KEYS
     }
     raw["public_holidays"], raw["public_holidays__types"] = split_list(raw["public_holidays"], ["date"], "types")
     return raw
 
 
+class DataTestsFailed(RuntimeError):
+    """A table did not pass its data tests; what depends on it was not built."""
+
+    def __init__(self, failed: list[tuple[str, str, int]]):
+        super().__init__("; ".join(f"{table} {test}: {n}" for table, test, n in failed))
+        self.failed = failed
+
+
+@dataclass(frozen=True)
+class DailyRun:
+    """What a run made: the models, every test's number of failures, the days that the
+    sources had no data for, and the age of the sources' newest rows."""
+
+    models: dict[str, DataFrame]
+    tests: DataFrame
+    skipped: DataFrame
+    freshness: DataFrame
+
+
+def source_freshness(raw: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+    """Age of the newest row of each source against a given clock."""
+    parts = [
+        quality.freshness(raw[name], column, as_of).select(F.lit(name).alias("table_name"), "max_loaded_at", "status")
+        for name, column in FRESHNESS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def month_of(df: DataFrame, tz: str) -> Column:
+    """The month by which a table is stored: that of its local date."""
+    known = [F.col(c) for c in ("date_day", "date_local") if c in df.columns]
+    return F.date_format(known[0] if known else local_date(F.col("hour_utc"), tz), "yyyy-MM")
+
+
 def run_daily(
     spark: SparkSession,
     lake: Lake,
@@ -95,25 +133,66 @@ def run_daily(
     lookback_days: int = 7,
     params: SiteParams = SiteParams(),
     loads_at_once: int = 4,
-) -> tuple[dict[str, DataFrame], DataFrame]:
+    as_of: dt.datetime | None = None,
+    load_id: str | None = None,
+    sites: DataFrame | None = None,
+    rebuild_from: dt.date | None = None,
+) -> DailyRun:
     """Load every source, then build and test. The loads run side by side; all of
     them must succeed before any table is rebuilt. Staged tables are views, the
-    rest is stored."""
-    load_id = run_date.isoformat()
-
-    def load(name: str) -> None:
-        load_raw(lake, name, extracts[name](*load_window(name, run_date, lookback_days)), load_id)
+    rest is stored by month and tested as soon as it is there: a failing test stops
+    the run before anything that depends on the table.
+
+    An extract returns the rows, or the rows and the days without data as
+    :func:`uurwerk.plans.loads.read_source` does. ``load_id`` tells loads apart and must
+    sort in their order; by default it is the time of the call. ``rebuild_from`` limits
+    the rebuild to the months from that day on, which is enough when no older day has
+    new data; months before stay as they are stored.
+    """
+    load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%f}"
+    by = list(sites.columns) if sites is not None else []
+    if rebuild_from is not None:
+        first = max(rebuild_from.replace(day=1), dt.date.fromisoformat(params.spine_start_date))
+        params = replace(params, spine_start_date=str(first))
+
+    def load(name: str) -> DataFrame | None:
+        got = extracts[name](*load_window(name, run_date, lookback_days))
+        rows, skipped = got if isinstance(got, tuple) else (got, None)
+        load_raw(lake, name, rows, load_id)
+        return skipped
 
     with ThreadPoolExecutor(loads_at_once) as pool:
-        list(pool.map(load, extracts))
+        without_data = [s for s in pool.map(load, extracts) if s is not None]
+    skipped = reduce(DataFrame.unionByName, without_data, spark.createDataFrame([], "series string, day date"))
+
+    raw = read_lake(spark, lake)
+    staged = stage_all(raw, params)
+    wanted = tests_for(by)
+    built: dict[str, DataFrame] = {"monthly_profile": profile}
+    results: list[tuple[str, str, int]] = []
+
+    def passed(tables: Mapping[str, DataFrame]) -> None:
+        built.update(tables)
+        found = [tuple(r) for r in run_tests(built, {name: wanted[name] for name in tables if name in wanted}).collect()]
+        results.extend(found)
+        if failed := [r for r in found if r[2]]:
+            raise DataTestsFailed(failed)
 
-    staged = stage_all(read_lake(spark, lake), params)
     for name, df in staged.items():
         register_view(df, lake.env, "staging", name)
+    passed({**staged, "monthly_profile": profile})
 
-    def store(df: DataFrame, layer: str, name: str) -> DataFrame:
-        return write_table(df, lake.root, lake.env, layer, name)
+    whole: dict[str, DataFrame] = {}
 
-    models = build_models(spark, staged, profile, run_date, params, store)
-    results = run_tests({**staged, **models, "monthly_profile": profile})
-    return models, results
+    def store(df: DataFrame, layer: str, name: str) -> DataFrame:
+        """Later tables are built from, and tests run on, the months of this run."""
+        stored = write_table(df.withColumn(MONTH, month_of(df, params.timezone)), lake.root, lake.env, layer, name, [MONTH])
+        whole[name] = stored.drop(MONTH)
+        rebuilt = stored if rebuild_from is None else stored.where(F.col(MONTH) >= params.spine_start_date[:7])
+        passed({name: rebuilt.drop(MONTH)})
+        return rebuilt.drop(MONTH)
+
+    models = {name: whole[name] for name in build_models(spark, staged, profile, run_date, params, store, sites)}
+    tests = spark.createDataFrame(results, "table_name string, test string, failures long")
+    clock = as_of or dt.datetime.combine(run_date + dt.timedelta(days=1), dt.time())
+    return DailyRun(models, tests, skipped, source_freshness(raw, clock))

@@ -14,7 +14,8 @@ from uurwerk.session import materialize
 from uurwerk.sources.landing import Fetch, chunked_read
 from uurwerk.sources.ranges import chunk_ranges, clip_ranges, year_chunks
 
-Extract = Callable[[dt.date, dt.date], DataFrame]
+# first and last day → the rows, or the rows and the (series, day) without data
+Extract = Callable[[dt.date, dt.date], DataFrame | tuple[DataFrame, DataFrame]]
 
 
 def _request(spark: SparkSession, name: str, first: dt.date, last: dt.date) -> DataFrame:
@@ -46,6 +47,11 @@ def read_source(
     return rows, skipped
 
 
+def from_source(spark: SparkSession, name: str, fetch: Fetch, row_schema: T.StructType) -> Extract:
+    """The extract that reads a table's source through :func:`read_source`."""
+    return lambda first, last: read_source(spark, name, fetch, row_schema, first, last)
+
+
 def load_history(
     spark: SparkSession, name: str, extract: Extract, store: Callable[[DataFrame], None], first: dt.date, last: dt.date
 ) -> list[int]:

@@ -8,16 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uurwerk.operators.balance import hourly_demand
+from uurwerk.functions.clock import day_at
+from uurwerk.operators.balance import DEMAND_OUTPUT
 from uurwerk.operators.calendar import date_dimension, hour_spine
 from uurwerk.operators.compare import daily_compare
-from uurwerk.operators.costs import cost_emissions
+from uurwerk.operators.costs import hourly_energy, priced_hours
 from uurwerk.operators.market import market_hourly
 from uurwerk.operators.prices import attach_prices
 from uurwerk.operators.schedule import expand_schedule
 from uurwerk.operators.signals import consolidate_signals
 from uurwerk.params import SiteParams
 
+# Column names of the tables.
 MIX_COLUMNS = [
     "wind_mw",
     "solar_mw",
@@ -51,7 +53,7 @@ WEATHER_COLUMNS = [
 
 
 def grid_signals(staged: dict[str, DataFrame]) -> DataFrame:
-    """Grid signals per hour; carbon intensity has full coverage and drives."""
+    """All grid signals by hour, for the hours of the carbon intensity."""
     carbon = staged["carbon_intensity"].select(
         "hour_utc",
         "carbon_intensity_gco2eq_per_kwh",
@@ -74,36 +76,47 @@ def build_models(
     run_date: dt.date,
     params: SiteParams,
     store: Callable[[DataFrame, str, str], DataFrame] = lambda df, layer, name: df,
+    sites: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The five hourly tables and the four marts.
 
     ``store(df, layer, name)`` decides what a table becomes: written and scanned
-    again, a view, or (by default) left as a lazy plan.
+    again, a view, or (by default) left as a lazy plan. ``sites`` has one row per
+    site, its columns name it and become part of the key of schedule, demand and
+    energy; prices, grid and weather are shared. Without it there is one site.
     """
-    request = spark.sql(f"SELECT DATE'{params.spine_start_date}' AS start_date, DATE'{run_date}' AS run_date")
-    hours = store(hour_spine(request, params.timezone), "intermediate", "hours")
-    schedule = store(expand_schedule(hours, profile, params), "intermediate", "hourly_schedule")
+    by = list(sites.columns) if sites is not None else []
+    dates = [
+        F.lit(params.spine_start_date).cast("date").alias("start_date"), F.lit(str(run_date)).cast("date").alias("run_date")
+    ]
+    hours = store(hour_spine(spark.range(1).select(*dates), params.timezone), "intermediate", "hours")
     prices = store(
         attach_prices(hours, staged["electricity_prices"], staged["gas_prices"], params.gas_day_start_hour),
         "intermediate",
         "hourly_prices",
     )
-    grid = store(grid_signals(staged), "intermediate", "grid_signals")
-    demand = store(hourly_demand(schedule, staged["weather"], prices, params), "intermediate", "hourly_demand")
+    calendar = store(date_dimension(hours, staged["public_holidays"]), "marts", "dim_date")
+    since = day_at(F.lit(params.spine_start_date).cast("date"), 0, params.timezone)
+    grid = store(grid_signals(staged).where(F.col("hour_utc") >= since), "intermediate", "grid_signals")
+    spine = hours if sites is None else hour_spine(sites.select(*by, *dates), params.timezone, by=by)
+    schedule = store(expand_schedule(spine, profile, params), "intermediate", "hourly_schedule")
+    # Demand is a part of the energy table, so both come from one pass over the hours.
+    energy = store(
+        hourly_energy(priced_hours(schedule, prices, grid), staged["weather"], params, by), "marts", "hourly_energy"
+    )
+    demand = store(energy.select(*by, *DEMAND_OUTPUT), "intermediate", "hourly_demand")
 
-    dates = store(date_dimension(hours, staged["public_holidays"]), "marts", "dim_date")
     market = market_hourly(prices, grid, staged["weather"].select("hour_utc", *WEATHER_COLUMNS)).select(
         *prices.columns, "day_ahead_price_eur_per_mwh", *GRID_COLUMNS, *WEATHER_COLUMNS
     )
-    energy = store(cost_emissions(demand, prices, grid, params), "marts", "hourly_energy")
     return {
         "hours": hours,
         "hourly_schedule": schedule,
         "hourly_prices": prices,
         "grid_signals": grid,
         "hourly_demand": demand,
-        "dim_date": dates,
+        "dim_date": calendar,
         "hourly_market": store(market, "marts", "hourly_market"),
         "hourly_energy": energy,
-        "daily_energy": store(daily_compare(energy), "marts", "daily_energy"),
+        "daily_energy": store(daily_compare(energy, by=by), "marts", "daily_energy"),
     }
