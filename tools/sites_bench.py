@@ -14,10 +14,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from uurwerk.operators.balance import lighting_inputs, scenario_demand  # noqa: E402
 from uurwerk.operators.calendar import hour_spine  # noqa: E402
 from uurwerk.operators.compare import daily_compare  # noqa: E402
-from uurwerk.operators.costs import add_costs  # noqa: E402
+from uurwerk.operators.costs import hourly_energy  # noqa: E402
 from uurwerk.operators.prices import attach_prices  # noqa: E402
 from uurwerk.operators.schedule import expand_schedule  # noqa: E402
 from uurwerk.params import SiteParams, default_profile  # noqa: E402
@@ -58,12 +57,12 @@ def main() -> None:
         F.lit("2019-01-01").cast("date").alias("start_date"),
         F.add_months(F.lit("2019-01-01").cast("date"), 12 * years).alias("run_date"),
     )
-    schedule = expand_schedule(hour_spine(ranges, params.timezone, by=["site"]), default_profile(spark), params)
+    days = sites * (366 * years + 1)
+    spine = hour_spine(ranges, params.timezone, by=["site"], total_days=days)
+    schedule = expand_schedule(spine, default_profile(spark), params)
     prices = attach_prices(schedule, hourly.select("hour_utc", "electricity_price_eur_per_kwh"), gas)
     carbon = hourly.select("hour_utc", "carbon_intensity_gco2eq_per_kwh")
-    inputs = lighting_inputs(prices.join(carbon, "hour_utc", "left"), hourly, None, params)
-    carry = ["electricity_price_eur_per_kwh", "gas_price_eur_per_m3", "carbon_intensity_gco2eq_per_kwh"]
-    energy = add_costs(scenario_demand(inputs, params, by=["site"], carry=carry), params)
+    energy = hourly_energy(prices.join(carbon, "hour_utc", "left"), hourly, params, by=["site"])
     daily = daily_compare(energy, by=["site"])
     started = time.perf_counter()
     totals = daily.agg(

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from uurwerk.functions.clock import hours, local_date, to_local, trunc_hour
 from uurwerk.functions.nulls import floor_at_zero, reconcile
 from uurwerk.operators import quality, reports
-from uurwerk.operators.balance import hourly_demand, lighting_inputs, scenario_demand
+from uurwerk.operators.balance import DEMAND_OUTPUT, lighting_inputs
 from uurwerk.operators.calendar import date_dimension, hour_spine, with_local_time
 from uurwerk.operators.compare import daily_compare
-from uurwerk.operators.costs import add_costs, cost_emissions
+from uurwerk.operators.costs import hourly_energy, priced_hours
 from uurwerk.operators.dedup import dedup_latest
 from uurwerk.operators.holidays import fold_holidays
 from uurwerk.operators.intervals import day_intervals, interval_attach
@@ -25,13 +25,23 @@ from uurwerk.operators.schedule import expand_schedule
 from uurwerk.operators.shifting import rank_cheapest, scenario_expand, shift_to_cheapest
 from uurwerk.operators.signals import consolidate_signals
 from uurwerk.params import default_profile, read_profile
+from uurwerk.plans import staging
 from uurwerk.plans.staging import SIGNAL_MEASURES, stage_signal
 from uurwerk.registry import inputs as src
 from uurwerk.registry.inputs import PARAMS, ZONE, shifted, table
 from uurwerk.session import materialize, scratch_path
 from uurwerk.sources import ranges, records
-from uurwerk.sources.landing import chunked_read, landing_fetch
-from uurwerk.sources.tables import backfill_by_year, gathered, replace_partitions, upsert, with_load_id
+from uurwerk.sources.landing import landing_read
+from uurwerk.sources.tables import (
+    backfill_by_year,
+    raw_schema,
+    read_raw,
+    read_table,
+    register_view,
+    upsert,
+    with_load_id,
+    write_table,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -128,14 +138,14 @@ def interval_price_attach(spark, sf_dir):
 @query("interval_join_generic")
 def interval_join_generic(spark, sf_dir):
     """Events against overlapping intervals of their user. Each hour with a signup
-    opens one interval of 1 to 12 hours, so a point meets at most 12 of them."""
+    opens one interval of 1 to 62 hours, which may span four days."""
     events = table(spark, sf_dir, "events")
     opened = trunc_hour(F.col("ts"))
     intervals = (
         events.where(F.col("event_type") == "signup")
         .groupBy("user_id", opened.alias("valid_from"))
         .agg(F.max("value").alias("opened_value"))
-        .withColumn("length_hours", F.least(F.floor(F.col("opened_value") / 50) + 1, F.lit(12)).cast("int"))
+        .withColumn("length_hours", (F.floor(F.col("opened_value") / 8) + 1).cast("int"))
         .withColumn("valid_to", F.col("valid_from") + F.make_dt_interval(hours=F.col("length_hours")))
     )
     points = events.select("event_id", "user_id", "ts")
@@ -161,13 +171,28 @@ STAGED_FROM = {
 }
 
 
+def event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest value of each event type and hour, over the spring clock change."""
+    return (
+        table(spark, sf_dir, "events")
+        .groupBy("event_type", trunc_hour(shifted()).alias("datetime"))
+        .agg(F.max("value").alias("value"))
+    )
+
+
+def landed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` stored as the raw table ``name`` and scanned with its declared schema."""
+    root = scratch_path(spark, "lake")
+    write_table(rows.select(*raw_schema(name).names), root, "prod", "raw", name)
+    return read_raw(spark, f"{root}/raw", name)
+
+
 @query("stage_signal")
 def stage_signal_tables(spark, sf_dir):
     """The flat signals scanned as raw tables, each renamed and cast, side by side."""
     raw = materialize(
-        table(spark, sf_dir, "events")
-        .groupBy("event_type", trunc_hour(shifted()).alias("datetime"))
-        .agg(F.max("value").alias("value"))
+        event_hours(spark, sf_dir)
+        .where(F.col("event_type").isin(*STAGED_FROM.values()))
         .withColumn("is_estimated", F.col("value") < 20)
         .withColumn("_load_id", F.lit("load-1")),
         "raw_signals",
@@ -183,6 +208,93 @@ def stage_signal_tables(spark, sf_dir):
     return result
 
 
+def of_type(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+    return event_hours(spark, sf_dir).where(F.col("event_type") == event_type).withColumn("_load_id", F.lit("load-1"))
+
+
+@query("stage_electricity_prices")
+def stage_electricity_price_table(spark, sf_dir):
+    rows = of_type(spark, sf_dir, "click").toDF("event_type", "timestamp_utc", "price_eur_per_kwh", "_load_id")
+    return staging.stage_electricity_prices(landed(spark, "electricity_prices", rows), PARAMS)
+
+
+@query("stage_gas_prices")
+def stage_gas_price_table(spark, sf_dir):
+    """All hours of a day bring a price; the day's latest stays, with its validity."""
+    rows = of_type(spark, sf_dir, "purchase").toDF("event_type", "timestamp_utc", "price_eur_per_m3", "_load_id")
+    return staging.stage_gas_prices(landed(spark, "gas_prices", rows), PARAMS)
+
+
+def split_by_type(value: Column) -> tuple[Column, Column]:
+    """A number as a loader stores it that gives whole ones a column of their own."""
+    whole = F.when(value == F.floor(value), value.cast("bigint"))
+    return whole, F.when(whole.isNull(), value)
+
+
+@query("stage_day_ahead_price")
+def stage_day_ahead_price_table(spark, sf_dir):
+    """Values to halves, so that whole ones and others occur."""
+    whole, other = split_by_type(F.round(F.col("value") * 2) / 2)
+    rows = of_type(spark, sf_dir, "view").select(
+        "datetime",
+        whole.alias("value"),
+        other.alias("value__v_double"),
+        F.lit(False).alias("is_estimated"),
+        F.col("datetime").alias("created_at"),
+        F.col("datetime").alias("updated_at"),
+        "_load_id",
+    )
+    return staging.stage_day_ahead_price(landed(spark, "day_ahead_price", rows))
+
+
+@query("stage_electricity_mix")
+def stage_electricity_mix_table(spark, sf_dir):
+    """Each source is the hour's value over its own number; the last ones are missing
+    below 100."""
+    rows = of_type(spark, sf_dir, "view")
+    columns = []
+    for k, f in enumerate(raw_schema("electricity_mix").fields):
+        name, value = f.name, F.round(F.col("value") / (k + 1))
+        if name.endswith("__v_double"):
+            continue
+        if f.dataType.simpleString() == "bigint":
+            whole, other = split_by_type(F.round(F.col("value") * 2 / (k + 1)) / 2)
+            columns += [whole.alias(name), other.alias(f"{name}__v_double")]
+        elif name.startswith("mix__"):
+            columns.append((F.when(F.col("value") >= 100, value) if "flows" in name else value).alias(name))
+    rows = rows.select("datetime", *columns, F.lit("MEASURED").alias("estimation_method"), "_load_id")
+    return staging.stage_electricity_mix(landed(spark, "electricity_mix", rows))
+
+
+@query("stage_weather")
+def stage_weather_table(spark, sf_dir):
+    names = [f.name for f in raw_schema("weather").fields if f.name not in ("datetime", "_load_id")]
+    measures = [(F.col("value") - 50 * k).alias(name) for k, name in enumerate(names)]
+    rows = of_type(spark, sf_dir, "error").select("datetime", *measures, "_load_id")
+    staged = staging.stage_weather(landed(spark, "weather", rows))
+    return register_view(rounded(staged), "prod", "staging", "weather")
+
+
+@query("stage_public_holidays")
+def stage_public_holiday_table(spark, sf_dir):
+    """Order dates play holidays, the priorities of their orders the types."""
+    orders = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate").cast("string"))
+    parents = orders.groupBy("date").agg(
+        F.min("o_orderpriority").alias("local_name"),
+        F.max("o_orderpriority").alias("name"),
+        F.min("o_orderstatus").alias("country_code"),
+        (F.max("o_totalprice") > 300000).alias("is_global"),
+        F.concat(F.lit("row-"), F.col("date")).alias("_row_id"),
+        F.lit("load-1").alias("_load_id"),
+    )
+    types = orders.where("o_totalprice > 200000").select(
+        F.concat(F.lit("row-"), F.col("date")).alias("_parent_id"), F.col("o_orderpriority").alias("value")
+    )
+    return fold_holidays(
+        landed(spark, "public_holidays", parents), landed(spark, "public_holidays__types", types), public="1-URGENT"
+    )
+
+
 # --- schedule, shifting, demand ----------------------------------------------
 
 
@@ -314,22 +426,19 @@ def floor_at_zero_heat(spark, sf_dir):
 
 
 class Chain:
-    """The hourly tables of one site over the signals, built once per query."""
+    """The hours of one site over the signals, with everything that is looked up for
+    an hour joined once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         signals = src.stored_signals(spark, sf_dir)
-        self.spine = hour_spine(src.date_range(signals), ZONE)
-        self.schedule = expand_schedule(self.spine, default_profile(spark), PARAMS)
-        self.prices = attach_prices(self.spine, src.electricity(signals), src.gas(signals))
+        schedule = expand_schedule(hour_spine(src.date_range(signals), ZONE), default_profile(spark), PARAMS)
+        priced = attach_prices(schedule, src.electricity(signals), src.gas(signals))
+        carbon = src.grid(signals).select("hour_utc", "carbon_intensity_gco2eq_per_kwh")
+        self.hours = priced.join(carbon, "hour_utc", "left")
         self.weather = src.weather(signals)
-        self.grid = src.grid(signals)
-        self.signals = signals
-
-    def demand(self) -> DataFrame:
-        return hourly_demand(self.schedule, self.weather, src.electricity(self.signals), PARAMS)
 
     def energy(self) -> DataFrame:
-        return cost_emissions(self.demand(), self.prices, self.grid, PARAMS)
+        return hourly_energy(self.hours, self.weather, PARAMS)
 
     def daily(self) -> DataFrame:
         return daily_compare(self.energy())
@@ -339,7 +448,7 @@ class Chain:
 def lighting_inputs_joined(spark, sf_dir):
     chain = Chain(spark, sf_dir)
     return rounded(
-        lighting_inputs(chain.schedule, chain.weather, src.electricity(chain.signals), PARAMS).select(
+        lighting_inputs(chain.hours, chain.weather, None, PARAMS).select(
             "hour_utc",
             "date_local",
             "is_day",
@@ -356,7 +465,7 @@ def lighting_inputs_joined(spark, sf_dir):
 
 @query("hourly_demand")
 def hourly_demand_scenarios(spark, sf_dir):
-    return rounded(Chain(spark, sf_dir).demand())
+    return rounded(Chain(spark, sf_dir).energy().select(*DEMAND_OUTPUT))
 
 
 @query("cost_emissions")
@@ -376,12 +485,9 @@ def site_daily_compare(spark, sf_dir):
     signals = src.stored_signals(spark, sf_dir)
     spine = site_spine(spark, sf_dir)
     schedule = expand_schedule(spine, default_profile(spark), PARAMS)
-    # Prices and carbon join the hours before these double into scenarios.
     prices = attach_prices(schedule, src.electricity(signals), src.user_day_prices(spark, sf_dir), daily_by=["site"])
     carbon = src.grid(signals).select("hour_utc", "carbon_intensity_gco2eq_per_kwh")
-    hourly = lighting_inputs(prices.join(carbon, "hour_utc", "left"), src.weather(signals), None, PARAMS)
-    carry = ["electricity_price_eur_per_kwh", "gas_price_eur_per_m3", "carbon_intensity_gco2eq_per_kwh"]
-    energy = add_costs(scenario_demand(hourly, PARAMS, by=["site"], carry=carry), PARAMS)
+    energy = hourly_energy(prices.join(carbon, "hour_utc", "left"), src.weather(signals), PARAMS, by=["site"])
     return rounded(daily_compare(energy, by=["site"]), 4)
 
 
@@ -505,6 +611,23 @@ def coverage_gaps(spark, sf_dir):
     return reports.coverage(found, chunks, ["event_type"])
 
 
+@query("coverage_by_year")
+def coverage_by_year(spark, sf_dir):
+    """Hours found per event type and calendar year, over the events and the same ones
+    350 days later, in chunks of a month."""
+    hour = F.explode(F.array(trunc_hour(F.col("ts")), trunc_hour(shifted(days=350))))
+    found = materialize(table(spark, sf_dir, "events").select("event_type", hour.alias("hour_utc")).distinct(), "found_hours")
+    wanted = found.groupBy("event_type").agg(
+        F.to_date(F.min("hour_utc")).alias("start_date"), F.to_date(F.max("hour_utc")).alias("end_date")
+    )
+    days = ranges.expand_days(wanted, "start_date", "end_date")
+    months = days.groupBy("event_type", F.trunc("day", "month").alias("_month")).agg(
+        F.min("day").alias("chunk_start"), F.max("day").alias("chunk_end")
+    )
+    per_chunk = reports.coverage(found, months.drop("_month"), ["event_type"])
+    return reports.coverage_by_year(per_chunk, ["event_type"])
+
+
 @query("duplicate_days")
 def duplicate_days(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", local_date(shifted(), ZONE))
@@ -642,9 +765,9 @@ def merge_upsert(spark, sf_dir):
         return with_load_id(df, load_id).withColumn("day", F.to_date("datetime").cast("string"))
 
     path = scratch_path(spark, "signals")
-    replace_partitions(gathered(dated(first, "load-1"), "day"), path, "day")
-    scan = spark.read.schema(dated(first, "").schema)
-    stored = scan.parquet(path).select("event_type", "datetime", "value")
+    keys = ["event_type", "datetime"]
+    upsert(path, dated(first, "load-1"), keys, "day")
+    stored = read_table(spark, path).select("event_type", "datetime", "value")
     run_date = dt.date(2024, 1, 30)
     again = ranges.trailing_window(stored, "datetime", run_date, 7)
     ahead = again.where(F.col("datetime") >= F.lit(str(run_date)).cast("timestamp_ntz")).withColumn(
@@ -653,8 +776,22 @@ def merge_upsert(spark, sf_dir):
     batch = dated(again.unionByName(ahead).withColumn("value", F.col("value") + 1), "load-2").unionByName(
         dated(again.withColumn("value", F.col("value") + 2), "load-3")
     )
-    upsert(path, batch, ["event_type", "datetime"], "day")
-    return rounded(scan.parquet(path).select("event_type", "datetime", "value", "_load_id"))
+    upsert(path, batch, keys, "day")
+    return rounded(read_table(spark, path).select("event_type", "datetime", "value", "_load_id"))
+
+
+@query("merge_empty_first")
+def merge_empty_first(spark, sf_dir):
+    """A load without rows, the events, the events again with new values and one column
+    more, and a load without rows."""
+    events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").cast("string").alias("day"), "value")
+    path = scratch_path(spark, "events")
+    upsert(path, events.limit(0), ["event_id"], "day")
+    upsert(path, events, ["event_id"], "day")
+    again = with_load_id(events.withColumn("value", F.col("value") + 1), "b")
+    upsert(path, again, ["event_id"], "day")
+    upsert(path, again.limit(0), ["event_id"], "day")
+    return read_table(spark, path).select("event_id", "day", "value", "_load_id")
 
 
 @query("incremental_window")
@@ -670,7 +807,7 @@ def incremental_window(spark, sf_dir):
 
 @query("backfill_by_year")
 def backfill_years(spark, sf_dir):
-    """Orders loaded year by year, one year loaded again, then read back."""
+    """Orders loaded year by year, a year and a part of it loaded again, then read back."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     start, end = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
     path = scratch_path(spark, "orders_by_year")
@@ -682,10 +819,10 @@ def backfill_years(spark, sf_dir):
             & (F.col("o_orderdate") < F.lit(str(after)).cast("timestamp_ntz"))
         )
 
-    backfill_by_year(spark, path, start, end, extract, "o_orderdate")
-    backfill_by_year(spark, path, dt.date(1997, 1, 1), dt.date(1997, 12, 31), extract, "o_orderdate")
+    for first, last in ((start, end), (dt.date(1996, 1, 1), dt.date(1996, 12, 31)), (dt.date(1997, 6, 1), dt.date(1997, 12, 31))):
+        backfill_by_year(spark, path, first, last, extract, ["o_orderkey"], "o_orderdate")
     return (
-        spark.read.parquet(path)
+        read_table(spark, path)
         .groupBy(F.col("year").cast("int").alias("year"))
         .agg(F.count(F.lit(1)).alias("n_orders"), money("o_totalprice").alias("total_price"))
     )
@@ -709,5 +846,4 @@ def chunked_read_fallback(spark, sf_dir):
         F.to_date(F.min("hour_utc")).alias("start_date"), F.to_date(F.max("hour_utc")).alias("end_date")
     )
     plan = ranges.chunk_ranges(wanted, "start_date", "end_date", 10)
-    schema = T.StructType.fromDDL("hour_utc timestamp_ntz, value double")
-    return chunked_read(plan, landing_fetch(root, 24, schema.names), schema)
+    return landing_read(plan, landed, 24)
