@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 from pathlib import Path
 
 import pytest
@@ -329,15 +330,15 @@ def test_a_merge_cut_off_while_it_replaces_is_finished_later(spark, tmp_path, mo
     path, schema = f"{tmp_path}/t", "k int, v int, day string"
     upsert(path, frame(spark, schema, [(1, 1, "a"), (2, 2, "b"), (3, 3, "b")]), ["k"], "day")
 
-    def cut_off(df, path, partition):
-        # One of two partitions is replaced, then the driver is gone.
-        df.where("day = 'a'").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-        for f in (tmp_path / "t" / "day=b").iterdir():
-            f.unlink()
+    def cut_off(spark, staged, path):
+        # One of two partitions is in place, the other one is deleted, then the driver is gone.
+        shutil.rmtree(f"{path}/day=a")
+        os.rename(f"{staged}/day=a", f"{path}/day=a")
+        shutil.rmtree(f"{path}/day=b")
         raise KeyboardInterrupt
 
     with monkeypatch.context() as m:
-        m.setattr(tables, "replace_partitions", cut_off)
+        m.setattr(tables, "swap_partitions", cut_off)
         with pytest.raises(KeyboardInterrupt):
             upsert(path, frame(spark, schema, [(1, 10, "a"), (2, 20, "b")]), ["k"], "day")
     if finish == "merge":

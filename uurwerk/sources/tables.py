@@ -120,14 +120,16 @@ def gathered(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition))
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Overwrite exactly the partitions that ``df`` holds."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+def swap_partitions(spark: SparkSession, staged: str, path: str) -> None:
+    """Put each staged partition in the place of the table's own. A partition that was
+    moved already is gone from ``staged``, so a swap that was cut off can be repeated."""
+    store, at = file_store(spark, staged)
+    for found in store.listStatus(at) if store.exists(at) else []:
+        if found.isDirectory():
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{found.getPath().getName()}")
+            store.delete(target, True)
+            if not store.rename(found.getPath(), target):
+                raise OSError(f"cannot move {found.getPath()} to {target}")
 
 
 def _note(spark: SparkSession, path: str, text: str) -> None:
@@ -162,15 +164,13 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
 def recover(spark: SparkSession, path: str) -> bool:
     """Finish a merge that was cut off while it replaced partitions.
 
-    The merged rows were complete when the merge was noted, so replacing the same
-    partitions again leaves the table as the merge would have.
+    The merged rows were complete when the merge was noted, so moving the partitions
+    that are still staged leaves the table as the merge would have.
     """
     noted = _noted(spark, f"{path}/_merge.json")
     if noted is None:
         return False
-    merge = json.loads(noted)
-    staged = spark.read.schema(table_schema(spark, path)).parquet(merge["staged"])
-    replace_partitions(staged, path, merge["partition"])
+    swap_partitions(spark, json.loads(noted)["staged"], path)
     remove_path(spark, f"{path}/_merge.json")
     remove_path(spark, f"{path}/_staged")
     return True
@@ -228,7 +228,7 @@ def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) ->
         merged = merge_rows(touched.select(*fresh.columns), fresh, keys)
         staged = f"{path}/_staged/{uuid.uuid4().hex}"
         gathered(merged.select(*schema.names), partition).write.partitionBy(partition).parquet(staged)
-    _note(spark, f"{path}/_merge.json", json.dumps({"staged": staged, "partition": partition}))
+    _note(spark, f"{path}/_merge.json", json.dumps({"staged": staged}))
     recover(spark, path)
 
 
