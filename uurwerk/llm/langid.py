@@ -127,17 +127,16 @@ class Identifier:
         self.words = {w: i for i, w in enumerate(words)}
         self.grams = {g: i for i, g in enumerate(grams)}
         self.word_logs, self.gram_logs = word_logs, gram_logs
-        self.cache: dict[str, np.ndarray | None] = {}
+        self.cache: dict[str, list[int]] = {}
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean log frequency of the longest n-grams of the word that are known."""
+    def unseen(self, word: str) -> list[int]:
+        """The longest n-grams of the word that are known."""
         got = self.cache.get(word)
         if got is None:
-            got = np.zeros(len(self.langs), np.float32)
+            got = []
             for n in GRAMS:
-                found = [self.grams[g] for g in grams_of(word, n) if g in self.grams]
-                if found:
-                    got = self.gram_logs[found].mean(0)
+                got = [place for place in map(self.grams.get, grams_of(word, n)) if place is not None]
+                if got:
                     break
             if len(self.cache) >= FLUSH:
                 self.cache.clear()
@@ -145,20 +144,23 @@ class Identifier:
         return got
 
     def __call__(self, text: str | None) -> tuple[str, float]:
+        """The sum over all words: known ones by their own log frequency, unseen ones by
+        the mean of their n-grams'."""
         counts = Counter(words_of(text))
         if not counts:
             return "und", 0.0
-        total = np.zeros(len(self.langs))
-        at, times = [], []
+        known, times, grams, shares = [], [], [], []
         for word, n in counts.items():
             place = self.words.get(word)
-            if place is None:
-                total += n * self.unseen(word)
-            else:
-                at.append(place)
+            if place is not None:
+                known.append(place)
                 times.append(n)
-        if at:
-            total += np.asarray(times, float) @ self.word_logs[at]
+            elif found := self.unseen(word):
+                grams += found
+                shares += [n / len(found)] * len(found)
+        total = np.asarray(times, float) @ self.word_logs[known] if known else np.zeros(len(self.langs))
+        if grams:
+            total = total + np.asarray(shares, float) @ self.gram_logs[grams]
         share = np.exp(total - total.max())
         best = int(total.argmax())
         return self.langs[best], float(share[best] / share.sum())
