@@ -62,7 +62,7 @@ JOINERS = set(".-_*~'’ ")
 _KEEP, _STANDS, _DROP, _GAP, _BREAK, _SINGLE, _DOUBLE = (math.log(p) for p in (0.9, 0.2, 0.3, 0.1, 0.02, 0.7, 0.3))
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(rf"{_LETTER}+")
-_ODD = re.compile(rf"(?=.*{_LETTER})(?:.*[0-9@$!|+€£¡*#%(.\-_~]|.*({_LETTER})\1\1)", re.DOTALL)
+_ODD = re.compile(rf"(?=.*{_LETTER})(?:.*[0-9@$!|+€£¡*#%(.\-_~ ]|.*({_LETTER})\1\1)", re.DOTALL)
 _TRIPLE = re.compile(r"(.)\1\1")
 _STOPS = ".,;:?\"'()[]{}"
 # Sentence marks and rows of signs around a token are no part of a word.
@@ -176,16 +176,17 @@ class Reader:
         return got
 
     def tokens(self, text: str | None) -> set[str]:
-        """The tokens of a text; a row of single letters counts as one more, as do
-        its rows without the first and the last, which may be words of their own."""
+        """The tokens of a text; a row of different single letters counts as one more, as
+        do its rows without the first and the last, which may be words of their own."""
         parts = text.split() if text else []
         out = set(parts)
         single = np.fromiter(map(len, parts), np.int64, len(parts)) == 1
         if single.any():
             edges = np.flatnonzero(np.diff(np.concatenate(([0], single.view(np.int8), [0]))))
             for start, end in edges.reshape(-1, 2):
-                if end - start >= 3:
-                    out.add(" ".join(parts[start:end]))
+                if end - start < 3 or len(set(parts[start:end])) == 1:
+                    continue
+                out.add(" ".join(parts[start:end]))
                 if end - start >= 4:
                     out |= {" ".join(parts[start + 1 : end]), " ".join(parts[start : end - 1])}
         return out
