@@ -581,9 +581,13 @@ def dq_freshness(spark, sf_dir):
 
 @query("yearly_summary")
 def yearly_summary(spark, sf_dir):
-    daily = Chain(spark, sf_dir).daily()
-    period = F.date_format("date_day", "yyyy-MM").alias("period")
-    return rounded(reports.summary_by_period(daily, period, PARAMS.area_m2), 4)
+    """By month and by calendar year."""
+    daily = materialize(Chain(spark, sf_dir).daily(), "daily")
+    summaries = [
+        reports.summary_by_period(daily, F.date_format("date_day", pattern).alias("period"), PARAMS.area_m2)
+        for pattern in ("yyyy-MM", "yyyy")
+    ]
+    return rounded(summaries[0].unionByName(summaries[1]), 4)
 
 
 @query("price_per_on_hour")
