@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from uurwerk.functions.nulls import safe_divide
 
-# output suffix → (hourly column, value an hour of another scenario adds)
+# Output suffix → (hourly column, value an hour of another scenario adds)
 DAILY_SUMS = {
     "electricity_kwh": ("electricity_kwh", 0.0),
     "gas_m3": ("gas_m3", 0.0),

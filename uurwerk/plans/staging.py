@@ -12,7 +12,7 @@ from uurwerk.operators.holidays import fold_holidays
 from uurwerk.operators.intervals import day_intervals
 from uurwerk.params import SiteParams
 
-# Signal table → name of its measure. total_load keeps its type as loaded.
+# Signal table → name of its measure. total_load keeps its type as loaded.
 SIGNAL_MEASURES = {
     "carbon_intensity": "carbon_intensity_gco2eq_per_kwh",
     "renewable_percentage": "renewable_pct",
@@ -20,6 +20,7 @@ SIGNAL_MEASURES = {
     "total_load": "total_load_mw",
 }
 
+# Column of the weather table → name with its unit.
 WEATHER_MEASURES = {
     "temperature_2m": "temperature_c",
     "relative_humidity_2m": "relative_humidity_pct",
@@ -40,8 +41,8 @@ def stage_electricity_prices(raw: DataFrame, params: SiteParams) -> DataFrame:
 
 
 def stage_gas_prices(raw: DataFrame, params: SiteParams) -> DataFrame:
-    """One price per local day: the latest row of the day wins, which drops the
-    extra midnight rows of chunk boundaries."""
+    """A day's price is the newest row of its local date, so a row that a request's edge
+    put on midnight gives way to the regular one."""
     by_day = raw.withColumn("gas_day", local_date(F.col("timestamp_utc"), params.timezone))
     latest = dedup_latest(by_day, ["gas_day"], [F.col("timestamp_utc").desc()])
     return day_intervals(latest, "gas_day", params.timezone, params.gas_day_start_hour).select(
