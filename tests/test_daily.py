@@ -163,19 +163,42 @@ def test_market_has_prices_grid_and_weather(built):
     assert (row["temperature_c"], row["total_load_mw"], row["renewable_pct"]) == (6.2, 9000.0, 40.0)
 
 
+def close(df):
+    """Rows with sums to 6 places: their order of adding may differ."""
+    return [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows(df)]
+
+
+def test_several_sites_are_built_side_by_side(spark, built, tmp_path):
+    _, one, _ = built
+    sites = frame(spark, "site string", [("north",), ("south",)])
+    run = run_daily(
+        spark, Lake(str(tmp_path)), extracts(spark), default_profile(spark), RUN, params=PARAMS, sites=sites
+    )
+    assert sum(r["failures"] for r in run.tests.collect()) == 0 and run.tests.count() == 67
+    for name in ("hourly_schedule", "hourly_demand", "hourly_energy", "daily_energy"):
+        for site in ("north", "south"):
+            mine = run.models[name].where(F.col("site") == site)
+            assert close(mine.select(*one[name].columns)) == close(one[name])
+    assert rows(run.models["hourly_prices"]) == rows(one["hourly_prices"])
+
+
 def test_a_second_run_overwrites_revised_values(spark, built):
     lake, models, _ = built
     before = models["hourly_prices"].count()
+
+    def load_ids():
+        return {r[0] for r in read_lake(spark, lake)["electricity_prices"].select("_load_id").distinct().collect()}
+
+    scratch = Path(shared_folder(spark).removeprefix("file:")) / "uurwerk"
+    left, first = set(scratch.glob("*")), load_ids()
     run = run_daily(spark, lake, extracts(spark, bump=1.0), default_profile(spark), RUN, params=PARAMS)
     assert sum(r["failures"] for r in run.tests.collect()) == 0
     again = run.models
     assert again["hourly_prices"].count() == before
     assert again["hourly_prices"].agg(F.min("electricity_price_eur_per_kwh")).first()[0] > 1.0
-
-
-def close(df):
-    """Rows with sums to 6 places: their order of adding may differ."""
-    return [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows(df)]
+    # Two runs of one day are told apart, and leave no scratch tables.
+    assert len(first) == 1 and len(load_ids()) == 1 and max(load_ids()) > max(first)
+    assert set(scratch.glob("*")) == left
 
 
 def test_only_the_touched_months_are_rebuilt(spark, built):
@@ -191,21 +214,6 @@ def test_only_the_touched_months_are_rebuilt(spark, built):
     assert (Path(lake.root) / "dev_marts" / "daily_energy" / "month_key=2024-03").stat().st_mtime_ns == stamp
 
 
-def test_several_sites_are_built_side_by_side(spark, built, tmp_path):
-    _, models, _ = built
-    sites = frame(spark, "site string", [("north",), ("south",)])
-    run = run_daily(
-        spark, Lake(str(tmp_path)), extracts(spark), default_profile(spark), RUN, params=PARAMS, sites=sites
-    )
-    assert sum(r["failures"] for r in run.tests.collect()) == 0 and run.tests.count() == 67
-    one = run_daily(spark, Lake(str(tmp_path / "one")), extracts(spark), default_profile(spark), RUN, params=PARAMS).models
-    for name in ("hourly_schedule", "hourly_demand", "hourly_energy", "daily_energy"):
-        for site in ("north", "south"):
-            mine = run.models[name].where(F.col("site") == site)
-            assert close(mine.select(*one[name].columns)) == close(one[name])
-    assert rows(run.models["hourly_prices"]) == rows(one["hourly_prices"])
-
-
 def test_a_failing_test_stops_what_depends_on_the_table(spark, tmp_path):
     broken = {**extracts(spark), "renewable_percentage": lambda first, last: extracts(spark)["total_load"](first, last)}
     with pytest.raises(DataTestsFailed, match="renewable_percentage accepted_range:renewable_pct"):
@@ -230,21 +238,6 @@ def test_days_without_data_and_old_sources_are_reported(spark, tmp_path):
     assert len(status) == 9 and status["weather"] == "warn"
 
 
-def test_a_run_leaves_no_scratch_tables(spark, built, tmp_path):
-    folder = Path(shared_folder(spark).removeprefix("file:")) / "uurwerk"
-    before = set(folder.glob("*"))
-    run_daily(spark, Lake(str(tmp_path)), extracts(spark), default_profile(spark), RUN, params=PARAMS)
-    assert set(folder.glob("*")) == before
-
-
-def test_two_loads_of_one_day_are_told_apart(spark, tmp_path):
-    lake = Lake(str(tmp_path))
-    for bump in (0.0, 1.0):
-        run_daily(spark, lake, extracts(spark, bump), default_profile(spark), RUN, params=PARAMS)
-    ids = [r[0] for r in read_lake(spark, lake)["electricity_prices"].select("_load_id").distinct().collect()]
-    assert len(ids) == 1 and read_lake(spark, lake)["electricity_prices"].agg(F.min("price_eur_per_kwh")).first()[0] > 0.9
-
-
 def test_a_failing_load_stops_the_run_before_any_table_is_built(spark, tmp_path):
     def broken(first, last):
         raise RuntimeError("load failed")
