@@ -1,7 +1,6 @@
 import hashlib
 import re
 
-import pytest
 from helpers import rows
 from hypothesis import example, given, settings
 from hypothesis import strategies as st

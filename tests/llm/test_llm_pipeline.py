@@ -7,7 +7,6 @@ import pytest
 from helpers import rows
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
 from test_llm_decontam import brute as hits_of
-from test_llm_sharding import check_shards
 from test_llm_simhash import classes_of
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
