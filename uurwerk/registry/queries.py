@@ -15,7 +15,7 @@ from uurwerk.operators import quality, reports
 from uurwerk.operators.balance import DEMAND_OUTPUT, lighting_inputs
 from uurwerk.operators.calendar import date_dimension, hour_spine, with_local_time
 from uurwerk.operators.compare import daily_compare
-from uurwerk.operators.costs import hourly_energy, priced_hours
+from uurwerk.operators.costs import hourly_energy
 from uurwerk.operators.dedup import dedup_latest
 from uurwerk.operators.holidays import fold_holidays
 from uurwerk.operators.intervals import day_intervals, interval_attach
