@@ -35,8 +35,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and their slot in it."""
-    return sharding.shard_documents(docs, levels=4)
+    """All documents with their shard and their slot in it; slots follow the mix, which
+    is the same for the same rows, however they are read back."""
+    return sharding.shard_documents(docs, levels=4, order=mixing.mix_order(docs))
 
 
 STAGES = [

@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import __spark_entry__ as driver  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from compare import compare, connect  # noqa: E402
+from uurwerk.llm import mixing  # noqa: E402
 from uurwerk.llm.oracles import ORACLES  # noqa: E402
 from uurwerk.llm.queries import QUERIES  # noqa: E402
 from uurwerk.session import materialize  # noqa: E402
@@ -54,6 +55,17 @@ def test_mixing_and_sharding_keep_every_row(steps):
     assert rows(steps[5].drop("shard", "slot")) == rows(steps[4])
 
 
+def test_slots_of_a_shard_follow_the_mix(spark, steps):
+    at = {r.doc_id: (r.slot, r.place) for r in mixing.mix(steps[3]).collect()}
+    shards = {}
+    for r in sorted(steps[5].collect(), key=lambda r: (r.shard, r.slot)):
+        shards.setdefault(r.shard, []).append((r.slot, at[r.doc_id]))
+    assert len(shards) > 1
+    for held in shards.values():
+        assert [s for s, _ in held] == list(range(len(held)))
+        assert [p for _, p in held] == sorted(p for _, p in held)
+
+
 def test_run_equals_the_stages(spark, steps):
     assert rows(corpus_pipeline.run(spark, SMALL), "doc_id") == rows(steps[5], "doc_id")
 

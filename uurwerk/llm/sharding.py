@@ -59,11 +59,13 @@ def kd_shards(
     ties: list[str],
     target_bytes: int | None = None,
     levels: int | None = None,
+    within: list[str] | None = None,
 ) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 within the shard).
 
     ``dimensions`` are long columns, ``ties`` order the rows equal in one. Give the
-    bytes a leaf should hold at most or the number of levels.
+    bytes a leaf should hold at most or the number of levels. Slots follow the columns
+    ``within``, then ``ties``.
     """
     reach = [f(d).alias(f"{n}_{d}") for d in dimensions for n, f in (("lo", F.min), ("hi", F.max))]
     if levels is None:
@@ -90,7 +92,7 @@ def kd_shards(
         current = materialize(
             placed.select(*columns, (2 * F.col("_node") + right.cast("long")).alias("_node")), "level"
         )
-    return positions(current, ["_node"], ties, size, "slots").select(
+    return positions(current, ["_node"], [*(within or []), *ties], size, "slots").select(
         *columns, F.col("_node").cast("int").alias("shard"), F.col("before_rows").alias("slot")
     )
 
@@ -110,21 +112,36 @@ DIMENSIONS = ["length", "language", "checksum"]
 TIES = ["text_crc32", "doc_id"]
 
 
-def assign_shards(docs: DataFrame, levels: int | None = None, target_bytes: int | None = None, **names) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every document."""
-    placed = kd_shards(shard_keys(docs, **names), DIMENSIONS, "size", TIES, target_bytes, levels)
+def assign_shards(
+    docs: DataFrame, levels: int | None = None, target_bytes: int | None = None, order: DataFrame | None = None, **names
+) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of every document. ``order`` has a row for
+    each id and checksum; slots follow its other columns, or else checksum and id."""
+    rows, within = shard_keys(docs, **names), []
+    if order is not None:
+        within = [f"_at_{c}" for c in order.columns if c not in ("doc_id", "text_crc32")]
+        places = order.select(
+            F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), *[F.col(c[4:]).alias(c) for c in within]
+        )
+        meet = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_crc32") == F.col("_crc"))
+        rows = rows.join(places, meet, "left").drop("_id", "_crc")
+    placed = kd_shards(rows, DIMENSIONS, "size", TIES, target_bytes, levels, within)
     return placed.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def shard_documents(
-    docs: DataFrame, levels: int | None = None, target_bytes: int | None = None, into: tuple[str, str] = ("shard", "slot")
+    docs: DataFrame,
+    levels: int | None = None,
+    target_bytes: int | None = None,
+    into: tuple[str, str] = ("shard", "slot"),
+    order: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with their shard and slot. Rows meet their places by id and
+    """``docs`` with their shard and slot, see ``assign_shards``. Rows meet their places by id and
     checksum; the copies of a row that occurs several times take their places in
     turn. Raises if a name in ``into`` is taken."""
     if taken := set(into) & set(docs.columns):
         raise ValueError(f"{sorted(taken)} are already columns")
-    places = assign_shards(docs, levels, target_bytes).select(
+    places = assign_shards(docs, levels, target_bytes, order).select(
         F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot"
     )
     same = Window.partitionBy("_id", "_crc")
