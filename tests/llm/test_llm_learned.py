@@ -72,6 +72,28 @@ def test_obfuscated_insults_score_like_plain_ones(spark):
     assert got[1] > 0.5 and got[2] > 0.5 and max(got[3], got[4], got[5]) < 0.5
 
 
+def test_documents_that_share_a_line_all_count(spark):
+    banner = "this passage is printed at the top of every document of this source\n"
+    insults = ["moron", "clown", "trash", "scum"]
+    data = [(i, f"{banner}number {i} is a total {insults[i % 4]} here", 1) for i in range(80)]
+    data += [(100 + i, f"{banner}number {i} is a fine work here", 0) for i in range(240)]
+    data += [(400 + i, "COPIED  text of one loser", 1) if i % 2 else (400 + i, "copied text of one loser", 1) for i in range(40)]
+    docs = spark.createDataFrame([d[:2] for d in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(d[0], 1, d[2]) for d in data], "doc_id long, quality int, toxic int")
+    kept = toxicity._labelled(docs, labels, 1000).collect()
+    train = [d for d in data if not is_held(d[0])]
+    assert len(kept) == sum(d[0] < 400 for d in train) + 1
+    # One text of each label counts the shared line.
+    for toxic in (0, 1):
+        assert sum(r.repeated is None and r.text.startswith(banner) for r in kept if r.toxic == toxic) == 1
+    model = toxicity.fit(docs, labels)
+    features = model.value[1]
+    assert all(features[w][1] == sum(w in d[1] for d in train) for w in insults) and "loser" not in features
+    probe = spark.createDataFrame([(i, banner + f"he is a total {w}") for i, w in enumerate(insults)] + [(9, banner)], "doc_id long, text string")
+    got = dict(rows(toxicity.with_score(probe, model), "doc_id", "score"))
+    assert min(got[i] for i in range(4)) > 0.5 > got[9]
+
+
 def test_toxicity_without_labels_and_with_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (None, None), (1, "a")], "doc_id long, text string").withColumn("toxic", F.lit(5))
     none = spark.createDataFrame([(1, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")

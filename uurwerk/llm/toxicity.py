@@ -35,6 +35,7 @@ from uurwerk.session import materialize
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 50_000
+MAX_BROADCAST_LINES = 200_000
 MIN_DOCS = 2
 # Pseudo-counts of a feature's log-odds, and the documents at which it counts half.
 PRIOR = 0.5
@@ -198,16 +199,35 @@ def features_of(word: str) -> list[str]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """Text and label of at most ``limit`` training rows, the first by a hash of the id.
-    Of those that share the least hash of their longer lines, which copies do, one
-    stays, so that a copied text's words don't count as many documents."""
+    """Text, label and ``repeated`` of at most ``limit`` training rows, the first by a hash
+    of the id. Of texts equal but for case and white space one stays for each label.
+    ``repeated`` numbers the lines of 40 characters and more whose words another text
+    of the label counts, so that a shared line counts as one document's."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out())
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).withColumnRenamed("doc_id", "_id")
-    found = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: F.length(l) >= 40)
-    mark = F.coalesce(F.array_min(F.transform(lines, lambda l: F.xxhash64(l))), F.xxhash64("text"))
-    return found.withColumn("_mark", mark).dropDuplicates(["_mark", "toxic"]).drop("_mark")
+    found = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    even = F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")))
+    found = found.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"), F.md5(even.cast("binary")).alias("_mark"))
+    found = materialize(found.groupBy("_mark", "toxic").agg(F.min("text").alias("text")), "distinct")
+    lines = found.select("_mark", "toxic", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).where(F.length("line") >= 40)
+    lines = lines.select("_mark", "toxic", "at", F.md5(F.col("line").cast("binary")).alias("line"))
+    # The first place of a line that occurs more than once, at most half the labelled lines.
+    first = lines.groupBy("line", "toxic").agg(F.min(F.struct("_mark", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = materialize(first.where("n > 1").drop("n"), "repeated_lines")
+    if first.count() <= MAX_BROADCAST_LINES:
+        first = F.broadcast(first)
+    later = lines.join(first, ["line", "toxic"]).where(F.struct("_mark", "at") != F.col("first"))
+    later = later.groupBy("_mark", "toxic").agg(F.collect_list("at").alias("repeated"))
+    return found.join(later, ["_mark", "toxic"], "left").select("text", "toxic", "repeated")
+
+
+def _first_told(text: str | None, repeated: list[int] | None) -> str | None:
+    """The text without the lines that another text counts."""
+    if not text or not repeated:
+        return text
+    skip = set(repeated)
+    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in skip)
 
 
 def _count_features(model):
@@ -215,7 +235,8 @@ def _count_features(model):
         reader = Reader(CharacterModel(model.value))
         for batch in batches:
             seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic, repeated in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                text = _first_told(text, repeated)
                 words = {w for t in reader.tokens(text) for w in reader.words(t)}
                 for feature in {f for w in words for f in features_of(w)}:
                     seen.setdefault(feature, [0, 0])[toxic > 0] += 1
@@ -245,7 +266,8 @@ class Scorer:
         """Shrunken log-odds; ``own``: a label to take out of the counts first."""
         n_clean, n_toxic = self.totals
         if own is not None:
-            clean, toxic = clean - (own == 0), toxic - (own == 1)
+            # A repeated line's words may not have been counted from this document.
+            clean, toxic = max(0, clean - (own == 0)), max(0, toxic - (own == 1))
             n_clean, n_toxic = n_clean - (own == 0), n_toxic - (own == 1)
         odds = math.log((toxic + PRIOR) / (n_toxic + 2 * PRIOR) * (n_clean + 2 * PRIOR) / (clean + PRIOR))
         return odds * toxic / (toxic + HALF)
@@ -321,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
             )
 
     # At most ``max_labelled`` labelled documents (more only if an id repeats).
-    seen = sample.mapInArrow(evidence, "x array<double>, y int").toArrow()
+    seen = sample.select("text", "toxic").mapInArrow(evidence, "x array<double>, y int").toArrow()
     x = np.array(seen["x"].to_pylist(), float).reshape(-1, TOP)
     curve = fit_curve(x, seen["y"].to_numpy().astype(float))
     return spark.sparkContext.broadcast((counts, features, totals, curve))
