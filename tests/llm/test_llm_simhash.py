@@ -97,3 +97,15 @@ def test_nulls_blanks_repeats_and_long_texts(spark):
 def test_only_ascii_is_folded_and_parts_words():
     for text in ("Äb C d é f g", "a\x0bb\x0cc d e", "x" * 10, "A b c d"):
         assert simhash.fingerprint(text) & (2**64 - 1) == plain_fingerprint(text)
+
+
+def test_a_group_is_its_component_not_its_smallest_id(spark):
+    words = [f"word{i}" for i in range(400)]
+    near = [" ".join(words), " ".join([*words, "more"])]
+    data = [(1, "a b c d"), (1, "quite another text of other words"), (None, near[0]), (None, near[1])]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    prints = simhash.with_fingerprint(df).select("text", "fp").collect()
+    fps = {r.text: r.fp for r in prints}
+    assert 0 < bin((fps[near[0]] ^ fps[near[1]]) & (2**64 - 1)).count("1") <= simhash.DISTANCE
+    kept = [r.doc_id for r in simhash.deduplicate(df).collect()]
+    assert sorted(kept, key=str) == [1, 1, None]

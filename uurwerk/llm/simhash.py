@@ -300,15 +300,16 @@ def link_fingerprints(classes: DataFrame, distance: int = DISTANCE, tile_rows: i
 
 
 def near_duplicates(prints: DataFrame, doc_id: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
-    """For each distinct fingerprint ``fp`` of ``prints`` its ``component_id``: the
-    smallest id that links reach."""
+    """For each distinct fingerprint ``fp`` of ``prints`` its ``component_id``, the
+    smallest id that links reach, and ``root``, the smallest fingerprint, which tells
+    components apart where an id occurs in several."""
     classes = materialize(prints.groupBy("fp").agg(F.min(doc_id).alias("first_id")), "fingerprints")
     found = components(link_fingerprints(classes, distance))
     joined = classes.join(found, classes.fp == found.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return joined.join(least, "root").select("fp", "component_id")
+    return joined.join(least, "root").select("fp", "component_id", "root")
 
 
 def deduplicate(
@@ -319,10 +320,8 @@ def deduplicate(
     own = [F.col(f"`{c}`") for c in docs.columns]
     prints = materialize(with_fingerprint(docs, text, shingle, "_fp"), "with_fingerprints")
     classes = near_duplicates(prints.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col("_fp").alias("fp")), "doc_id", distance)
-    joined = prints.join(classes.toDF("_fp", "_component"), "_fp")
+    joined = prints.join(classes.toDF("_fp", "_component", "_root"), "_fp")
     first = joined.where(F.col(f"`{doc_id}`").eqNullSafe(F.col("_component")))
     # What is left of a group is one document, unless its id occurs in several rows.
-    ties = Window.partitionBy("_component", F.when(F.col("_component").isNull(), F.col("_fp"))).orderBy(
-        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    )
+    ties = Window.partitionBy("_root").orderBy(F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     return first.withColumn("_nth", F.row_number().over(ties)).where("_nth = 1").select(*own)
