@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over the given tables.
+"""The thirteen operators and the pipeline as queries over the given tables.
 
 Each query reads its whole tables through its operator and derives the columns of
 its contract from the operator's output.
@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uurwerk.llm import chat, decontam, embeddings, langid, lines, mixing, pii, sharding, simhash, toxicity
+from uurwerk.llm import (
+    chat,
+    decontam,
+    embeddings,
+    langid,
+    lines,
+    mixing,
+    pii,
+    repair,
+    repeats,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+)
 from uurwerk.llm.common import held_out, table
 from uurwerk.session import materialize
 
@@ -125,6 +139,35 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte of a 200-byte string that also starts elsewhere goes."""
+    found = repeats.dedup_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+@query("op13_turn_repair")
+def turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations after the contract's damage, with the audit of their repair."""
+    rows = repair.rows_of(table(spark, sf_dir, "conversations"))
+    broken = repair.damaged(rows)
+    audited = materialize(repair.audits(broken), "audits")
+    digests = repair.repaired_digests(broken, audited)
+    found = audited.drop("conv_id").join(digests, "_key")
+    none = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("_key", "conv_id").distinct().join(found, "_key", "left").select(
+        "conv_id",
+        *none,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
