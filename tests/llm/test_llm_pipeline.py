@@ -79,7 +79,7 @@ def test_empty_documents_pass_through(spark, steps):
 
 def test_queries_and_sql_are_registered():
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

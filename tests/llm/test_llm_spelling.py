@@ -1,0 +1,106 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from helpers import rows
+
+from uurwerk.llm import spelling
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def counted(docs):
+    total = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= 5 and n >= 3}
+
+
+def one_apart(x, y):
+    if abs(len(x) - len(y)) > 1 or x == y:
+        return False
+    if len(x) == len(y):
+        return sum(a != b for a, b in zip(x, y)) == 1
+    if len(x) < len(y):
+        x, y = y, x
+    return any(x[:i] + x[i + 1 :] == y for i in range(len(x)))
+
+
+def grouped(words):
+    forms, near = {}, {}
+    for w, n in words.items():
+        near[w] = [o for o in words if one_apart(w, o)]
+        best = min(near[w], key=lambda o: (-words[o], o), default=None)
+        forms[w] = best if best is not None and words[best] >= 2 * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((w, forms[w], root, n, len(near[w]), words.get(forms[w])))
+    return sorted(out, key=lambda r: tuple(map(str, r)))
+
+
+def variants(spark, words, **kw):
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    return rows(spelling.group_variants(df, **kw), "word", "form", "root", "n", "n_near", "form_n")
+
+
+@pytest.mark.parametrize("filter_bytes", [spelling.FILTER_BYTES, 100])
+def test_random_words_against_comparing_all_pairs(spark, filter_bytes):
+    """A small filter takes the vocabulary in several rounds."""
+    rng = random.Random(1)
+    words = {}
+    for _ in range(250):
+        w = "".join(rng.choice("abzéÿ") for _ in range(rng.choice([5, 5, 6, 6, 7, 70])))
+        for _ in range(rng.randrange(3)):
+            k = rng.randrange(len(w))
+            words.setdefault(w, rng.choice([3, 4, 6, 12, 25, 50, 200]))
+            w = w[:k] + rng.choice(["", "a", "ÿa", "z"]) + w[k + 1 :]
+        words.setdefault(w, rng.choice([3, 5, 9, 30]))
+    want = grouped(words)
+    assert variants(spark, words, filter_bytes=filter_bytes) == want
+    assert len({r[2] for r in want}) < len(want) and any(r[1] and r[1] != r[2] for r in want)
+
+
+def test_given_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    words = counted(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert dict(rows(spelling.count_words(df))) == words
+    frequent = dict(sorted(words.items(), key=lambda w: (-w[1], w[0]))[:400])
+    assert variants(spark, frequent) == grouped(frequent)
+
+
+def test_chain_of_forms_ends_at_its_root(spark):
+    words = {"a" * 5 + "b" * k: 3 * 2**k for k in range(12)}
+    got = variants(spark, words)
+    assert {r[2] for r in got} == {"aaaaa" + "b" * 11}
+
+
+def test_ties_take_the_smaller_word(spark):
+    words = {"abcde": 3, "abcdf": 6, "abcda": 6}
+    assert [r[1] for r in variants(spark, words) if r[0] == "abcde"] == ["abcda"]
+
+
+def test_nulls_empties_repeats_long_words_and_no_rows(spark):
+    long = "ab" * 60_000
+    docs = [(1, None), (2, ""), (None, "Straße STRAßE straße"), (3, f"{long} {long}x {long}"), (3, f"{long}x {long}x"), (4, "-- 12 !")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = dict(rows(spelling.count_words(df)))
+    assert words == counted(docs) and words["straße"] == 3
+    got = {r[0]: r[4] for r in variants(spark, words)}
+    assert got[long] == got[long + "x"] == 1
+    assert spelling.group_variants(spelling.count_words(df.limit(0))).count() == 0
+
+
+def test_other_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(1, "hello hello hello", 1, "x")], "doc_id long, text string, n long, word string")
+    assert rows(spelling.count_words(df)) == [("hello", 3)]

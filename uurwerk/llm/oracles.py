@@ -80,3 +80,145 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+# The 256 steps of the checksum, from its polynomial.
+_CRC_TABLE = """(
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+                            lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS steps
+    FROM (SELECT unnest(range(256)) AS i)
+)"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of a string of characters up to U+00FF, beside a row of ``crc(steps)``."""
+    letters = f"list_transform(range(1, length({text}) + 1), lambda i: ord(substr({text}, i, 1))::BIGINT)"
+    data = f"flatten(list_transform({letters}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + (c & 63)] END))"
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295, {data}), "
+        "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"
+    )
+
+
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE crc AS MATERIALIZED {_CRC_TABLE}, tokens AS (
+    SELECT doc_id, {_LOWERED.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents
+), counted AS (
+    SELECT doc_id, run, coalesce(doc_id::VARCHAR, '') || ':' || run AS named, count(*) AS n FROM tokens GROUP BY ALL
+), marked AS (
+    SELECT run, n, {_crc("named")} AS h FROM counted CROSS JOIN crc
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM marked
+), vocabulary AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS MATERIALIZED (
+    SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), pairs AS (
+    SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS other_n
+    FROM cut x JOIN cut y USING (i, head, tail) WHERE x.word <> y.word
+    UNION ALL
+    SELECT DISTINCT cut.word, cut.n, v.word, v.n FROM cut JOIN vocabulary v ON v.word = cut.head || cut.tail
+    UNION ALL
+    SELECT DISTINCT v.word, v.n, cut.word, cut.n FROM cut JOIN vocabulary v ON v.word = cut.head || cut.tail
+), best AS (
+    SELECT word, count(*) AS n_near, min((-other_n, other)) AS b FROM pairs GROUP BY word
+), formed AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN -b[1] >= 2 * n THEN b[2] END AS form, CASE WHEN -b[1] >= 2 * n THEN -b[1] END::BIGINT AS form_n
+    FROM vocabulary LEFT JOIN best USING (word)
+), up(word, root, next) AS (
+    SELECT word, word, form FROM formed
+    UNION ALL
+    SELECT up.word, up.next, formed.form FROM up JOIN formed ON formed.word = up.next
+)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN up ON up.word = formed.word AND up.next IS NULL
+"""
+
+
+def _step(state: str, cost: str, letter: str, line: str | None = None) -> str:
+    """A state after one more edit; null stays null."""
+    lines = f"list_append({state}.r, {line})" if line else f"{state}.r"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': ({state}.c + {cost})::BIGINT, 'e': {state}.e || '{letter}', 'r': {lines}}} END"
+
+
+def _least(*options: str) -> str:
+    return "list_min([" + ", ".join(options) + "])"
+
+
+_EMPTY_USER, _EMPTY_ASSISTANT = "'user:'", "'assistant:'"
+_WITH_USER = _least("u", *[_step(s, "3", "I", _EMPTY_USER) for s in "zsa"])
+_WITH_ASSISTANT = _least("a", _step("u", "3", "I", _EMPTY_ASSISTANT))
+_OWN, _AS_USER, _AS_ASSISTANT = "role || ':' || text", "'user:' || text", "'assistant:' || text"
+
+
+def _kept(initial: str, state: str) -> str:
+    return f"CASE WHEN stays AND left(role, 1) = '{initial}' THEN {_step(state, 'more', 'K', _OWN)} END"
+
+
+def _rerole(state: str, line: str) -> str:
+    return f"CASE WHEN stays THEN {_step(state, '3 + more', 'R', line)} END"
+
+
+# Four states: z nothing yet, s after the system turn, u after a user, a after an assistant;
+# each holds the least (cost, edits, lines). Inserts come before a row's own edit.
+ORACLES["op13_turn_repair"] = f"""
+WITH RECURSIVE crc AS MATERIALIZED {_CRC_TABLE}, given AS (
+    SELECT coalesce('=' || conv_id::VARCHAR, '') AS key, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named
+    FROM conversations
+), marked AS (
+    SELECT given.*, {_crc("named")} % 20 AS k FROM given CROSS JOIN crc
+), broken AS (
+    SELECT key, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM marked WHERE k <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+           regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last
+    FROM broken
+), judged AS MATERIALIZED (
+    SELECT *, CASE WHEN last = '' THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                   WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY key ORDER BY pos) AS before
+    FROM placed
+), rows AS MATERIALIZED (
+    SELECT *, coalesce(fault, '') NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more
+    FROM judged
+), counted AS (
+    SELECT key, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY key
+), opened(key, pos, z, s, u, a) AS (
+    SELECT key, 0::BIGINT, {{'c': 0::BIGINT, 'e': '', 'r': []::VARCHAR[]}}, NULL, NULL, NULL FROM counted
+), dp(key, pos, z, s, u, a) AS (
+    SELECT key, pos, z, s::STRUCT(c BIGINT, e VARCHAR, r VARCHAR[]), u::STRUCT(c BIGINT, e VARCHAR, r VARCHAR[]),
+           a::STRUCT(c BIGINT, e VARCHAR, r VARCHAR[])
+    FROM opened
+    UNION ALL
+    SELECT key, pos,
+           {_step("z", "4", "D")},
+           {_least(_step("s", "4", "D"), _kept("s", "z"))},
+           {_least(_step("u", "4", "D"), *[_kept("u", s) for s in "zsa"], *[_rerole(s, _AS_USER) for s in "zsa"])},
+           {_least(_step("a", "4", "D"), _kept("a", "u"), _rerole("u", _AS_ASSISTANT))}
+    FROM (
+        SELECT key, pos, z, s, u, {_WITH_ASSISTANT} AS a, role, text, stays, more
+        FROM (
+            SELECT dp.key, rows.pos, z, s, {_WITH_USER} AS u, a, role, text, stays, more
+            FROM dp JOIN rows ON rows.key = dp.key AND rows.pos = dp.pos + 1
+        )
+    )
+), closed AS (
+    SELECT key, {_least("z", "a", _step("u", "3", "I", _EMPTY_ASSISTANT))} AS best
+    FROM (SELECT key, z, a, {_WITH_USER} AS u FROM dp JOIN counted USING (key) WHERE dp.pos = counted.n)
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.e, '') AS audit, sha256(coalesce(array_to_string(best.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT key, conv_id FROM given) LEFT JOIN counted USING (key) LEFT JOIN closed USING (key)
+"""
