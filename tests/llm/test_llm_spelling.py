@@ -92,7 +92,7 @@ def test_ties_take_the_smaller_word(spark):
 
 def test_nulls_empties_repeats_long_words_and_no_rows(spark):
     long = "ab" * 60_000
-    docs = [(1, None), (2, ""), (None, "Straße STRAßE straße"), (3, f"{long} {long}x {long}"), (3, f"{long}x {long}x"), (4, "-- 12 !")]
+    docs = [(1, None), (2, ""), (None, "Straße STRAßE straße"), (3, f"{long} {long}x {long} {long}"), (3, f"{long}x {long}x"), (4, "-- 12 !")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     words = dict(rows(spelling.count_words(df)))
     assert words == counted(docs) and words["straße"] == 3

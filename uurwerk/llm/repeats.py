@@ -12,16 +12,17 @@ suffix is shared if a merged neighbour has all its bytes.
 Sorting every suffix would exchange ``length`` times the input, so duplicates are
 looked for first by hashes, which narrow what is sorted and never decide alone:
 
-1. Of every ``SPREAD`` consecutive grams of ``GRAM`` bytes the least by hash is an anchor.
-   Equal strings have equal anchors. Anchors are shuffled as hashes of their gram and of
-   their whole string; those whose gram occurs once are dropped.
-2. Anchors with a shared string cover most of every repeated run. What a run may reach beyond
-   them lies within ``SPREAD`` bytes of an anchor, and those strings are hashed and
-   shuffled as well. Of those that are shared only the first and last in each piece
-   of 128 places matter, as they cover all between, each with one witness elsewhere.
-3. The strings of these anchors, places and witnesses are sorted and merged. If
-   neighbours differ although their 128-bit digests agree, their claim is dropped and the
-   spans are computed again without it.
+1. Of every ``SPREAD`` consecutive grams of ``GRAM`` bytes the least by hash is an anchor, so equal
+   strings hold equal anchors at equal distances. Anchors are shuffled as hashes of their gram
+   and of their surroundings, all bytes of the strings that they may be the anchor of. An
+   anchor whose gram occurs once is dropped; one whose surroundings occur again has only shared
+   strings. Where a gram stands in different surroundings, its strings are looked at one by one:
+2. all of them are hashed and shuffled, for one anchor of each surroundings. Of those that are
+   shared only the first and last in each piece of 128 places matter, as they cover all
+   between, each with one witness elsewhere.
+3. The strings at the ends of shared surroundings, and those of claims and witnesses, are
+   sorted and merged. If neighbours differ although their 128-bit digests agree, their
+   claim is dropped and the spans are computed again without it.
 
 A task hands on one entry for all its equal strings, so a passage that a third of all
 documents share is as many entries as there are tasks.
@@ -91,10 +92,11 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def _slices(n: int) -> Iterator[tuple[int, int]]:
-    """Overlapping slices of a text of n bytes; every string starts, with its anchor, in one."""
+    """Overlapping slices of a text of n bytes; every string starts in the first ``SLICE`` bytes of one,
+    or in the last one."""
     at = 0
     while True:
-        end = min(n, at + SLICE + SPREAD + LENGTH)
+        end = min(n, at + SLICE + LENGTH)
         yield at, end
         if end == n:
             return
@@ -109,28 +111,31 @@ def _string_digests(grams: dict[int, np.ndarray], at: np.ndarray) -> tuple[np.nd
     return first, second
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places, gram hashes and both string digests of a text's anchors; the digests of strings that the text's
-    end cuts off are zero."""
+# What stands around an anchor: all bytes of the strings whose first SPREAD grams may hold it.
+_BEFORE, _AROUND = SPREAD - 1, SPREAD - 1 + LENGTH
+
+
+def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, gram hashes and hashes of the surroundings of a text's anchors. A byte that no text has
+    stands for what the text's ends cut off."""
+    n = len(text)
+    data = np.frombuffer(b"\xff" * _BEFORE + text + b"\xff" * LENGTH, np.uint8)
     found = []
-    data = np.frombuffer(text, np.uint8)
     with np.errstate(over="ignore"):
-        for start, end in _slices(len(data)):
-            grams = _gram_hashes(data[start:end])
-            h = grams[GRAM]
+        for start in range(0, n - GRAM - SPREAD + 2, SLICE):
+            end = min(n, start + SLICE + SPREAD + GRAM - 2)
+            grams = _gram_hashes(data[start : end + _AROUND])
+            h = grams[GRAM][_BEFORE : _BEFORE + end - start - GRAM + 1]
             least = _sliding(h, SPREAD, np.minimum)
             edge = np.zeros(SPREAD - 1, np.uint64)
             # A gram is chosen if it is the least of any of the windows that hold it.
-            chosen = h == _sliding(np.concatenate([edge, least, edge]), SPREAD, np.maximum)
-            at = np.flatnonzero(chosen)
-            digests = np.zeros((2, len(at)), np.uint64)
-            whole = np.searchsorted(at, end - start - LENGTH, "right")
-            digests[:, :whole] = _string_digests(grams, at[:whole])
-            found.append((at + start, h[at], *digests))
+            at = np.flatnonzero(h == _sliding(np.concatenate([edge, least, edge]), SPREAD, np.maximum))
+            wide = grams[128]
+            around = _mix(_mix(wide[at], wide[at + 128], _C), wide[at + _AROUND - 128], _B)
+            found.append((at + start, h[at], around))
     places, *rest = (np.concatenate(v) for v in zip(*found))
-    # Of an anchor in two slices the later one stands, where its string is whole if it ever is.
-    places, one = np.unique(places[::-1], return_index=True)
-    return places, *(v[::-1][one] for v in rest)
+    places, one = np.unique(places, return_index=True)
+    return places, *(v[one] for v in rest)
 
 
 def digests_at(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +144,7 @@ def digests_at(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     out = np.zeros((2, len(places)), np.uint64)
     with np.errstate(over="ignore"):
         for start, end in _slices(len(data)):
-            low, high = np.searchsorted(places, [start, min(start + SLICE, end - LENGTH + 1) if end < len(data) else len(data)])
+            low, high = np.searchsorted(places, [start, start + SLICE if end < len(data) else len(data)])
             if high > low:
                 out[:, low:high] = _string_digests(_gram_hashes(data[start:end]), places[low:high] - start)
     return out[0], out[1]
@@ -157,17 +162,23 @@ def _equal_runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # ---- step 1: anchors whose gram occurs again
 
-PAYLOAD = "bucket int, grams binary, strings binary, places binary, rows binary, many binary, keys binary"
-
+PAYLOAD = "bucket int, grams binary, around binary, places binary, rows binary, many binary, settled binary, states binary, keys binary"
+_PAYLOAD_NAMES = [part.split()[0] for part in PAYLOAD.split(", ")]
 
 def _bytes(*arrays: np.ndarray) -> list[bytes]:
     return [a.tobytes() for a in arrays]
 
 
+# What is known of an anchor: all its strings are shared; they are to be looked at one by one.
+COVERED, EMIT = 1, 2
+
+
 def _gram_entries(buckets: int):
-    """Per piece of the input and bucket: one entry for each different (gram, string) with a place
-    that has it, and whether the piece has it more than once. Places that share their
-    string inside the piece are settled and only passed on (grams empty)."""
+    """Per piece of the input and bucket: an entry for each gram, with a place that has it, its surroundings and
+    whether they occur more than once in the piece. A gram that the piece has in different
+    surroundings needs no answer, and two of them tell the others all there is to tell; so a
+    gram has two entries a piece at most, however many documents share it. Places that are
+    settled are only passed on: they stand behind the entries and have no gram."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -177,15 +188,22 @@ def _gram_entries(buckets: int):
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            gram, string, place = (np.concatenate([h[k] for h in held]) for k in (1, 2, 0))
+            place, gram, around = (np.concatenate([h[k] for h in held]) for k in range(3))
             row = np.concatenate([np.full(len(h[0]), k, np.int32) for k, h in enumerate(held)])
-            order, group = _equal_runs(gram, string)
+            order, group = _equal_runs(gram, around)
             first = np.flatnonzero(np.diff(group, prepend=-1))
             many = np.bincount(group) > 1
-            known = order[many[group]]
+            lead = order[first]
+            same = gram[lead[1:]] == gram[lead[:-1]]
+            second = np.concatenate([[False], same])
+            mixed = second | np.concatenate([same, [False]])
+            third = second & np.concatenate([[False], second[:-1]])
+            state = np.where(many[group], COVERED, 0)
+            state[first[mixed]] += EMIT
+            known, state = order[state > 0], state[state > 0].astype(np.int8)
             table = np.array(keys, np.int64)
             rows = []
-            entry = order[first]
+            entry, many, mixed = lead[~third], many[~third], mixed[~third]
             target = (gram[entry] % np.uint64(buckets)).astype(np.int64)
             place32 = place.astype(np.int32)
             for bucket in range(buckets):
@@ -197,21 +215,20 @@ def _gram_entries(buckets: int):
                 used, local = np.unique(row[both], return_inverse=True)
                 rows.append(
                     [bucket]
-                    + _bytes(gram[here], string[here], place32[both], local.astype(np.int32), many[group[first]][target == bucket], table[used])
+                    + _bytes(gram[here], around[here], place32[both], local.astype(np.int32), many[target == bucket])
+                    + _bytes(mixed[target == bucket], state[bucket::buckets], table[used])
                 )
             held.clear()
             keys.clear()
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                ["bucket", "grams", "strings", "places", "rows", "many", "keys"],
+                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], _PAYLOAD_NAMES
             )
 
         for batch in batches:
             for a, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = text.as_py()
-                place, gram, string, _ = anchors(text)
-                held.append((place, gram, string))
+                held.append(anchors(text))
                 keys.append((a, b))
                 size += len(text)
                 if size > CHUNK:
@@ -223,61 +240,60 @@ def _gram_entries(buckets: int):
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The places whose gram occurs again, and whether their whole string does."""
-    names = ["k1", "k2", "place", "whole"]
+    """The places whose gram occurs again, with what is known of each."""
     for _, table in grouped(batches, "bucket"):
-        gram, string, place, key, many, entry = [], [], [], [], [], []
-        for g, s, p, r, m, t in zip(*(table[n].to_pylist() for n in ("grams", "strings", "places", "rows", "many", "keys"))):
-            n = len(g) // 8
-            gram.append(np.frombuffer(g, np.uint64))
-            string.append(np.frombuffer(s, np.uint64))
-            many.append(np.frombuffer(m, bool))
-            keys = np.frombuffer(t, np.int64).reshape(-1, 2)[np.frombuffer(r, np.int32)]
-            places = np.frombuffer(p, np.int32)
+        parts = []
+        for row in table.to_pylist():
+            gram, around = (np.frombuffer(row[c], np.uint64) for c in ("grams", "around"))
+            keys = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)[np.frombuffer(row["rows"], np.int32)]
+            places, n = np.frombuffer(row["places"], np.int32), len(gram)
             if len(places) > n:
-                yield _refs(keys[n:], places[n:], np.ones(len(places) - n, bool), names)
-            key.append(keys[:n])
-            place.append(places[:n])
-        gram, string, many, place, key = map(np.concatenate, (gram, string, many, place, key))
+                yield _refs(keys[n:], places[n:], np.frombuffer(row["states"], np.int8).astype(np.int32))
+            many, settled = (np.frombuffer(row[c], bool) for c in ("many", "settled"))
+            parts.append((gram, around, many, settled, places[:n], keys[:n]))
+        gram, around, many, settled, place, key = (np.concatenate(v) for v in zip(*parts))
         if not len(gram):
             continue
-        order, group = _equal_runs(gram)
-        weight = np.where(many, 2, 1)
-        shared = np.zeros(len(gram), bool)
-        shared[order] = np.bincount(group, weight[order])[group] > 1
-        order, group = _equal_runs(gram, string)
-        whole = np.zeros(len(gram), bool)
-        whole[order] = np.bincount(group, weight[order])[group] > 1
-        open_ = shared & ~many
-        yield _refs(key[open_], place[open_], whole[open_], names)
-
-
-def _refs(keys: np.ndarray, places: np.ndarray, whole: np.ndarray, names: list[str]) -> pa.RecordBatch:
+        order, group = _equal_runs(gram, around)
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        weight = np.bincount(group, np.where(many, 2, 1)[order])
+        # Of grams with several surroundings one place of each is looked at.
+        of_class = gram[order[first]]
+        same = of_class[1:] == of_class[:-1]
+        mixed = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        lead = np.zeros(len(order), bool)
+        lead[first] = True
+        # The places of a class that one piece holds several of are covered already.
+        state = np.where((weight[group] > 1) & ~many[order], COVERED, 0) + np.where(lead & mixed[group], EMIT, 0)
+        state[settled[order]] = 0
+        known = order[state > 0]
+        yield _refs(key[known], place[known], state[state > 0].astype(np.int32))
+
+
+def _refs(keys: np.ndarray, places: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(places, pa.int32()), pa.array(whole)], names
+        [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(places, pa.int32()), pa.array(state)], ["k1", "k2", "place", "state"]
     )
 
 
-# ---- step 2: strings beside the anchors
+# ---- step 2: the strings of anchors in different surroundings
 
 
-def _whole(n: int, places: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """The anchors of a text of n bytes whose string is shared, and not cut off."""
-    return places[whole & (places <= n - LENGTH)]
+def _strings_of(n: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last place of a string that each anchor may be the anchor of; anchors that have none are
+    left out."""
+    low, high = np.maximum(0, places - _BEFORE), np.minimum(places, n - LENGTH)
+    some = low <= high
+    return low[some], high[some]
 
 
-def _beside(n: int, places: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """Where repeated strings may start that the shared anchors do not cover already."""
+def _looked_at(n: int, places: np.ndarray) -> np.ndarray:
+    """The places of all strings of these anchors."""
+    low, high = _strings_of(n, places)
     change = np.zeros(n + 1, np.int32)
-    starts = _whole(n, places, whole)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + LENGTH, -1)
-    bare = np.concatenate([[0], np.cumsum(np.cumsum(change)[:n] == 0)])
-    near = np.zeros(n + 1, np.int32)
-    np.add.at(near, np.maximum(0, places - SPREAD + 1), 1)
-    np.add.at(near, places + 1, -1)
-    at = np.flatnonzero(np.cumsum(near)[: n - LENGTH + 1] > 0)
-    return at[bare[at + LENGTH] > bare[at]]
+    np.add.at(change, low, 1)
+    np.add.at(change, high + 1, -1)
+    return np.flatnonzero(np.cumsum(change) > 0)
 
 
 CLAIMS = "tid bigint, piece int, low int, low_tid bigint, low_at int, high int, high_tid bigint, high_at int"
@@ -297,7 +313,7 @@ def _claims(tid: np.ndarray, place: np.ndarray, wtid: np.ndarray, wplace: np.nda
 
 
 def _string_entries(buckets: int):
-    """As :func:`_gram_entries`, for strings beside anchors. Claims that a piece settles itself are rows of
+    """As :func:`_gram_entries`, for the strings of the anchors to be looked at. Claims that a piece settles itself are rows of
     their own (bucket, and the claim's columns as one block)."""
     names = ["bucket", "a", "b", "tids", "places", "many", "claims"]
 
@@ -321,7 +337,7 @@ def _string_entries(buckets: int):
             settled = _claims(tid[own], place[own], tid[other], place[other])
             entry = order[first]
             target = (a[entry] % np.uint64(buckets)).astype(np.int64)
-            flag = many[group[first]]
+            flag = many
             rows = []
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, settled.schema) as writer:
@@ -339,11 +355,11 @@ def _string_entries(buckets: int):
             )
 
         for batch in batches:
-            for tid, text, places, whole in zip(
+            for tid, text, places, states in zip(
                 batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)
             ):
                 text = text.as_py()
-                at = _beside(len(text), places.values.to_numpy(), whole.values.to_numpy(zero_copy_only=False))
+                at = _looked_at(len(text), places.values.to_numpy()[states.values.to_numpy() & EMIT > 0])
                 if len(at):
                     held.append((*digests_at(text, at), np.full(len(at), tid, np.int64), at.astype(np.int32)))
                     size += 28 * len(at)
@@ -536,11 +552,11 @@ def _spans_and_runs(failed: frozenset[bytes]):
 
         for batch in batches:
             rows = []
-            for k1, k2, text, places, whole, claims, witnesses in zip(*(c for c in batch.columns)):
+            for k1, k2, text, places, states, claims, witnesses in zip(*(c for c in batch.columns)):
                 text = text.as_py()
-                starts = _whole(len(text), places.values.to_numpy(), whole.values.to_numpy(zero_copy_only=False))
+                covered = places.values.to_numpy()[states.values.to_numpy() & COVERED > 0]
                 mine = np.array(claims.as_py() or [], np.int64)
-                claimed = np.unique(np.concatenate([starts, mine]).astype(np.int64))
+                claimed = np.unique(np.concatenate([*_strings_of(len(text), covered), mine]).astype(np.int64))
                 asked = np.unique(np.concatenate([claimed, np.array(witnesses.as_py() or [], np.int64)]))
                 a, b = digests_at(text, asked)
                 digests = np.stack([a, b], 1).tobytes()
@@ -669,16 +685,15 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = keyed(docs, text).where(F.octet_length("data") >= LENGTH).select("k1", "k2", "data")
     entries = long.mapInArrow(_gram_entries(width), PAYLOAD).repartition(width, "bucket").sortWithinPartitions("bucket")
-    shared = entries.mapInArrow(_shared_anchors, "k1 bigint, k2 bigint, place int, whole boolean")
+    shared = entries.mapInArrow(_shared_anchors, "k1 bigint, k2 bigint, place int, state int")
     # A text's anchors are fewer than its bytes, so they fit where it does.
-    found = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "whole")).alias("found"))
-    found = found.select("k1", "k2", F.array_sort("found").alias("found"))
+    found = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "state")).alias("found"))
     texts = long.join(found, ["k1", "k2"]).select(
         F.monotonically_increasing_id().alias("tid"), "k1", "k2", "data", F.col("found.place").alias("places"),
-        F.col("found.whole").alias("whole"),
+        F.col("found.state").alias("states"),
     )
     texts = materialize(texts, "texts")
-    strings = texts.select("tid", "data", "places", "whole").mapInArrow(
+    strings = texts.select("tid", "data", "places", "states").mapInArrow(
         _string_entries(width), "bucket int, a binary, b binary, tids binary, places binary, many binary, claims binary"
     )
     settled = strings.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared_strings, CLAIMS)
@@ -698,7 +713,7 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         F.collect_set(F.when(F.col("own"), F.col("place"))).alias("claims"),
         F.collect_set(F.when(~F.col("own"), F.col("place"))).alias("witnesses"),
     )
-    joined = texts.join(asked, "tid", "left").select("k1", "k2", "data", "places", "whole", "claims", "witnesses")
+    joined = texts.join(asked, "tid", "left").select("k1", "k2", "data", "places", "states", "claims", "witnesses")
     failed: frozenset[bytes] = frozenset()
     while True:
         worked = materialize(joined.mapInArrow(_spans_and_runs(failed), WORK), "runs")
