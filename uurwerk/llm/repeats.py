@@ -264,8 +264,8 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         lead = np.zeros(len(order), bool)
         lead[first] = True
         # The places of a class that one piece holds several of are covered already.
-        state = np.where((weight[group] > 1) & ~many[order], COVERED, 0) + np.where(lead & mixed[group], EMIT, 0)
-        state[settled[order]] = 0
+        state = np.where((weight[group] > 1) & ~many[order], COVERED, 0)
+        state += np.where(lead & mixed[group] & ~settled[order], EMIT, 0)
         known = order[state > 0]
         yield _refs(key[known], place[known], state[state > 0].astype(np.int32))
 
