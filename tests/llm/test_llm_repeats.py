@@ -92,48 +92,62 @@ def test_long_texts_in_slices(spark, monkeypatch):
     long = words(rng, 30_000)
     text = long[:9000] + "-" + long[3000:7000] + "!" + long[20_000:]
     docs = [(1, text), (2, long[15_000:21_000]), (3, long)]
-    b = long.encode()
-    whole = repeats.anchors(b)
-    with monkeypatch.context() as m:
-        m.setattr(repeats, "SLICE", 1000)
-        sliced = repeats.anchors(b)
-        at = np.array([0, 999, 1000, 1001, 1299, 5000, len(b) - N])
-        in_slices = repeats.digests_at(b, at)
-    assert all(np.array_equal(x, y) for x, y in zip(whole, sliced))
-    assert all(np.array_equal(x, y) for x, y in zip(in_slices, repeats.digests_at(b, at)))
+    stream = repeats.Stream([t.encode() for _, t in docs])
+    row = np.repeat([0, 1, 2], 4)
+    at = np.concatenate([[0, 999, 1000, size - N] for size in stream.sizes])
+    whole, digests = stream.anchors(), stream.digests(row, at)
+    monkeypatch.setattr(repeats, "SLICE", 1000)
+    assert all(np.array_equal(x, y) for x, y in zip(whole, stream.anchors()))
+    assert all(np.array_equal(x, y) for x, y in zip(digests, stream.digests(row, at)))
     assert removed(spark, docs) == brute(docs)
 
 
+def test_anchors_do_not_depend_on_the_texts_beside():
+    rng = random.Random(12)
+    texts = [words(rng, rng.randrange(200, 3000)).encode() for _ in range(9)]
+    row, place, gram, around = repeats.Stream(texts).anchors()
+    for k, text in enumerate(texts):
+        alone = repeats.Stream([text]).anchors()
+        assert all(np.array_equal(x, y[row == k]) for x, y in zip(alone[1:], (place, gram, around)))
+        # Some anchor in the first SPREAD grams of every string.
+        starts = np.arange(len(text) - N + 1)
+        assert (alone[1][np.searchsorted(alone[1], starts)] - starts < repeats.SPREAD).all()
+
+
 def test_loser_tree_merges_and_knows_every_common_prefix():
     rng = random.Random(9)
     runs = []
     for _ in range(7):
         texts = sorted(bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(rng.randrange(0, 40)))
         shared = [0] + [repeats._first_difference(x, y, 0) for x, y in zip(texts, texts[1:])]
-        runs.append([(t, s, b"", 1) for t, s in zip(texts, shared)])
+        runs.append([(t, s, 1) for t, s in zip(texts, shared)])
     got = list(repeats.merged([iter(r) for r in runs]))
     texts = [g[0] for g in got]
     assert texts == sorted(t[0] for r in runs for t in r)
     assert [g[1] for g in got[1:]] == [repeats._first_difference(x, y, 0) for x, y in zip(texts, texts[1:])]
 
 
-def test_blocks_round_trip_and_ranges_find_strings_that_stand_alone(spark):
+def test_front_coding_round_trip_and_strings_that_stand_alone():
     rng = random.Random(10)
     texts = sorted({bytes(rng.choice(b"abc") for _ in range(N)) for _ in range(50)})
-    entries = [repeats.Entry(t, hashlib.blake2b(t, digest_size=16).digest(), 1) for t in texts]
-    names = ("prefix", "rest", "digests", "counts")
-    block = dict(zip(names, repeats._front_coded(entries)))
-    assert [(t, d) for t, _, d, _ in repeats._decoded(block)] == [(e.text, e.digest) for e in entries]
-
-    def rows_of(run, held, step=4):
-        for k in range(0, len(held), step):
-            part = held[k : k + step]
-            yield (run, bytearray(part[0].text), bytearray(part[-1].text), *map(bytearray, repeats._front_coded(part)))
-
-    others = entries[:20] + entries[25:]
-    data = [*rows_of("x", entries), *rows_of("y", others)]
-    blocks = spark.createDataFrame(data, f"run string, first binary, last binary, {repeats.FRONT}")
-    assert sorted(repeats._failed(blocks)) == sorted(e.digest for e in entries[20:25])
+    counts = [rng.randrange(1, 9) for _ in texts]
+    assert [(t, n) for t, _, n in repeats._decoded(repeats._front_coded(texts, counts))] == list(zip(texts, counts))
+    others = texts[:20] + texts[25:]
+    rows_ = [(3, "x", repeats._front_coded(texts, [1] * 50)), (3, "y", repeats._front_coded(others, [1] * 45))]
+    batch = repeats._rows([(*r, *[None] * 6) for r in rows_])
+    found = [b["block"].to_pylist() for b in repeats._unproven(iter([batch]))]
+    assert sum(found, []) == [repeats._digest(t) for t in texts[20:25]]
+
+
+def test_a_claim_that_the_merge_does_not_prove_is_dropped(spark, monkeypatch):
+    """With a wrong witness a claim fails, and its text is computed again without it."""
+    data = "k1 long, k2 long, data binary, places array<int>, states array<int>, claims array<int>, witnesses array<int>"
+    rng = random.Random(13)
+    one = words(rng, 300).encode()
+    rows_ = [(1, 1, bytearray(one), [50], [repeats.EMIT], [3, 40], [3])]
+    df = spark.createDataFrame([*rows_, (2, 2, bytearray(one[3:203]), [0], [0], None, [0])], data)
+    got = {r.k1: r.spans for r in repeats._proven(df, []).collect()}
+    assert got == {1: [3, 203], 2: []}
 
 
 def test_other_columns_do_not_clash(spark):

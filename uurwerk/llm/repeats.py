@@ -20,8 +20,7 @@ looked for first by hashes, which narrow what is sorted and never decide alone:
 2. all of them are hashed and shuffled, for one anchor of each surroundings. Of those that are
    shared only the first and last in each piece of 128 places matter, as they cover all
    between, each with one witness elsewhere.
-3. The strings at the ends of shared surroundings, and those of claims and witnesses, are
-   sorted and merged. If neighbours differ although their 128-bit digests agree, their
+3. The strings of covered anchors, and those of claims and witnesses, are sorted and merged. If neighbours differ although their 128-bit digests agree, their
    claim is dropped and the spans are computed again without it.
 
 A task hands on one entry for all its equal strings, so a passage that a third of all
@@ -35,11 +34,13 @@ matter; texts are read in slices, however long; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,20 +48,27 @@ from uurwerk.llm.common import runs as grouped
 from uurwerk.session import materialize
 
 LENGTH = 200
-GRAM = 64
-SPREAD = 100
-# Bytes of a text that are hashed at a time, and bytes of texts behind one local run.
-SLICE = 1 << 20
-CHUNK = 48 << 20
-# Suffixes in a block, blocks sampled for splitters, bytes that one range merges.
-BLOCK = 512
-SAMPLE = 20_000
+GRAM = 96
+SPREAD = 80
+# What stands around an anchor: the strings that it may be the anchor of, and the anchor before it.
+BEFORE = SPREAD
+AROUND = BEFORE + LENGTH
+# Bytes hashed at a time, which fit a core's cache; bytes of texts behind one local run.
+SLICE = 1 << 16
+CHUNK = 32 << 20
+# Texts sampled for splitters, strings taken of each, bytes that one range merges.
+SAMPLE, STRINGS = 4000, 5
 RANGE_BYTES = 24 << 20
+# Bits of the filter of texts at most.
+FILTER_BITS = 1 << 27
 # Places of which the first and the last repeated one are kept; less than a string.
 PIECE = 128
-# Digests whose claim failed; one is a coincidence of 128 bits.
+# Digests whose claim failed; one is a coincidence of 96 bits.
 MAX_FAILED = 10_000
 
+# No byte of UTF-8.
+PAD = b"\xff" * LENGTH
+
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -91,63 +99,65 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[:-rest], values[rest:]) if rest else values
 
 
-def _slices(n: int) -> Iterator[tuple[int, int]]:
-    """Overlapping slices of a text of n bytes; every string starts in the first ``SLICE`` bytes of one,
-    or in the last one."""
-    at = 0
-    while True:
-        end = min(n, at + SLICE + LENGTH)
-        yield at, end
-        if end == n:
-            return
-        at += SLICE
-
-
-def _string_digests(grams: dict[int, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of the strings that start at the given places, from different grams."""
-    wide, mid, end = grams[128], grams[64], grams[8]
-    first = _mix(wide[at], wide[at + LENGTH - 128], _B)
-    second = _mix(_mix(mid[at], mid[at + 64], _C), _mix(mid[at + 128], end[at + LENGTH - 8], _A), _B)
-    return first, second
-
-
-# What stands around an anchor: all bytes of the strings whose first SPREAD grams may hold it.
-_BEFORE, _AROUND = SPREAD - 1, SPREAD - 1 + LENGTH
-
-
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, gram hashes and hashes of the surroundings of a text's anchors. A byte that no text has
-    stands for what the text's ends cut off."""
-    n = len(text)
-    data = np.frombuffer(b"\xff" * _BEFORE + text + b"\xff" * LENGTH, np.uint8)
-    found = []
-    with np.errstate(over="ignore"):
-        for start in range(0, n - GRAM - SPREAD + 2, SLICE):
-            end = min(n, start + SLICE + SPREAD + GRAM - 2)
-            grams = _gram_hashes(data[start : end + _AROUND])
-            h = grams[GRAM][_BEFORE : _BEFORE + end - start - GRAM + 1]
-            least = _sliding(h, SPREAD, np.minimum)
-            edge = np.zeros(SPREAD - 1, np.uint64)
-            # A gram is chosen if it is the least of any of the windows that hold it.
-            at = np.flatnonzero(h == _sliding(np.concatenate([edge, least, edge]), SPREAD, np.maximum))
-            wide = grams[128]
-            around = _mix(_mix(wide[at], wide[at + 128], _C), wide[at + _AROUND - 128], _B)
-            found.append((at + start, h[at], around))
-    places, *rest = (np.concatenate(v) for v in zip(*found))
-    places, one = np.unique(places, return_index=True)
-    return places, *(v[one] for v in rest)
-
-
-def digests_at(text: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both string digests at sorted places of a text."""
-    data = np.frombuffer(text, np.uint8)
-    out = np.zeros((2, len(places)), np.uint64)
-    with np.errstate(over="ignore"):
-        for start, end in _slices(len(data)):
-            low, high = np.searchsorted(places, [start, start + SLICE if end < len(data) else len(data)])
-            if high > low:
-                out[:, low:high] = _string_digests(_gram_hashes(data[start:end]), places[low:high] - start)
-    return out[0], out[1]
+class Stream:
+    """Texts one behind the other with padding before, between and after them."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = np.frombuffer(PAD + PAD.join(texts) + PAD, np.uint8)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = LENGTH + np.concatenate([[0], np.cumsum(self.sizes[:-1] + LENGTH)]).astype(np.int64)
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place, hash of the gram and hash of the surroundings of all anchors."""
+        found = []
+        last = self.starts[-1] + self.sizes[-1]
+        # First and last place from which SPREAD grams lie inside the text.
+        low, high = self.starts, self.starts + self.sizes - GRAM - SPREAD + 1
+        with np.errstate(over="ignore"):
+            for start in range(LENGTH, int(last), SLICE):
+                end = min(start + SLICE, int(last))
+                grams = _gram_hashes(self.data[start - BEFORE : end + SPREAD + LENGTH])
+                h = _mix(grams[64][: -(GRAM - 64)], grams[32][64:], _B)[BEFORE : BEFORE + end - start + SPREAD - 1]
+                least = _sliding(h, SPREAD, np.minimum)
+                inside = np.zeros(len(least) + 1, np.int8)
+                here = slice(np.searchsorted(high, start), np.searchsorted(low, end))
+                np.add.at(inside, np.clip(low[here] - start, 0, len(least)), 1)
+                np.add.at(inside, np.clip(high[here] + 1 - start, 0, len(least)), -1)
+                least[np.cumsum(inside[:-1]) == 0] = 0
+                edge = np.zeros(SPREAD - 1, np.uint64)
+                # A gram is chosen if it is the least of any of the windows that hold it.
+                chosen = _sliding(np.concatenate([edge, least, edge]), SPREAD, np.maximum)
+                at = np.flatnonzero(h[: len(chosen)] == chosen)
+                wide = grams[128]
+                around = _mix(_mix(wide[at], wide[at + 128], _C), wide[at + AROUND - 128], _B)
+                found.append((at + start, h[at], around))
+        at, gram, around = (np.concatenate(v) for v in zip(*found))
+        at, one = np.unique(at, return_index=True)
+        text = np.searchsorted(self.starts, at, "right") - 1
+        return text, at - self.starts[text], gram[one], around[one]
+
+    def digests(self, text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit hashes, of different grams, of the strings at places in ascending order."""
+        at = self.starts[text] + place
+        out = np.zeros((2, len(at)), np.uint64)
+        with np.errstate(over="ignore"):
+            low = 0
+            while low < len(at):
+                start = int(at[low])
+                high = int(np.searchsorted(at, start + SLICE))
+                grams = _gram_hashes(self.data[start : start + SLICE + LENGTH])
+                here = at[low:high] - start
+                wide, mid, end = grams[128], grams[64], grams[8]
+                out[0, low:high] = _mix(wide[here], wide[here + LENGTH - 128], _B)
+                rest = _mix(mid[here + 128], end[here + LENGTH - 8], _A)
+                out[1, low:high] = _mix(_mix(mid[here], mid[here + 64], _C), rest, _B)
+                low = high
+        return out[0], out[1]
+
+
+def _digest(string: bytes) -> bytes:
+    zero = np.zeros(1, np.int64)
+    return np.stack(Stream([string]).digests(zero, zero), 1).tobytes()
 
 
 def _equal_runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,36 +170,69 @@ def _equal_runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
-# ---- step 1: anchors whose gram occurs again
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays in one compressed block."""
+    parts = [np.array([len(arrays), *[a.nbytes for a in arrays]], np.int64).tobytes(), *[a.tobytes() for a in arrays]]
+    return zstandard.compress(b"".join(parts), 1)
+
+
+def _unpacked(block: bytes, *kinds: type) -> list[np.ndarray]:
+    raw = zstandard.decompress(block)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    sizes = np.frombuffer(raw, np.int64, n, 8)
+    ends = 8 * (n + 1) + np.cumsum(sizes)
+    return [np.frombuffer(raw[e - s : e], k) for s, e, k in zip(sizes, ends, kinds)]
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences, which are small for places in order."""
+    return np.diff(values.astype(np.int32), prepend=np.int32(0))
+
+
+def _summed(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.int32)
+
 
-PAYLOAD = "bucket int, grams binary, around binary, places binary, rows binary, many binary, settled binary, states binary, keys binary"
-_PAYLOAD_NAMES = [part.split()[0] for part in PAYLOAD.split(", ")]
+def _pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[list[tuple]]:
+    """The rows in pieces of about ``CHUNK`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*[c.to_pylist() if k != text else c for k, c in enumerate(batch.columns)]):
+            row = (*row[:text], row[text].as_py(), *row[text + 1 :])
+            held.append(row)
+            size += len(row[text])
+            if size > CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
-def _bytes(*arrays: np.ndarray) -> list[bytes]:
-    return [a.tobytes() for a in arrays]
 
+# ---- step 1: anchors whose gram occurs again
+
+BLOCKS = "bucket int, block binary"
 
-# What is known of an anchor: all its strings are shared; they are to be looked at one by one.
+# What is known of an anchor: its own string is shared; its strings are to be looked at one by one.
 COVERED, EMIT = 1, 2
 
 
+def _block_rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([b for b, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())], ["bucket", "block"]
+    )
+
+
 def _gram_entries(buckets: int):
     """Per piece of the input and bucket: an entry for each gram, with a place that has it, its surroundings and
     whether they occur more than once in the piece. A gram that the piece has in different
     surroundings needs no answer, and two of them tell the others all there is to tell; so a
     gram has two entries a piece at most, however many documents share it. Places that are
-    settled are only passed on: they stand behind the entries and have no gram."""
+    settled are only passed on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        keys: list[tuple[int, int]] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            place, gram, around = (np.concatenate([h[k] for h in held]) for k in range(3))
-            row = np.concatenate([np.full(len(h[0]), k, np.int32) for k, h in enumerate(held)])
+        for piece in _pieces(batches, 2):
+            keys = np.array([r[:2] for r in piece], np.int64)
+            row, place, gram, around = Stream([r[2] for r in piece]).anchors()
             order, group = _equal_runs(gram, around)
             first = np.flatnonzero(np.diff(group, prepend=-1))
             many = np.bincount(group) > 1
@@ -198,62 +241,48 @@ def _gram_entries(buckets: int):
             second = np.concatenate([[False], same])
             mixed = second | np.concatenate([same, [False]])
             third = second & np.concatenate([[False], second[:-1]])
-            state = np.where(many[group], COVERED, 0)
-            state[first[mixed]] += EMIT
-            known, state = order[state > 0], state[state > 0].astype(np.int8)
-            table = np.array(keys, np.int64)
+            state = np.zeros(len(gram), np.int8)
+            state[order] = np.where(many[group], COVERED, 0)
+            state[lead[mixed]] += EMIT
+            known = np.flatnonzero(state)
+            flag = many.astype(np.int8) + 2 * mixed.astype(np.int8)
+            entry, flag = lead[~third], flag[~third]
+            in_order = np.argsort(entry)
+            entry, flag = entry[in_order], flag[in_order]
+            target = gram[entry] % np.uint64(buckets)
             rows = []
-            entry, many, mixed = lead[~third], many[~third], mixed[~third]
-            target = (gram[entry] % np.uint64(buckets)).astype(np.int64)
-            place32 = place.astype(np.int32)
             for bucket in range(buckets):
-                here = entry[target == bucket]
-                passed = known[bucket::buckets]
-                if not len(here) and not len(passed):
-                    continue
-                both = np.concatenate([here, passed])
-                used, local = np.unique(row[both], return_inverse=True)
-                rows.append(
-                    [bucket]
-                    + _bytes(gram[here], around[here], place32[both], local.astype(np.int32), many[target == bucket])
-                    + _bytes(mixed[target == bucket], state[bucket::buckets], table[used])
-                )
-            held.clear()
-            keys.clear()
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], _PAYLOAD_NAMES
-            )
-
-        for batch in batches:
-            for a, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = text.as_py()
-                held.append(anchors(text))
-                keys.append((a, b))
-                size += len(text)
-                if size > CHUNK:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                mine = target == bucket
+                here, passed = entry[mine], known[bucket::buckets]
+                if len(here) or len(passed):
+                    used, local = np.unique(row[np.concatenate([here, passed])], return_inverse=True)
+                    n = len(here)
+                    block = _packed(
+                        gram[here], around[here], _steps(place[here]), _steps(local[:n]), flag[mine],
+                        _steps(place[passed]), _steps(local[n:]), state[passed], keys[used],
+                    )
+                    rows.append((bucket, block))
+            if rows:
+                yield _block_rows(rows)
 
     return work
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The places whose gram occurs again, with what is known of each."""
+    kinds = (np.uint64, np.uint64, np.int32, np.int32, np.int8, np.int32, np.int32, np.int8, np.int64)
     for _, table in grouped(batches, "bucket"):
         parts = []
-        for row in table.to_pylist():
-            gram, around = (np.frombuffer(row[c], np.uint64) for c in ("grams", "around"))
-            keys = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)[np.frombuffer(row["rows"], np.int32)]
-            places, n = np.frombuffer(row["places"], np.int32), len(gram)
-            if len(places) > n:
-                yield _refs(keys[n:], places[n:], np.frombuffer(row["states"], np.int8).astype(np.int32))
-            many, settled = (np.frombuffer(row[c], bool) for c in ("many", "settled"))
-            parts.append((gram, around, many, settled, places[:n], keys[:n]))
-        gram, around, many, settled, place, key = (np.concatenate(v) for v in zip(*parts))
+        for block in table["block"]:
+            gram, around, place, local, flag, more, of, state, keys = _unpacked(block.as_py(), *kinds)
+            keys = keys.reshape(-1, 2)
+            if len(more):
+                yield _refs(keys[_summed(of)], _summed(more), state)
+            parts.append((gram, around, flag, _summed(place), keys[_summed(local)]))
+        gram, around, flag, place, key = (np.concatenate(v) for v in zip(*parts))
         if not len(gram):
             continue
+        many, settled = flag & 1 > 0, flag & 2 > 0
         order, group = _equal_runs(gram, around)
         first = np.flatnonzero(np.diff(group, prepend=-1))
         weight = np.bincount(group, np.where(many, 2, 1)[order])
@@ -267,40 +296,63 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         state = np.where((weight[group] > 1) & ~many[order], COVERED, 0)
         state += np.where(lead & mixed[group] & ~settled[order], EMIT, 0)
         known = order[state > 0]
-        yield _refs(key[known], place[known], state[state > 0].astype(np.int32))
+        yield _refs(key[known], place[known], state[state > 0])
 
 
 def _refs(keys: np.ndarray, places: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(places, pa.int32()), pa.array(state)], ["k1", "k2", "place", "state"]
+    columns = [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(places, pa.int32()), pa.array(state.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, ["k1", "k2", "place", "state"])
+
+
+def _filtered(shared):
+    """Only texts whose key is marked in a bitmap; a few others pass as well."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(64 * len(bits))
+            hit = bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    return work
+
+
+def _with_found(long: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts with what was found in them. A bitmap of ``FILTER_BITS`` at most keeps texts without anything
+    out of the join; where there are more than it can tell apart the join does the rest."""
+    spark = long.sparkSession
+    words = max(1, min(FILTER_BITS, 16 * found.count()) // 64)
+    # The key as an unsigned number, modulo the bits.
+    bit = F.expr(f"pmod(pmod(k1, {64 * words}L) + if(k1 < 0, pmod({(1 << 64) % (64 * words)}L, {64 * words}L), 0L), {64 * words}L)")
+    marks = found.select(bit.alias("bit")).select(
+        F.expr("shiftrightunsigned(bit, 6)").alias("word"), F.expr("shiftleft(1L, cast(bit & 63L as int))").alias("mask")
     )
+    made = marks.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(words, np.uint64)
+    bits[made["word"].to_numpy()] = made["mask"].to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(bits)
+    return long.mapInArrow(_filtered(shared), "k1 bigint, k2 bigint, data binary").join(found, ["k1", "k2"])
 
 
 # ---- step 2: the strings of anchors in different surroundings
 
 
-def _strings_of(n: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first and the last place of a string that each anchor may be the anchor of; anchors that have none are
-    left out."""
-    low, high = np.maximum(0, places - _BEFORE), np.minimum(places, n - LENGTH)
+def _looked_at(size: int, places: np.ndarray) -> np.ndarray:
+    """The places of all strings that these anchors may be the anchors of."""
+    low, high = np.maximum(0, places - SPREAD + 1), np.minimum(places, size - LENGTH)
     some = low <= high
-    return low[some], high[some]
-
-
-def _looked_at(n: int, places: np.ndarray) -> np.ndarray:
-    """The places of all strings of these anchors."""
-    low, high = _strings_of(n, places)
-    change = np.zeros(n + 1, np.int32)
-    np.add.at(change, low, 1)
-    np.add.at(change, high + 1, -1)
+    change = np.zeros(size + 1, np.int32)
+    np.add.at(change, low[some], 1)
+    np.add.at(change, high[some] + 1, -1)
     return np.flatnonzero(np.cumsum(change) > 0)
 
 
 CLAIMS = "tid bigint, piece int, low int, low_tid bigint, low_at int, high int, high_tid bigint, high_at int"
 _CLAIM_NAMES = [part.split()[0] for part in CLAIMS.split(", ")]
+_CLAIM_KINDS = [np.int64 if part.endswith("bigint") else np.int32 for part in CLAIMS.split(", ")]
 
 
-def _claims(tid: np.ndarray, place: np.ndarray, wtid: np.ndarray, wplace: np.ndarray) -> pa.RecordBatch:
+def _claims(tid: np.ndarray, place: np.ndarray, wtid: np.ndarray, wplace: np.ndarray) -> list[np.ndarray]:
     """The first and the last place in each piece of a text, with a witness each."""
     order = np.lexsort((place, tid))
     tid, place, wtid, wplace = tid[order], place[order], wtid[order], wplace[order]
@@ -308,131 +360,104 @@ def _claims(tid: np.ndarray, place: np.ndarray, wtid: np.ndarray, wplace: np.nda
     new = np.flatnonzero(np.concatenate([[True], (tid[1:] != tid[:-1]) | (piece[1:] != piece[:-1])])[: len(tid)])
     end = np.append(new[1:], len(tid))[: len(new)] - 1
     columns = [tid[new], piece[new], place[new], wtid[new], wplace[new], place[end], wtid[end], wplace[end]]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds)], _CLAIM_NAMES)
+    return [c.astype(k) for c, k in zip(columns, _CLAIM_KINDS)]
+
+
+def _claim_rows(columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _CLAIM_NAMES)
+
+
+def _witnessed(order: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For each place of an order that brings equals together, another one of its group: the first one's witness
+    is the second, all others' the first."""
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    several = np.bincount(group) > 1
+    witness = order[first][group]
+    witness[first[several]] = order[first[several] + 1]
+    return witness
 
 
 def _string_entries(buckets: int):
-    """As :func:`_gram_entries`, for the strings of the anchors to be looked at. Claims that a piece settles itself are rows of
-    their own (bucket, and the claim's columns as one block)."""
-    names = ["bucket", "a", "b", "tids", "places", "many", "claims"]
+    """As :func:`_gram_entries`, for the strings of the anchors to be looked at: one entry a piece for each
+    different string. Claims that a piece settles itself are passed on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            a, b, tid, place = (np.concatenate([h[k] for h in held]) for k in range(4))
-            held.clear()
+        for piece in _pieces(batches, 1):
+            tids = np.array([r[0] for r in piece], np.int64)
+            asked = [_looked_at(len(t), np.array(p)[np.array(s) & EMIT > 0]) for _, t, p, s in piece]
+            row = np.repeat(np.arange(len(piece)), [len(a) for a in asked])
+            if not len(row):
+                continue
+            place = np.concatenate(asked)
+            a, b = Stream([r[1] for r in piece]).digests(row, place)
+            b = b.astype(np.uint32)
             order, group = _equal_runs(a, b)
-            first = np.flatnonzero(np.diff(group, prepend=-1))
             many = np.bincount(group) > 1
             inside = many[group]
-            # Inside a group everyone's witness is the first, and the first one's the second.
-            witness = order[first][group]
-            witness[first[many]] = order[first[many] + 1]
-            own, other = order[inside], witness[inside]
-            settled = _claims(tid[own], place[own], tid[other], place[other])
-            entry = order[first]
-            target = (a[entry] % np.uint64(buckets)).astype(np.int64)
-            flag = many
+            own, other = order[inside], _witnessed(order, group)[inside]
+            settled = _claims(tids[row[own]], place[own], tids[row[other]], place[other])
+            entry = order[np.flatnonzero(np.diff(group, prepend=-1))]
+            in_order = np.argsort(entry)
+            entry, many = entry[in_order], many[in_order]
+            target = a[entry] % np.uint64(buckets)
             rows = []
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, settled.schema) as writer:
-                writer.write_batch(settled)
-            block = sink.getvalue().to_pybytes()
             for bucket in range(buckets):
-                at = entry[target == bucket]
-                if len(at):
-                    rows.append([bucket, *_bytes(a[at], b[at], tid[at], place[at], flag[target == bucket]), None])
-            if settled.num_rows:
-                rows.append([int(a[0] % np.uint64(buckets)), b"", b"", b"", b"", b"", block])
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names
-            )
-
-        for batch in batches:
-            for tid, text, places, states in zip(
-                batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)
-            ):
-                text = text.as_py()
-                at = _looked_at(len(text), places.values.to_numpy()[states.values.to_numpy() & EMIT > 0])
-                if len(at):
-                    held.append((*digests_at(text, at), np.full(len(at), tid, np.int64), at.astype(np.int32)))
-                    size += 28 * len(at)
-                    if size > CHUNK:
-                        yield from flush()
-                        size = 0
-        yield from flush()
+                mine = target == bucket
+                here = entry[mine]
+                passed = [c[bucket::buckets] for c in settled]
+                if len(here) or len(passed[0]):
+                    used, local = np.unique(row[here], return_inverse=True)
+                    block = _packed(a[here], b[here], _steps(place[here]), _steps(local), many[mine], tids[used], *passed)
+                    rows.append((bucket, block))
+            yield _block_rows(rows)
 
     return work
 
 
 def _shared_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (np.uint64, np.uint32, np.int32, np.int32, bool, np.int64, *_CLAIM_KINDS)
     for _, table in grouped(batches, "bucket"):
         parts = []
-        for a, b, tid, place, many, claims in zip(*(table[n].to_pylist() for n in ("a", "b", "tids", "places", "many", "claims"))):
-            if claims is not None:
-                yield from pa.ipc.open_stream(claims)
-                continue
-            parts.append(
-                (
-                    np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(tid, np.int64),
-                    np.frombuffer(place, np.int32), np.frombuffer(many, bool),
-                )
-            )
-        if not parts:
+        for block in table["block"]:
+            a, b, place, local, many, tids, *settled = _unpacked(block.as_py(), *kinds)
+            if len(settled[0]):
+                yield _claim_rows(settled)
+            parts.append((a, b, _summed(place), tids[_summed(local)] if len(a) else tids[:0], many))
+        a, b, place, tid, many = (np.concatenate(v) for v in zip(*parts))
+        if not len(a):
             continue
-        a, b, tid, place, many = (np.concatenate(v) for v in zip(*parts))
         order, group = _equal_runs(a, b)
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        several = np.bincount(group) > 1
-        witness = order[first][group]
-        witness[first[several]] = order[first[several] + 1]
+        witness = _witnessed(order, group)
         # Entries that stand for more than one place have settled theirs already.
-        open_ = several[group] & ~many[order]
+        open_ = (np.bincount(group) > 1)[group] & ~many[order]
         own, other = order[open_], witness[open_]
         if len(own):
-            yield _claims(tid[own], place[own], tid[other], place[other])
+            yield _claim_rows(_claims(tid[own], place[own], tid[other], place[other]))
 
 
 # ---- step 3: runs, exchange, merge
 
 
-@dataclass
-class Entry:
-    text: bytes
-    digest: bytes
-    count: int
-
-
-def _front_coded(entries: list[Entry]) -> tuple[bytes, bytes, bytes, bytes]:
-    """Common prefix with the predecessor, the rest of each, digests and counts."""
-    if not entries:
-        return b"", b"", b"", b""
-    matrix = np.frombuffer(b"".join(e.text for e in entries), np.uint8).reshape(len(entries), LENGTH)
+def _front_coded(strings: list[bytes], counts: list[int]) -> bytes:
+    """Sorted strings, of each only what its predecessor does not share, with how often they occur."""
+    matrix = np.frombuffer(b"".join(strings), np.uint8).reshape(len(strings), LENGTH)
     differs = matrix[1:] != matrix[:-1]
     shared = np.where(differs.any(1), differs.argmax(1), LENGTH)
     prefix = np.concatenate([[0], shared]).astype(np.uint16)
     keep = np.arange(LENGTH)[None, :] >= prefix[:, None]
-    counts = np.array([e.count for e in entries], np.uint32)
-    return prefix.tobytes(), matrix[keep].tobytes(), b"".join(e.digest for e in entries), counts.tobytes()
+    return _packed(prefix, np.array(counts, np.uint32), matrix[keep])
 
 
-def _decoded(block: dict) -> Iterator[tuple[bytes, int, bytes, int]]:
-    """Strings of a block with the common prefix to the one before, digest and count."""
-    prefix = np.frombuffer(block["prefix"], np.uint16).tolist()
-    counts = np.frombuffer(block["counts"], np.uint32).tolist()
-    rest, digests = block["rest"], block["digests"]
+def _decoded(block: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """Strings of a run with the common prefix to the one before and their count."""
+    prefix, counts, rest = _unpacked(block, np.uint16, np.uint32, np.uint8)
+    rest = rest.tobytes()
     at, text = 0, b""
-    for k, shared in enumerate(prefix):
+    for shared, count in zip(prefix.tolist(), counts.tolist()):
         n = LENGTH - shared
         text = text[:shared] + rest[at : at + n]
         at += n
-        yield text, shared, digests[16 * k : 16 * k + 16], counts[k]
+        yield text, shared, count
 
 
 def _first_difference(a: bytes, b: bytes, start: int) -> int:
@@ -449,7 +474,7 @@ def _first_difference(a: bytes, b: bytes, start: int) -> int:
     return n
 
 
-def merged(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, bytes, int]]:
+def merged(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, int]]:
     """The sorted union of sorted runs of (string, prefix shared with the run's last, ...), each with the
     prefix that it shares with the union's last, by a loser tree.
 
@@ -504,15 +529,18 @@ def merged(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, bytes, int
             node //= 2
 
 
-FRONT = "prefix binary, rest binary, digests binary, counts binary"
-WORK = f"kind int, k1 bigint, k2 bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<int>, run string, first binary, last binary, {FRONT}"
+RESULT = "k1 bigint, k2 bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<int>"
+WORK = f"part int, run string, block binary, {RESULT}"
 _WORK_SCHEMA = pa.schema(
-    [("kind", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
-    + [("kept_sha256", pa.string()), ("spans", pa.list_(pa.int32())), ("run", pa.string())]
-    + [(n, pa.binary()) for n in ("first", "last", "prefix", "rest", "digests", "counts")]
+    [("part", pa.int32()), ("run", pa.string()), ("block", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64())]
+    + [("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.int32()))]
 )
 
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _WORK_SCHEMA)], schema=_WORK_SCHEMA)
+
+
 def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
     """The maximal runs of bytes that strings at sorted places cover."""
     if not len(starts):
@@ -523,158 +551,125 @@ def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
     return [(int(s), int(e) + LENGTH) for s, e in zip(first, last)]
 
 
-def _spans_and_runs(failed: frozenset[bytes]):
-    """From texts with their claims: what goes from each text (kind 0), and the strings behind it as the
-    blocks of a sorted run (kind 1)."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
-        held: list[tuple[bytes, bytes]] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            counted: dict[bytes, Entry] = {}
-            for digest, text in held:
-                found = counted.get(digest)
-                if found is None:
-                    counted[digest] = Entry(text, digest, 1)
-                else:
-                    found.count += 1
-            held.clear()
-            ordered = sorted(counted.values(), key=lambda e: e.text)
-            run, rows = uuid.uuid4().hex, []
-            for start in range(0, len(ordered), BLOCK):
-                block = ordered[start : start + BLOCK]
-                rows.append([1, None, None, None, None, None, None, run, block[0].text, block[-1].text, *_front_coded(block)])
-            if rows:
-                yield _rows(rows)
-
-        for batch in batches:
-            rows = []
-            for k1, k2, text, places, states, claims, witnesses in zip(*(c for c in batch.columns)):
-                text = text.as_py()
-                covered = places.values.to_numpy()[states.values.to_numpy() & COVERED > 0]
-                mine = np.array(claims.as_py() or [], np.int64)
-                claimed = np.unique(np.concatenate([*_strings_of(len(text), covered), mine]).astype(np.int64))
-                asked = np.unique(np.concatenate([claimed, np.array(witnesses.as_py() or [], np.int64)]))
-                a, b = digests_at(text, asked)
-                digests = np.stack([a, b], 1).tobytes()
-                ok = np.ones(len(asked), bool)
-                seen: dict[bytes, int] = {}
-                for k, at in enumerate(asked.tolist()):
-                    digest = digests[16 * k : 16 * k + 16]
-                    if digest in failed:
-                        ok[k] = False
-                        continue
-                    # Two of a text's equal strings tell as much as all of them.
-                    n = seen[digest] = seen.get(digest, 0) + 1
-                    if n < 3:
-                        held.append((digest, text[at : at + LENGTH]))
-                        size += LENGTH
-                spans = _spans(asked[ok & np.isin(asked, claimed)])
-                kept, at = hashlib.sha256(), 0
-                for start, end in spans:
-                    kept.update(text[at:start])
-                    at = end
-                kept.update(text[at:])
-                rows.append(
-                    [0, k1.as_py(), k2.as_py(), sum(e - s for s, e in spans), len(spans), kept.hexdigest()]
-                    + [[v for s in spans for v in s]] + [None] * 7
-                )
-                if size > CHUNK:
-                    yield from flush()
-                    size = 0
-            if rows:
-                yield _rows(rows)
-        yield from flush()
-
-    return work
-
-
-def _rows(rows: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _WORK_SCHEMA)], schema=_WORK_SCHEMA)
-
-
-def _ranged(splitters: list[bytes]):
-    """Give every block to the ranges that it reaches into."""
-    from bisect import bisect_right
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = [bisect_right(splitters, v) for v in batch.column(0).to_pylist()]
-            high = [bisect_right(splitters, v) for v in batch.column(1).to_pylist()]
-            index = pa.array([k for k, (a, b) in enumerate(zip(low, high)) for _ in range(a, b + 1)], pa.int64())
-            part = pa.array([r for a, b in zip(low, high) for r in range(a, b + 1)], pa.int32())
-            names = ["part", *batch.schema.names]
-            yield pa.RecordBatch.from_arrays([part, *[c.take(index) for c in batch.columns]], names)
+def _own_strings(size: int, places: np.ndarray) -> np.ndarray:
+    """The strings that prove covered anchors: the one at the anchor or the text's last one, and the text's first
+    one if no anchor need stand before."""
+    some = places[np.maximum(0, places - SPREAD + 1) <= size - LENGTH]
+    head = np.zeros(int(len(some) > 0 and some.min() < SPREAD), np.int64)
+    return np.concatenate([np.minimum(some, size - LENGTH), head])
 
-    return work
 
+def _spans_and_runs(splitters: list[bytes], failed: frozenset[bytes]):
+    """From texts with their claims: what goes from each text, and the strings behind it as a sorted run, cut at
+    the splitters."""
+    width = len(splitters) + 1
 
-def _unproven(splitters: list[bytes]):
-    """Merge each range's runs; digests of strings that turn out to stand alone."""
-
-    def chained(blocks: list[dict], low: bytes | None, high: bytes | None) -> Iterator[tuple]:
-        last = None
-        for block in sorted(blocks, key=lambda b: b["first"]):
-            for text, shared, digest, count in _decoded(block):
-                if high is not None and text >= high:
-                    return
-                if low is not None and text < low:
-                    last = None
-                    continue
-                if last is None:
-                    shared = 0
-                elif shared == 0:  # also the first of a block
-                    shared = _first_difference(last, text, 0)
-                yield text, shared, digest, count
-                last = text
+    def result(text: bytes, starts: np.ndarray) -> tuple:
+        spans = _spans(starts)
+        kept, at = hashlib.sha256(), 0
+        for start, end in spans:
+            kept.update(text[at:start])
+            at = end
+        kept.update(text[at:])
+        return sum(e - s for s, e in spans), len(spans), kept.hexdigest(), [v for s in spans for v in s]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, table in grouped(batches, "part"):
-            low = splitters[part - 1] if part else None
-            high = splitters[part] if part < len(splitters) else None
-            by_run: dict[str, list[dict]] = {}
-            for block in table.to_pylist():
-                by_run.setdefault(block["run"], []).append(block)
-            alone: list[bytes] = []
-            before: list[bytes] = []
-            total = 0
-            for text, shared, digest, count in merged([chained(b, low, high) for b in by_run.values()]):
-                if shared < LENGTH:
-                    if total == 1:
-                        alone += before
-                    before, total = [], 0
-                before.append(digest)
-                total += count
-            if total == 1:
-                alone += before
-            if alone:
-                yield pa.RecordBatch.from_arrays([pa.array(alone, pa.binary())], ["digest"])
+        for piece in _pieces(batches, 2):
+            claimed, asked = [], []
+            for _, _, text, places, states, claims, witnesses in piece:
+                covered = np.array(places, np.int64)[np.array(states) & COVERED > 0]
+                mine = np.union1d(_own_strings(len(text), covered), np.array(claims or [], np.int64))
+                claimed.append(mine)
+                asked.append(np.union1d(mine, np.array(witnesses or [], np.int64)))
+            row = np.repeat(np.arange(len(piece)), [len(v) for v in asked])
+            place = np.concatenate(asked).astype(np.int64)
+            digest = np.stack(Stream([r[2] for r in piece]).digests(row, place), 1)
+            ok = np.ones(len(row), bool)
+            if failed:
+                ok = np.array([d.tobytes() not in failed for d in digest], bool)
+            ends = np.cumsum([len(v) for v in asked])
+            rows = []
+            for k, (k1, k2, text, *_) in enumerate(piece):
+                here = slice(ends[k] - len(asked[k]), ends[k])
+                starts = asked[k][ok[here] & np.isin(asked[k], claimed[k])]
+                rows.append((k % width, None, None, k1, k2, *result(text, starts)))
+            yield _rows(rows)
+            row, place, digest = row[ok], place[ok], digest[ok]
+            order, group = _equal_runs(digest[:, 0], digest[:, 1])
+            lead = order[np.flatnonzero(np.diff(group, prepend=-1))]
+            strings = [piece[r][2][p : p + LENGTH] for r, p in zip(row[lead].tolist(), place[lead].tolist())]
+            run = sorted(zip(strings, np.bincount(group).tolist())) if len(order) else []
+            edges = [0, *[bisect_left(run, (s,)) for s in splitters], len(run)]
+            name, cut = uuid.uuid4().hex, []
+            for part, (low, high) in enumerate(zip(edges, edges[1:])):
+                if low < high:
+                    block = _front_coded(*map(list, zip(*run[low:high])))
+                    cut.append((part, name, block, *[None] * 6))
+            if cut:
+                yield _rows(cut)
 
     return work
 
 
-def _failed(blocks: DataFrame) -> list[bytes]:
-    """Exchange and merge the runs' blocks; the digests that stand for different strings."""
-    spark = blocks.sparkSession
-    n, volume = blocks.agg(F.count(F.lit(1)), F.sum(F.octet_length("rest") + F.octet_length("digests"))).first()
+def _unproven(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge each range's runs: passes results on, and adds as blocks the digests of strings that turn out to
+    stand alone."""
+    for part, table in grouped(batches, "part"):
+        has_block = table["run"].is_valid()
+        for batch in table.filter(table["run"].is_null()).to_batches():
+            yield batch
+        blocks = table.filter(has_block)["block"].to_pylist()
+        alone: list[bytes] = []
+        before, total = b"", 2
+        for text, shared, count in merged([_decoded(b) for b in blocks]):
+            if shared < LENGTH:
+                if total == 1:
+                    alone.append(before)
+                before, total = text, 0
+            total += count
+        if total == 1:
+            alone.append(before)
+        if alone:
+            yield _rows([(part, "alone", _digest(v), *[None] * 6) for v in alone])
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few of each text's strings."""
+    for batch in batches:
+        out = []
+        for text, places in zip(batch.column(0), batch.column(1).to_pylist()):
+            text = text.as_py()
+            picked = sorted(places)[:: max(1, len(places) // STRINGS)]
+            out += [text[p : p + LENGTH] for p in picked]
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["string"])
+
+
+def _splitters(texts: DataFrame) -> list[bytes]:
+    """Strings that cut what is to be sorted into ranges of about ``RANGE_BYTES``, from a bounded sample."""
+    n, strings = texts.agg(F.count(F.lit(1)), F.sum(F.size("places"))).first()
     if not n:
         return []
-    ranges = max(1, -(-int(volume) // RANGE_BYTES), min(int(n), spark.sparkContext.defaultParallelism))
-    heads = blocks.select("first").sample(min(1.0, SAMPLE / n), seed=1).toArrow()["first"].to_pylist()
-    heads.sort()
-    splitters = sorted({heads[len(heads) * k // ranges] for k in range(1, ranges)} if heads else ())
-    columns = ["first", "last", "run", "prefix", "rest", "digests", "counts"]
-    dealt = blocks.select(*columns).mapInArrow(
-        _ranged(splitters), f"part int, first binary, last binary, run string, {FRONT}"
-    )
-    dealt = dealt.repartition(len(splitters) + 1, "part").sortWithinPartitions("part")
-    found = dealt.mapInArrow(_unproven(splitters), "digest binary").limit(MAX_FAILED + 1).collect()
-    if len(found) > MAX_FAILED:
-        raise RuntimeError(f"more than {MAX_FAILED} digests stand for different strings")
-    return [bytes(r.digest) for r in found]
+    least = texts.sparkSession.sparkContext.defaultParallelism
+    ranges = max(-(-int(strings) * LENGTH // RANGE_BYTES), least)
+    some = texts.select("data", "places").sample(min(1.0, SAMPLE / n), seed=1)
+    sample = sorted(some.mapInArrow(_samples, "string binary").toArrow()["string"].to_pylist())
+    return sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
+
+
+def _proven(joined: DataFrame, splitters: list[bytes]) -> DataFrame:
+    """Spans of all texts whose strings the merge has proven."""
+    failed: frozenset[bytes] = frozenset()
+    while True:
+        worked = joined.mapInArrow(_spans_and_runs(splitters, failed), WORK)
+        dealt = worked.repartition(len(splitters) + 1, "part").sortWithinPartitions("part")
+        merged_ = materialize(dealt.mapInArrow(_unproven, WORK), "proven")
+        wrong = merged_.where("run IS NOT NULL").select("block").limit(MAX_FAILED + 1).collect()
+        if len(wrong) > MAX_FAILED:
+            raise RuntimeError(f"more than {MAX_FAILED} digests stand for different strings")
+        if not wrong:
+            return merged_.where("run IS NULL").drop("part", "run", "block")
+        # Failed strings are not sorted again, so the rounds end.
+        failed |= {bytes(r.block) for r in wrong}
 
 
 def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -684,19 +679,21 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = keyed(docs, text).where(F.octet_length("data") >= LENGTH).select("k1", "k2", "data")
-    entries = long.mapInArrow(_gram_entries(width), PAYLOAD).repartition(width, "bucket").sortWithinPartitions("bucket")
-    shared = entries.mapInArrow(_shared_anchors, "k1 bigint, k2 bigint, place int, state int")
+
+    def in_buckets(entries: DataFrame) -> DataFrame:
+        return entries.repartition(width, "bucket").sortWithinPartitions("bucket")
+
+    entries = long.mapInArrow(_gram_entries(width), BLOCKS)
+    shared = in_buckets(entries).mapInArrow(_shared_anchors, "k1 bigint, k2 bigint, place int, state int")
     # A text's anchors are fewer than its bytes, so they fit where it does.
     found = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "state")).alias("found"))
-    texts = long.join(found, ["k1", "k2"]).select(
+    texts = _with_found(long, materialize(found, "found")).select(
         F.monotonically_increasing_id().alias("tid"), "k1", "k2", "data", F.col("found.place").alias("places"),
         F.col("found.state").alias("states"),
     )
     texts = materialize(texts, "texts")
-    strings = texts.select("tid", "data", "places", "states").mapInArrow(
-        _string_entries(width), "bucket int, a binary, b binary, tids binary, places binary, many binary, claims binary"
-    )
-    settled = strings.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared_strings, CLAIMS)
+    strings = texts.select("tid", "data", "places", "states").mapInArrow(_string_entries(width), BLOCKS)
+    settled = in_buckets(strings).mapInArrow(_shared_strings, CLAIMS)
     low = F.min(F.struct("low", "low_tid", "low_at")).alias("l")
     high = F.max(F.struct("high", "high_tid", "high_at")).alias("h")
     claims = materialize(settled.groupBy("tid", "piece").agg(low, high), "claims")
@@ -714,15 +711,7 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         F.collect_set(F.when(~F.col("own"), F.col("place"))).alias("witnesses"),
     )
     joined = texts.join(asked, "tid", "left").select("k1", "k2", "data", "places", "states", "claims", "witnesses")
-    failed: frozenset[bytes] = frozenset()
-    while True:
-        worked = materialize(joined.mapInArrow(_spans_and_runs(failed), WORK), "runs")
-        wrong = _failed(worked.where("kind = 1"))
-        if not wrong:
-            break
-        failed |= frozenset(wrong)
-    rows = worked.where("kind = 0").select("k1", "k2", "n_removed", "n_spans", "kept_sha256", "spans")
-    return rows.dropDuplicates(["k1", "k2"])
+    return _proven(joined, _splitters(texts)).dropDuplicates(["k1", "k2"])
 
 
 def keyed(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
