@@ -55,7 +55,7 @@ BEFORE = SPREAD
 AROUND = BEFORE + LENGTH
 # Bytes hashed at a time, which fit a core's cache; bytes of texts behind one local run.
 SLICE = 1 << 16
-CHUNK = 32 << 20
+CHUNK = 12 << 20
 # Texts sampled for splitters, strings taken of each, bytes that one range merges.
 SAMPLE, STRINGS = 4000, 5
 RANGE_BYTES = 24 << 20
