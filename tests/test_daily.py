@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import shutil
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,8 @@ from uurwerk.plans.loads import from_source, load_history, request_plan
 from uurwerk.plans.staging import stage_electricity_mix, stage_gas_prices
 from uurwerk.session import shared_folder
 from uurwerk.sources.landing import RequestFailed
-from uurwerk.sources.tables import raw_schema
+from uurwerk.sources.tables import raw_schema, read_table
+from uurwerk.sources.versions import current_map
 from uurwerk.streaming.upserts import upsert_stream
 
 RUN = day("2024-03-31")  # a day of 23 hours
@@ -201,17 +203,76 @@ def test_a_second_run_overwrites_revised_values(spark, built):
     assert set(scratch.glob("*")) == left
 
 
-def test_only_the_touched_months_are_rebuilt(spark, built):
-    """After new prices a rebuild from the last days on leaves March's start as it is."""
+def parts(spark, lake, layer="marts", name="daily_energy"):
+    return current_map(spark, f"{lake.layer(layer)}/{name}").parts
+
+
+def test_rebuild_from_adds_months(spark, built):
+    """Without changes nothing is rebuilt; asked for, the months from a day on are."""
     lake, _, _ = built
     whole = run_daily(spark, lake, extracts(spark, bump=2.0), default_profile(spark), RUN, params=PARAMS)
-    want = {name: close(df) for name, df in whole.models.items()}
-    stamp = (Path(lake.root) / "dev_marts" / "daily_energy" / "month_key=2024-03").stat().st_mtime_ns
+    want, before = {name: close(df) for name, df in whole.models.items()}, parts(spark, lake)
     later = run_daily(
         spark, lake, extracts(spark, bump=2.0), default_profile(spark), RUN, params=PARAMS, rebuild_from=day("2024-04-01")
     )
-    assert {name: close(df) for name, df in later.models.items()} == want
-    assert (Path(lake.root) / "dev_marts" / "daily_energy" / "month_key=2024-03").stat().st_mtime_ns == stamp
+    assert later.months == ("2024-04",) and {name: close(df) for name, df in later.models.items()} == want
+    after = parts(spark, lake)
+    assert after["2024-03"] == before["2024-03"] and after["2024-04"] != before["2024-04"]
+    again = run_daily(spark, lake, extracts(spark, bump=2.0), default_profile(spark), RUN, params=PARAMS)
+    assert again.months == () and parts(spark, lake) == after and again.tests.count() == 67
+    assert {name: close(df) for name, df in again.models.items()} == want
+
+
+def until(end, given):
+    """The extracts of a world that ends with a day."""
+    return {name: (lambda first, last, f=f: f(first, min(last, end))) for name, f in given.items()}
+
+
+def test_a_week_of_runs_equals_one_build_of_everything(spark, tmp_path):
+    """Runs over a month's end rebuild what each load changed; a gas price of the month's last day also
+    touches the first of the next, a late correction an older month alone."""
+    lake, start = Lake(f"{tmp_path}/a"), SiteParams(spine_start_date="2024-01-20")
+    profile, world = default_profile(spark), extracts(spark)
+    months = []
+    for k in range(4):
+        now = day("2024-02-28") + dt.timedelta(days=k)
+        run = run_daily(spark, lake, world, profile, now, 40 if k == 0 else 3, start)
+        months.append(run.months)
+    # Each load brings a row of its own for the midnight that it starts with, so its first month counts as changed.
+    assert months == [None] + [("2024-02", "2024-03")] * 3
+    before = parts(spark, lake)
+    late = frame(spark, "timestamp_utc timestamp_ntz, price_eur_per_m3 double", [(ts("2024-01-31 05:00"), 7.0)])
+    load_raw(lake, "gas_prices", late, "9")
+    run = run_daily(spark, lake, world, profile, now, 3, start)
+    assert run.months == ("2024-01", "2024-02") and parts(spark, lake)["2024-03"] == before["2024-03"]
+
+    other = Lake(f"{tmp_path}/b")
+    shutil.copytree(f"{tmp_path}/a/raw", f"{tmp_path}/b/raw")
+    whole = run_daily(spark, other, world, profile, now, 3, start)
+    assert whole.months is None
+    for name, df in whole.models.items():
+        assert close(run.models[name]) == close(df), name
+    # An earlier run date takes the days after it away, with their months.
+    back = run_daily(spark, lake, until(day("2024-02-27"), world), profile, day("2024-02-27"), 3, start)
+    assert set(parts(spark, lake)) == {"2024-01", "2024-02"}
+    assert back.models["hours"].agg(F.max("date_local")).first()[0] == day("2024-02-28")
+    # Other parameters rebuild everything.
+    changed = SiteParams(spine_start_date="2024-02-01")
+    again = run_daily(spark, lake, until(day("2024-02-27"), world), profile, day("2024-02-27"), 3, changed)
+    assert again.months is None and set(parts(spark, lake)) == {"2024-02"}
+
+
+def test_a_failed_run_leaves_its_months_to_the_next(spark, tmp_path):
+    lake, profile = Lake(str(tmp_path)), default_profile(spark)
+    run_daily(spark, lake, extracts(spark), profile, RUN, params=PARAMS)
+    before = parts(spark, lake)
+    broken = {**extracts(spark, bump=1.0), "renewable_percentage": lambda a, b: extracts(spark)["total_load"](a, b)}
+    with pytest.raises(DataTestsFailed):
+        run_daily(spark, lake, broken, profile, RUN, params=PARAMS)
+    assert parts(spark, lake) == before
+    mended = run_daily(spark, lake, extracts(spark, bump=1.0), profile, RUN, params=PARAMS)
+    assert "2024-03" in mended.months
+    assert mended.models["hourly_prices"].agg(F.min("electricity_price_eur_per_kwh")).first()[0] > 1.0
 
 
 def test_a_failing_test_stops_what_depends_on_the_table(spark, tmp_path):
@@ -281,7 +342,7 @@ def test_files_that_arrive_are_merged_once(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(schema).parquet(landing)
         upsert_stream(stream, table, ["k"], "day", checkpoint).awaitTermination()
-        return rows(spark.read.parquet(table), "k", "v")
+        return rows(read_table(spark, table), "k", "v")
 
     assert run() == [(1, 1), (2, 2)]
     frame(spark, schema, [(2, 20, "b", "2"), (3, 30, "b", "2")]).write.mode("append").parquet(landing)
@@ -346,6 +407,6 @@ def test_history_is_stored_year_by_year(spark, tmp_path):
         (day("2018-01-01"), day("2018-12-31")),
         (day("2019-01-01"), day("2019-02-01")),
     ]
-    assert spark.read.parquet(lake.raw_path("day_ahead_price")).count() == 48
+    assert read_table(spark, lake.raw_path("day_ahead_price")).count() == 48
     assert run(day("2018-06-01")) == [2018, 2019]
-    assert spark.read.parquet(lake.raw_path("day_ahead_price")).count() == 96
+    assert read_table(spark, lake.raw_path("day_ahead_price")).count() == 96

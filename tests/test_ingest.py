@@ -1,6 +1,5 @@
 import datetime as dt
 import os
-import shutil
 from pathlib import Path
 
 import pytest
@@ -9,7 +8,7 @@ from pyspark.sql import types as T
 
 from helpers import day, frame, plan, rows, ts
 from uurwerk.session import scratch_path, shared_folder
-from uurwerk.sources import ranges, records, tables
+from uurwerk.sources import ranges, records, tables, versions
 from uurwerk.sources.landing import RequestFailed, chunked_read, landing_read
 from uurwerk.sources.tables import (
     backfill_by_year,
@@ -17,7 +16,6 @@ from uurwerk.sources.tables import (
     merge_rows,
     read_raw,
     read_table,
-    recover,
     register_view,
     upsert,
     write_table,
@@ -241,12 +239,13 @@ def signal(spark, *data):
     return frame(spark, SIGNAL, [(ts(t), v, load, t[:10]) for t, v, load in data])
 
 
-def stamps(path):
-    return {
-        folder: sorted(os.stat(os.path.join(path, folder, f)).st_mtime_ns for f in os.listdir(os.path.join(path, folder)))
-        for folder in os.listdir(path)
-        if folder.startswith("day=")
-    }
+def stamps(spark, path):
+    """The commit that holds each partition, and the times of its files."""
+    found = {}
+    for value, commit in versions.current_map(spark, path).parts.items():
+        folder = os.path.join(path, f"{versions.COMMIT}={commit}", f"day={value}")
+        found[value] = commit, sorted(os.stat(os.path.join(folder, f)).st_mtime_ns for f in os.listdir(folder))
+    return found
 
 
 def test_upsert_replaces_known_keys_and_only_touched_partitions(spark, tmp_path):
@@ -255,7 +254,7 @@ def test_upsert_replaces_known_keys_and_only_touched_partitions(spark, tmp_path)
         spark, ("2024-01-01 00:00", 1.0, "1"), ("2024-01-02 00:00", 2.0, "1"), ("2024-01-02 01:00", 3.0, "1"), ("2024-01-03 00:00", 4.0, "1")
     )
     upsert(path, first, ["k"], "day")
-    before = stamps(path)
+    before = stamps(spark, path)
     batch = signal(
         spark, ("2024-01-02 00:00", 20.0, "2"), ("2024-01-02 00:00", 21.0, "3"), ("2024-01-02 00:00", 9.0, "3"), ("2024-01-05 00:00", 5.0, "2")
     )
@@ -268,26 +267,26 @@ def test_upsert_replaces_known_keys_and_only_touched_partitions(spark, tmp_path)
     ]
     for _ in range(2):  # a repeated load changes nothing
         upsert(path, batch, ["k"], "day")
-        assert rows(spark.read.parquet(path), "k", "v") == want
-    after = stamps(path)
-    assert before["day=2024-01-01"] == after["day=2024-01-01"]
-    assert before["day=2024-01-03"] == after["day=2024-01-03"]
-    assert before["day=2024-01-02"] != after["day=2024-01-02"]
+        assert rows(read_table(spark, path), "k", "v") == want
+    after = stamps(spark, path)
+    assert before["2024-01-01"] == after["2024-01-01"]
+    assert before["2024-01-03"] == after["2024-01-03"]
+    assert before["2024-01-02"] != after["2024-01-02"]
 
 
 def test_an_empty_batch_changes_nothing(spark, tmp_path):
     path = f"{tmp_path}/t"
     upsert(path, signal(spark, ("2024-01-01 00:00", 1.0, "1")), ["k"], "day")
-    before = stamps(path)
+    before = stamps(spark, path)
     upsert(path, signal(spark), ["k"], "day")
-    assert stamps(path) == before
+    assert stamps(spark, path) == before
 
 
 def test_a_batch_may_add_columns_but_not_lose_them(spark, tmp_path):
     path = f"{tmp_path}/t"
     upsert(path, frame(spark, "k int, v int, day string", [(1, 1, "a"), (2, 2, "a")]), ["k"], "day")
     upsert(path, frame(spark, "k int, v int, w int, day string", [(2, 20, 5, "a")]), ["k"], "day")
-    assert rows(spark.read.parquet(path), "k", "v", "w") == [(1, 1, None), (2, 20, 5)]
+    assert rows(read_table(spark, path), "k", "v", "w") == [(1, 1, None), (2, 20, 5)]
     with pytest.raises(ValueError, match="w"):
         upsert(path, frame(spark, "k int, v int, day string", [(3, 3, "a")]), ["k"], "day")
 
@@ -325,27 +324,157 @@ def test_columns_of_partitions_that_other_batches_wrote_are_known(spark, tmp_pat
     assert rows(read_table(spark, path), "k", "x") == [(1, None), (2, 2)]
 
 
-@pytest.mark.parametrize("finish", ["read", "merge"])
-def test_a_merge_cut_off_while_it_replaces_is_finished_later(spark, tmp_path, monkeypatch, finish):
-    path, schema = f"{tmp_path}/t", "k int, v int, day string"
-    upsert(path, frame(spark, schema, [(1, 1, "a"), (2, 2, "b"), (3, 3, "b")]), ["k"], "day")
+class Cut(BaseException):
+    """The driver is gone."""
+
+
+def cut_before_the_map(monkeypatch):
+    monkeypatch.setattr(versions, "publish_note", lambda *a: (_ for _ in ()).throw(Cut()))
+
+
+def cut_inside_the_map(monkeypatch):
+    """Half of the map is there, as after a copy that was cut off."""
+
+    def half(spark, path, body):
+        Path(path).parent.mkdir(exist_ok=True)
+        Path(path).write_text(body[: len(body) // 2])
+        raise Cut
+
+    monkeypatch.setattr(versions, "_write", half)
 
-    def cut_off(spark, staged, path):
-        # One of two partitions is in place, the other one is deleted, then the driver is gone.
-        shutil.rmtree(f"{path}/day=a")
-        os.rename(f"{staged}/day=a", f"{path}/day=a")
-        shutil.rmtree(f"{path}/day=b")
-        raise KeyboardInterrupt
 
+def cut_inside_the_files(monkeypatch):
+    """Some of the new files are in place, and no map."""
+
+    def partly(spark, path, rows, partition, known, *rest, **named):
+        rows.limit(1).write.partitionBy(partition).parquet(f"{path}/{versions.COMMIT}=half")
+        raise Cut
+
+    monkeypatch.setattr(tables, "commit", partly)
+
+
+@pytest.mark.parametrize("cut", [cut_inside_the_files, cut_before_the_map, cut_inside_the_map])
+@pytest.mark.parametrize("first", [True, False])
+def test_a_merge_that_is_cut_off_changes_nothing(spark, tmp_path, monkeypatch, cut, first):
+    path, schema = f"{tmp_path}/t", "k int, v int, day string"
+    batch = frame(spark, schema, [(1, 10, "a"), (2, 20, "b")])
+    want = []
+    if not first:
+        upsert(path, frame(spark, schema, [(1, 1, "a"), (2, 2, "b"), (3, 3, "b")]), ["k"], "day")
+        want = [(1, 1), (2, 2), (3, 3)]
     with monkeypatch.context() as m:
-        m.setattr(tables, "swap_partitions", cut_off)
-        with pytest.raises(KeyboardInterrupt):
-            upsert(path, frame(spark, schema, [(1, 10, "a"), (2, 20, "b")]), ["k"], "day")
-    if finish == "merge":
-        upsert(path, frame(spark, schema, [(4, 4, "b")]), ["k"], "day")
-    want = [(1, 10), (2, 20), (3, 3)] + ([(4, 4)] if finish == "merge" else [])
+        cut(m)
+        with pytest.raises(Cut):
+            upsert(path, batch, ["k"], "day")
+    if first:
+        with pytest.raises(ValueError, match="not a merged table"):
+            read_table(spark, path)
+    else:
+        assert rows(read_table(spark, path), "k", "v") == want
+    upsert(path, batch, ["k"], "day")
+    want = [(1, 10), (2, 20)] + ([] if first else [(3, 3)])
+    assert rows(read_table(spark, path), "k", "v") == want
+    # What the cut-off merge left is removed on request, and nothing else.
+    versions.expire(spark, path, keep=1)
     assert rows(read_table(spark, path), "k", "v") == want
-    assert not recover(spark, path)
+    commits = {p.name.partition("=")[2] for p in Path(path).glob(f"{versions.COMMIT}=*")}
+    assert commits == set(versions.current_map(spark, path).parts.values())
+
+
+def test_readers_beside_a_merge_see_the_old_or_the_new_table(spark, tmp_path, monkeypatch):
+    path, schema = f"{tmp_path}/t", "k int, v int, day string"
+    upsert(path, frame(spark, schema, [(1, 1, "a"), (2, 2, "b")]), ["k"], "day")
+    before = read_table(spark, path)
+    seen = []
+    publish = versions.publish_note
+
+    def watched(*args):
+        seen.append(rows(read_table(spark, path), "k", "v"))
+        number = publish(*args)
+        seen.append(rows(read_table(spark, path), "k", "v"))
+        return number
+
+    monkeypatch.setattr(versions, "publish_note", watched)
+    upsert(path, frame(spark, schema, [(1, 10, "a"), (2, 20, "b")]), ["k"], "day")
+    assert seen == [[(1, 1), (2, 2)], [(1, 10), (2, 20)]]
+    # A reader that began before the merge keeps its table, also through one more.
+    upsert(path, frame(spark, schema, [(2, 30, "b")]), ["k"], "day")
+    assert rows(before, "k", "v") == [(1, 1), (2, 2)]
+    assert rows(read_table(spark, path), "k", "v") == [(1, 10), (2, 30)]
+
+
+def test_a_merge_that_another_overtakes_starts_again(spark, tmp_path, monkeypatch):
+    path, schema = f"{tmp_path}/t", "k int, v int, day string"
+    upsert(path, frame(spark, schema, [(1, 1, "a")]), ["k"], "day")
+    publish, calls = versions.publish_note, []
+
+    def overtaken(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            upsert(path, frame(spark, schema, [(2, 2, "a")]), ["k"], "day")
+        return publish(*args)
+
+    monkeypatch.setattr(versions, "publish_note", overtaken)
+    upsert(path, frame(spark, schema, [(3, 3, "a")]), ["k"], "day")
+    assert rows(read_table(spark, path), "k", "v") == [(1, 1), (2, 2), (3, 3)]
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, path, frame(spark, schema, [(9, 9, "a")]), "day", versions.maps_since(spark, path, 0)[0])
+    assert rows(read_table(spark, path), "k") == [(1,), (2,), (3,)]
+
+
+def test_types_are_widened_or_refused_without_a_trace(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    upsert(path, frame(spark, "k int, v int, x float, day string", [(1, 1, 1.5, "a")]), ["k"], "day")
+    upsert(path, frame(spark, "k bigint, v bigint, x double, day string", [(2**40, 2**41, 0.1, "b")]), ["k"], "day")
+    want = [(1, 1, 1.5), (2**40, 2**41, 0.1)]
+    assert rows(read_table(spark, path), "k", "v", "x") == want
+    # A narrower batch takes the table's types.
+    upsert(path, frame(spark, "k int, v int, x float, day string", [(1, 7, 2.5, "a")]), ["k"], "day")
+    want[0] = (1, 7, 2.5)
+    assert rows(read_table(spark, path), "k", "v", "x") == want
+    before = sorted(str(p) for p in Path(path).rglob("*"))
+    for schema, value in (("string", "z"), ("double", 1.0), ("date", day("2024-01-01"))):
+        bad = frame(spark, f"k bigint, v {schema}, x double, day string", [(3, value, 1.0, "c")])
+        with pytest.raises(ValueError, match="v is bigint in the table"):
+            upsert(path, bad, ["k"], "day")
+    with pytest.raises(ValueError, match="day is string"):
+        upsert(path, frame(spark, "k bigint, v bigint, x double, day int", [(3, 3, 1.0, 5)]), ["k"], "day")
+    assert sorted(str(p) for p in Path(path).rglob("*")) == before
+    assert rows(read_table(spark, path), "k", "v", "x") == want
+
+
+def test_a_merge_names_the_days_it_changed(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k int, d date, v int, _load_id string, part string"
+    dates = F.array("d", F.date_add("d", 1))
+
+    def load(load_id, *data):
+        rows_ = [(k, day(d), v, load_id, d[:7]) for k, d, v in data]
+        upsert(path, frame(spark, schema, rows_), ["k"], "part", days=dates)
+        return versions.current_map(spark, path).days
+
+    assert load("1", (1, "2024-01-31", 1), (2, "2024-02-05", None)) == ("2024-01-31", "2024-02-01", "2024-02-05", "2024-02-06")
+    # The same values from a later load change nothing; a null that stays null neither.
+    assert load("2", (1, "2024-01-31", 1), (2, "2024-02-05", None)) == ()
+    assert load("3", (1, "2024-01-31", 1), (2, "2024-02-05", 5), (3, "2024-02-05", 1)) == ("2024-02-05", "2024-02-06")
+    assert [m.days for m in versions.maps_since(spark, path, 1)] == [(), ("2024-02-05", "2024-02-06")]
+
+
+def test_partitions_are_chosen_before_their_folders_are_listed(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    data = [(i, i, f"20{10 + i // 12}-{i % 12 + 1:02d}") for i in range(120)]
+    upsert(path, frame(spark, "k int, v int, month string", data), ["k"], "month")
+    window = read_table(spark, path, lambda month: month >= "2019-11")
+    assert len(window.inputFiles()) == 2 and rows(window, "k") == [(118,), (119,)]
+    # A filter on the partition prunes as well.
+    text = plan(read_table(spark, path).where("month = '2015-03'"))
+    assert "PartitionFilters: [isnotnull(month" in text
+
+
+def test_odd_partition_values(spark, tmp_path):
+    path, data = f"{tmp_path}/t", [(1, 1, "a/b=c d%"), (2, 2, "é:"), (3, 3, "x")]
+    for _ in range(2):
+        upsert(path, frame(spark, "k int, v int, day string", data), ["k"], "day")
+        assert rows(read_table(spark, path)) == data
 
 
 def left_over(spark):
@@ -358,7 +487,10 @@ def test_a_merge_leaves_nothing_behind(spark, tmp_path):
     for v in range(3):
         upsert(f"{tmp_path}/t", frame(spark, "k int, v int, day string", [(1, v, "a")]), ["k"], "day")
     assert left_over(spark) == before
-    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith((".", "_SUCCESS"))) == ["_schema.json", "day=a"]
+    # The two commits of the last two maps stay for readers at work.
+    assert versions.expire(spark, f"{tmp_path}/t") == 1
+    assert len(list((tmp_path / "t").glob(f"{versions.COMMIT}=*"))) == 2
+    assert rows(read_table(spark, f"{tmp_path}/t"), "v") == [(2,)]
 
 
 def test_finished_years_survive_an_interruption(spark, tmp_path):
@@ -389,8 +521,13 @@ def test_layers_and_views(spark, tmp_path):
     assert layer_path("/lake", "prod", "marts", "dim_date") == "/lake/marts/dim_date"
     assert layer_path("/lake", "dev", "marts", "dim_date") == "/lake/dev_marts/dim_date"
     df = frame(spark, "a int, p string", [(1, "x"), (2, "y")])
-    stored = write_table(df, str(tmp_path), "dev", "marts", "t", partition_by=["p"])
+    stored = write_table(df, str(tmp_path), "dev", "marts", "t", partition_by="p")
     assert rows(stored) == rows(df)
+    # A full write leaves no partition of the one before; one of chosen partitions leaves all others.
+    again = write_table(frame(spark, "a int, p string", [(3, "y"), (4, "z")]), str(tmp_path), "dev", "marts", "t", "p")
+    assert rows(again) == [(3, "y"), (4, "z")] and rows(stored) == rows(df)
+    part = write_table(frame(spark, "a int, p string", [(5, "x")]), str(tmp_path), "dev", "marts", "t", "p", lambda v: v < "z")
+    assert rows(part) == [(4, "z"), (5, "x")]
     register_view(df, "dev", "staging", "t")
     assert spark.table("dev_staging_t").count() == 2
 

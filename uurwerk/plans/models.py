@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uurwerk.functions.clock import day_at
+from uurwerk.functions.clock import day_at, local_date
 from uurwerk.operators.balance import DEMAND_OUTPUT
 from uurwerk.operators.calendar import date_dimension, hour_spine
 from uurwerk.operators.compare import daily_compare
@@ -77,19 +77,26 @@ def build_models(
     params: SiteParams,
     store: Callable[[DataFrame, str, str], DataFrame] = lambda df, layer, name: df,
     sites: DataFrame | None = None,
+    months: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The five hourly tables and the four marts.
 
     ``store(df, layer, name)`` decides what a table becomes: written and scanned
     again, a view, or (by default) left as a lazy plan. ``sites`` has one row per
     site, its columns name it and become part of the key of schedule, demand and
-    energy; prices, grid and weather are shared. Without it there is one site.
+    energy; prices, grid and weather are shared. Without it there is one site. ``months``
+    (``yyyy-MM`` of local dates, from the spine's start on) limits all tables to these.
     """
+
+    def chosen(df: DataFrame, day: Column) -> DataFrame:
+        return df if months is None else df.where(F.date_format(day, "yyyy-MM").isin(*months))
+
     by = list(sites.columns) if sites is not None else []
     dates = [
         F.lit(params.spine_start_date).cast("date").alias("start_date"), F.lit(str(run_date)).cast("date").alias("run_date")
     ]
-    hours = store(hour_spine(spark.range(1).select(*dates), params.timezone), "intermediate", "hours")
+    spine = chosen(hour_spine(spark.range(1).select(*dates), params.timezone), F.col("date_local"))
+    hours = store(spine, "intermediate", "hours")
     prices = store(
         attach_prices(hours, staged["electricity_prices"], staged["gas_prices"], params.gas_day_start_hour),
         "intermediate",
@@ -97,8 +104,14 @@ def build_models(
     )
     calendar = store(date_dimension(hours, staged["public_holidays"]), "marts", "dim_date")
     since = day_at(F.lit(params.spine_start_date).cast("date"), 0, params.timezone)
-    grid = store(grid_signals(staged).where(F.col("hour_utc") >= since), "intermediate", "grid_signals")
-    spine = hours if sites is None else hour_spine(sites.select(*by, *dates), params.timezone, by=by)
+    grid = chosen(grid_signals(staged).where(F.col("hour_utc") >= since), local_date(F.col("hour_utc"), params.timezone))
+    grid = store(grid, "intermediate", "grid_signals")
+    if sites is None:
+        spine = hours
+    else:
+        days = (run_date - dt.date.fromisoformat(params.spine_start_date)).days + 2
+        whole = hour_spine(sites.select(*by, *dates), params.timezone, by=by, total_days=sites.count() * max(0, days))
+        spine = chosen(whole, F.col("date_local"))
     schedule = store(expand_schedule(spine, profile, params), "intermediate", "hourly_schedule")
     # Demand is a part of the energy table, so both come from one pass over the hours.
     energy = store(

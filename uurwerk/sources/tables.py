@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uurwerk.operators.dedup import dedup_latest
-from uurwerk.session import file_store, materialize, remove_path, run_folder
+from uurwerk.session import materialize, run_folder
 from uurwerk.sources.ranges import year_chunks
+from uurwerk.sources.versions import (
+    Conflict,
+    TableMap,
+    commit,
+    current_map,
+    note_schema,
+    read_parts,
+    unified,
+)
 
 _SIGNAL = (
     "datetime timestamp_ntz, value double, is_estimated boolean, created_at timestamp_ntz, "
@@ -85,15 +92,25 @@ def layer_path(root: str, env: str, layer: str, name: str) -> str:
     return f"{root}/{layer if env == 'prod' else f'{env}_{layer}'}/{name}"
 
 
-def write_table(df: DataFrame, root: str, env: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Store a table of a layer and return a scan of it. A partitioned table keeps the
-    partitions that ``df`` has no rows for."""
+def write_table(
+    df: DataFrame,
+    root: str,
+    env: str,
+    layer: str,
+    name: str,
+    partition_by: str | None = None,
+    replaces: Callable[[str], bool] | None = None,
+) -> DataFrame:
+    """Store a table of a layer and return a scan of it. A table with partitions is replaced as a whole, or
+    in the partitions that ``replaces`` chooses by their value; either way one that ``df`` has no
+    rows for is gone, and readers see the old table or the new one."""
     path = layer_path(root, env, layer, name)
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    mode = "dynamic" if partition_by else "static"
-    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if partition_by is None:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    known = current_map(df.sparkSession, path)
+    table = commit(df.sparkSession, path, df, partition_by, known, replaces or (lambda value: True))
+    return read_parts(df.sparkSession, path, table).select(*df.columns)
 
 
 def register_view(df: DataFrame, env: str, layer: str, name: str) -> DataFrame:
@@ -115,71 +132,21 @@ def merge_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> Data
     return kept.unionByName(fresh)
 
 
-def gathered(df: DataFrame, partition: str) -> DataFrame:
-    """Few files per partition, without forcing a large partition into one task."""
-    return df.hint("rebalance", F.col(partition))
-
-
-def swap_partitions(spark: SparkSession, staged: str, path: str) -> None:
-    """Put each staged partition in the place of the table's own. A partition that was
-    moved already is gone from ``staged``, so a swap that was cut off can be repeated."""
-    store, at = file_store(spark, staged)
-    for found in store.listStatus(at) if store.exists(at) else []:
-        if found.isDirectory():
-            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{found.getPath().getName()}")
-            store.delete(target, True)
-            if not store.rename(found.getPath(), target):
-                raise OSError(f"cannot move {found.getPath()} to {target}")
-
-
-def _note(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small file, whole or not at all."""
-    store, at = file_store(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
-    out = store.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    store.delete(at, False)
-    store.rename(part, at)
-
-
-def _noted(spark: SparkSession, path: str) -> str | None:
-    store, at = file_store(spark, path)
-    if not store.exists(at):
-        return None
-    stream = store.open(at)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The columns that any batch so far has brought, or None for a new table. Files of
     older partitions may lack the later ones."""
-    noted = _noted(spark, f"{path}/_schema.json")
-    return T.StructType.fromJson(json.loads(noted)) if noted else None
+    known = current_map(spark, path)
+    return known.schema if known else None
 
 
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish a merge that was cut off while it replaced partitions.
-
-    The merged rows were complete when the merge was noted, so moving the partitions
-    that are still staged leaves the table as the merge would have.
-    """
-    noted = _noted(spark, f"{path}/_merge.json")
-    if noted is None:
-        return False
-    swap_partitions(spark, json.loads(noted)["staged"], path)
-    remove_path(spark, f"{path}/_merge.json")
-    remove_path(spark, f"{path}/_staged")
-    return True
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of a merged table; empty if all its batches were."""
-    recover(spark, path)
-    return spark.read.schema(table_schema(spark, path)).parquet(path)
+def read_table(spark: SparkSession, path: str, keep: Callable[[str], bool] | None = None) -> DataFrame:
+    """Scan of a merged table as its newest map has it, whatever is merged while the scan is used; empty
+    if all its batches were. ``keep`` chooses partitions by their value: those of a trailing window, say,
+    so the folders of all other years are not even listed."""
+    known = current_map(spark, path)
+    if known is None:
+        raise ValueError(f"{path} is not a merged table")
+    return read_parts(spark, path, known, keep)
 
 
 def _known(column: str, path: str) -> Column:
@@ -188,48 +155,70 @@ def _known(column: str, path: str) -> Column:
     return F.when(F.col(column).isNull(), problem).otherwise(F.col(column)).alias(column)
 
 
-def upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str) -> None:
+def _changed(old: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The fresh rows that are new or differ from the table's in more than the load that brought them."""
+    rest = [F.col(c) for c in fresh.columns if c not in (*keys, "_load_id")]
+    known = old.select(*keys, F.struct(F.lit(True).alias("there"), *rest).alias("_old"))
+    both = fresh.join(known, list(keys), "left")
+    return both.where(~F.struct(F.lit(True).alias("there"), *rest).eqNullSafe(F.col("_old"))).drop("_old")
+
+
+def upsert(
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    days: Column | None = None,
+    attempts: int = 3,
+) -> None:
     """Keyed merge into a Parquet table partitioned by a function of the key.
 
-    Only the partitions that the batch touches are read and rewritten: their
-    bounds prune the scan, a semi join keeps the exact ones. The merged rows are
-    written beside the table and noted there before anything is replaced; a merge
-    that is cut off after that is finished by the next merge or read, one cut off
-    before has changed nothing. Nothing is left behind.
+    Only the partitions that the batch touches are read, and written anew beside the old ones;
+    the merge counts from the moment its map is published (see :mod:`uurwerk.sources.versions`).
+    Readers see the table before or after it; a merge that is cut off has changed nothing.
+    A merge that another writer has overtaken starts again from the newer table.
 
-    NULL keys and partitions are refused. The batch must have all columns of the
-    table; new ones may be added. An empty batch only notes its columns.
+    NULL keys and partitions are refused. The batch must have all columns of the table; new ones
+    may be added. A type may be wider or narrower than the table's (whole numbers, floats): the wider
+    one becomes the table's; other changes of type are refused before anything is written. An
+    empty batch only notes its columns. ``days`` is an array of dates that a row bears on: the map then
+    lists those of all rows that are new or other than before, once each.
     """
+    for attempt in range(attempts):
+        try:
+            return _merge(path, batch, keys, partition, days)
+        except Conflict:
+            if attempt + 1 == attempts:
+                raise
+
+
+def _merge(path: str, batch: DataFrame, keys: Sequence[str], partition: str, days: Column | None) -> None:
     spark = batch.sparkSession
-    recover(spark, path)
-    known = table_schema(spark, path)
-    if known:
-        absent = set(known.names) - set(batch.columns)
-        if absent:
-            raise ValueError(f"the batch lacks columns of the table: {sorted(absent)}")
-    guarded = [_known(c, path) if c in (*keys, partition) else F.col(c) for c in batch.columns]
+    known = current_map(spark, path)
+    schema = unified(known.schema if known else None, batch.schema, partition)
+    guarded = [
+        (_known(c, path) if c in (*keys, partition) else F.col(c)).cast(schema[c].dataType).alias(c) for c in batch.columns
+    ]
+    rows = dedup_latest(batch.select(*guarded), keys, load_order(batch))
+    if known is None and days is None:
+        # A new table has nothing to be merged with: one write.
+        commit(spark, path, rows, partition, None, schema=schema)
+        return
     with run_folder(spark) as folder:
-        fresh = materialize(dedup_latest(batch.select(*guarded), keys, load_order(batch)), "batch", folder=folder)
-        # The partition column stands last, as in a scan of the table.
-        fields = [*(f for f in fresh.schema.fields if f.name != partition), fresh.schema[partition]]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-        if known != schema:
-            # Notes go through the file system's own interface, so a classic session is needed.
-            store, at = file_store(spark, path)
-            store.mkdirs(at)
-            _note(spark, f"{path}/_schema.json", schema.json())
-        low, high = fresh.agg(F.min(partition), F.max(partition)).first()
-        if low is None:
+        fresh = materialize(rows, "batch", folder=folder)
+        values = {r[0] for r in fresh.select(F.col(partition).cast("string")).distinct().collect()}
+        if not values:
+            if known is None or known.schema != schema:
+                note_schema(spark, path, schema, partition, known)
             return
-        target = spark.read.schema(schema).parquet(path)
-        touched = target.where(F.col(partition).between(F.lit(low), F.lit(high))).join(
-            fresh.select(partition).distinct(), partition, "left_semi"
-        )
-        merged = merge_rows(touched.select(*fresh.columns), fresh, keys)
-        staged = f"{path}/_staged/{uuid.uuid4().hex}"
-        gathered(merged.select(*schema.names), partition).write.partitionBy(partition).parquet(staged)
-    _note(spark, f"{path}/_merge.json", json.dumps({"staged": staged}))
-    recover(spark, path)
+        base = TableMap(0, schema, partition, known.parts if known else {})
+        old = read_parts(spark, path, base, values.__contains__).select(*fresh.columns)
+        touched = None
+        if days is not None:
+            named = _changed(old, fresh, keys).select(F.explode(days.cast("array<string>")).alias("day")).distinct()
+            touched = sorted(r.day for r in named.collect() if r.day is not None)
+        merged = merge_rows(old, fresh, keys) if values & base.parts.keys() else fresh
+        commit(spark, path, merged, partition, known, lambda value: value in values, schema, touched)
 
 
 def backfill_by_year(
