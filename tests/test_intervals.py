@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, frame, in_order, plan, rows, ts
 from uurwerk.operators.calendar import hour_spine
-from uurwerk.operators.intervals import day_intervals, interval_attach
+from uurwerk.operators.intervals import day_intervals, dyadic_nodes, interval_attach
 from uurwerk.operators.prices import attach_prices
 
 ZONE = "Europe/Amsterdam"
@@ -53,27 +53,65 @@ POINTS = "id bigint, site string, t timestamp_ntz"
 INTERVALS = "site string, a timestamp_ntz, b timestamp_ntz, v int"
 
 
-@pytest.mark.parametrize("bucket_hours", [1, 24, 100])
-def test_overlapping_intervals_match_brute_force(spark, bucket_hours):
-    points, intervals = case(1)
-    result = interval_attach(
-        frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"], bucket_hours
-    )
+@pytest.mark.parametrize("seed", [1, 5])
+def test_overlapping_intervals_match_brute_force(spark, seed):
+    points, intervals = case(seed)
+    result = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
     assert rows(result) == brute_force(points, intervals)
 
 
-@pytest.mark.parametrize("bucket_hours, max_intervals", [(24, 3), (100, 1), (1, 2)])
-def test_buckets_crowded_with_intervals_are_cut_finer_without_changing_the_result(spark, bucket_hours, max_intervals):
-    """Points and intervals crowd into one hour; far fewer than a million points."""
+def test_crowded_hours_match_brute_force(spark):
+    """Points and intervals crowd into one hour."""
     points, intervals = case(2, hot_share=0.4)
     base = ts("2024-01-01")
     for v in range(150):
         start = base + dt.timedelta(seconds=37 * v % 3600)
         intervals.append(("a", start, start + dt.timedelta(seconds=(v % 7) * 400 + 1), 2000 + v))
-    result = interval_attach(
-        frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"], bucket_hours, max_intervals
-    )
+    result = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
+    assert rows(result) == brute_force(points, intervals)
+
+
+def test_lengths_from_microseconds_to_the_end_of_time(spark):
+    base, end = ts("2024-01-01"), ts("9999-12-31 23:59:59")
+    micro = dt.timedelta(microseconds=1)
+    moments = [base, base + micro, base + dt.timedelta(seconds=1) - micro, base + dt.timedelta(seconds=7), ts("1969-12-31 23:59:59"),
+               ts("1960-05-05 12:00"), ts("2500-01-01"), end - micro, end, ts("0001-01-01")]
+    points = [(i, "a", t) for i, t in enumerate(moments)] + [(99, "a", base), (98, "b", base)]
+    intervals = [
+        ("a", base, base + micro, 0),
+        ("a", base + micro, base + dt.timedelta(seconds=7, microseconds=1), 1),
+        ("a", base - dt.timedelta(days=30), end, 2),
+        ("a", ts("0001-01-01"), end, 3),
+        ("a", ts("1960-01-01"), ts("1970-01-01 00:00:01"), 4),
+        ("b", base + micro, end, 5),
+    ]
+    result = interval_attach(frame(spark, POINTS, points), frame(spark, INTERVALS, intervals), "t", "a", "b", ["site"])
     assert rows(result) == brute_force(points, intervals)
+    # Without a key, and with columns of the same names on both sides.
+    alone = interval_attach(
+        frame(spark, "id bigint, t timestamp_ntz", [(r[0], r[2]) for r in points[:10]]),
+        frame(spark, "id int, a timestamp_ntz, b timestamp_ntz", [(r[3], r[1], r[2]) for r in intervals[:5]]), "t", "a", "b",
+    )
+    want = brute_force(points[:10], intervals[:5])
+    assert alone.columns == ["id", "t", "id", "a", "b"]
+    assert sorted((r[0], r[2], str(r[3])) for r in alone.collect()) == sorted((r[0], r[5], str(r[3])) for r in want)
+
+
+def test_an_interval_has_few_nodes_that_cover_it_once(spark):
+    rng = random.Random(6)
+    ranges = [(0, 0), (3, 2), (5, 6), (-7, 9), (-9, -2), (0, 1 << 38), (1, (1 << 38) - 1)]
+    ranges += [(a, a + rng.randrange(1, 3000)) for a in (rng.randrange(-5000, 5000) for _ in range(60))]
+    df = frame(spark, "n int, low bigint, high bigint", [(i, a, b) for i, (a, b) in enumerate(ranges)])
+    found = {}
+    for n, level, index in rows(dyadic_nodes(df, "low", "high"), "n", "_level", "_index"):
+        found.setdefault(n, []).append((index << level, (index + 1) << level))
+    for n, (a, b) in enumerate(ranges):
+        at = a
+        for low, high in sorted(found.get(n, [])):
+            assert low == at
+            at = high
+        assert at == max(a, b) if a < b else n not in found
+        assert len(found.get(n, [])) <= 2 * max(1, (b - a).bit_length())
 
 
 def test_the_join_is_lazy(spark):

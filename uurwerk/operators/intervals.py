@@ -21,63 +21,71 @@ def day_intervals(df: DataFrame, day: str, tz: str, boundary_hour: int = 6) -> D
     )
 
 
-def _bucket(ts: Column, bucket_hours: int) -> Column:
-    epoch_hours = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(ts)
-    return F.floor(epoch_hours / F.lit(bucket_hours)).cast("bigint")
+def _second(ts: Column) -> Column:
+    """Whole seconds since 1970 on the clock of the timestamp itself."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def _subdivided(df: DataFrame, crowded: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(crowded, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)).cast("bigint"))
+def dyadic_nodes(df: DataFrame, low: str, high: str) -> DataFrame:
+    """Cut each range ``[low, high)`` of whole numbers into the fewest nodes of a binary tree over all of them:
+    one row per node, as ``_level`` and ``_index`` (the numbers from ``_index << _level`` on, ``1 << _level`` of
+    them). A range of n numbers has at most two nodes on each of log2(n) levels. Empty ranges
+    have none.
 
-
-def _part(ts: Column, bucket_hours: int) -> Column:
-    """Which of its bucket's equal parts a moment lies in; the parts are whole seconds."""
-    start = (F.col("_bucket") * F.lit(bucket_hours * 3600)).cast("bigint")
-    epoch = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
-    second = epoch + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts) - start
-    last = F.lit(bucket_hours * 3600 - 1)
-    return F.floor(F.greatest(F.lit(0), F.least(second, last)) * F.col("_parts") / F.lit(bucket_hours * 3600)).cast("bigint")
+    On level k the range still to be covered runs from ceil(low / 2^k) to floor(high / 2^k); what
+    sticks out of the next level's pairs, an odd first or an odd last number, is a node.
+    """
+    size = F.greatest(F.col(high) - F.col(low), F.lit(1))
+    levels = df.where(F.col(low) < F.col(high)).withColumn(
+        "_level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(size.cast("double")) + 1).cast("int")))
+    )
+    ends = levels.withColumns(
+        {"_first": F.expr(f"-shiftright(-`{low}`, _level)"), "_last": F.expr(f"shiftright(`{high}`, _level)")}
+    ).where("_first < _last")
+    nodes = F.array(
+        F.when(F.expr("_first & 1") == 1, F.col("_first")), F.when(F.expr("_last & 1") == 1, F.col("_last") - 1)
+    )
+    found = ends.withColumn("_index", F.explode(nodes)).where("_index IS NOT NULL")
+    return found.select(*df.columns, "_level", "_index")
 
 
 def interval_attach(
-    points: DataFrame,
-    intervals: DataFrame,
-    ts: str,
-    valid_from: str,
-    valid_to: str,
-    by: Sequence[str] = (),
-    bucket_hours: int = 24,
-    max_intervals: int = 1000,
+    points: DataFrame, intervals: DataFrame, ts: str, valid_from: str, valid_to: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Left join of points to the intervals that contain them, as an equi join.
-
-    Every interval is repeated once per time bucket it touches; a point lies in
-    exactly one bucket, so the join on ``by`` + bucket finds each pair once and
-    needs no clean-up afterwards. A bucket that more than ``max_intervals`` intervals
-    touch is cut into that many times finer parts, so that a point is compared with
-    few of them; which buckets these are is part of the same lazy plan and looks at
-    the intervals alone. Buckets with many points are left to adaptive execution,
-    which may split the left side of a left join.
+    """Left join of points to the intervals that contain them, as an equi join, whatever the intervals' lengths.
+
+    Every interval is cut into nodes of a binary tree over the seconds, at most twice the logarithm of its
+    length, also if it has no end in sight; a point asks for the nodes above its own second, on
+    the levels that any interval has. So a point meets an interval once, and apart from the
+    first and last second only those that contain it: there is no bucket width to choose, and
+    nothing crowds into a bucket. Only distinct moments ask, and points without an interval stay
+    as they are.
     """
-    keys = [*by, "_bucket"]
-    last_moment = F.col(valid_to) - F.expr("INTERVAL '0.000001' SECOND")
-    touched = F.sequence(_bucket(F.col(valid_from), bucket_hours), _bucket(last_moment, bucket_hours))
-    right = intervals.where(F.col(valid_from) < F.col(valid_to)).withColumn("_bucket", F.explode(touched))
-    crowded = right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_intervals).alias("_parts")).where("_parts > 1")
-
-    p = _subdivided(points.withColumn("_bucket", _bucket(F.col(ts), bucket_hours)), crowded, keys)
-    p = p.withColumn("_part", _part(F.col(ts), bucket_hours)).alias("p")
-    first = F.col("_bucket") == _bucket(F.col(valid_from), bucket_hours)
-    final = F.col("_bucket") == _bucket(last_moment, bucket_hours)
-    spanned = F.sequence(
-        F.when(first, _part(F.col(valid_from), bucket_hours)).otherwise(F.lit(0).cast("bigint")),
-        F.when(final, _part(last_moment, bucket_hours)).otherwise(F.col("_parts") - 1),
+    keys = [f"_by{k}" for k in range(len(by))]
+    renamed = [F.col(f"`{c}`").alias(k) for c, k in zip(by, keys)]
+    last = F.col(f"`{valid_to}`") - F.expr("INTERVAL '0.000001' SECOND")
+    ranged = intervals.where(F.col(f"`{valid_from}`") < F.col(f"`{valid_to}`")).select(
+        *renamed,
+        F.struct(*[F.col(f"`{c}`") for c in intervals.columns if c not in by]).alias("_interval"),
+        _second(F.col(f"`{valid_from}`")).alias("_low"),
+        (_second(last) + 1).alias("_high"),
+    )
+    nodes = dyadic_nodes(ranged, "_low", "_high").drop("_low", "_high")
+    # A query of one value inside the plan, so nothing runs before the join does.
+    levels = nodes.agg(F.array_sort(F.collect_set("_level")).alias("levels")).scalar()
+    moment = F.col(f"`{ts}`").alias("_ts")
+    asked = points.select(*renamed, moment).where("_ts IS NOT NULL").distinct()
+    asked = asked.withColumn("_level", F.explode(levels)).withColumn("_second", _second(F.col("_ts")))
+    asked = asked.withColumn("_index", F.expr("shiftright(_second, _level)")).drop("_second")
+    found = asked.join(nodes, [*keys, "_level", "_index"]).where(
+        (F.col("_ts") >= F.col(f"_interval.`{valid_from}`")) & (F.col("_ts") < F.col(f"_interval.`{valid_to}`"))
     )
-    i = _subdivided(right, crowded, keys).withColumn("_part", F.explode(spanned)).alias("i")
-    on = (F.col(f"p.{ts}") >= F.col(f"i.{valid_from}")) & (F.col(f"p.{ts}") < F.col(f"i.{valid_to}"))
-    for key in [*keys, "_part"]:
-        on = on & (F.col(f"p.{key}") == F.col(f"i.{key}"))
-    return p.join(i, on, "left").select(
-        *[F.col(f"p.{c}") for c in points.columns],
-        *[F.col(f"i.{c}") for c in intervals.columns if c not in by],
+    found = found.select(*[F.col(k) for k in keys], "_ts", "_interval")
+    on = F.col(f"p.`{ts}`") == F.col("_ts")
+    for c, k in zip(by, keys):
+        on = on & (F.col(f"p.`{c}`") == F.col(k))
+    return points.alias("p").join(found, on, "left").select(
+        *[F.col(f"p.`{c}`") for c in points.columns],
+        *[F.col(f"_interval.`{c}`").alias(c) for c in intervals.columns if c not in by],
     )
