@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from helpers import day, frame, plan, rows, ts
 from uurwerk.session import scratch_path, shared_folder
 from uurwerk.sources import ranges, records, tables, versions
+from uurwerk.sources.chunks import chunk_source
 from uurwerk.sources.landing import RequestFailed, chunked_read, landing_read
 from uurwerk.sources.tables import (
     backfill_by_year,
@@ -182,6 +183,49 @@ def test_one_bad_day_does_not_lose_its_chunk(spark):
     assert loaded.count() == 19 * 24 and loaded.select("hour_utc").distinct().count() == 19 * 24
 
 
+def source(spark, fetch, first="2024-01-01", last="2024-01-20"):
+    request = frame(spark, "series string, s date, e date", [(n, day(first), day(last)) for n in ("a", "b")])
+    return chunk_source(ranges.chunk_ranges(request, "s", "e", 10), fetch, HOURS, "hour_utc")
+
+
+def logged(folder, fetch):
+    def asked(series, first, last):
+        with open(f"{folder}/{series}_{first}_{last}", "a") as handle:
+            handle.write("x")
+        return fetch(series, first, last)
+
+    return asked
+
+
+def test_the_source_answers_like_the_chunked_read(spark):
+    got = source(spark, fake({"2024-01-05"}))
+    assert got.rdd.getNumPartitions() == 4
+    assert rows(got.where("status = 'skipped'"), "series", "day") == [("a", day("2024-01-05")), ("b", day("2024-01-05"))]
+    loaded = got.where("status = 'loaded'")
+    assert loaded.count() == 2 * 19 * 24 and loaded.where("day <> to_date(hour_utc)").count() == 0
+    with pytest.raises(Exception, match="RequestFailed: 403"):
+        source(spark, fake({"2024-01-05"}, 403)).collect()
+
+
+def test_filters_reach_the_plan_of_the_source(spark, tmp_path):
+    cases = [
+        (F.col("series") == "a", {("a", "2024-01-01", "2024-01-10"), ("a", "2024-01-11", "2024-01-20")}),
+        ((F.col("day") >= day("2024-01-09")) & (F.col("day") < day("2024-01-12")) & F.col("series").isin("b", "c"),
+         {("b", "2024-01-09", "2024-01-10"), ("b", "2024-01-11", "2024-01-11")}),
+        ((F.col("day") == day("2024-01-15")) & (F.col("series") == "a"), {("a", "2024-01-15", "2024-01-15")}),
+        ((F.col("day") > day("2024-01-19")) & (F.col("day") <= day("2024-01-25")), {("a", "2024-01-20", "2024-01-20"), ("b", "2024-01-20", "2024-01-20")}),
+        (F.col("day") > day("2024-02-01"), set()),
+    ]
+    whole = source(spark, fake(set())).cache()
+    for k, (condition, want) in enumerate(cases):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        got = source(spark, logged(str(folder), fake(set()))).where(condition)
+        assert rows(got) == rows(whole.where(condition))
+        asked = [f for f in folder.iterdir()]
+        assert {tuple(f.name.split("_")) for f in asked} == want and all(set(f.read_text()) == {"x"} for f in asked)
+
+
 @pytest.mark.parametrize("status", [401, 403])
 def test_a_refused_request_stops_the_job(spark, status):
     with pytest.raises(Exception, match=f"RequestFailed: {status}"):
@@ -204,7 +248,7 @@ def test_other_errors_are_not_taken_for_missing_data(spark):
         read(spark, fetch).collect()
 
 
-def test_landing_folder_gives_no_partial_answers(spark, tmp_path):
+def test_landing_folder_keeps_partial_days_and_reports_them(spark, tmp_path):
     data = [
         ("a", dt.datetime(2024, 1, d, h), float(h), dt.date(2024, 1, d))
         for d in (1, 2, 4, 9)
@@ -215,9 +259,10 @@ def test_landing_folder_gives_no_partial_answers(spark, tmp_path):
     landed = spark.read.schema(df.schema).parquet(f"{tmp_path}/landing")
     request = frame(spark, "series string, s date, e date", [("a", day("2024-01-01"), day("2024-01-04"))])
     got = landing_read(ranges.chunk_ranges(request, "s", "e", 3), landed, 24)
-    assert rows(got.where("status = 'skipped'"), "day") == [(day("2024-01-02"),), (day("2024-01-03"),)]
+    reported = rows(got.where("status <> 'loaded'"), "status", "day")
+    assert reported == [("partial", day("2024-01-02")), ("skipped", day("2024-01-03"))]
     loaded = got.where("status = 'loaded'")
-    assert loaded.count() == 48 and got.columns == ["series", "status", "day", "hour_utc", "value"]
+    assert loaded.count() == 24 + 23 + 24 and got.columns == ["series", "status", "day", "hour_utc", "value"]
     assert "Python" not in plan(got) and "Arrow" not in plan(got)
 
 

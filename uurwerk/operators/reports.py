@@ -116,6 +116,31 @@ def coverage(
     )
 
 
+def gap_islands(found: DataFrame, ts: str, by: Sequence[str] = (), bounds: DataFrame | None = None) -> DataFrame:
+    """The hours that each series lacks, as intervals: ``gap_start`` and ``gap_end`` (both missing) and
+    ``gap_hours``, one row per gap.
+
+    Nothing is expanded: a gap is what lies between an hour and the next one that is there, so the
+    result grows with the gaps and the work with the rows. ``bounds`` is one row with the first and
+    last hour that is expected (``first_hour``, ``last_hour``); by default those of all series
+    together, so that a series also lacks what it has at neither end. A series without
+    any hour is not listed.
+    """
+    have = found.select(*by, F.col(ts).alias("_at")).where("_at IS NOT NULL").distinct()
+    if bounds is None:
+        bounds = have.agg(F.min("_at").alias("first_hour"), F.max("_at").alias("last_hour"))
+    first, last = bounds.select("first_hour").scalar(), bounds.select("last_hour").scalar()
+    order = Window.partitionBy(*by).orderBy("_at")
+    known = have.where((F.col("_at") >= first) & (F.col("_at") <= last)).withColumns(
+        {"_before": F.lag("_at").over(order), "_after": F.coalesce(F.lead("_at").over(order), last + hours(1))}
+    )
+    head = F.struct(first.alias("gap_start"), (F.col("_at") - hours(1)).alias("gap_end"))
+    tail = F.struct((F.col("_at") + hours(1)).alias("gap_start"), (F.col("_after") - hours(1)).alias("gap_end"))
+    gaps = known.select(*by, F.inline(F.array(F.when(F.col("_before").isNull(), head), tail)))
+    length = F.timestamp_diff("HOUR", F.col("gap_start"), F.col("gap_end")) + 1
+    return gaps.where("gap_start <= gap_end").withColumn("gap_hours", length.cast("bigint"))
+
+
 def coverage_by_year(chunks: DataFrame, by: Sequence[str], start: str = "chunk_start") -> DataFrame:
     """Per calendar year: hours found and missing against the hours of the whole year,
     and how many chunks are complete and how many are not. ``chunks`` is the result of

@@ -31,7 +31,8 @@ from uurwerk.registry import inputs as src
 from uurwerk.registry.inputs import PARAMS, ZONE, shifted, table
 from uurwerk.session import materialize, scratch_path
 from uurwerk.sources import ranges, records
-from uurwerk.sources.landing import landing_read
+from uurwerk.sources.chunks import chunk_source
+from uurwerk.sources.landing import RequestFailed, landing_read
 from uurwerk.sources.tables import (
     backfill_by_year,
     raw_schema,
@@ -42,6 +43,7 @@ from uurwerk.sources.tables import (
     with_load_id,
     write_table,
 )
+from uurwerk.sources.versions import current_map, maps_since
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -152,6 +154,24 @@ def interval_join_generic(spark, sf_dir):
     return interval_attach(points, intervals, "ts", "valid_from", "valid_to", by=["user_id"])
 
 
+@query("interval_join_lengths")
+def interval_join_lengths(spark, sf_dir):
+    """Events against intervals of their user of 30 seconds, 90 minutes, 3 days, 400 days and without an end."""
+    events = table(spark, sf_dir, "events")
+    start = F.col("ts")
+    kind = F.floor("value").cast("int") % 5
+    end = (
+        F.when(kind == 0, start + F.expr("INTERVAL '30' SECOND"))
+        .when(kind == 1, start + F.expr("INTERVAL '90' MINUTE"))
+        .when(kind == 2, start + F.expr("INTERVAL '72' HOUR"))
+        .when(kind == 3, start + F.expr("INTERVAL '9600' HOUR"))
+        .otherwise(F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    )
+    opened = events.where("event_type = 'signup'")
+    intervals = opened.select(F.col("event_id").alias("opened_by"), "user_id", start.alias("valid_from"), end.alias("valid_to"))
+    return interval_attach(events.select("event_id", "user_id", "ts"), intervals, "ts", "valid_from", "valid_to", by=["user_id"])
+
+
 @query("signal_consolidate")
 def signal_consolidate(spark, sf_dir):
     signals = src.stored_signals(spark, sf_dir)
@@ -834,8 +854,8 @@ def backfill_years(spark, sf_dir):
 
 @query("chunked_read_fallback")
 def chunked_read_fallback(spark, sf_dir):
-    """Hourly signals land as one file per series and day; a range is answered only
-    when each of its days has all 24 hours, so incomplete days end up skipped."""
+    """Hourly signals land as one file per series and day; all rows are loaded, days with
+    fewer than 24 hours are reported as partial, days without any as skipped."""
     hour = trunc_hour(F.col("ts"))
     hourly = (
         table(spark, sf_dir, "events")
@@ -851,3 +871,98 @@ def chunked_read_fallback(spark, sf_dir):
     )
     plan = ranges.chunk_ranges(wanted, "start_date", "end_date", 10)
     return landing_read(plan, landed, 24)
+
+
+@query("chunked_read_source")
+def chunked_read_source(spark, sf_dir):
+    """A remote that has 24 hours for each day but refuses chunks with a day whose number leaves 1 or 2
+    when divided by 6; asked alone, the latter are there. Three series and some weeks of it are
+    filtered, so only those are asked; the hours take the signals' values."""
+    hourly = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("series"), trunc_hour(F.col("ts")).alias("hour_utc"))
+        .agg(F.max("value").alias("value"))
+    )
+    wanted = hourly.groupBy("series").agg(
+        F.to_date(F.min("hour_utc")).alias("start_date"), F.to_date(F.max("hour_utc")).alias("end_date")
+    )
+    plan = ranges.chunk_ranges(wanted, "start_date", "end_date", 10)
+
+    def fetch(series: str, first: dt.date, last: dt.date) -> list[dict]:
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+        if any(d.day % 6 == 1 or (d.day % 6 == 2 and len(days) > 1) for d in days):
+            raise RequestFailed(500)
+        return [{"hour_utc": dt.datetime(d.year, d.month, d.day, h)} for d in days for h in range(24)]
+
+    row_schema = T.StructType([T.StructField("hour_utc", T.TimestampNTZType())])
+    answered = chunk_source(plan, fetch, row_schema, "hour_utc").where(
+        F.col("series").isin("click", "view", "purchase")
+        & (F.col("day") >= F.lit(dt.date(2024, 1, 4)))
+        & (F.col("day") < F.lit(dt.date(2024, 1, 28)))
+    )
+    return answered.join(hourly, ["series", "hour_utc"], "left").select("series", "status", "day", "hour_utc", "value")
+
+
+@query("merge_type_change")
+def merge_type_change(spark, sf_dir):
+    """Narrow numbers are stored first, wide ones follow for a third of the rows, and a load whose
+    numbers are texts is refused and leaves no trace."""
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        "event_id",
+        F.to_date("ts").cast("string").alias("day"),
+        F.col("user_id").cast("int").alias("number"),
+        F.floor("value").cast("float").alias("measure"),
+    )
+    path = scratch_path(spark, "typed")
+    upsert(path, rows, ["event_id"], "day")
+    wide = events.where("event_id % 3 = 0").select(
+        "event_id",
+        F.to_date("ts").cast("string").alias("day"),
+        (F.col("user_id").cast("bigint") * 4294967296).alias("number"),
+        F.col("value").alias("measure"),
+    )
+    upsert(path, wide, ["event_id"], "day")
+    try:
+        upsert(path, rows.withColumn("number", F.lit("many")), ["event_id"], "day")
+    except ValueError:
+        return read_table(spark, path).select("event_id", "day", "number", "measure")
+    raise AssertionError("a load of another type was not refused")
+
+
+@query("rebuild_touched")
+def rebuild_touched(spark, sf_dir):
+    """A table of daily sums is built from merged signals; a later load corrects the clicks of some days
+    and brings all views again as they were. Only the days that the merge names are built anew."""
+    hourly = (
+        table(spark, sf_dir, "events")
+        .groupBy("event_type", trunc_hour(F.col("ts")).alias("hour_utc"))
+        .agg(F.max("value").alias("value"))
+    )
+    root = scratch_path(spark, "lake")
+    path, keys = f"{root}/raw/signals", ["event_type", "hour_utc"]
+
+    def load(df: DataFrame, load_id: str) -> None:
+        dated = with_load_id(df, load_id).withColumn("day", F.to_date("hour_utc").cast("string"))
+        upsert(path, dated, keys, "day", days=F.array(F.to_date("hour_utc")))
+
+    def build(only: set[str] | None) -> DataFrame:
+        keep = None if only is None else only.__contains__
+        sums = read_table(spark, path, keep).groupBy("day").agg(F.count(F.lit(1)).alias("n_hours"), money("value").alias("total"))
+        return write_table(sums.withColumn("rebuilt", F.lit(only is not None)), root, "prod", "marts", "daily", "day", keep)
+
+    load(hourly, "load-1")
+    build(None)
+    built = current_map(spark, path).version
+    corrected = hourly.where("event_type = 'click' AND day(hour_utc) % 4 = 0").withColumn("value", F.col("value") + 1)
+    load(corrected.unionByName(hourly.where("event_type = 'view'")), "load-2")
+    daily = build({d for m in maps_since(spark, path, built) for d in m.days})
+    return daily.select(F.col("day").cast("date").alias("day"), "n_hours", "total", "rebuilt")
+
+
+@query("coverage_islands")
+def coverage_gap_islands(spark, sf_dir):
+    """Missing hours of each signal as intervals."""
+    events = table(spark, sf_dir, "events")
+    found = events.select(F.col("event_type").alias("series"), trunc_hour(F.col("ts")).alias("hour_utc")).distinct()
+    return reports.gap_islands(found, "hour_utc", by=["series"])

@@ -36,6 +36,44 @@ AUTH_STATUSES = (401, 403)
 Fetch = Callable[[str, dt.date, dt.date], list[dict]]
 
 
+def answer_schema(row_schema: T.StructType) -> T.StructType:
+    """``series``, ``status`` ('loaded' or 'skipped') and ``day`` before the columns of a row."""
+    before = [T.StructField("series", T.StringType()), T.StructField("status", T.StringType()), T.StructField("day", T.DateType())]
+    return T.StructType([*before, *row_schema.fields])
+
+
+def answers(
+    fetch: Fetch, key: str, first: dt.date, last: dt.date, row_schema: T.StructType, time: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """What a chunk answers, or its days one by one if it doesn't. ``time`` names the timestamp whose date is
+    a loaded row's day; without it the day stays empty."""
+    arrow_schema = to_arrow_schema(answer_schema(row_schema))
+
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+
+    def loaded(rows: list[dict]) -> pa.RecordBatch:
+        days = [None if time is None or row.get(time) is None else row[time].date() for row in rows]
+        return batch_of([{**row, "series": key, "status": "loaded", "day": day} for row, day in zip(rows, days)])
+
+    def asked(a: dt.date, b: dt.date) -> pa.RecordBatch | None:
+        try:
+            return loaded(fetch(key, a, b))
+        except RequestFailed as error:
+            if error.status in AUTH_STATUSES:
+                raise
+            return None
+
+    whole = asked(first, last)
+    if whole is not None:
+        yield whole
+        return
+    for offset in range((last - first).days + 1):
+        day = first + dt.timedelta(days=offset)
+        found = asked(day, day)
+        yield batch_of([{"series": key, "status": "skipped", "day": day}]) if found is None else found
+
+
 def chunked_read(
     plan: DataFrame, fetch: Fetch, row_schema: T.StructType, series: str = "series", tasks: int | None = None
 ) -> DataFrame:
@@ -45,49 +83,16 @@ def chunked_read(
     ``series``, ``status`` ('loaded' or 'skipped'), ``day`` (of a skipped day)
     and the columns of ``row_schema``. One request at most is held at a time.
     """
-    out = T.StructType(
-        [
-            T.StructField("series", T.StringType()),
-            T.StructField("status", T.StringType()),
-            T.StructField("day", T.DateType()),
-            *row_schema.fields,
-        ]
-    )
-    arrow_schema = to_arrow_schema(out)
-    refused = AUTH_STATUSES
-
-    def batch_of(rows: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-
-    def loaded(key: str, rows: list[dict]) -> pa.RecordBatch:
-        return batch_of([{**row, "series": key, "status": "loaded"} for row in rows])
-
-    def skipped(key: str, day: dt.date) -> pa.RecordBatch:
-        return batch_of([{"series": key, "status": "skipped", "day": day}])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for request in batch.to_pylist():
-                key, first, last = request["series"], request["chunk_start"], request["chunk_end"]
-                try:
-                    yield loaded(key, fetch(key, first, last))
-                    continue
-                except RequestFailed as error:
-                    if error.status in refused:
-                        raise
-                for offset in range((last - first).days + 1):
-                    day = first + dt.timedelta(days=offset)
-                    try:
-                        yield loaded(key, fetch(key, day, day))
-                    except RequestFailed as error:
-                        if error.status in refused:
-                            raise
-                        yield skipped(key, day)
+                yield from answers(fetch, request["series"], request["chunk_start"], request["chunk_end"], row_schema)
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     requests = plan.select(F.col(series).cast("string").alias("series"), "chunk_start", "chunk_end")
     width = tasks or plan.sparkSession.sparkContext.defaultParallelism
-    return requests.repartition(width, "series", "chunk_start").mapInArrow(read, out)
+    return requests.repartition(width, "series", "chunk_start").mapInArrow(read, answer_schema(row_schema))
 
 
 def landing_read(
@@ -96,18 +101,22 @@ def landing_read(
     """The same answer for files that Spark can scan: ``landed`` is a scan of a landing
     folder with the columns ``series`` and ``day``, ``plan`` as in :func:`chunked_read`.
 
-    A day of the plan is loaded if it has at least ``expected_rows`` rows and skipped if
-    not, which is what asking for its chunk and then for the day alone comes to. One
-    scan for the counts, one for the rows; everything else is as large as the days.
+    Whatever rows a day of the plan has are loaded. A day without any is reported as ``skipped``; one
+    with fewer than ``expected_rows``, such as the running day of a trailing window or one with a
+    gap, is reported as ``partial``, beside its rows. One scan for the counts, one for the rows;
+    everything else is as large as the days.
     """
     wanted = expand_days(plan.select(series, "chunk_start", "chunk_end"), "chunk_start", "chunk_end", day)
     wanted = wanted.select(series, day).distinct()
     counts = landed.groupBy(series, day).agg(F.count(F.lit(1)).alias("_rows"))
-    days = wanted.join(counts, [series, day], "left").withColumn("_loaded", F.coalesce(F.col("_rows") >= expected_rows, F.lit(False)))
+    found = F.coalesce(F.col("_rows"), F.lit(0))
+    status = F.when(found == 0, "skipped").when(found < expected_rows, "partial")
+    reported = wanted.join(counts, [series, day], "left").select(
+        F.col(series).alias("series"), status.alias("status"), F.col(day).alias("day")
+    )
     rows = [c for c in landed.columns if c not in (series, day)]
-    loaded = landed.join(days.where("_loaded").select(series, day), [series, day], "left_semi")
-    skipped = days.where("not _loaded")
+    loaded = landed.join(wanted, [series, day], "left_semi")
     empty = [F.lit(None).cast(landed.schema[c].dataType).alias(c) for c in rows]
     return loaded.select(
         F.col(series).alias("series"), F.lit("loaded").alias("status"), F.lit(None).cast("date").alias("day"), *rows
-    ).unionByName(skipped.select(F.col(series).alias("series"), F.lit("skipped").alias("status"), F.col(day).alias("day"), *empty))
+    ).unionByName(reported.where("status IS NOT NULL").select("*", *empty))
