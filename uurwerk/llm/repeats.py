@@ -56,6 +56,10 @@ AROUND = BEFORE + LENGTH
 # Bytes hashed at a time, which fit a core's cache; bytes of texts behind one local run.
 SLICE = 1 << 16
 CHUNK = 12 << 20
+# The same where every place is looked at, which takes some hundred bytes each.
+DENSE_CHUNK = 3 << 20
+# Bytes of texts behind one bucket of hashes.
+BUCKET_BYTES = 16 << 20
 # Texts sampled for splitters, strings taken of each, bytes that one range merges.
 SAMPLE, STRINGS = 4000, 5
 RANGE_BYTES = 24 << 20
@@ -193,15 +197,15 @@ def _summed(steps: np.ndarray) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int32)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[list[tuple]]:
-    """The rows in pieces of about ``CHUNK`` bytes of text."""
+def _pieces(batches: Iterator[pa.RecordBatch], text: int, limit: int = CHUNK) -> Iterator[list[tuple]]:
+    """The rows in pieces of about ``limit`` bytes of text."""
     held, size = [], 0
     for batch in batches:
         for row in zip(*[c.to_pylist() if k != text else c for k, c in enumerate(batch.columns)]):
             row = (*row[:text], row[text].as_py(), *row[text + 1 :])
             held.append(row)
             size += len(row[text])
-            if size > CHUNK:
+            if size > limit:
                 yield held
                 held, size = [], 0
     if held:
@@ -363,8 +367,28 @@ def _claims(tid: np.ndarray, place: np.ndarray, wtid: np.ndarray, wplace: np.nda
     return [c.astype(k) for c, k in zip(columns, _CLAIM_KINDS)]
 
 
-def _claim_rows(columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _CLAIM_NAMES)
+def _claim_blocks(columns: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Claims as blocks, one for each bucket of texts."""
+    target = columns[0] % buckets
+    order = np.argsort(target, kind="stable")
+    used, first = np.unique(target[order], return_index=True)
+    rows = []
+    for bucket, at in zip(used.tolist(), np.split(order, first[1:])):
+        rows.append((bucket, _packed(*[c[at] for c in columns])))
+    if rows:
+        yield _block_rows(rows)
+
+
+def _merged_claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of all claims to a piece of a text the first and the last."""
+    for _, table in grouped(batches, "bucket"):
+        parts = [_unpacked(b.as_py(), *_CLAIM_KINDS) for b in table["block"]]
+        tid, piece, low, low_tid, low_at, high, high_tid, high_at = (np.concatenate(v) for v in zip(*parts))
+        by_low, by_high = np.lexsort((low, piece, tid)), np.lexsort((high, piece, tid))
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(tid[by_low]) != 0) | (np.diff(piece[by_low]) != 0)]))
+        first, last = by_low[new], by_high[np.append(new[1:], len(tid)) - 1]
+        columns = [tid[first], piece[first], low[first], low_tid[first], low_at[first], high[last], high_tid[last], high_at[last]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _CLAIM_NAMES)
 
 
 def _witnessed(order: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -382,7 +406,7 @@ def _string_entries(buckets: int):
     different string. Claims that a piece settles itself are passed on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches, 1):
+        for piece in _pieces(batches, 1, DENSE_CHUNK):
             tids = np.array([r[0] for r in piece], np.int64)
             asked = [_looked_at(len(t), np.array(p)[np.array(s) & EMIT > 0]) for _, t, p, s in piece]
             row = np.repeat(np.arange(len(piece)), [len(a) for a in asked])
@@ -414,25 +438,28 @@ def _string_entries(buckets: int):
     return work
 
 
-def _shared_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared_strings(buckets: int):
+    """Claims to the strings that occur again."""
     kinds = (np.uint64, np.uint32, np.int32, np.int32, bool, np.int64, *_CLAIM_KINDS)
-    for _, table in grouped(batches, "bucket"):
-        parts = []
-        for block in table["block"]:
-            a, b, place, local, many, tids, *settled = _unpacked(block.as_py(), *kinds)
-            if len(settled[0]):
-                yield _claim_rows(settled)
-            parts.append((a, b, _summed(place), tids[_summed(local)] if len(a) else tids[:0], many))
-        a, b, place, tid, many = (np.concatenate(v) for v in zip(*parts))
-        if not len(a):
-            continue
-        order, group = _equal_runs(a, b)
-        witness = _witnessed(order, group)
-        # Entries that stand for more than one place have settled theirs already.
-        open_ = (np.bincount(group) > 1)[group] & ~many[order]
-        own, other = order[open_], witness[open_]
-        if len(own):
-            yield _claim_rows(_claims(tid[own], place[own], tid[other], place[other]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in grouped(batches, "bucket"):
+            parts, settled = [], []
+            for block in table["block"]:
+                a, b, place, local, many, tids, *known = _unpacked(block.as_py(), *kinds)
+                settled.append(known)
+                parts.append((a, b, _summed(place), tids[_summed(local)] if len(a) else tids[:0], many))
+            a, b, place, tid, many = (np.concatenate(v) for v in zip(*parts))
+            order, group = _equal_runs(a, b)
+            if len(a):
+                # Entries that stand for more than one place have settled theirs already.
+                open_ = (np.bincount(group) > 1)[group] & ~many[order]
+                own, other = order[open_], _witnessed(order, group)[open_]
+                if len(own):
+                    settled.append(_claims(tid[own], place[own], tid[other], place[other]))
+            yield from _claim_blocks([np.concatenate(v) for v in zip(*settled)], buckets)
+
+    return work
 
 
 # ---- step 3: runs, exchange, merge
@@ -677,8 +704,9 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     (start, end, start, end, ...) of every text that may lose something, one row for each
     different text."""
     spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = keyed(docs, text).where(F.octet_length("data") >= LENGTH).select("k1", "k2", "data")
+    volume = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(volume) // BUCKET_BYTES))
 
     def in_buckets(entries: DataFrame) -> DataFrame:
         return entries.repartition(width, "bucket").sortWithinPartitions("bucket")
@@ -693,16 +721,14 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     texts = materialize(texts, "texts")
     strings = texts.select("tid", "data", "places", "states").mapInArrow(_string_entries(width), BLOCKS)
-    settled = in_buckets(strings).mapInArrow(_shared_strings, CLAIMS)
-    low = F.min(F.struct("low", "low_tid", "low_at")).alias("l")
-    high = F.max(F.struct("high", "high_tid", "high_at")).alias("h")
-    claims = materialize(settled.groupBy("tid", "piece").agg(low, high), "claims")
-    ends = claims.select("tid", F.explode(F.array("l.low", "h.high")).alias("place"), F.lit(True).alias("own"))
+    settled = in_buckets(strings).mapInArrow(_shared_strings(width), BLOCKS)
+    claims = materialize(in_buckets(settled).mapInArrow(_merged_claims, CLAIMS), "claims")
+    ends = claims.select("tid", F.explode(F.array("low", "high")).alias("place"), F.lit(True).alias("own"))
     seen = claims.select(
         F.explode(
             F.array(
-                F.struct(F.col("l.low_tid").alias("tid"), F.col("l.low_at").alias("place")),
-                F.struct(F.col("h.high_tid").alias("tid"), F.col("h.high_at").alias("place")),
+                F.struct(F.col("low_tid").alias("tid"), F.col("low_at").alias("place")),
+                F.struct(F.col("high_tid").alias("tid"), F.col("high_at").alias("place")),
             )
         ).alias("w")
     ).select("w.tid", "w.place", F.lit(False).alias("own"))
