@@ -1,6 +1,8 @@
 """Toxicity and language: held-out accuracy and the parts that can be checked exactly."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -115,12 +117,81 @@ def test_counts_and_backoff_by_hand(spark):
         [(1, "the cat the dog", "en"), (2, "der hund der hund", "de"), (3, None, "de"), (4, "ignored", None)],
         "doc_id long, text string, lang string",
     )
-    langs, words, logs, grams, _ = langid.fit(docs).value
-    assert langs == ["de", "en"] and sorted(words) == ["cat", "der", "dog", "hund", "the"]
-    assert np.isclose(logs[words.index("the")][1], np.log(2.02 / 5)) and "_der_" in grams
-    identify = langid.Identifier(*langid.fit(docs).value)
-    assert identify("The dog")[0] == "en" and identify("hunde")[0] == "de" and identify("hunderd")[0] == "de"
-    assert identify("123 ...") == ("und", 0.0) and identify(None) == ("und", 0.0) == identify("")
+    model = langid.fit(docs)
+    words = {r.word: r.scores for r in model.words.collect()}
+    assert model.langs == ["de", "en"] and sorted(words) == ["cat", "der", "dog", "hund", "the"]
+    assert np.isclose(words["the"][1], np.log(2.02 / (4 + 0.02 * 5))) and "_der_" in model.grams
+    probe = spark.createDataFrame([(1, "The dog"), (2, "hunde"), (3, "hunderd"), (4, "123 ..."), (5, None), (6, "")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.with_language(probe, model).collect()}
+    assert [got[k][0] for k in (1, 2, 3)] == ["en", "de", "de"]
+    assert got[4] == got[5] == got[6] == ("und", 0.0)
+
+
+def language_brute(train, texts, each):
+    """Counts, n-gram choice and sums in plain Python."""
+    langs = sorted({l for _, l in train if l is not None})
+    seen = {l: Counter(w for t, m in train if m == l for w in langid.words_of(t)) for l in langs}
+    total = {l: sum(seen[l].values()) for l in langs}
+    different = len(set().union(*seen.values()))
+    grams = {l: Counter() for l in langs}
+    for l in langs:
+        for w, n in seen[l].items():
+            for size in langid.GRAMS:
+                for g in langid.grams_of(w, size):
+                    grams[l][g] += n
+    kept = set()
+    for l in langs:
+        for size in langid.GRAMS:
+            own = [g for g in grams[l] if len(g) == size]
+            kept |= set(sorted(own, key=lambda g: (-grams[l][g], g))[:each])
+    sums = {(l, k): sum(grams[l][g] for g in kept if len(g) == k) for l in langs for k in langid.GRAMS}
+    many = Counter(len(g) for g in kept)
+
+    def score(word):
+        if any(word in seen[l] for l in langs):
+            return [math.log((seen[l][word] + 0.02) / (total[l] + 0.02 * different)) for l in langs]
+        for size in langid.GRAMS:
+            own = [g for g in langid.grams_of(word, size) if g in kept]
+            if own:
+                logs = [[math.log((grams[l][g] + 0.5) / (sums[l, size] + 0.5 * many[size])) for l in langs] for g in own]
+                return [sum(v) / len(own) for v in zip(*logs)]
+        return [0.0] * len(langs)
+
+    out = []
+    for t in texts:
+        words = langid.words_of(t)
+        if not words:
+            out.append(("und", 0.0))
+            continue
+        sums_ = [sum(v) for v in zip(*[score(w) for w in words])]
+        best = max(sums_)
+        out.append((langs[sums_.index(best)], 1 / sum(math.exp(v - best) for v in sums_)))
+    return out
+
+
+@pytest.mark.parametrize("fast", [1, 40, langid.FAST_WORDS])
+def test_every_seen_word_scores_by_its_own_counts(spark, fast):
+    """Few broadcast words and the join of all others give what plain Python gives, with few n-grams too."""
+    docs = [(d.doc_id, d.text, d.lang) for d in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    train = [d for d in docs if not is_held(d[0])]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(langid.training(df), grams_each=30)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.with_language(df.drop("lang"), model, fast_words=fast).collect()}
+    want = language_brute([d[1:] for d in train], [d[1] for d in docs], 30)
+    for (doc_id, _, _), (lang, share) in zip(docs, want):
+        assert got[doc_id][0] == lang and abs(got[doc_id][1] - share) < 1e-9
+
+
+def test_a_dominant_language_takes_nothing_from_a_small_one(spark):
+    """200,000 words of one language, few of another: each of them still scores by its own counts."""
+    large = [(k, " ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" + "".join("uvwxyzabcd"[int(c)] for c in str(i)) for i in range(k * 2000, k * 2000 + 2000)), "xx") for k in range(100)]
+    small = [(1000, "zebu", "yy"), (1001, "yak", "yy")]
+    df = spark.createDataFrame([*large, *small], "doc_id long, text string, lang string").repartition(8)
+    model = langid.fit(df)
+    assert model.words.count() > 190_000
+    probe = spark.createDataFrame([(1, "zebu"), (2, "yak"), (3, large[7][1][:44])], "doc_id long, text string")
+    got = dict(rows(langid.with_language(probe, model, fast_words=1), "doc_id", "lang_pred"))
+    assert got == {1: "yy", 2: "yy", 3: "xx"}
 
 
 def test_language_of_odd_rows(spark):

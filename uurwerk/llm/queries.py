@@ -110,7 +110,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(langid.training(docs))
-    return langid.with_language(docs.select("doc_id", "text"), model).select(
+    return langid.with_language(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score"
     )
 
