@@ -30,7 +30,7 @@ from uurwerk.plans.staging import SIGNAL_MEASURES, stage_signal
 from uurwerk.registry import inputs as src
 from uurwerk.registry.inputs import PARAMS, ZONE, shifted, table
 from uurwerk.session import materialize, scratch_path
-from uurwerk.sources import ranges, records
+from uurwerk.sources import ranges, records, variants
 from uurwerk.sources.chunks import chunk_source
 from uurwerk.sources.landing import RequestFailed, landing_read
 from uurwerk.sources.tables import (
@@ -39,6 +39,7 @@ from uurwerk.sources.tables import (
     read_raw,
     read_table,
     register_view,
+    table_schema,
     upsert,
     with_load_id,
     write_table,
@@ -966,3 +967,20 @@ def coverage_gap_islands(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     found = events.select(F.col("event_type").alias("series"), trunc_hour(F.col("ts")).alias("hour_utc")).distinct()
     return reports.gap_islands(found, "hour_utc", by=["series"])
+
+
+@query("variant_load")
+def variant_load(spark, sf_dir):
+    """Event values arrive as payloads: whole numbers in the first load, fractions in the second, texts in the
+    third. Each type is stored in a column of its own; one number is made of them at the end."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "payloads")
+    for part, value in enumerate((F.floor("value"), F.col("value"), F.col("value").cast("string"))):
+        payloads = events.where(F.col("event_id") % 3 == part).select(
+            "event_id", F.to_date("ts").cast("string").alias("day"), F.to_json(F.struct(value.alias("value"))).alias("payload")
+        )
+        batch = variants.split_by_type(payloads, {"value": "value"}, table_schema(spark, path), keep=["event_id", "day"])
+        upsert(path, batch, ["event_id"], "day")
+    stored = read_table(spark, path)
+    kind = F.when(F.col("value").isNotNull(), "bigint").when(F.col("value__v_string").isNotNull(), "string").otherwise("double")
+    return stored.select("event_id", kind.alias("arrived_as"), variants.reconciled(stored, "value").alias("value"))
