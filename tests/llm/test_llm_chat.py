@@ -74,3 +74,8 @@ def test_a_long_conversation(spark, length):
     data = [(5, t, ("user", "assistant")[t % 2], f"é{t} " * 20) for t in range(length)]
     out = chat.format_conversations(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).first()
     assert len(out.spans) == length and out.spans[-1].end == len(out.formatted)
+
+
+def test_a_null_id_is_not_the_id_null(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), ("null", 0, "user", "b"), ("", 0, "user", "c")], "conv_id string, turn int, role string, text string")
+    assert chat.format_conversations(df).count() == 3

@@ -104,3 +104,13 @@ def test_a_long_item_is_cut_into_overlapping_pieces(spark, monkeypatch):
         spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
     )
     assert rows(digest(found)) == brute(docs, [(1, item)])
+
+
+def test_a_benchmark_of_long_words_is_scanned_in_blocks(spark):
+    """The bound counts bytes: eight words of a thousand letters are more than a few hundred bytes."""
+    items = [(i, chr(0x4E00 + i) * 1000) for i in range(8)]
+    docs = spark.createDataFrame([(i, f"{t} x") for i, t in items] + [(9, "x")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = rows(decontam.find_hits(docs, bench), "doc_id", "hits")
+    assert rows(decontam.find_hits(docs, bench, max_bytes=9000), "doc_id", "hits") == whole
+    assert sum(len(h.items) for _, h in whole) == 8

@@ -77,6 +77,13 @@ def test_nulls_empties_repeats_and_runs_over_themselves(spark):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_runs_of_any_number_of_lines(spark):
+    """Two copies of a text whose fifty words are far apart: the run has more lines than any fixed number of doublings."""
+    text = ("\n" * 3000).join(f"w{k}" for k in range(8))
+    got = cleaned(spark, [(1, text), (2, text + "\nmore")], 8)
+    assert [(r[0], r[3]) for r in got] == [(1, 0), (2, 7 * 3000 + 1)]
+
+
 def test_other_columns_do_not_clash(spark):
     df = spark.createDataFrame([(1, "a b c\nd", 1, 2), (2, "a b c\ne", 1, 2)], "doc_id long, text string, row int, line int")
     assert rows(lines.dedup_lines(df, 2), "doc_id", "text", "removed") == [(1, "a b c\nd", ""), (2, "e", "0:1")]

@@ -14,7 +14,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import __spark_entry__ as driver  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from compare import compare, connect  # noqa: E402
-from uurwerk.llm import mixing  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from uurwerk.llm import mixing, sharding  # noqa: E402
 from uurwerk.llm.oracles import ORACLES  # noqa: E402
 from uurwerk.llm.queries import QUERIES  # noqa: E402
 from uurwerk.session import materialize  # noqa: E402
@@ -70,6 +71,33 @@ def test_run_equals_the_stages(spark, steps):
     assert rows(corpus_pipeline.run(spark, SMALL), "doc_id") == rows(steps[5], "doc_id")
 
 
+# Every name that an operator gives a column of its own, in other letters as well.
+INTERNAL = [
+    "_id", "_CRC", "_nth", "_slot", "_Place", "_at", "_none", "_fp", "_root", "_component", "_toxicity", "_hits", "_key", "_kept0",
+    "Fp", "score", "hits", "size", "block", "place", "text_crc32", "root", "node", "words", "_range", "_shuffled", "TEXT", "Doc_ID",
+]
+
+
+def test_columns_of_any_name_pass_through(spark, steps):
+    docs = steps[0]
+    wide = docs.toDF(*docs.columns).select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in INTERNAL[:-2]])
+    names = [*docs.columns, *INTERNAL]
+    wide = wide.select("*", F.col("doc_id").alias("_a"), F.col("doc_id").alias("_b")).toDF(*names)
+    found, at = wide, len(docs.columns)
+    for (name, stage), want in zip(corpus_pipeline.STAGES, steps[1:]):
+        found = materialize(stage(spark, found, SMALL).toDF(*[f"c{k}" for k in range(len(names) + 2 * (name == "sharding"))]), name)
+        if name != "sharding":
+            found = found.toDF(*names)
+        got = sorted((tuple(r) for r in found.collect()), key=lambda r: r[0])
+        given = {r[0]: r for r in (tuple(r) for r in want.collect())}
+        assert [r[0] for r in got] == sorted(given)
+        for r in got:
+            assert r[:at] + r[len(names) :] == given[r[0]]
+            assert r[at : len(names)] == (*[f"{n}:{r[0]}" for n in INTERNAL[:-2]], r[0], r[0])
+    with pytest.raises(ValueError, match="Shard"):
+        sharding.shard_documents(docs.withColumn("Shard", F.lit(1)), levels=2)
+
+
 def test_empty_documents_pass_through(spark, steps):
     docs = steps[0].limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -131,7 +131,8 @@ def format_conversations(
         F.col(f"`{turn}`").alias("turn"),
         F.coalesce(f"`{role}`", F.lit("")).alias("role"),
         F.coalesce(f"`{text}`", F.lit("")).alias("text"),
-        F.coalesce(F.col(f"`{conv_id}`").cast("string"), F.lit("null")).alias("_conv"),
+        # A null id is no id that is written so.
+        F.coalesce(F.concat(F.lit("="), F.col(f"`{conv_id}`").cast("string")), F.lit("")).alias("_conv"),
     )
     kind = narrow.schema["conv_id"].dataType.simpleString()
 

@@ -24,6 +24,24 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def sheltered(docs: DataFrame, *needed: str):
+    """``docs`` with all columns but the ``needed`` ones under names of their own, so that no column of the caller's
+    meets one of an operator's, and a function that gives a result its names back (columns that
+    the operator added stand behind them). Names that differ in case alone are told apart."""
+    inner = [c if c in needed else f"_kept{k}" for k, c in enumerate(docs.columns)]
+
+    def back(df: DataFrame, *added: str) -> DataFrame:
+        return df.select(*[F.col(n).alias(c) for n, c in zip(inner, docs.columns)], *added)
+
+    return docs.toDF(*inner), back
+
+
+def taken(docs: DataFrame, *names: str) -> None:
+    """Raise if ``docs`` has a column of one of these names, in any case of its letters."""
+    if clash := {c for c in docs.columns if c.lower() in {n.lower() for n in names}}:
+        raise ValueError(f"{sorted(clash)} are already columns")
+
+
 def positions(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], weight: str, name: str = "ordered"
 ) -> DataFrame:

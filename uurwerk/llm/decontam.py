@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from uurwerk.llm.common import sheltered
 from uurwerk.session import materialize
 
 WINDOW = 13
 # About 20 bytes a word reach each executor: 5M words are 100 MB.
 MAX_BROADCAST_WORDS = 5_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 PIECE_WORDS = 10_000
 
 # A-Z become a-z; digits, a-z and everything beyond ASCII are word characters.
@@ -188,12 +190,13 @@ def find_hits(
     window: int = WINDOW,
     into: str = "hits",
     max_words: int = MAX_BROADCAST_WORDS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct ``into``: the number of words, the merged word
     intervals that windows of the benchmark cover, and the items they belong to.
 
-    The benchmark is read in blocks of at most ``max_words`` words; one block is the
-    normal case. Further blocks each scan the documents again and add to the
+    The benchmark is read in blocks of at most ``max_words`` words and ``max_bytes`` bytes, as
+    a text without spaces may be one word; one block is the normal case. Further blocks each scan the documents again and add to the
     struct, with the table written in between. ``into`` must be a free name.
     """
     if into in docs.columns:
@@ -203,9 +206,11 @@ def find_hits(
         _pieces(window), "item string, words string, n bigint"
     )
     pieces = materialize(pieces, "benchmark_pieces")
-    total = pieces.agg(F.sum("n")).first()[0] or 0
-    # Blocks are hash shares, so aim at half the bound; a piece is small against it.
-    blocks = 1 if total <= max_words else int(np.ceil(2 * total / max_words))
+    total, size = (v or 0 for v in pieces.agg(F.sum("n"), F.sum(F.octet_length("words") + F.octet_length("item"))).first())
+    # Blocks are hash shares, so aim at half the bounds; a piece is small against them.
+    blocks = 1
+    if total > max_words or size > max_bytes:
+        blocks = int(np.ceil(max(2 * total / max_words, 2 * size / max_bytes)))
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T._parse_datatype_string(HITS))])
     for k in range(blocks):
         mine = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).select("item", "words")
@@ -232,16 +237,16 @@ def contaminated(into: str = "hits", share: int = 20):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20, **options) -> DataFrame:
     """``docs`` without contaminated documents, columns as they were."""
-    into = options.pop("into", "_hits")
-    found = find_hits(docs, benchmark, into=into, **options)
-    return found.where(~contaminated(into, share)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    docs, back = sheltered(docs, options.get("text", "text"))
+    found = find_hits(docs, benchmark, into="_hits", **options)
+    return back(found.where(~contaminated("_hits", share)))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the hit passages cut out of the text, from the first character
     of a passage's first word to the last of its last; other text stays as it is."""
-    into = options.pop("into", "_hits")
-    found = find_hits(docs, benchmark, text=text, into=into, **options)
+    docs, back = sheltered(docs, text)
+    found = find_hits(docs, benchmark, text=text, into="_hits", **options)
     width = len(docs.columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +260,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:width])
 
-    return found.mapInArrow(cut, docs.schema)
+    return back(found.mapInArrow(cut, docs.schema))
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:

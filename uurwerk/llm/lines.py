@@ -33,8 +33,6 @@ from uurwerk.llm.common import positions, runs
 from uurwerk.session import materialize
 
 MIN_WORDS = 50
-# Levels of doubling: runs of up to 2 ** 20 lines.
-MAX_LEVELS = 20
 
 LINES = "row bigint, doc_id {kind}, line int, high bigint, low bigint, words int"
 
@@ -147,8 +145,6 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     windows = materialize(_windows(suffixes, min_words), "windows")
     longest = windows.agg(F.max("length")).first()[0] or 0
     levels = max(0, int(longest).bit_length() - 1)
-    if levels > MAX_LEVELS:
-        raise ValueError(f"a run of {longest} lines is beyond {MAX_LEVELS} levels")
     for level in range(levels):
         suffixes = materialize(doubled(suffixes, level), "suffixes")
     ranks = F.array(*[F.col(f"rank{k}") for k in range(levels + 1)])

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from uurwerk.llm.common import positions
+from uurwerk.llm.common import positions, sheltered, taken
 from uurwerk.session import materialize
 
 # The table of nodes of one level is broadcast up to this many rows.
@@ -139,8 +139,8 @@ def shard_documents(
     """``docs`` with their shard and slot, see ``assign_shards``. Rows meet their places by id and
     checksum; the copies of a row that occurs several times take their places in
     turn. Raises if a name in ``into`` is taken."""
-    if taken := set(into) & set(docs.columns):
-        raise ValueError(f"{sorted(taken)} are already columns")
+    taken(docs, *into)
+    docs, back = sheltered(docs, "doc_id", "text", "lang")
     places = assign_shards(docs, levels, target_bytes, order).select(
         F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot"
     )
@@ -153,8 +153,7 @@ def shard_documents(
         & (F.col("d._crc") == F.col("p._crc"))
         & (F.col("d._nth") == F.col("p._nth"))
     )
-    return left.join(right, meet).select(
-        *[F.col(f"d.`{c}`") for c in docs.columns],
-        F.col("p.shard").alias(into[0]),
-        F.col("p.slot").alias(into[1]),
+    met = left.join(right, meet).select(
+        *[F.col(f"d.{c}") for c in docs.columns], F.col("p.shard").alias("_shard"), F.col("p.slot").alias("_slot")
     )
+    return back(met, F.col("_shard").alias(into[0]), F.col("_slot").alias(into[1]))

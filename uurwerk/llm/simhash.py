@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uurwerk.llm.common import components, local_roots, runs, tiled
+from uurwerk.llm.common import components, local_roots, runs, sheltered, tiled
 from uurwerk.session import materialize
 
 BITS = 64
@@ -317,11 +317,11 @@ def deduplicate(
 ) -> DataFrame:
     """One document of each group: the smallest id (rows that repeat it count once; a
     group of null ids keeps one row). Columns stay as they are."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    docs, back = sheltered(docs, text, doc_id)
     prints = materialize(with_fingerprint(docs, text, shingle, "_fp"), "with_fingerprints")
     classes = near_duplicates(prints.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col("_fp").alias("fp")), "doc_id", distance)
     joined = prints.join(classes.toDF("_fp", "_component", "_root"), "_fp")
     first = joined.where(F.col(f"`{doc_id}`").eqNullSafe(F.col("_component")))
     # What is left of a group is one document, unless its id occurs in several rows.
     ties = Window.partitionBy("_root").orderBy(F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    return first.withColumn("_nth", F.row_number().over(ties)).where("_nth = 1").select(*own)
+    return back(first.withColumn("_nth", F.row_number().over(ties)).where("_nth = 1"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uurwerk.llm.common import held_out
+from uurwerk.llm.common import held_out, sheltered
 from uurwerk.session import materialize
 
 MAX_LABELLED = 20_000
@@ -383,5 +383,6 @@ def restore_text(text: str, model: CharacterModel) -> str:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more; columns as they are."""
+    docs, back = sheltered(docs, "doc_id", "text")
     scored = with_score(docs, fit(docs, labels), into="_toxicity")
-    return scored.where(F.col("_toxicity") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(scored.where(F.col("_toxicity") < threshold))
