@@ -20,6 +20,7 @@ from uurwerk.operators.dedup import dedup_latest
 from uurwerk.operators.holidays import fold_holidays
 from uurwerk.operators.intervals import day_intervals, interval_attach
 from uurwerk.operators.market import market_hourly
+from uurwerk.operators.packed import pack_days, shift_days, unpack_days
 from uurwerk.operators.prices import attach_prices
 from uurwerk.operators.schedule import expand_schedule
 from uurwerk.operators.shifting import rank_cheapest, scenario_expand, shift_to_cheapest
@@ -409,6 +410,14 @@ def shift_to_cheapest_by_site(spark, sf_dir):
     return day_totals(shift_to_cheapest(user_hours(spark, sf_dir), by=["site"]), ["site"])
 
 
+@query("shift_packed_days")
+def shift_packed_days(spark, sf_dir):
+    """One row for each site and day: ranked, counted and shifted inside the row."""
+    fields = ["electricity_price_eur_per_kwh", "is_dark_enough_for_lighting", "is_lighting_on_baseline"]
+    packed = pack_days(user_hours(spark, sf_dir), fields, by=["site"])
+    return day_totals(unpack_days(shift_days(packed)), ["site"])
+
+
 @query("scenario_expand")
 def scenario_expand_hours(spark, sf_dir):
     shifted_hours = shift_to_cheapest(user_hours(spark, sf_dir), by=["site"])
