@@ -1,7 +1,8 @@
-"""The demand chain on many sites: python tools/sites_bench.py SITES YEARS [CPUS] [packed]
+"""The demand chain on many sites: python tools/sites_bench.py SITES YEARS [CPUS] [packed] [joined]
 
 Generated sites and signals, to see how the chain behaves beyond the size of the
-given tables. ``packed`` keeps a site's day in one row until its hours are shifted.
+given tables. ``packed`` keeps a site's day in one row until its hours are shifted;
+``joined`` broadcasts no signals, as if they were large.
 Prints totals, which are the same both ways, rows written by all exchanges, and seconds.
 """
 
@@ -27,7 +28,7 @@ from uurwerk.params import SiteParams, default_profile  # noqa: E402
 from uurwerk.session import build_session, materialize, spread  # noqa: E402
 
 
-def packed_energy(site_days, signals, gas, profile, params):
+def packed_energy(site_days, signals, gas, profile, params, rows):
     """The demand chain with a row for each site and day: shared signals are packed once."""
     fields = ["hour_local", "hour_of_day_local", "electricity_price_eur_per_kwh", "temperature_c"]
     fields += ["shortwave_radiation_w_per_m2", "carbon_intensity_gco2eq_per_kwh", "gas_price_eur_per_m3"]
@@ -35,7 +36,8 @@ def packed_energy(site_days, signals, gas, profile, params):
     priced = attach_prices(spine, signals.select("hour_utc", "electricity_price_eur_per_kwh"), gas)
     # Stored, so that its size is known and a small one is broadcast.
     shared = materialize(pack_days(priced, fields), "shared_days")
-    days = site_days.join(shared, "date_local").withColumn("month", F.month("date_local"))
+    # Spread after the join, whose small rows would otherwise end in a few tasks that unpack all hours.
+    days = spread(site_days.join(shared, "date_local"), "site", "date_local", rows=rows).withColumn("month", F.month("date_local"))
     days = days.join(F.broadcast(profile), "month")
 
     def scheduled(h):
@@ -87,6 +89,8 @@ def main() -> None:
         "sites", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": str(8 * cpus), "spark.driver.memory": "16g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if "joined" in sys.argv:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     params = SiteParams()
 
     def noise(salt: int):
@@ -116,12 +120,12 @@ def main() -> None:
         F.lit("2019-01-01").cast("date").alias("start_date"),
         F.add_months(F.lit("2019-01-01").cast("date"), 12 * years).alias("run_date"),
     )
+    days = sites * (366 * years + 1)
     if packed:
         last = F.date_add("run_date", 1)
         site_days = ranges.select("site", F.explode(F.sequence("start_date", last)).alias("date_local"))
-        energy = packed_energy(spread(site_days, "site", "date_local", rows=24 * days), hourly, gas, default_profile(spark), params)
+        energy = packed_energy(site_days, hourly, gas, default_profile(spark), params, 24 * days)
     else:
-        days = sites * (366 * years + 1)
         spine = hour_spine(ranges, params.timezone, by=["site"], total_days=days)
         schedule = expand_schedule(spine, default_profile(spark), params)
         prices = attach_prices(schedule, hourly.select("hour_utc", "electricity_price_eur_per_kwh"), gas)
