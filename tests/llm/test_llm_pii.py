@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from helpers import rows
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
@@ -88,12 +89,68 @@ def test_added_spans_need_classifier_and_votes(spark):
     docs = [(i, f"please call me, phone (243) 555-{1000 + i} today") for i in range(60)]
     docs += [(100 + i, f"reach me at +1 (243) 555-{1000 + i} now") for i in range(60)]
     docs += [(200 + i, f"order id {1000000 + i} was sent") for i in range(60)]
-    docs += [(300, "Mr James Miller wrote")]
+    docs += [(300, "Mr James Miller wrote"), (301, "The Big House stood"), (302, "ask joe at example.com today")]
     got = dict(rows(pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")), "doc_id", "spans"))
     assert got[0] == "phone:22:36" and got[100].startswith("phone:12:")
+    assert got[300] == "name:3:15" and got[301] == ""
     assert got[200] == "" and all("phone" in got[100 + i] for i in range(60))
 
 
+@pytest.mark.parametrize(
+    "text, kind, value",
+    [
+        ("Mr James Miller", "name", "James Miller"),
+        ("Dear Mary Smith", "name", "Mary Smith"),
+        ("Contact James Miller", "name", "James Miller"),
+        ("Aisha Rahman", "name", "Aisha Rahman"),
+        ("Dr. Aisha Rahman", "name", "Aisha Rahman"),
+        ("met Mr Okafor there", "name", "Okafor"),
+        ("Yesterday James Miller left", "name", "James Miller"),
+        ("joe at example.com", "email", "joe at example.com"),
+        ("joe at example.com. Next", "email", "joe at example.com"),
+        ("ann (at) site dot org", "email", "ann (at) site dot org"),
+    ],
+)
+def test_plain_cases_are_candidates(text, kind, value):
+    assert (kind, value) in [(k, text[s:e]) for k, s, e in pii.candidate_spans(text)]
+
+
+@given(st.text(alphabet=st.sampled_from(list("0123456789.+-() @ab")), max_size=60))
+@settings(max_examples=800, deadline=None)
+@example("1.1.1.1+2.2.2.2+3.3.3.3+4.4.4.4+5.5.5.5+6.6.6.6.(243)5551234@x.yz")
+def test_added_candidates_never_overlap_base_spans(text):
+    found = pii.found_in(text)
+    base = [(s["start"], s["end"]) for s in found if s["base"]]
+    assert all(e <= s["start"] or s["end"] <= b for s in found if not s["base"] for b, e in base)
+
+
+def test_recall_of_added_spans(spark):
+    """Names, numbers and addresses in sentences, with and without a sign that says so,
+    among as many texts with look-alikes."""
+    given_names = sorted(pii.GIVEN_NAMES)
+    family = "Miller Okafor Rahman Novak Silva Haugen Moreau Tanaka Weber Rossi".split()
+    docs, want = [], {}
+
+    def put(before, value, after, kind=None):
+        doc_id = len(docs)
+        docs.append((doc_id, before + value + after))
+        want[doc_id] = kind and f"{kind}:{len(before)}:{len(before) + len(value)}"
+
+    for i in range(120):
+        put("yesterday ", f"{given_names[i % len(given_names)]} {family[i % 10]}", " came by", "name")
+        put("a letter for Dr. ", f"Aisha {family[i % 10]}", " came by", "name")
+        put("phone ", f"(243) 555-{1000 + i}", " after five", "phone")
+        put("mail ", f"user{i} (at) site{i} dot org", " for more", "email")
+        put("we saw the ", f"Green {family[i % 10]}s Park", " again")
+        put("order id ", f"{1000000 + i}", " was sent")
+        put("they met at ", f"noon in hall {i}", " as planned")
+    got = dict(rows(pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")), "doc_id", "spans"))
+    planted = [d for d, span in want.items() if span]
+    assert sum(want[d] in got[d].split(",") for d in planted) >= 0.9 * len(planted)
+    clean = [d for d, span in want.items() if not span]
+    assert sum(got[d] == "" for d in clean) >= 0.98 * len(clean)
+
+
 def test_nulls_empties_repeats_and_clashes(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a@b.cd"), (3, "a@b.cd"), (3, "a@b.cd")], "doc_id long, text string")
     docs = docs.withColumn("found", F.lit(1)).withColumn("spans", F.lit("x"))

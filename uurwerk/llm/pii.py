@@ -7,6 +7,9 @@ and how likely each pattern of votes is personal. With those as soft labels a na
 Bayes classifier over the spans' own features, counted over all candidates again,
 makes the final decision. Spans of the four base kinds always stay.
 
+Candidates beyond the base kinds are runs of two or more capitalised words (one, behind a
+title), numbers with separators, and addresses with a written-out at sign.
+
 Edge cases: null texts are empty; a text without a candidate has no span; added
 spans never overlap base ones or each other (the earlier, then the longer stays);
 equal rows get equal spans; a kind of candidate that never occurs adds nothing; only
@@ -19,6 +22,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from math import exp, log
 
 import pyarrow as pa
@@ -40,9 +44,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 # Candidates beyond the base patterns.
-_AT = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}\s?(?:\(at\)|\[at\]|\sat\s)\s?[\w-]{1,63}(?:\s?(?:\.|\(dot\)|\[dot\]|\sdot\s)\s?[\w-]{1,63})+")
+_AT = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}(?:\s?\(at\)\s?|\s?\[at\]\s?|\sat\s)[\w-]{1,63}(?:(?:\.|\s?\(dot\)\s?|\s?\[dot\]\s?|\sdot\s)[\w-]{1,63})+")
+_AT_SIGN = re.compile(r"\(at\)|\[at\]|\sat\s")
 _NUMBER = re.compile(r"(?<![\w+])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}+(?!\w)")
-_NAME = re.compile(r"(?<!\w)[A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20}){1,2}(?!\w)")
+_CAPITALS = re.compile(r"(?<!\w)[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{1,20}(?!\w)(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{1,20}(?!\w))*")
 
 # Gazetteers and cue words.
 DOMAINS = frozenset("com org net edu gov io de fr es uk nl eu info".split())
@@ -55,10 +60,22 @@ CUES = {
     "ip": ("ip", "host", "server", "address", "adresse"),
     "card": ("card", "visa", "credit", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "fax", "mobile", "telefon", "llama"),
-    "name": ("mr", "mrs", "ms", "dr", "name", "herr", "frau", "monsieur", "madame", "señor", "señora"),
+    "name": (
+        "mr", "mrs", "ms", "miss", "dr", "prof", "sir", "dear", "contact", "name", "named",
+        "herr", "frau", "monsieur", "madame", "señor", "señora",
+    ),
 }
+TITLES = frozenset("mr mrs ms miss dr prof sir herr frau monsieur madame señor señora".split())
+# Words that start a sentence or a heading, and days and months: no part of a name.
+NO_NAMES = frozenset(
+    "the this that these those a an in on at of and or but for from to with when where while if as it he she we they i you "
+    "my our your his her its there here what who why how not no yes new all some many most after before since until then "
+    "monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september "
+    "october november december".split()
+)
 COUNTER_CUES = frozenset(("version", "isbn", "issn", "order", "id", "no", "sha", "page", "section", "token", "hash"))
 _CUE_WORD = re.compile(r"[^\W\d_]+")
+_LEADING = NO_NAMES.union(*CUES.values())
 
 
 def luhn(digits: str) -> bool:
@@ -101,18 +118,46 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def candidate_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans that might be personal data though no base pattern has them."""
     out = []
-    if any(sign in text for sign in ("(at)", "[at]", " dot ", "(dot)", "[dot]")):
+    if _AT_SIGN.search(text):
         out += [("email", m.start(), m.end()) for m in _AT.finditer(text)]
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
             n = len(_digits(m.group()))
             out.append(("card" if n >= 13 else "phone", m.start(), m.end()))
-    for m in _NAME.finditer(text):
-        if m.group().split(" ", 1)[0] in GIVEN_NAMES:
-            out.append(("name", m.start(), m.end()))
+    for m in _CAPITALS.finditer(text):
+        out += [("name", start, end) for start, end in _names(text, m.start(), m.end())]
     return out
 
 
+def _names(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The names a run of capitalised words may hold: the run behind the titles, cues and
+    sentence words it starts with, and each part that a listed given name begins, three
+    words at most. A word by itself is one only behind a title."""
+    words, at = [], start
+    for word in text[start:end].split(" "):
+        words.append((at, word))
+        at += len(word) + 1
+    first = 0
+    while first < len(words) and words[first][1].lower() in _LEADING:
+        first += 1
+    rest = words[first:]
+    if not rest:
+        return
+    title = words[first - 1][1].lower() if first else _word_before(text, start)
+    if len(rest) > 1 or title in TITLES:
+        yield rest[0][0], end
+    for i, (place, word) in enumerate(rest):
+        if word in GIVEN_NAMES and (i or len(rest) > 3) and i + 1 < len(rest):
+            at, last = rest[min(i + 2, len(rest) - 1)]
+            yield place, at + len(last)
+
+
+def _word_before(text: str, start: int) -> str:
+    """The lower-cased word right before a place, a dot between them or not."""
+    found = _CUE_WORD.findall(text[max(0, start - 14) : start].rstrip(" ."))
+    return found[-1].lower() if found and text[start - 1 : start] in (" ", ".") else ""
+
+
 def votes(text: str, kind: str, start: int, end: int, is_base: bool) -> str:
     """A character for each labeler: 1 personal, 0 not, - no opinion."""
     value = text[start:end]
@@ -128,15 +173,21 @@ def votes(text: str, kind: str, start: int, end: int, is_base: bool) -> str:
     gazetteer = "-"
     if kind == "email":
         gazetteer = "1" if re.split(r"[^A-Za-z]+", value.lower())[-1] in DOMAINS else "0"
+        if not is_base:
+            pattern = "1" if "(at)" in value or "[at]" in value else "0" if "www" in value else "-"
     elif kind == "name":
-        gazetteer = "1" if value.split(" ", 1)[0] in GIVEN_NAMES else "0"
+        words = value.split(" ")
+        # Most given names are not listed: a first word that isn't says nothing.
+        gazetteer = "1" if words[0] in GIVEN_NAMES else "0" if any(w.lower() in _LEADING for w in words) else "-"
+        pattern = "-" if len(words) <= 3 else "0"
     elif kind == "phone" and not is_base:
         gazetteer = "1" if re.match(r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}$", value) else "0"
-    cue = any(w in CUES[kind] for w in before[-4:])
+    # A cue further away than "name is" speaks of another name.
+    cue = any(w in CUES[kind] for w in before[-2 if kind == "name" else -4 :])
     counter = any(w in COUNTER_CUES for w in before[-2:])
     context = "1" if cue else "0" if counter else "-"
     left, right = text[start - 1 : start], text[end : end + 1]
-    bounds = "0" if left.isalnum() or right.isalnum() or left in ("=", "#", "_") else "1"
+    bounds = "0" if left.isalnum() or right.isalnum() or left in ("=", "#", "_") else "-" if kind == "name" else "1"
     return pattern + checksum + gazetteer + context + bounds
 
 
@@ -151,6 +202,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[str]:
         f"digits{min(n, 20)}",
         f"shape{shape}",
         f"left{'w' if before.isalnum() else before[-1:] or 's'}",
+        f"words{min(value.count(' '), 4)}",
         f"first{value[:1] if not value[:1].isalnum() else 'd' if value[:1].isdigit() else 'l'}",
     ]
 
@@ -174,9 +226,12 @@ def found_in(text: str | None) -> list[dict]:
         return []
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
+    # The furthest end of the base spans up to each of them.
+    furthest = list(accumulate((e for _, e in taken), max))
     out = [(k, s, e, True) for k, s, e in base]
     for kind, start, end in sorted(candidate_spans(text), key=lambda c: (c[1], -c[2])):
-        if not _overlaps(taken, start, end):
+        before = bisect_left(taken, (end, 0))
+        if not before or furthest[before - 1] <= start:
             out.append((kind, start, end, False))
     return [
         {
@@ -191,13 +246,6 @@ def found_in(text: str | None) -> list[dict]:
     ]
 
 
-def _overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    """``taken`` is sorted; base spans of one kind don't overlap, those of all kinds do
-    to a depth of their number."""
-    at = bisect_left(taken, (start, start))
-    return any(s < end and start < e for s, e in taken[max(0, at - len(BASE)) : at + 1])
-
-
 def with_candidates(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``found``, written once without the texts."""
 
@@ -265,7 +313,7 @@ def fit(found: DataFrame, rounds: int = 100):
 
     Reaches the driver: counts by vote pattern (3 ** labelers for each kind at most)
     and by feature of spans (shapes are at most 12 signs of a small alphabet; the
-    ``MAX_SHAPES`` most frequent are used)."""
+    ``MAX_SHAPES`` most frequent of each kind are used)."""
     spans = found.select(F.explode("found").alias("s")).select("s.*")
     counted = spans.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()
     posterior, rates = reliabilities({(r.kind, r.votes): r.n for r in counted}, rounds)
@@ -276,7 +324,12 @@ def fit(found: DataFrame, rounds: int = 100):
     soft = spans.join(table, ["kind", "votes"])
     per = soft.select("kind", "p", F.explode("features").alias("feature")).groupBy("kind", "feature")
     sums = per.agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"), F.count(F.lit(1)).alias("n"))
-    sums = sums.orderBy(F.desc("n"), "kind", "feature").limit(MAX_SHAPES).collect()
+    sums = materialize(sums, "features")
+    sums = [
+        r
+        for kind in KINDS
+        for r in sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "feature").limit(MAX_SHAPES).collect()
+    ]
     whole = {r.kind: (r.yes, r.no) for r in soft.groupBy("kind").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()}
     classifier = {("", k): log((y + 1) / (n + 1)) for k, (y, n) in whole.items()}
     for r in sums:
@@ -286,9 +339,12 @@ def fit(found: DataFrame, rounds: int = 100):
 
 
 def accepted(span: dict, classifier: dict, posterior: dict) -> bool:
-    """Base spans stay; others if classifier and votes together say so."""
+    """Base spans stay; others if classifier and votes together say so and a labeler
+    other than ``bounds`` votes for them."""
     if span["base"]:
         return True
+    if "1" not in span["votes"][:-1]:
+        return False
     odds = classifier.get(("", span["kind"]), 0.0)
     odds += sum(classifier.get((f, span["kind"]), 0.0) for f in span["features"]) / len(span["features"])
     return odds > 0 and posterior.get((span["kind"], span["votes"]), 0.0) > 0.5
