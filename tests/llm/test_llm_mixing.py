@@ -163,6 +163,36 @@ def test_any_number_of_sources_is_dealt_by_windows(spark, monkeypatch, n):
         assert abs(given - share * (r.slot + 1)) < 2 + share * r.slot / 8
 
 
+def placed_rows(docs, weights=None):
+    return sorted(tuple(r) for r in mixing.mix(docs, weights, block_bytes=100).select("doc_id", "source", "block", "slot", "place").fillna("", "source").collect())
+
+
+@pytest.mark.parametrize("limit, value, piece", [("MAX_SOURCES", 1, 1 << 16), ("MAX_STEPS", 0, 16)])
+def test_a_document_has_the_same_slot_however_schedules_are_dealt(spark, monkeypatch, limit, value, piece):
+    """By given weights and by default ones, of sources of very different sizes."""
+    rng = random.Random(piece)
+    names = [None, *(f"s{i}" for i in range(12))]
+    data = [(i, "x" * rng.choice([0, 40, 99]), names[min(12, int(rng.expovariate(0.4)))]) for i in range(900)] + [(9000, "y" * 3000, "s1")]
+    docs = spark.createDataFrame(data, SCHEMA)
+    weights = spark.createDataFrame([(n, rng.choice([1, 2, 7, 20])) for n in names], "source string, weight long")
+    whole = placed_rows(docs), placed_rows(docs, weights)
+    monkeypatch.setattr(mixing, limit, value)
+    monkeypatch.setattr(mixing, "PIECE", piece, raising=False)
+    assert (placed_rows(docs), placed_rows(docs, weights)) == whole
+
+
+@pytest.mark.parametrize("piece", [1, 16])
+def test_long_schedules_are_earliest_deadline_first(spark, monkeypatch, piece):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 0)
+    monkeypatch.setattr(mixing, "PIECE", piece, raising=False)
+    blocks = {"a": 61, "b": 1, "c": 17, "d": 90, "e": 5, "f": 5}
+    weight = {"a": 13, "b": 40, "c": 3, "d": 25, "e": 5, "f": 2}
+    docs = [(k * 1000 + i, "x" * 99, s) for k, (s, n) in enumerate(blocks.items()) for i in range(n)]
+    got = mixing.mix(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(list(weight.items()), "source string, weight long"), block_bytes=100)
+    want = brute_slots([(s, n, weight[s]) for s, n in sorted(blocks.items())])
+    assert {(r.source, r.block): r.slot for r in got.collect()} == want
+
+
 def test_one_source_is_a_hundred_thousand_times_the_other(spark):
     sizes = [("big", 50 * 10**12), ("small", 5 * 10**8)]
     weights = dict(rows(mixing.tempered_weights(spark.createDataFrame(sizes, "source string, bytes long"))))

@@ -8,10 +8,10 @@ from its share. A period ends with every source exactly at its share, so the
 schedule of one period serves all of them, and a block's slot follows from its
 number alone: no row waits for another.
 
-The period is chosen so that the smallest weight is ``LEAST_WEIGHT`` or more. Where
-that, or the number of sources, makes a period's schedule too long to deal in one
-task, the same windows are kept pair by pair in a tree of sources, see ``_by_tree``:
-neither sources nor slots are limited, and a source stands less than two blocks from its share.
+The period is chosen so that the smallest weight is ``LEAST_WEIGHT`` or more, or the
+blocks of the smallest source if it has fewer. A short schedule is dealt slot by slot in
+one expression; a long one, of any number of sources and slots, is halved by priority until its
+pieces are small, see ``_halved``. Both give every block the same slot.
 
 When a source runs out, the others keep their proportions to each other: periods
 fall into at most two kinds for each source, and each kind has its own schedule.
@@ -25,26 +25,28 @@ after another; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from uurwerk.llm.common import positions, sheltered
+from uurwerk.llm.common import positions, runs, sheltered
 from uurwerk.llm.sharding import text_bytes, text_crc
 from uurwerk.session import materialize
 
-# Every source takes part in every step of a period's schedule: more sources, slots of a
-# period or steps of all schedules than these are dealt in pairs, see ``_by_tree``.
+# Every source takes part in every step of ``edf_schedule``: more sources, slots of a
+# period or steps of all schedules than these are dealt in pieces, to the same slots.
 MAX_SOURCES = 1024
 MAX_SLOTS = 4096
 # A hundred thousand steps take some 40 seconds.
 MAX_STEPS = 100_000
 # Rounding moves a weight of this size or more by a thirty-second at most.
 LEAST_WEIGHT = 16
-# Slots of a period and levels of a tree.
-MAX_PERIOD = 1 << 30
-DEPTH = 40
+# Slots that one task deals at once.
+PIECE = 1 << 16
 # Rows of all schedules that are broadcast at most.
 MAX_BROADCAST_SLOTS = 1_000_000
 PERIOD = 256
@@ -142,24 +144,27 @@ def mix(
         ),
         "blocks",
     )
-    totals = placed.groupBy("_key").agg(
-        F.first("source").alias("source"), F.sum("size").alias("bytes"), (F.max("block") + 1).alias("blocks")
+    sources = placed.groupBy("_key").agg(
+        F.first("source").alias("source"), F.max("_bytes").alias("bytes"), (F.max("block") + 1).alias("_blocks")
     )
-    known = totals.limit(MAX_SOURCES + 1).collect()
-    if not known:
+    totals = materialize(sources, "mix_sources")
+    smallest = totals.agg(F.min("_blocks")).first()[0]
+    if smallest is None:
         return placed.select("doc_id", "text_crc32", "source", "size", "block", F.lit(0).cast("long").alias("slot"), "place")
-    if len(known) > MAX_SOURCES:
-        return _by_tree(placed, weights, period)
-    # In a fixed order, as the sum of roots depends on it.
-    totals = spark.createDataFrame(sorted((tuple(r) for r in known), key=lambda r: r[0]), totals.schema).coalesce(1)
-    given = tempered_weights(totals, period) if weights is None else weights
-    given = given.join(F.broadcast(totals.select(F.col("source").alias("_s"))), F.col("source").eqNullSafe(F.col("_s")), "left_semi")
-    targets = {r.source: max(1, int(r.weight or 1)) for r in given.collect()}
+    # No finer than the smallest source's blocks, else the last period would be the only one.
+    given = tempered_weights(totals, period, least=min(LEAST_WEIGHT, smallest)) if weights is None else weights
+    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+    given = given.groupBy(key.alias("_key")).agg(F.max(F.col("weight").cast("long")).alias("_weight"))
+    targets = totals.join(given, "_key", "left").select(
+        "_key", "_blocks", F.greatest(F.lit(1), F.coalesce("_weight", F.lit(1))).cast("long").alias("_weight")
+    )
+    targets = materialize(targets, "mix_targets")
+    known = targets.limit(MAX_SOURCES + 1).collect()
     # At most MAX_SOURCES rows from here on: the sources in a fixed order.
-    supply = sorted((r["_key"], r.blocks, targets.get(r.source, 1)) for r in known)
+    supply = sorted(tuple(r) for r in known)
     slots = sum(w for _, _, w in supply)
-    if slots > MAX_SLOTS or slots * len(supply) * len(_kinds(supply)) > MAX_STEPS:
-        return _by_tree(placed, weights, period)
+    if len(supply) > MAX_SOURCES or slots > MAX_SLOTS or slots * len(supply) * len(_kinds(supply)) > MAX_STEPS:
+        return _in_pieces(placed, targets)
     schedules, sources = _schedules(spark, supply)
     if slots * len(_kinds(supply)) <= MAX_BROADCAST_SLOTS:
         schedules = F.broadcast(schedules)
@@ -190,39 +195,11 @@ def mix(
     )
 
 
-def _by_tree(placed: DataFrame, weights: DataFrame | None, period: int) -> DataFrame:
-    """The mix of any number of sources and slots, by joins and prefix sums only.
+def _in_pieces(placed: DataFrame, supply: DataFrame) -> DataFrame:
+    """The mix of any number of sources and slots, by joins and prefix sums.
 
-    The blocks of a kind of period are dealt down a binary tree over its sources, a
-    source with share p at depth ceil(log2(1 / p)). In each inner node two streams with a
-    and b blocks meet: block j of the first goes to the middle of its window, slot
-    floor((2j + 1) (a + b) / 2a), the second takes the other slots, which are the
-    middles of its own windows. So every block keeps its release time and deadline in its node,
-    half a block off its share at most, and a block's slot follows from its number by
-    whole-number arithmetic along its path. Of a node's half block a source gets its
-    share of that node, which halves with each level: it stands less than two blocks
-    from its share of the period at any slot.
+    The schedules of all kinds of periods together have at most one slot for each block.
     """
-    sources = placed.groupBy("_key").agg(
-        F.first("source").alias("source"), F.max("_bytes").alias("bytes"), (F.max("block") + 1).alias("_blocks")
-    )
-    sources = materialize(sources, "mix_sources")
-    if weights is None:
-        # No finer than a quarter of the smallest source's blocks, else the last period would be the only one.
-        least = max(1, min(LEAST_WEIGHT, sources.agg(F.min("_blocks")).first()[0] // 4))
-        given = tempered_weights(sources, period, least=least)
-    else:
-        given = weights
-    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    given = given.groupBy(key.alias("_key")).agg(F.max(F.col("weight").cast("long")).alias("_weight"))
-    supply = sources.join(given, "_key", "left").select(
-        "_key", "_blocks", F.greatest(F.lit(1), F.coalesce("_weight", F.lit(1))).cast("long").alias("_weight")
-    )
-    # Products of two numbers of slots are whole numbers of 63 bits.
-    total = supply.agg(F.sum(F.col("_weight").cast("decimal(38,0)"))).first()[0]
-    if total > MAX_PERIOD:
-        scaled = F.round(F.col("_weight") * F.lit(MAX_PERIOD / float(total)))
-        supply = supply.withColumn("_weight", F.greatest(F.lit(1), scaled).cast("long"))
     whole, last = F.floor(F.col("_blocks") / F.col("_weight")), F.ceil(F.col("_blocks") / F.col("_weight")) - 1
     supply = materialize(supply.withColumns({"_last": last}), "mix_supply")
 
@@ -245,7 +222,10 @@ def _by_tree(placed: DataFrame, weights: DataFrame | None, period: int) -> DataF
     spent = F.sum(F.col("_rounds") * F.col("_slots")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     per_kind = materialize(per_kind.withColumn("_base", F.coalesce(spent, F.lit(0))).drop("_rounds", "_start"), "mix_periods")
 
-    paths = materialize(_paths(pairs.join(per_kind, "_kind")), "mix_paths")
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_j")
+    blocks = pairs.join(per_kind, "_kind").select("_kind", "_slots", "_key", "_n", numbers)
+    schedules = materialize(_halved(blocks), "mix_schedules")
+    starts = kinds.join(per_kind, "_kind")
 
     keyed = placed.join(supply.select("_key", "_weight"), "_key")
     keyed = keyed.withColumn("_round", F.floor(F.col("block") / F.col("_weight")))
@@ -254,16 +234,10 @@ def _by_tree(placed: DataFrame, weights: DataFrame | None, period: int) -> DataF
     both = both.withColumn("_after", 1 - F.col("_one"))
     ranked = positions(both, ["_all"], ["_start", "_after"], "_one", "mix_rounds").where("_one = 0")
     ranked = ranked.select(F.col("_start").alias("_round"), (F.col("before_weight") - 1).alias("_kind"))
-    met = keyed.join(materialize(ranked, "mix_round_kinds"), "_round").join(paths, ["_kind", "_key"])
-
-    def up(at, step):
-        middle = (2 * at + 1) * step["parent"]
-        first = _div(middle, 2 * step["own"])
-        second = _div(middle + 2 * step["own"] - 1, 2 * step["own"]) - 1
-        return F.when(step["own"] == step["parent"], at).when(step["side"] == 0, first).otherwise(second)
-
-    inside = F.aggregate("_path", F.col("block") % F.col("_weight"), up)
-    slot = F.col("_base") + (F.col("_round") - F.col("_start")) * F.col("_slots") + inside
+    rounds = materialize(ranked.join(starts, "_kind"), "mix_round_kinds")
+    keyed = keyed.join(rounds, "_round").withColumn("_j", F.col("block") % F.col("_weight"))
+    met = keyed.join(schedules, ["_kind", "_key", "_j"])
+    slot = F.col("_base") + (F.col("_round") - F.col("_start")) * F.col("_slots") + F.col("_slot")
     return met.select("doc_id", "text_crc32", "source", "size", "block", slot.alias("slot"), "place")
 
 
@@ -272,29 +246,78 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def _paths(pairs: DataFrame) -> DataFrame:
-    """For each kind and source the nodes from its leaf to below the root: ``own`` blocks
-    of the node, those of its ``parent``, and its ``side``. Leaves are laid out by depth,
-    2 ** -depth of the width each, which fits as depths are rounded up."""
-    ratio = F.floor(F.log2(F.col("_slots") / F.col("_n"))).cast("int")
-    fits = [F.when(F.col("_n") * F.expr(f"shiftleft(1L, _d + {k})") >= F.col("_slots"), F.col("_d") + k) for k in (0, 1, 2)]
-    deep = pairs.withColumn("_d", F.greatest(F.lit(0), ratio)).withColumn("_depth", F.coalesce(*fits))
-    laid = Window.partitionBy("_kind").orderBy("_depth", "_key").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.coalesce(F.sum(F.expr(f"shiftleft(1L, {DEPTH} - _depth)")).over(laid), F.lit(0))
-    leaves = deep.withColumn("_at", at)
-    level = F.explode(F.sequence(F.lit(0), "_depth")).alias("_level")
-    nodes = leaves.select("*", level).withColumn("_node", F.expr(f"shiftright(_at, {DEPTH} - _level)"))
-    own = F.sum("_n").over(Window.partitionBy("_kind", "_level", "_node"))
-    up = nodes.withColumn("_own", own)
-    steps = F.sort_array(F.collect_list(F.struct(F.col("_level").alias("level"), F.col("_own").alias("own"), F.col("_node").alias("node"))), False)
-    paths = up.groupBy("_kind", "_key", "_start", "_slots", "_base").agg(steps.alias("_steps"))
-    path = F.transform(
-        F.slice("_steps", F.lit(1), F.size("_steps") - 1),
-        lambda s, i: F.struct(
-            s["own"].alias("own"), F.get(F.col("_steps"), i + 1)["own"].alias("parent"), (s["node"] % 2).alias("side")
-        ),
+def _halved(blocks: DataFrame) -> DataFrame:
+    """(_kind, _key, _j, _slot) of blocks (_kind, _slots, _key, _n, _j), dealt earliest deadline first.
+
+    Blocks are numbered by priority. Those of the first half take slots as if the others were not
+    there, and the others get the slots left over: whose slots are whose follows from the
+    numbers alone, without dealing either half. A prefix sum that counts each block of the first
+    half up at its release and each slot down reaches -1, -2 and so on for the first time at
+    the slots left over. So pieces of (blocks, slots) are halved until they have
+    ``PIECE`` slots at most, and each piece is dealt by itself.
+    """
+    j, n, length = F.col("_j"), F.col("_n"), F.col("_slots")
+    windows = blocks.select(
+        "_kind",
+        "_key",
+        "_j",
+        _div(j * length, n).alias("_release"),
+        _div((j + 1) * length + n - 1, n).alias("_due"),
+        F.lit(1).cast("long").alias("_one"),
+    )
+    ranked = positions(windows, ["_kind"], ["_due", "_key"], "_one", "mix_due")
+    ranked = materialize(ranked.select("_kind", "_key", "_j", "_release", F.col("before_rows").alias("_rank")), "mix_ranks")
+    # There are as many slots as blocks.
+    slots = ranked.select("_kind", F.col("_rank").alias("_slot"), F.lit(0).cast("long").alias("_piece"))
+    bits = int(ranked.agg(F.max("_rank")).first()[0]).bit_length()
+    nothing = F.lit(None).cast("long")
+    while 1 << bits > max(1, PIECE):
+        first = (F.expr(f"shiftright(_rank, {bits - 1})") % 2 == 0).cast("long")
+        released = ranked.select(
+            "_kind",
+            F.expr(f"shiftright(_rank, {bits})").alias("_piece"),
+            F.col("_release").alias("_at"),
+            F.lit(0).alias("_late"),
+            "_rank",
+            first.alias("_count"),
+        )
+        taken = slots.select("_kind", "_piece", F.col("_slot").alias("_at"), F.lit(1).alias("_late"), nothing.alias("_rank"), F.lit(-1).cast("long").alias("_count"))
+        counted = positions(released.unionByName(taken), ["_kind", "_piece"], ["_at", "_late", "_rank"], "_count", "mix_halves")
+        over = counted.where("_late = 1 AND before_weight <= 0").groupBy("_kind", "_piece", "before_weight")
+        over = over.agg(F.min("_at").alias("_slot")).select("_kind", "_slot", F.lit(1).alias("_over"))
+        side = F.coalesce("_over", F.lit(0)).cast("long")
+        slots = slots.join(over, ["_kind", "_slot"], "left").select("_kind", "_slot", (F.col("_piece") * 2 + side).alias("_piece"))
+        slots = materialize(slots, "mix_pieces")
+        bits -= 1
+
+    ready = ranked.select(
+        "_kind",
+        F.expr(f"shiftright(_rank, {bits})").alias("_piece"),
+        F.col("_release").alias("_at"),
+        F.lit(0).alias("_late"),
+        "_rank",
+        "_key",
+        "_j",
     )
-    return paths.select("_kind", "_key", "_start", "_slots", "_base", path.alias("_path"))
+    free = slots.select("_kind", "_piece", F.col("_slot").alias("_at"), F.lit(1).alias("_late"))
+    pieces = ready.unionByName(free, allowMissingColumns=True).withColumn("_unit", F.concat_ws(":", "_kind", "_piece")).drop("_piece")
+    sorted_pieces = pieces.repartition("_unit").sortWithinPartitions("_unit", "_at", "_late")
+    return sorted_pieces.mapInArrow(_deal, "_kind bigint, _key string, _j bigint, _slot bigint")
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each slot of a piece takes the block of the highest priority among those released."""
+    for _, piece in runs(batches, "_unit"):
+        rank, late = piece["_rank"].to_pylist(), piece["_late"].to_numpy()
+        waiting, chosen = [], []
+        for row, slot in enumerate(late.tolist()):
+            if slot:
+                chosen.append(heapq.heappop(waiting)[1])
+            else:
+                heapq.heappush(waiting, (rank[row], row))
+        dealt = piece.select(["_kind", "_key", "_j"]).take(pa.array(chosen, pa.int64()))
+        at = piece["_at"].filter(pa.array(late == 1))
+        yield from dealt.append_column("_slot", at).combine_chunks().to_batches()
 
 
 def _kinds(supply: list[tuple[str, int, int]]) -> list[int]:
