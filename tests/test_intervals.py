@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, frame, in_order, plan, rows, ts
 from uurwerk.operators.calendar import hour_spine
-from uurwerk.operators.intervals import day_intervals, dyadic_nodes, interval_attach
+from uurwerk.operators.intervals import day_intervals, dyadic_nodes, interval_attach, node_runs
 from uurwerk.operators.prices import attach_prices
 
 ZONE = "Europe/Amsterdam"
@@ -114,6 +114,50 @@ def test_an_interval_has_few_nodes_that_cover_it_once(spark):
         assert len(found.get(n, [])) <= 2 * max(1, (b - a).bit_length())
 
 
+@pytest.mark.parametrize("bits", [1, 3, 4])
+def test_runs_of_a_wide_tree_cover_once_and_stay_below_one_parent(spark, bits):
+    rng = random.Random(bits)
+    ranges = [(0, 0), (0, 1 << 12), (5, 6), (-7, 9), (1, (1 << 36) - 1)]
+    ranges += [(a, a + rng.randrange(1, 3000)) for a in (rng.randrange(-5000, 5000) for _ in range(60))]
+    df = frame(spark, "n int, low bigint, high bigint", [(i, a, b) for i, (a, b) in enumerate(ranges)])
+    found = {}
+    for n, level, start, end in rows(node_runs(df, "low", "high", bits), "n", "_level", "_from", "_upto"):
+        assert start >> bits == (end - 1) >> bits
+        found.setdefault(n, []).append((start << level * bits, end << level * bits))
+    for n, (a, b) in enumerate(ranges):
+        at = a
+        for low, high in sorted(found.get(n, [])):
+            assert low == at
+            at = high
+        assert at == max(a, b)
+        assert len(found.get(n, [])) <= 2 * ((b - a).bit_length() // bits + 1)
+
+
+def generated(node):
+    """Rows that a finished plan has exploded."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return generated(node.executedPlan())
+    if name.endswith("QueryStage"):
+        return generated(node.plan())
+    below = [node.children().apply(k) for k in range(node.children().size())]
+    own = node.metrics().apply("numOutputRows").value() if name == "Generate" else 0
+    return own + sum(map(generated, below))
+
+
+def test_a_moment_asks_a_few_times_though_an_interval_never_ends(spark, no_auto_broadcast):
+    """Rows that go into the join of a month's moments, whose intervals last from a minute to 8000 years."""
+    base = ts("2024-01-01")
+    points = [(i, "a", base + dt.timedelta(minutes=30 * i)) for i in range(1400)]
+    starts = [base + dt.timedelta(hours=7 * v) for v in range(10)]
+    intervals = [("a", start, start + dt.timedelta(minutes=4**v), v) for v, start in enumerate(starts)]
+    intervals.append(("a", base + dt.timedelta(seconds=77), ts("9999-12-31"), 99))
+    p, i = frame(spark, POINTS, points), frame(spark, INTERVALS, intervals)
+    result = interval_attach(p, i, "t", "a", "b", ["site"])
+    assert rows(result) == brute_force(points, intervals)
+    assert generated(result._jdf.queryExecution().executedPlan()) <= 10 * len(points)
+
+
 def test_the_join_is_lazy(spark):
     """Building the plan runs no job."""
     points, intervals = case(3)

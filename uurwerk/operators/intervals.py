@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from uurwerk.functions.clock import day_at
 
+# Nodes of the tree of seconds have 1 << TREE_BITS below them.
+TREE_BITS = 6
+
 
 def day_intervals(df: DataFrame, day: str, tz: str, boundary_hour: int = 6) -> DataFrame:
     """Add ``[valid_from_utc, valid_to_utc)``: ``boundary_hour`` local on ``day``
@@ -27,27 +30,36 @@ def _second(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def dyadic_nodes(df: DataFrame, low: str, high: str) -> DataFrame:
-    """Cut each range ``[low, high)`` of whole numbers into the fewest nodes of a binary tree over all of them:
-    one row per node, as ``_level`` and ``_index`` (the numbers from ``_index << _level`` on, ``1 << _level`` of
-    them). A range of n numbers has at most two nodes on each of log2(n) levels. Empty ranges
-    have none.
+def node_runs(df: DataFrame, low: str, high: str, bits: int = 1) -> DataFrame:
+    """Cut each range ``[low, high)`` of whole numbers into the fewest nodes of a tree over all of them, each node
+    with ``1 << bits`` below it: one row per run of nodes of one parent, as ``_level`` and ``[_from, _upto)`` (node i of
+    level k holds the numbers from ``i << bits * k`` on, ``1 << bits * k`` of them). A range of n numbers
+    has at most two runs on each of about log2(n) / bits levels. Empty ranges have none.
 
-    On level k the range still to be covered runs from ceil(low / 2^k) to floor(high / 2^k); what
-    sticks out of the next level's pairs, an odd first or an odd last number, is a node.
+    On level k the range still to be covered runs from the first to the last whole node of that
+    level; what sticks out of the whole nodes of the next level is runs of this one.
     """
     size = F.greatest(F.col(high) - F.col(low), F.lit(1))
     levels = df.where(F.col(low) < F.col(high)).withColumn(
-        "_level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(size.cast("double")) + 1).cast("int")))
+        "_level", F.explode(F.sequence(F.lit(0), F.floor(F.log2(size.cast("double")) / bits + 1).cast("int")))
     )
     ends = levels.withColumns(
-        {"_first": F.expr(f"-shiftright(-`{low}`, _level)"), "_last": F.expr(f"shiftright(`{high}`, _level)")}
+        {"_first": F.expr(f"-shiftright(-`{low}`, _level * {bits})"), "_last": F.expr(f"shiftright(`{high}`, _level * {bits})")}
     ).where("_first < _last")
-    nodes = F.array(
-        F.when(F.expr("_first & 1") == 1, F.col("_first")), F.when(F.expr("_last & 1") == 1, F.col("_last") - 1)
+    # Where the whole parents start and end. If they end before they start, all is in one parent.
+    whole = F.expr(f"shiftleft(-shiftright(-_first, {bits}), {bits})")
+    end = F.expr(f"shiftleft(shiftright(_last, {bits}), {bits})")
+    runs = F.array(
+        F.struct(F.col("_first").alias("_from"), F.when(whole <= end, whole).otherwise(F.col("_last")).alias("_upto")),
+        F.struct(F.when(whole <= end, end).otherwise(F.col("_last")).alias("_from"), F.col("_last").alias("_upto")),
     )
-    found = ends.withColumn("_index", F.explode(nodes)).where("_index IS NOT NULL")
-    return found.select(*df.columns, "_level", "_index")
+    return ends.select(*df.columns, "_level", F.inline(runs)).where("_from < _upto")
+
+
+def dyadic_nodes(df: DataFrame, low: str, high: str) -> DataFrame:
+    """:func:`node_runs` of a binary tree, where a run is one node, ``_index``: a range of n numbers has
+    at most two on each of log2(n) levels."""
+    return node_runs(df, low, high).withColumnRenamed("_from", "_index").drop("_upto")
 
 
 def interval_attach(
@@ -55,31 +67,42 @@ def interval_attach(
 ) -> DataFrame:
     """Left join of points to the intervals that contain them, as an equi join, whatever the intervals' lengths.
 
-    Every interval is cut into nodes of a binary tree over the seconds, at most twice the logarithm of its
-    length, also if it has no end in sight; a point asks for the nodes above its own second, on
-    the levels that any interval has. So a point meets an interval once, and apart from the
-    first and last second only those that contain it: there is no bucket width to choose, and
-    nothing crowds into a bucket. Only distinct moments ask, and points without an interval stay
-    as they are.
+    Every interval is cut into runs of nodes of a tree over the seconds between the first and the last
+    point, at most two on each level, also if it has no end in sight; a point asks once on each
+    level that any interval has, with the parent of the node above its own second. So a point
+    meets an interval once, and besides those that contain it only those that start or end in
+    a parent of its own: there is no bucket width to choose, and no interval of another length
+    crowds a point's cell. Only distinct moments ask, and points without an interval stay as they are.
     """
     keys = [f"_by{k}" for k in range(len(by))]
     renamed = [F.col(f"`{c}`").alias(k) for c, k in zip(by, keys)]
     last = F.col(f"`{valid_to}`") - F.expr("INTERVAL '0.000001' SECOND")
+    # Queries of one value inside the plan, so nothing runs before the join does.
+    moments = points.select(F.col(f"`{ts}`").alias("_ts"))
+    first = moments.agg(_second(F.min("_ts"))).scalar()
+    # The tree's top covers all points: an interval that starts before them or ends after them sticks out nowhere.
+    seconds = moments.agg((_second(F.max("_ts")) - _second(F.min("_ts")) + 1).alias("n"))
+    height = F.ceil(F.log2(F.col("n").cast("double")) / TREE_BITS).cast("int") + 1
+    top = seconds.select(F.call_function("shiftleft", F.lit(1).cast("bigint"), height * TREE_BITS)).scalar()
     ranged = intervals.where(F.col(f"`{valid_from}`") < F.col(f"`{valid_to}`")).select(
         *renamed,
         F.struct(*[F.col(f"`{c}`") for c in intervals.columns if c not in by]).alias("_interval"),
-        _second(F.col(f"`{valid_from}`")).alias("_low"),
-        (_second(last) + 1).alias("_high"),
+        F.greatest(_second(F.col(f"`{valid_from}`")) - first, F.lit(0)).alias("_low"),
+        F.least(_second(last) + 1 - first, top).alias("_high"),
     )
-    nodes = dyadic_nodes(ranged, "_low", "_high").drop("_low", "_high")
-    # A query of one value inside the plan, so nothing runs before the join does.
+    nodes = node_runs(ranged, "_low", "_high", TREE_BITS).drop("_low", "_high")
+    nodes = nodes.withColumn("_parent", F.expr(f"shiftright(_from, {TREE_BITS})"))
     levels = nodes.agg(F.array_sort(F.collect_set("_level")).alias("levels")).scalar()
     moment = F.col(f"`{ts}`").alias("_ts")
     asked = points.select(*renamed, moment).where("_ts IS NOT NULL").distinct()
-    asked = asked.withColumn("_level", F.explode(levels)).withColumn("_second", _second(F.col("_ts")))
-    asked = asked.withColumn("_index", F.expr("shiftright(_second, _level)")).drop("_second")
-    found = asked.join(nodes, [*keys, "_level", "_index"]).where(
-        (F.col("_ts") >= F.col(f"_interval.`{valid_from}`")) & (F.col("_ts") < F.col(f"_interval.`{valid_to}`"))
+    asked = asked.withColumn("_level", F.explode(levels))
+    node = F.call_function("shiftright", _second(F.col("_ts")) - first, F.col("_level") * TREE_BITS)
+    asked = asked.withColumn("_parent", F.shiftright(node, TREE_BITS))
+    found = asked.join(nodes, [*keys, "_level", "_parent"]).where(
+        (node >= F.col("_from"))
+        & (node < F.col("_upto"))
+        & (F.col("_ts") >= F.col(f"_interval.`{valid_from}`"))
+        & (F.col("_ts") < F.col(f"_interval.`{valid_to}`"))
     )
     found = found.select(*[F.col(k) for k in keys], "_ts", "_interval")
     on = F.col(f"p.`{ts}`") == F.col("_ts")
