@@ -98,6 +98,22 @@ def test_columns_of_any_name_pass_through(spark, steps):
         sharding.shard_documents(docs.withColumn("Shard", F.lit(1)), levels=2)
 
 
+def test_mixing_and_sharding_do_not_depend_on_how_schedules_are_dealt(spark, monkeypatch):
+    """Sources of uneven sizes, one without a name; slots in shards follow the mix."""
+    names = [None, *"abcde"]
+    rows = [(i, "x" * (60_000 + 999 * (i % 7)), names[min(5, i % 11)], "en") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+    def found():
+        mixed = [r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, SMALL).select("doc_id").collect()]
+        return mixed, sorted(tuple(r) for r in corpus_pipeline.sharding_stage(spark, docs, SMALL).select("doc_id", "shard", "slot").collect())
+
+    whole = found()
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    monkeypatch.setattr(mixing, "PIECE", 64, raising=False)
+    assert found() == whole
+
+
 def test_empty_documents_pass_through(spark, steps):
     docs = steps[0].limit(0)
     for _, stage in corpus_pipeline.STAGES:
