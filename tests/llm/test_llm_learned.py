@@ -202,3 +202,12 @@ def test_language_of_odd_rows(spark):
     assert rows(langid.with_language(docs, nothing), "lang_pred") == [("und",)] * 3
     with pytest.raises(ValueError):
         langid.with_language(docs.withColumn("score", F.lit(1)), model)
+
+
+def test_words_of_plain_ascii_are_those_of_the_pattern():
+    every = "".join(map(chr, range(128)))
+    for text in [every, every[::-1], "Don't_stop 3rd\x1fA\x00b", "x" * 200, "", "naïve Über-Maß", " a"]:
+        want = langid._WORDS.findall(text.lower())
+        assert "".join(langid.words_of(text)) == "".join(want)
+        if all(len(w) <= langid.WORD_LETTERS for w in want):
+            assert langid.words_of(text) == want

@@ -23,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,15 @@ GRAMS = (5, 4, 3, 2, 1)
 WORD_LETTERS = 64
 FLUSH = 400_000
 _WORDS = re.compile(r"[^\W\d_]+")
+# In plain ASCII everything but letters separates words.
+_BLANKS = {c: " " for c in range(128) if not chr(c).isalpha()}
 
 
 def words_of(text: str | None) -> list[str]:
-    found = _WORDS.findall(text.lower()) if text else []
-    if any(len(w) > WORD_LETTERS for w in found):
+    if not text:
+        return []
+    found = text.lower().translate(_BLANKS).split() if text.isascii() else _WORDS.findall(text.lower())
+    if found and max(map(len, found)) > WORD_LETTERS:
         found = [w[i : i + WORD_LETTERS] for w in found for i in range(0, len(w), WORD_LETTERS)]
     return found
 
@@ -73,8 +78,8 @@ def _flushed(held: dict[str, Counter], name: str):
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, Counter] = {}
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            held.setdefault(lang, Counter()).update(words_of(text.as_py()))
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            held.setdefault(lang, Counter()).update(words_of(text))
             if sum(map(len, held.values())) > FLUSH:
                 yield from _flushed(held, "word")
                 held = {}
@@ -166,8 +171,8 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return out
 
     for batch in batches:
-        for text in batch.column(0):
-            held.update(set(words_of(text.as_py())))
+        for text in batch.column(0).to_pylist():
+            held.update(set(words_of(text)))
             if len(held) > FLUSH:
                 yield flush()
     yield flush()
@@ -202,18 +207,20 @@ def _sums(shared, text: int, keep: Sequence[int]):
         rest = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
         for batch in batches:
             sums, others = [], []
-            for value in batch.column(text):
-                counts = Counter(words_of(value.as_py()))
+            for value in batch.column(text).to_pylist():
+                counts = Counter(words_of(value))
                 if not counts:
                     sums.append(None)
                     others.append([])
                     continue
-                at = [place.get(w, -1) for w in counts]
-                rare = [{"word": w, "times": n} for (w, n), k in zip(counts.items(), at) if k < 0]
-                at, times = np.array(at), np.fromiter(counts.values(), float, len(counts))
+                at = np.fromiter(map(place.get, counts, repeat(-1)), np.int64, len(counts))
+                times = np.fromiter(counts.values(), float, len(counts))
                 known = at >= 0
                 sums.append((times[known] @ scores[at[known]]).tolist())
-                others.append(rare)
+                if known.all():
+                    others.append([])
+                else:
+                    others.append([{"word": w, "times": n} for (w, n), k in zip(counts.items(), known) if not k])
             columns = [batch.column(k) for k in keep]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(sums, pa.list_(pa.float64())), pa.array(others, rest)],
