@@ -114,6 +114,26 @@ def test_mixing_and_sharding_do_not_depend_on_how_schedules_are_dealt(spark, mon
     assert found() == whole
 
 
+def test_sources_named_by_any_bytes_have_the_same_places_however_schedules_are_dealt(spark, monkeypatch):
+    """Two of the names are not UTF-8; in Python they read alike."""
+    names = F.array(*[F.unhex(F.lit(n)).cast("string") for n in ("C328", "C128", "EFBFBD28", "61")])
+    docs = spark.range(90).select(
+        F.col("id").alias("doc_id"),
+        F.expr("repeat('x', int(60000 + 999 * (id % 7)))").alias("text"),
+        F.get(names, F.least(F.col("id") % 6, F.lit(3)).cast("int")).alias("source"),
+        F.lit("en").alias("lang"),
+    )
+
+    def found():
+        mixed = [r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, SMALL).select("doc_id").collect()]
+        return mixed, sorted(tuple(r) for r in corpus_pipeline.sharding_stage(spark, docs, SMALL).select("doc_id", "shard", "slot").collect())
+
+    short = found()
+    assert sorted(short[0]) == [r[0] for r in short[1]] == list(range(90))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    assert found() == short
+
+
 def test_empty_documents_pass_through(spark, steps):
     docs = steps[0].limit(0)
     for _, stage in corpus_pipeline.STAGES:

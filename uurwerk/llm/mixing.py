@@ -159,16 +159,18 @@ def mix(
         "_key", "_blocks", F.greatest(F.lit(1), F.coalesce("_weight", F.lit(1))).cast("long").alias("_weight")
     )
     targets = materialize(targets, "mix_targets")
-    known = targets.limit(MAX_SOURCES + 1).collect()
-    # At most MAX_SOURCES rows from here on: the sources in a fixed order.
-    supply = sorted(tuple(r) for r in known)
+    # At most MAX_SOURCES rows from here on: the sources in a fixed order. Their names stay in
+    # Spark, as those that are not UTF-8 would be others when they come back from Python.
+    in_order = Window.orderBy("_key")
+    sources = targets.limit(MAX_SOURCES + 1).withColumn("_index", F.row_number().over(in_order) - 1)
+    supply = sorted(tuple(r) for r in sources.select("_index", "_blocks", "_weight").collect())
     slots = sum(w for _, _, w in supply)
     if len(supply) > MAX_SOURCES or slots > MAX_SLOTS or slots * len(supply) * len(_kinds(supply)) > MAX_STEPS:
         return _in_pieces(placed, targets)
-    schedules, sources = _schedules(spark, supply)
+    schedules = _schedules(spark, supply)
     if slots * len(_kinds(supply)) <= MAX_BROADCAST_SLOTS:
         schedules = F.broadcast(schedules)
-    keyed = placed.join(F.broadcast(sources), "_key").withColumns(
+    keyed = placed.join(F.broadcast(sources.drop("_blocks")), "_key").withColumns(
         {"_round": F.floor(F.col("block") / F.col("_weight")), "_j": F.col("block") % F.col("_weight")}
     )
     kind = F.filter(F.lit(_kinds(supply)), lambda r: r <= F.col("_round"))
@@ -320,7 +322,7 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from dealt.append_column("_slot", at).combine_chunks().to_batches()
 
 
-def _kinds(supply: list[tuple[str, int, int]]) -> list[int]:
+def _kinds(supply: list[tuple[int, int, int]]) -> list[int]:
     """The periods from which on a new set of blocks takes part: a source's last whole
     period and its last partial one end differently."""
     starts = {0}
@@ -330,9 +332,9 @@ def _kinds(supply: list[tuple[str, int, int]]) -> list[int]:
     return sorted(s for s in starts if s < max(last, 1))
 
 
-def _schedules(spark, supply: list[tuple[str, int, int]]) -> tuple[DataFrame, DataFrame]:
+def _schedules(spark, supply: list[tuple[int, int, int]]) -> DataFrame:
     """(_kind, _index, _j, _slot): the slot within its period of the j-th block of a
-    source, for each kind of period; and (_key, _index, _weight) of the sources.
+    source, for each kind of period. ``supply`` has the sources' numbers, blocks and weights.
 
     Rows: kinds times slots of a period, both bounded by the number of sources and
     the weights, not by the data."""
@@ -343,9 +345,7 @@ def _schedules(spark, supply: list[tuple[str, int, int]]) -> tuple[DataFrame, Da
     dealt = spark.createDataFrame(kinds, "_kind long, _active array<bigint>").repartition(len(kinds))
     slots = dealt.select("_kind", F.posexplode(edf_schedule(F.col("_active"))).alias("_slot", "_index"))
     nth = F.row_number().over(Window.partitionBy("_kind", "_index").orderBy("_slot")) - 1
-    schedules = slots.select("_kind", "_index", nth.cast("long").alias("_j"), F.col("_slot").cast("long"))
-    rows = [(key, i, weight) for i, (key, _, weight) in enumerate(supply)]
-    return schedules, spark.createDataFrame(rows, "_key string, _index int, _weight long").coalesce(1)
+    return slots.select("_kind", "_index", nth.cast("long").alias("_j"), F.col("_slot").cast("long"))
 
 
 def mix_order(docs: DataFrame, **options) -> DataFrame:
