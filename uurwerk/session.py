@@ -111,7 +111,7 @@ def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def materialize(
-    df: DataFrame, name: str, partition_by: list[str] | None = None, folder: str | None = None
+    df: DataFrame, name: str, partition_by: list[str] | None = None, folder: str | None = None, rows_per_file: int = 0
 ) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -119,11 +119,13 @@ def materialize(
     once, the branches prune columns on the copy, and lost executors re-read
     the files instead of recomputing the lineage. A ``folder`` of
     :func:`run_folder` is removed with the work it belongs to; without one the copy is
-    left to the shared folder's own clean-up.
+    left to the shared folder's own clean-up. ``rows_per_file`` bounds the rows of a file.
     """
     path = scratch_path(df.sparkSession, name, folder)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
